@@ -1,0 +1,13 @@
+"""Landed web pages (S9): one row per page (page_id, url, html).
+
+Fetching is not part of the engine; pages are crawled/landed by any tool and
+read here as a table, so extraction scales with the number of pages.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("page_id", "url", "html")
