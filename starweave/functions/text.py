@@ -19,7 +19,7 @@ HTML_ENTITIES = [
 ]
 
 # Python's str.strip() whitespace (ASCII + NBSP + common Unicode spaces).
-_WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 # Script/style bodies and comments carry no text (no backreferences, so the

@@ -22,13 +22,19 @@ def read_jdbc(
     partition_column: str | None = None,
     num_partitions: int = 1,
     bounds: tuple[int, int] | None = None,
+    quote: bool = True,
 ) -> DataFrame:
-    """Table scan; with ``partition_column`` it is read as ``num_partitions`` ranges."""
+    """Table scan; with ``partition_column`` it is read as ``num_partitions`` ranges.
+
+    ``quote`` quotes the column in the bounds query (Spark creates tables with
+    quoted, case-sensitive column names).
+    """
     props = dict(properties)
     if not partition_column or num_partitions <= 1:
         return spark.read.jdbc(url, table, properties=props)
     if bounds is None:
-        q = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}) b"
+        col = f'"{partition_column}"' if quote else partition_column
+        q = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}) b"
         row = spark.read.jdbc(url, q, properties=props).first()
         lo, hi = row[0], row[1]
         if lo is None:
