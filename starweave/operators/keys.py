@@ -30,6 +30,35 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parse_bytes(text: str) -> int:
+    """'67108864b', '64m', '1g' -> bytes (Spark size-string convention)."""
+    t = str(text).strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in units:
+        return int(float(t[:-1]) * units[t[-1]])
+    return int(t)
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for a range exchange sized from the plan's estimated bytes.
+
+    1 when the whole input fits one advisory partition (in-memory rows ~4x
+    the Parquet estimate); otherwise between one per core and
+    ``spark.sql.shuffle.partitions``. The explicit count keeps AQE from
+    merging ranges, so it is sized up front.
+    """
+    from starweave.operators.joins import estimated_bytes
+
+    spark = df.sparkSession
+    upper = shuffle_partitions(df)
+    advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    wanted = -(-4 * estimated_bytes(df) // max(advisory, 1))
+    if wanted <= 1:
+        return 1
+    lower = min(upper, spark.sparkContext.defaultParallelism)
+    return int(max(lower, min(upper, wanted)))
+
+
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """DISTINCT over the selected columns (A1); partial + final hash aggregate."""
     return (df.select(*cols) if cols else df).distinct()
@@ -72,7 +101,12 @@ def dense_number(
     lead = list(order) + [t for t in tie if t not in order]
     rest = [c for c in df.columns if c not in lead]
     sort_cols = [F.col(c).asc_nulls_first() for c in lead + rest]
-    n_parts = partitions or shuffle_partitions(df)
+    n_parts = partitions or range_partitions(df)
+    if n_parts == 1:
+        # bounded input (fits one advisory partition): a single sorted
+        # partition is what the range exchange would produce anyway
+        w = Window.orderBy(*sort_cols)
+        return df.withColumn(out, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
 
     ranged = (
         df.repartitionByRange(n_parts, *sort_cols)

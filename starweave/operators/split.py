@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starweave.functions.hashing import hash60
+from starweave.sources.files import materialize
 
 HASH_BITS = 60
 LEVEL_BITS = 16
-FINAL_ROWS = 50_000
+FINAL_ROWS = 200_000
 
 
 def sample_size(n: int, frac: float) -> int:
@@ -64,7 +65,8 @@ def split_flag(df: DataFrame, key: Sequence[str], frac: float, seed, out: str =
     ``key`` must identify rows (unique, non-NULL).
     """
     hashed = df.withColumn("_sw_h", hash60(seed, *key))
-    hk = hashed.select("_sw_h", *key)
+    # the refinement passes read a narrow written table (hash + key), not the source plan
+    hk = materialize(hashed.select("_sw_h", *key), "split-keys")
     n = hk.count()
     k = sample_size(n, frac)
     if k <= 0:

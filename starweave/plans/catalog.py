@@ -332,7 +332,7 @@ def fact_build(spark, d):
 
 
 def _flat80(spark, d):
-    ln = S.with_part(S.with_customer(S.lines(spark, d).filter(~F.col("is_test")), spark, d), spark, d)
+    ln = S.lines(spark, d).filter(~F.col("is_test"))
     return ln.select(
         F.col("n_name").alias("state"),
         F.col("c_name").alias("country_name"),
@@ -445,7 +445,7 @@ def pages_until_empty(spark, d):
 
 def raw_declarations(spark, d):
     """Flat string records in the shape of the raw public table."""
-    ln = S.with_part(S.with_customer(S.lines(spark, d), spark, d), spark, d)
+    ln = S.lines(spark, d)
     iso = lambda c: F.date_format(c, ISO_Z)
     return ln.select(
         F.concat_ws("-", *[F.col(k).cast("string") for k in S.LINE_KEY]).alias("id"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starweave.functions.text import normalize_key
 from starweave.operators.joins import lookup_join
 from starweave.operators.keys import dense_number
+from starweave.sources.files import materialize
 
 UNKNOWN_TK = 0
 
@@ -69,14 +70,21 @@ def build_fact(
     measures: Sequence[str],
     fact_tk: str,
     row_id: Sequence[str] = (),
+    materialize_resolved: bool = True,
 ) -> DataFrame:
     """FK-resolved fact numbered 1..n by (all tks, measures).
 
+    The resolved rows (tks, measures, row id: narrow columns) are written to
+    the shared folder first, so the range partitioning of the numbering
+    samples that table instead of re-running staging and every dimension.
+
     ``row_id`` columns identify staging rows; they only split ties between
     otherwise identical rows (so a hot duplicate spreads over partitions) and
     are dropped from the result.
     """
     resolved = resolve_keys(staging, lookups, [*measures, *row_id])
+    if materialize_resolved:
+        resolved = materialize(resolved, "fact-resolved")
     order = [lk.tk for lk in lookups] + list(measures)
     numbered = dense_number(resolved, order, fact_tk, tie=list(row_id))
     return numbered.select(*order, fact_tk)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -31,7 +32,36 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",")
     df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """Parquet scan (column pruning and filters reach the reader).
+
+    A Parquet row group is the smallest split, so a small table stored as one
+    row group is read by a single task and everything pipelined after the
+    scan runs single-threaded. With ``min_partitions`` such a scan is
+    rebalanced to that many partitions; a large input already has more
+    splits than that and is left untouched (no extra shuffle at scale).
+    """
+    df = spark.read.parquet(path)
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        # hash on every column: deterministic on retry and needs no local sort
+        # (round-robin repartition sorts each input partition first)
+        df = df.repartition(min_partitions, *[F.col(c) for c in df.columns])
+    return df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
+
+    Cuts the lineage (an executor lost later re-reads files instead of
+    recomputing joins), gives Catalyst exact sizes for broadcast decisions,
+    and lets a following range partitioning sample a written table instead
+    of re-running the whole upstream plan.
+    """
+    from starweave.session import shared_path
+
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
