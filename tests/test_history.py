@@ -1,0 +1,31 @@
+from datetime import datetime
+
+from conftest import rows
+
+from starweave.operators import history, keys
+
+
+def test_scd2_merge_and_history(spark):
+    cur = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    cur = keys.scd1_columns(keys.surrogate_key(cur, ["k"], "tk"), "2023-01-01 00:00:00").select(
+        "tk", "version", "date_from", "date_to", "k", "v")
+    inc = spark.createDataFrame([("a", 1), ("b", 20), ("d", 4)], "k string, v int")
+    merged = history.scd2_merge(cur, inc, ["k"], ["v"], "tk", "2024-01-01 00:00:00")
+    t0, t1 = datetime(2023, 1, 1), datetime(2024, 1, 1)
+    assert rows(merged) == rows(spark.createDataFrame(
+        [(1, 1, t0, None, "a", 1), (2, 1, t0, t1, "b", 2), (3, 1, t0, None, "c", 3),
+         (4, 2, t1, None, "b", 20), (5, 1, t1, None, "d", 4)], merged.schema))
+    hist = history.scd2_history(merged, ["k"], "v")
+    assert [tuple(r) for r in hist.collect()] == [("b", 2, 2, 20)]
+    again = history.scd2_merge(merged, inc, ["k"], ["v"], "tk", "2024-01-02 00:00:00")
+    assert rows(again) == rows(merged)
+
+
+def test_rollup_pre_aggregates_before_join(spark):
+    fact = spark.createDataFrame([(1, 5), (1, 7), (2, 1), (0, 2)], "s_tk long, deaths int")
+    dim = spark.createDataFrame([(0, None), (1, "A"), (2, "B")], "s_tk long, name string")
+    from pyspark.sql import functions as F
+
+    out = history.rollup_fact(fact, [(dim, "s_tk", [("name", F.col("name"))])], ["name"], ["deaths"])
+    got = {(r.name, r.grouping_level): (r.deaths, r.fact_rows) for r in out.collect()}
+    assert got == {("A", 0): (12, 2), ("B", 0): (1, 1), (None, 0): (2, 1), (None, 1): (15, 4)}

@@ -1,0 +1,33 @@
+from conftest import rows
+
+from starweave.operators import html
+
+CARD = r'(?is)<div class="views-row">(.*?)</div>'
+PAGES = [
+    (0, "u0", '<div class="views-row"><a href="/d/1">Storm &amp; Flood</a><p>Incident Period: Jan 1</p>'
+              '<p> Major Disaster Declaration declared Feb 2 </p></div>'
+              '<div class="views-row"><p>no anchor here</p></div>'),
+    (1, "u1", '<script>var t="</div>";</script><div class="views-row"><a href="/d/2"> Fire </a></div>'),
+    (2, "u2", "<p>empty page</p>"),
+    (3, "u3", '<div class="views-row"><a href="/d/3">Late</a></div>'),
+]
+
+
+def _pages(spark):
+    return spark.createDataFrame(PAGES, "page_id long, url string, html string")
+
+
+def test_extract_cards(spark):
+    out = html.extract_cards(_pages(spark), CARD, "https://x.example",
+                             {"Incident Period": "Incident Period:", "Declaration Date": "Major Disaster Declaration declared"})
+    got = rows(out.select("page_id", "Title", "Link", "Incident Period", "Declaration Date"))
+    assert got == [
+        (0, "Storm & Flood", "https://x.example/d/1", "Incident Period: Jan 1", "Major Disaster Declaration declared Feb 2"),
+        (1, "Fire", "https://x.example/d/2", "", ""),
+        (3, "Late", "https://x.example/d/3", "", ""),
+    ]
+
+
+def test_pages_until_first_empty(spark):
+    out = html.pages_until_empty(_pages(spark), CARD, min_cards=1)
+    assert sorted(r.page_id for r in out.collect()) == [0, 1]

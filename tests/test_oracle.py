@@ -1,0 +1,35 @@
+"""Every registered query against its DuckDB SQL (the driver's check, run locally).
+
+sf0.001 by default (fast); STARWEAVE_ORACLE_SF=0.01 reproduces the driver's scale.
+"""
+
+import os
+
+import pytest
+from oracle_harness import compare, duck
+
+import __spark_entry__ as E
+
+SF_DIR = f"/root/testdata/sf{os.environ.get('STARWEAVE_ORACLE_SF', '0.001')}"
+NAMES = sorted(E.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_DIR)
+
+
+def test_every_query_has_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    ok, msg = compare(E.queries()[name](spark, SF_DIR), con, E.oracle_sql()[name])
+    assert ok, msg
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["state_tk", "disaster_tk", "declaration_tk", "incident_dates_tk", "deaths", "disaster_fact_tk"]
+    assert df.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()

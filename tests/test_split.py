@@ -1,0 +1,41 @@
+from conftest import rows
+from pyspark.sql import functions as F
+
+from starweave.operators import split as sp
+
+
+def test_sample_size_half_even():
+    assert sp.sample_size(5, 0.5) == 2
+    assert sp.sample_size(7, 0.5) == 4
+    assert sp.sample_size(15000, 0.2) == 3000
+
+
+def test_exact_split_disjoint_exhaustive_exact(spark):
+    df = spark.range(0, 1003).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    rest, sample = sp.exact_split(df, ["k"], 0.2, 1)
+    r, s = {x.k for x in rest.collect()}, {x.k for x in sample.collect()}
+    assert len(s) == round(1003 * 0.2)
+    assert not (r & s) and len(r | s) == 1003
+
+
+def test_split_independent_of_partitioning(spark):
+    df = spark.range(0, 800).select(F.col("id").alias("k"))
+    a = {x.k for x in sp.split_flag(df, ["k"], 0.3, 7).filter("is_test").collect()}
+    b = {x.k for x in sp.split_flag(df.repartition(13), ["k"], 0.3, 7).filter("is_test").collect()}
+    assert a == b
+
+
+def test_multilevel_refinement_matches_direct(spark, monkeypatch):
+    df = spark.range(0, 3000).select(F.col("id").alias("k"))
+    direct = rows(sp.split_flag(df, ["k"], 0.25, 3))
+    monkeypatch.setattr(sp, "FINAL_ROWS", 50)
+    monkeypatch.setattr(sp, "LEVEL_BITS", 4)
+    refined = rows(sp.split_flag(df, ["k"], 0.25, 3))
+    assert direct == refined
+    assert sum(1 for r in refined if r[1]) == 750
+
+
+def test_split_edge_fractions(spark):
+    df = spark.range(0, 10).select(F.col("id").alias("k"))
+    assert sp.split_flag(df, ["k"], 0.0, 1).filter("is_test").count() == 0
+    assert sp.split_flag(df, ["k"], 1.0, 1).filter("is_test").count() == 10
