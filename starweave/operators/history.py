@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starweave.operators.joins import lookup_join
@@ -65,15 +65,20 @@ def scd2_merge(
 def scd2_history(dim: DataFrame, keys: Sequence[str], attr: str, version: str = "version") -> DataFrame:
     """Changes of ``attr`` per natural key, version by version (E5).
 
-    Window partitioned by the natural key: each partition holds one key's
-    versions only.
+    The previous version is found with an equi-join on (key, version) =
+    (key, version + 1) instead of ``lag`` over a key-partitioned window: the
+    join keys are unique, so a key with very many versions is not one task.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(version))
-    return (
-        dim.filter(F.col(version).isNotNull())
-        .select(*keys, version, F.lag(attr).over(w).alias("previous_value"), F.col(attr).alias("new_value"))
-        .filter(F.col(version) > 1)
-        .filter(~F.col("previous_value").eqNullSafe(F.col("new_value")))
+    cur = dim.filter(F.col(version) > 1).select(*keys, version, F.col(attr).alias("new_value"))
+    prev = dim.select(
+        *[F.col(k).alias(f"_sw_p_{k}") for k in keys],
+        (F.col(version) + 1).alias("_sw_p_next"),
+        F.col(attr).alias("previous_value"),
+    )
+    cond = [cur[k].eqNullSafe(prev[f"_sw_p_{k}"]) for k in keys] + [cur[version] == prev["_sw_p_next"]]
+    joined = cur.join(prev, cond, "left")
+    return joined.filter(~F.col("previous_value").eqNullSafe(F.col("new_value"))).select(
+        *keys, version, "previous_value", "new_value"
     )
 
 

@@ -99,4 +99,4 @@ def null_safe_anti(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> D
     """Rows of ``df`` with no ``existing`` row on ``keys`` (NULL matches NULL)."""
     ex = existing.select(*[F.col(k).alias(f"_sw_e_{k}") for k in keys])
     cond = [df[k].eqNullSafe(ex[f"_sw_e_{k}"]) for k in keys]
-    return df.join(ex, cond, "left_anti")
+    return df.join(F.broadcast(ex) if fits_broadcast(ex) else ex, cond, "left_anti")

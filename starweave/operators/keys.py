@@ -20,6 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOW_BITS = (1 << 33) - 1
+# Inputs below this (estimated in-memory bytes) are numbered in one sorted partition.
+SMALL_BYTES = 4 << 20
+# Logical operators whose result is worth writing before a range partitioning
+# samples it (the sampling pass would otherwise recompute them).
+_COMPUTED = ("Join", "Aggregate", "Window", "Union", "Generate", "Expand", "Sort", "WindowGroupLimit")
 
 
 def _col(c) -> Column:
@@ -42,19 +47,20 @@ def parse_bytes(text: str) -> int:
 def range_partitions(df: DataFrame) -> int:
     """Partitions for a range exchange sized from the plan's estimated bytes.
 
-    1 when the whole input fits one advisory partition (in-memory rows ~4x
-    the Parquet estimate); otherwise between one per core and
-    ``spark.sql.shuffle.partitions``. The explicit count keeps AQE from
-    merging ranges, so it is sized up front.
+    1 for a tiny input (in-memory rows, ~4x the Parquet estimate, under
+    ``SMALL_BYTES``); otherwise about one advisory partition size each,
+    between one per core and ``spark.sql.shuffle.partitions``. The explicit
+    count keeps AQE from merging ranges, so it is sized up front.
     """
     from starweave.operators.joins import estimated_bytes
 
     spark = df.sparkSession
     upper = shuffle_partitions(df)
     advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    wanted = -(-4 * estimated_bytes(df) // max(advisory, 1))
-    if wanted <= 1:
+    in_memory = 4 * estimated_bytes(df)
+    if in_memory <= SMALL_BYTES:
         return 1
+    wanted = -(-in_memory // max(advisory, 1))
     lower = min(upper, spark.sparkContext.defaultParallelism)
     return int(max(lower, min(upper, wanted)))
 
@@ -91,9 +97,15 @@ def dense_number(
     start: int = 1,
     tie: Sequence[str] = (),
     partitions: int | None = None,
+    materialize_input: bool = True,
 ) -> DataFrame:
     """``row_number() over (order by order..., tie...)`` (ascending, NULLs first), as bigint.
 
+    On the range path an input computed by joins/aggregates/windows is first
+    written to the shared folder (``materialize_input``): the range
+    exchange samples its input in a separate pass, which would otherwise
+    recompute the whole upstream plan.
+
     Rows must be unique over all columns once ``tie`` is included (give a row id
     as ``tie`` when identical rows may occur); the remaining columns are added
     as trailing sort keys so the range exchange is shared by both branches.
@@ -102,6 +114,10 @@ def dense_number(
     rest = [c for c in df.columns if c not in lead]
     sort_cols = [F.col(c).asc_nulls_first() for c in lead + rest]
     n_parts = partitions or range_partitions(df)
+    if n_parts > 1 and materialize_input and _is_computed(df):
+        from starweave.sources.files import materialize
+
+        df = materialize(df, "numbering-input")
     if n_parts == 1:
         # bounded input (fits one advisory partition): a single sorted
         # partition is what the range exchange would produce anyway
@@ -124,6 +140,11 @@ def dense_number(
     return numbered.drop("_sw_id", "_sw_part", "_sw_off")
 
 
+def _is_computed(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(line.lstrip(" :+-").startswith(_COMPUTED) for line in plan.splitlines())
+
+
 def global_number(df: DataFrame, order: Sequence[str], out: str, start: int = 1) -> DataFrame:
     """Reference form (single-partition window); kept for small inputs and plan comparison."""
     w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])

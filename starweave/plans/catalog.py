@@ -23,6 +23,7 @@ from starweave.plans.facts import resolve_keys
 from starweave.plans.normalize import append_entities, bridge, insert_if_absent, link_declarations
 from starweave.session import shared_path
 from starweave.sources import files, jdbc
+from starweave.sources.files import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 T = S.table
@@ -358,11 +359,15 @@ DISASTER_COLS = ["disaster_number", "incident_type", "incident_begin_date", "inc
 
 
 def _states(spark, d):
-    return append_entities(None, _flat80(spark, d).select(F.col("state").alias("name"), "country_name"), ["country_name"])
+    """State entity table, written once like the OLTP table it stands for."""
+    return S.stored(spark, d, "State", lambda: append_entities(
+        None, _flat80(spark, d).select(F.col("state").alias("name"), "country_name"), ["country_name"]))
 
 
 def _disasters(spark, d):
-    return append_entities(None, _flat80(spark, d).select(*DISASTER_COLS), ["disaster_number"])
+    """Disaster entity table, written once like the OLTP table it stands for."""
+    return S.stored(spark, d, "Disaster", lambda: append_entities(
+        None, _flat80(spark, d).select(*DISASTER_COLS), ["disaster_number"]))
 
 
 def normalize_entities(spark, d):
@@ -507,7 +512,8 @@ def scd2_merge(spark, d):
 
 
 def scd2_history(spark, d):
-    return history.scd2_history(scd2_merge(spark, d), ["part_number"], "p_size")
+    merged = materialize(scd2_merge(spark, d), "part-dim-merged")  # the merged dimension is a written table
+    return history.scd2_history(merged, ["part_number"], "p_size")
 
 
 def fact_rollup(spark, d):

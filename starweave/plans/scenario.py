@@ -81,7 +81,8 @@ def reset_stored() -> None:
     _STORED.clear()
 
 
-def _stored(spark: SparkSession, d: str, name: str, build) -> DataFrame:
+def stored(spark: SparkSession, d: str, name: str, build) -> DataFrame:
+    """Build, write once per session and data dir, and read back."""
     key = (id(spark), d, name)
     if key not in _STORED:
         _STORED[key] = materialize(build(), name)
@@ -90,7 +91,7 @@ def _stored(spark: SparkSession, d: str, name: str, build) -> DataFrame:
 
 def order_split(spark: SparkSession, d: str) -> DataFrame:
     """orders + is_test (exactly round(0.2 n) orders, seeded md5 order)."""
-    return _stored(
+    return stored(
         spark, d, "orders-split",
         lambda: split_flag(table(spark, d, "orders"), ["o_orderkey"], TEST_FRACTION, SEED),
     )
@@ -113,7 +114,7 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
         p = table(spark, d, "part").select("p_partkey", "p_type", "p_size", "p_brand", "p_retailprice")
         return lookup_join(ln, p, [(F.col("l_partkey"), "p_partkey")], how="inner")
 
-    return _stored(spark, d, "lines", build)
+    return stored(spark, d, "lines", build)
 
 
 def customers(spark: SparkSession, d: str) -> DataFrame:
@@ -276,7 +277,7 @@ def written_dims(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "state_dim": dim_state, "disaster_dim": dim_disaster,
         "declaration_dim": dim_declaration, "incident_datesdim": dim_incident_dates,
     }
-    return {name: _stored(spark, d, name, lambda b=b: b(spark, d)) for name, b in builders.items()}
+    return {name: stored(spark, d, name, lambda b=b: b(spark, d)) for name, b in builders.items()}
 
 
 def fact_lookups(spark: SparkSession, d: str) -> list[KeyLookup]:

@@ -32,6 +32,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",")
     df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
+# Scans smaller than this are not worth a rebalancing shuffle.
+REBALANCE_BYTES = 1 << 20
+
+
+def _estimated(df: DataFrame) -> int:
+    from starweave.operators.joins import estimated_bytes
+
+    return estimated_bytes(df)
+
+
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """Parquet scan (column pruning and filters reach the reader).
 
@@ -42,7 +52,7 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     splits than that and is left untouched (no extra shuffle at scale).
     """
     df = spark.read.parquet(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and _estimated(df) > REBALANCE_BYTES and df.rdd.getNumPartitions() < min_partitions:
         # hash on every column: deterministic on retry and needs no local sort
         # (round-robin repartition sorts each input partition first)
         df = df.repartition(min_partitions, *[F.col(c) for c in df.columns])
