@@ -518,10 +518,11 @@ def scd2_history(spark, d):
 
 def fact_rollup(spark, d):
     f = S.fact(spark, d)
+    written = S.written_dims(spark, d)
     dims = [
-        (S.dim_state(spark, d), "state_tk", [("state_name", F.col("state_name"))]),
-        (S.dim_incident_dates(spark, d), "incident_dates_tk", [("incident_year", F.year("incident_begin_date"))]),
-        (S.dim_disaster(spark, d), "disaster_tk", [("incident_type", F.upper("incident_type"))]),
+        (written["state_dim"], "state_tk", [("state_name", F.col("state_name"))]),
+        (written["incident_datesdim"], "incident_dates_tk", [("incident_year", F.year("incident_begin_date"))]),
+        (written["disaster_dim"], "disaster_tk", [("incident_type", F.upper("incident_type"))]),
     ]
     return history.rollup_fact(f, dims, ["state_name", "incident_year", "incident_type"], ["deaths"])
 

@@ -76,9 +76,19 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 _STORED: dict[tuple[int, str, str], DataFrame] = {}
 
 
-def reset_stored() -> None:
-    """Forget written intermediates (the bench times every query from scratch)."""
-    _STORED.clear()
+SOURCE_TABLES = ("orders-split", "lines")
+
+
+def reset_stored(keep: tuple[str, ...] = ()) -> None:
+    """Forget written intermediates except those named in ``keep``."""
+    for key in [k for k in _STORED if k[2] not in keep]:
+        del _STORED[key]
+
+
+def prepare_sources(spark: SparkSession, d: str) -> None:
+    """Write the split orders and the flat line table (the reference's 80/20 files)."""
+    order_split(spark, d)
+    lines(spark, d)
 
 
 def stored(spark: SparkSession, d: str, name: str, build) -> DataFrame:

@@ -30,3 +30,24 @@ def test_materialize_cuts_lineage(spark):
     m = files.materialize(df, "t-mat")
     assert rows(m) == rows(df)
     assert "FileScan parquet" in m._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_count_observed_during_write(spark):
+    from starweave.operators.metrics import write_observed
+
+    df = spark.range(0, 1234)
+    p = shared_path(spark, "t-obs")
+    got = write_observed(df, lambda d: d.write.parquet(p), "w")
+    assert got == {"rows": 1234}
+    assert spark.read.parquet(p).count() == 1234
+
+
+def test_table_from_contract(spark):
+    from pyspark.sql import types as T
+
+    from starweave.operators.constraints import create_table_if_missing
+
+    contract = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("name", T.StringType())])
+    create_table_if_missing(spark, "sw_state_contract", contract, path=shared_path(spark, "t-contract"))
+    create_table_if_missing(spark, "sw_state_contract", contract)
+    assert [f.name for f in spark.table("sw_state_contract").schema.fields] == ["id", "name"]
