@@ -378,12 +378,19 @@ def normalize_states(spark, d):
     return _states(spark, d)
 
 
+def _entities(spark, d):
+    """Disaster and State entity tables, loaded concurrently (they are independent)."""
+    got = S.run_concurrently({"Disaster": lambda: _disasters(spark, d), "State": lambda: _states(spark, d)})
+    return got["Disaster"], got["State"]
+
+
 def normalize_declarations(spark, d):
     flat = _flat80(spark, d)
+    disasters, states = _entities(spark, d)
     decl = keys.distinct_rows(
         flat, ["declaration_title", "declaration_type", "declaration_date", "declaration_request_number", "country_name", "disaster_number"]
     )
-    linked = link_declarations(decl, _disasters(spark, d), _states(spark, d))
+    linked = link_declarations(decl, disasters, states)
     order = ["declaration_request_number", "disaster_fk", "state_fk", "declaration_title", "declaration_type", "declaration_date"]
     return keys.dense_number(linked.select(*order), order, "id").select(
         "id", "declaration_title", "declaration_type", "declaration_date", "declaration_request_number", "disaster_fk", "state_fk"
@@ -404,7 +411,8 @@ def insert_if_absent_q(spark, d):
 
 def bridge_table(spark, d):
     flat = _flat80(spark, d)
-    return bridge(flat, _disasters(spark, d), "disaster_number", _states(spark, d), "country_name")
+    disasters, states = _entities(spark, d)
+    return bridge(flat, disasters, "disaster_number", states, "country_name")
 
 
 # ------------------------------------------------------------- constraints

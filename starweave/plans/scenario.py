@@ -91,6 +91,15 @@ def prepare_sources(spark: SparkSession, d: str) -> None:
     lines(spark, d)
 
 
+def run_concurrently(tasks: dict, workers: int = 4) -> dict:
+    """Run independent driver-side builds in threads; Spark schedules their jobs together."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks)) or 1) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def stored(spark: SparkSession, d: str, name: str, build) -> DataFrame:
     """Build, write once per session and data dir, and read back."""
     key = (id(spark), d, name)
@@ -282,12 +291,16 @@ def staging(spark: SparkSession, d: str, with_row_id: bool = False) -> DataFrame
 
 
 def written_dims(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The four dimensions, built and written once (as the warehouse load does)."""
+    """The four dimensions, built and written once (as the warehouse load does).
+
+    They are independent, so their jobs are submitted concurrently and share
+    the executors instead of running one after another.
+    """
     builders = {
         "state_dim": dim_state, "disaster_dim": dim_disaster,
         "declaration_dim": dim_declaration, "incident_datesdim": dim_incident_dates,
     }
-    return {name: stored(spark, d, name, lambda b=b: b(spark, d)) for name, b in builders.items()}
+    return run_concurrently({name: (lambda n=name, b=b: stored(spark, d, n, lambda: b(spark, d))) for name, b in builders.items()})
 
 
 def fact_lookups(spark: SparkSession, d: str) -> list[KeyLookup]:
