@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows whose join key is NULL can never match; they are spread over this many
@@ -62,7 +63,8 @@ def lookup_join(
     any_null = F.lit(False)
     for n in names:
         any_null = any_null | F.col(n).isNull()
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable]) if hashable else F.lit(0)
     f = f.withColumn(
         "_sw_fsalt", F.when(any_null, F.lit(1) + F.pmod(row_hash, F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
     )

@@ -28,13 +28,15 @@ from starweave.sources.files import materialize
 Query = Callable[[SparkSession, str], DataFrame]
 T = S.table
 
-# Example recodes applied by the queries (code -> label).
-SEGMENT_LABELS = {"BUILDING": "Construction", "AUTOMOBILE": "Vehicles", "MACHINERY": "Equipment"}
+# Example recodes applied by the queries on the driver's tables (code -> label).
 EVENT_LABELS = {"click": "Click", "view": "Page view", "purchase": "Purchase"}
 STATUS_LABELS = {"F": "Finished", "O": "Open"}
 NATION_LABELS = {"NATION_0": "Nation zero", "NATION_1": "Nation one", "NATION_2": "Nation two"}
 CARD = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
 BASE_URL = "https://listing.example"
+
+# The output column names of a listing card and the text each
+# labelled field is picked by (as on the listing pages being extracted).
 CARD_LABELS = {"Incident Period": "Incident Period:", "Declaration Date": "declared"}
 
 

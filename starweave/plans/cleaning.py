@@ -20,6 +20,12 @@ from starweave.operators.clean import drop_columns, drop_null_keys, fill_unknown
 from starweave.operators.split import split_flag
 
 
+# Fixed values (defaults below): NULL marker 'unknown', seed 1, synthetic
+# measure in [0, 10000), zero-day durations imputed as 1..24 hours, ISO
+# timestamps 'yyyy-MM-ddTHH:mm:ssZ', dates re-rendered 'yyyy-MM-dd', 20 % test
+# share, column fips renamed country_name.
+
+
 @dataclass(frozen=True)
 class CleanConfig:
     row_key: tuple[str, ...]

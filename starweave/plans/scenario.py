@@ -23,9 +23,10 @@ from starweave.plans.dimensions import DimensionSpec, build_dimension
 from starweave.plans.facts import KeyLookup, build_fact, stage_fact
 from starweave.sources.files import materialize, read_parquet
 
+# Seed and size of the 80:20 split (seeded sample of 20 %).
 SEED = 1
-LOAD_TS = "2024-01-01 00:00:00"
 TEST_FRACTION = 0.2
+LOAD_TS = "2024-01-01 00:00:00"
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 BOOL_COLS = ["ih_program_declared", "ia_program_declared", "pa_program_declared", "hm_program_declared"]
 
