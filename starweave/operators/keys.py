@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOW_BITS = (1 << 33) - 1
-# Inputs below this (estimated in-memory bytes) are numbered in one sorted partition.
-SMALL_BYTES = 4 << 20
+# Inputs below this (estimated in-memory bytes, one advisory partition) are
+# numbered in one sorted partition and never written first.
+SMALL_BYTES = 64 << 20
 # Logical operators whose result is worth writing before a range partitioning
 # samples it (the sampling pass would otherwise recompute them).
 _COMPUTED = ("Join", "Aggregate", "Window", "Union", "Generate", "Expand", "Sort", "WindowGroupLimit")
@@ -44,6 +45,17 @@ def parse_bytes(text: str) -> int:
     return int(t)
 
 
+def is_small(df: DataFrame) -> bool:
+    """Estimated in-memory size (~4x Catalyst's bytes) within ``SMALL_BYTES``.
+
+    Catalyst's estimate is exact for scans of written tables and an upper
+    bound through filters, projections, aggregates, windows and joins.
+    """
+    from starweave.operators.joins import estimated_bytes
+
+    return 4 * estimated_bytes(df) <= SMALL_BYTES
+
+
 def range_partitions(df: DataFrame) -> int:
     """Partitions for a range exchange sized from the plan's estimated bytes.
 
@@ -57,10 +69,9 @@ def range_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     upper = shuffle_partitions(df)
     advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    in_memory = 4 * estimated_bytes(df)
-    if in_memory <= SMALL_BYTES:
+    if is_small(df):
         return 1
-    wanted = -(-in_memory // max(advisory, 1))
+    wanted = -(-4 * estimated_bytes(df) // max(advisory, 1))
     lower = min(upper, spark.sparkContext.defaultParallelism)
     return int(max(lower, min(upper, wanted)))
 

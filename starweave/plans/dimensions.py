@@ -18,6 +18,7 @@ from starweave.operators.clean import drop_null_keys
 from starweave.sources.files import materialize
 from starweave.operators.keys import (
     first_by_attributes,
+    is_small,
     scd1_columns,
     surrogate_key,
     with_unknown_member,
@@ -66,14 +67,14 @@ def build_dimension(
 ) -> DataFrame:
     """Conformed dimension with surrogate key, SCD columns and an UNKNOWN member.
 
-    The deduplicated members are written to the shared folder before they are
-    numbered (``materialize_rows``): the range partitioning samples that
-    table and the sources are scanned once.
+    Unless they are small, the deduplicated members are written to the shared
+    folder before they are numbered (``materialize_rows``): the range
+    partitioning samples that table and the sources are scanned once.
     """
     one = dedup_sources(sources, spec)
     if spec.reserved:
         one = without_reserved(one, spec.natural_key, spec.reserved)
-    if materialize_rows:
+    if materialize_rows and not is_small(one):
         one = materialize(one, spec.name)
     keyed = surrogate_key(one, spec.natural_key, spec.tk)
     dim = scd1_columns(keyed, load_ts).select(spec.tk, *SCD_COLUMNS, *spec.columns)

@@ -77,7 +77,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 _STORED: dict[tuple[int, str, str], DataFrame] = {}
 
 
-SOURCE_TABLES = ("orders-split", "lines")
+SOURCE_TABLES = ("orders-split", "customers", "lines")
 
 
 def reset_stored(keep: tuple[str, ...] = ()) -> None:
@@ -138,8 +138,13 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, d: str) -> DataFrame:
-    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
-    return lookup_join(table(spark, d, "customer"), nation, [(F.col("c_nationkey"), "n_nationkey")])
+    """Customers with their nation name: a written entity table (exact size for broadcast checks)."""
+
+    def build() -> DataFrame:
+        nation = table(spark, d, "nation").select("n_nationkey", "n_name")
+        return lookup_join(table(spark, d, "customer"), nation, [(F.col("c_nationkey"), "n_nationkey")])
+
+    return stored(spark, d, "customers", build)
 
 
 def line_duration() -> F.Column:
