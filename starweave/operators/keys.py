@@ -56,7 +56,7 @@ def is_small(df: DataFrame) -> bool:
     return 4 * estimated_bytes(df) <= SMALL_BYTES
 
 
-def range_partitions(df: DataFrame) -> int:
+def range_partitions(df: DataFrame, allow_single: bool = True) -> int:
     """Partitions for a range exchange sized from the plan's estimated bytes.
 
     1 for a tiny input (in-memory rows, ~4x the Parquet estimate, under
@@ -69,7 +69,7 @@ def range_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     upper = shuffle_partitions(df)
     advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    if is_small(df):
+    if allow_single and is_small(df):
         return 1
     wanted = -(-4 * estimated_bytes(df) // max(advisory, 1))
     lower = min(upper, spark.sparkContext.defaultParallelism)
@@ -109,6 +109,7 @@ def dense_number(
     tie: Sequence[str] = (),
     partitions: int | None = None,
     materialize_input: bool = True,
+    allow_single: bool = True,
 ) -> DataFrame:
     """``row_number() over (order by order..., tie...)`` (ascending, NULLs first), as bigint.
 
@@ -124,7 +125,7 @@ def dense_number(
     lead = list(order) + [t for t in tie if t not in order]
     rest = [c for c in df.columns if c not in lead]
     sort_cols = [F.col(c).asc_nulls_first() for c in lead + rest]
-    n_parts = partitions or range_partitions(df)
+    n_parts = partitions or range_partitions(df, allow_single)
     if n_parts > 1 and materialize_input and _is_computed(df):
         from starweave.sources.files import materialize
 

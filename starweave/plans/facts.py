@@ -86,5 +86,6 @@ def build_fact(
     if materialize_resolved:
         resolved = materialize(resolved, "fact-resolved")
     order = [lk.tk for lk in lookups] + list(measures)
-    numbered = dense_number(resolved, order, fact_tk, tie=list(row_id))
+    # facts are large by nature: always the range path (one task per core at least)
+    numbered = dense_number(resolved, order, fact_tk, tie=list(row_id), allow_single=False)
     return numbered.select(*order, fact_tk)
