@@ -12,6 +12,12 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows whose join key is NULL can never match; they are spread over this many
 # salt values so a mass of NULL keys does not land in one shuffle partition.
 NULL_KEY_SALTS = 64
+# A non-NULL key holding at least this share of a sample of the fact rows is
+# "hot": its rows are spread over HOT_KEY_SALTS salt values and the matching
+# dimension rows are replicated once per salt. At most 1/HOT_SHARE keys.
+HOT_SHARE = 0.01
+HOT_KEY_SALTS = 32
+HOT_SAMPLE_FRACTION = 0.001
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -33,6 +39,23 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return estimated_bytes(df) <= (limit if limit is not None else broadcast_limit(df))
 
 
+def hot_keys(df: DataFrame, cols: Sequence[str], share: float = HOT_SHARE,
+             fraction: float = HOT_SAMPLE_FRACTION, seed: int = 17) -> list[tuple]:
+    """Keys with at least ``share`` of a seeded sample of ``df`` (at most 1/share keys).
+
+    Used only to balance a shuffle join: a missed or extra key changes the
+    work per task, never the result.
+    """
+    sample = df.sample(fraction=fraction, seed=seed).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    total = sample.agg(F.sum("_n")).first()[0] or 0
+    if not total:
+        return []
+    cond = F.col("_n") >= F.lit(max(2, int(share * total)))
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return [tuple(r[c] for c in cols) for r in sample.filter(cond).orderBy(F.desc("_n")).limit(int(1 / share)).collect()]
+
+
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -43,6 +66,7 @@ def lookup_join(
     on: Sequence[tuple[Column | str, str]],
     how: str = "left",
     limit: int | None = None,
+    salt_hot_keys: bool = True,
 ) -> DataFrame:
     """Join ``fact`` to a dimension-like side on ``fact_expr == dim_col`` pairs.
 
@@ -50,8 +74,9 @@ def lookup_join(
     (J2: a normalised key is not re-derived per comparison). The dimension is
     broadcast only when its estimated size is under the limit; otherwise it
     is a shuffle join in which NULL fact keys (which cannot match) carry a
-    salt so they spread over partitions, and AQE's skew-join split handles
-    hot non-NULL keys.
+    salt so they spread over partitions, and hot non-NULL keys (found in a
+    sample) are salted too, their dimension rows replicated once per salt.
+    AQE's skew-join split remains on for whatever the sample misses.
     """
     names = [f"_sw_k{i}" for i in range(len(on))]
     dnames = [f"_sw_dk{i}" for i in range(len(on))]
@@ -65,10 +90,26 @@ def lookup_join(
         any_null = any_null | F.col(n).isNull()
     hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
     row_hash = F.xxhash64(*[F.col(c) for c in hashable]) if hashable else F.lit(0)
+    hot = hot_keys(f, names) if salt_hot_keys else []
+    if hot:
+        f_key = F.struct(*[F.col(n) for n in names])
+        d_key = F.struct(*[F.col(n) for n in dnames])
+        as_struct = [F.struct(*[F.lit(v).alias(n) for v, n in zip(k, names)]) for k in hot]
+        d_struct = [F.struct(*[F.lit(v).alias(n) for v, n in zip(k, dnames)]) for k in hot]
+        f_hot, d_hot = f_key.isin(as_struct), d_key.isin(d_struct)
+    else:
+        f_hot = d_hot = F.lit(False)
     f = f.withColumn(
-        "_sw_fsalt", F.when(any_null, F.lit(1) + F.pmod(row_hash, F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
+        "_sw_fsalt",
+        F.when(any_null, F.lit(1) + F.pmod(row_hash, F.lit(NULL_KEY_SALTS)))
+        .when(f_hot, F.lit(1) + F.pmod(row_hash, F.lit(HOT_KEY_SALTS)))
+        .otherwise(F.lit(0)),
+    )
+    # dimension rows of hot keys are replicated once per salt value (bounded: few keys x salts)
+    d = d.withColumn(
+        "_sw_dsalt",
+        F.explode(F.when(d_hot, F.sequence(F.lit(1), F.lit(HOT_KEY_SALTS))).otherwise(F.array(F.lit(0)))),
     )
-    d = d.withColumn("_sw_dsalt", F.lit(0))
     cond = [F.col(n) == F.col(dn) for n, dn in zip(names, dnames)] + [F.col("_sw_fsalt") == F.col("_sw_dsalt")]
     return f.join(d, cond, how).drop(*names, *dnames, "_sw_fsalt", "_sw_dsalt")
 

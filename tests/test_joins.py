@@ -54,3 +54,16 @@ def test_null_safe_anti(spark):
     df = spark.createDataFrame([(None,), ("a",), ("b",)], "k string")
     ex = spark.createDataFrame([(None,), ("a",)], "k string")
     assert rows(joins.null_safe_anti(df, ex, ["k"])) == [("b",)]
+
+
+def test_shuffle_join_salts_hot_key(spark):
+    # one key holds a third of the fact rows; the dimension is forced to the shuffle path
+    hot = spark.range(0, 30000).select(F.lit(7).alias("k"), F.col("id").alias("rid"))
+    cold = spark.range(0, 60000).select((F.col("id") % 5000 + 100).alias("k"), F.col("id").alias("rid"))
+    fact = hot.unionByName(cold)
+    dim = spark.range(0, 6000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("tk"))
+    assert (7,) in joins.hot_keys(fact, ["k"], fraction=0.05)
+    salted = joins.lookup_join(fact, dim, [(F.col("k"), "k")], limit=0)
+    plain = joins.lookup_join(fact, dim, [(F.col("k"), "k")], limit=1 << 40)
+    assert salted.count() == 90000
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
