@@ -128,7 +128,8 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
         o = order_split(spark, d).select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "is_test"
         )
-        ln = lookup_join(table(spark, d, "lineitem"), o, [(F.col("l_orderkey"), "o_orderkey")], how="inner")
+        li = table(spark, d, "lineitem").select(*LINE_KEY, "l_quantity", "l_returnflag", "l_shipdate")
+        ln = lookup_join(li, o, [(F.col("l_orderkey"), "o_orderkey")], how="inner")
         c = customers(spark, d).select("c_custkey", "c_name", "c_mktsegment", "n_name")
         ln = lookup_join(ln, c, [(F.col("o_custkey"), "c_custkey")], how="inner")
         p = table(spark, d, "part").select("p_partkey", "p_type", "p_size", "p_brand", "p_retailprice")
