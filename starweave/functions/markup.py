@@ -1,0 +1,80 @@
+"""Balanced-element extraction for nested markup (H1 when cards nest tags).
+
+A regular expression cannot match a ``<div class="card">`` whose body holds
+further ``<div>``s, so this is the one place that needs Python: an
+Arrow-batched pandas UDF running the standard library's ``html.parser``
+returns the outer HTML of every element with the given tag and class token.
+Everything after it (anchors, text strings, labels) stays JVM-side.
+"""
+
+from __future__ import annotations
+
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+
+class _Collector(HTMLParser):
+    def __init__(self, text: str, tag: str, cls: str | None):
+        super().__init__(convert_charrefs=False)
+        self.text, self.tag, self.cls = text, tag, cls
+        self.offsets = [0]
+        for line in text.splitlines(keepends=True):
+            self.offsets.append(self.offsets[-1] + len(line))
+        self.depth = 0  # open elements of ``tag`` inside the current match
+        self.start = None
+        self.found: list[str] = []
+
+    def _pos(self) -> int:
+        line, col = self.getpos()
+        return self.offsets[line - 1] + col
+
+    def _matches(self, tag, attrs) -> bool:
+        if tag != self.tag:
+            return False
+        if self.cls is None:
+            return True
+        classes = dict(attrs).get("class") or ""
+        return self.cls in classes.split()
+
+    def handle_starttag(self, tag, attrs):
+        if tag in VOID:
+            return
+        if self.start is None:
+            if self._matches(tag, attrs):
+                self.start, self.depth = self._pos(), 1
+        elif tag == self.tag:
+            self.depth += 1
+
+    def handle_endtag(self, tag):
+        if self.start is None or tag != self.tag:
+            return
+        self.depth -= 1
+        if self.depth == 0:
+            end = self.text.find(">", self._pos()) + 1
+            self.found.append(self.text[self.start:end])
+            self.start = None
+
+
+def elements(html: str | None, tag: str, cls: str | None) -> list[str] | None:
+    if html is None:
+        return None
+    p = _Collector(html, tag, cls)
+    p.feed(html)
+    p.close()
+    return p.found
+
+
+def element_html(col, tag: str, cls: str | None = None) -> Column:
+    """Array of the outer HTML of each ``tag`` element with class token ``cls``."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def _extract(s: pd.Series) -> pd.Series:
+        return s.map(lambda h: elements(h, tag, cls))
+
+    return _extract(F.col(col) if isinstance(col, str) else col)

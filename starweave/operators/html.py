@@ -17,17 +17,25 @@ from starweave.functions.text import first_matching, html_text_nodes, strip_ws,
 ANCHOR = r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
 
 
-def card_fragments(pages: DataFrame, card_pattern: str, id_col: str = "page_id") -> DataFrame:
-    """One row per repeated element (H1): (page id, position, card html)."""
-    return pages.select(
-        F.col(id_col),
-        F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(card_pattern), 1)).alias("card_pos", "card"),
-    )
+def card_fragments(pages: DataFrame, card_pattern, id_col: str = "page_id") -> DataFrame:
+    """One row per repeated element (H1): (page id, position, card html).
+
+    ``card_pattern`` is a regex with one group (flat cards, JVM-side) or a
+    ``(tag, class)`` pair for cards that nest the same tag (balanced
+    matching by ``functions.markup.element_html``).
+    """
+    if isinstance(card_pattern, tuple):
+        from starweave.functions.markup import element_html
+
+        found = element_html("html", card_pattern[0], card_pattern[1])
+    else:
+        found = F.regexp_extract_all(F.col("html"), F.lit(card_pattern), 1)
+    return pages.select(F.col(id_col), F.posexplode(found).alias("card_pos", "card"))
 
 
 def extract_cards(
     pages: DataFrame,
-    card_pattern: str,
+    card_pattern,
     base_url: str,
     labels: Mapping[str, str],
     id_col: str = "page_id",

@@ -31,3 +31,15 @@ def test_extract_cards(spark):
 def test_pages_until_first_empty(spark):
     out = html.pages_until_empty(_pages(spark), CARD, min_cards=1)
     assert sorted(r.page_id for r in out.collect()) == [0, 1]
+
+
+def test_nested_cards_balanced(spark):
+    page = ('<div class="views-row featured"><div class="t"><a href="/a">A</a></div>'
+            '<div class="m"><span>Incident Period: 1</span></div></div>'
+            '<div class="other"><a href="/x">X</a></div>'
+            '<div class="views-row"><div><div><a href="/b">B</a></div></div><p>declared 2</p></div>')
+    pages = spark.createDataFrame([(0, "u", page)], "page_id long, url string, html string")
+    out = html.extract_cards(pages, ("div", "views-row"), "https://x.example",
+                             {"Incident Period": "Incident Period:", "Declaration Date": "declared"})
+    got = [tuple(r) for r in out.orderBy("card_pos").select("Title", "Link", "Incident Period", "Declaration Date").collect()]
+    assert got == [("A", "https://x.example/a", "Incident Period: 1", ""), ("B", "https://x.example/b", "", "declared 2")]
