@@ -4,19 +4,21 @@ pandas ``sample(frac, random_state)`` takes exactly round(frac * n) rows.
 ``df.sample``/``randomSplit`` are only approximate, so rows are ordered by a
 60-bit md5 of (seed, row key) and the first k are the sample. Nothing is
 sorted globally: the k-th smallest (hash, key) is found with a few narrow
-histogram passes over the key column (each pass keeps one bucket of 2^16),
-and every row is then flagged by comparing against that threshold tuple - a
-plain filter, no shuffle of the data being split.
+histogram passes over the key column (each pass keeps one bucket of 2^16;
+the first also counts the rows), and every row is then flagged by comparing
+against that threshold tuple - a plain filter, no shuffle of the data being
+split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starweave.functions.hashing import hash60
+from starweave.operators.keys import is_small
 from starweave.sources.files import materialize
 
 HASH_BITS = 60
@@ -37,24 +39,48 @@ def _le_tuple(cols: Sequence[Column], values: Sequence) -> Column:
     return out
 
 
-def kth_smallest(hk: DataFrame, k: int, key: Sequence[str], n: int | None = None) -> tuple:
-    """The k-th smallest (_sw_h, *key) tuple of ``hk`` (1-based), by refinement."""
+def _histogram(hk: DataFrame, cond: Column, shift: int) -> list[tuple[int, int]]:
+    """(bucket, rows) of ``_sw_h >> shift`` among rows matching ``cond``.
+
+    At most 2^LEVEL_BITS rows: a bounded aggregate, collected to the driver.
+    """
+    rows = (
+        hk.filter(cond)
+        .groupBy(F.shiftright("_sw_h", shift).alias("_b"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .collect()
+    )
+    return sorted((r["_b"], r["_n"]) for r in rows)
+
+
+def _locate(hist: list[tuple[int, int]], k: int) -> tuple[int, int, int]:
+    """Bucket holding the k-th row, its size, and k within it."""
+    before = 0
+    for bucket, n in hist:
+        if before + n >= k:
+            return bucket, n, k - before
+        before += n
+    raise ValueError("k exceeds the histogram total")
+
+
+def kth_smallest(
+    hk: DataFrame, k: int, key: Sequence[str], n: int | None = None, first: list[tuple[int, int]] | None = None
+) -> tuple:
+    """The k-th smallest (_sw_h, *key) tuple of ``hk`` (1-based), by refinement.
+
+    ``first`` is an already computed top-level histogram (it also gave ``n``).
+    """
     cond = F.lit(True)
     shift = HASH_BITS
     remaining = hk.count() if n is None else n
+    hist = first
     while remaining > FINAL_ROWS and shift > 0:
         shift = max(shift - LEVEL_BITS, 0)
-        hist = (
-            hk.filter(cond)
-            .groupBy(F.shiftright("_sw_h", shift).alias("_b"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
-        # at most 2^16 histogram rows: a bounded single-partition running sum
-        cum = hist.withColumn("_c", F.sum("_n").over(Window.orderBy("_b")))
-        row = cum.filter(F.col("_c") >= k).orderBy("_b").select("_b", "_c", "_n").first()
-        k -= row["_c"] - row["_n"]
-        remaining = row["_n"]
-        cond = cond & (F.shiftright("_sw_h", shift) == F.lit(row["_b"]))
+        if hist is None:
+            hist = _histogram(hk, cond, shift)
+        bucket, remaining, k = _locate(hist, k)
+        cond = cond & (F.shiftright("_sw_h", shift) == F.lit(bucket))
+        hist = None
     ordered = hk.filter(cond).orderBy("_sw_h", *key).offset(k - 1).limit(1).first()
     return tuple(ordered[c] for c in ["_sw_h", *key])
 
@@ -65,16 +91,20 @@ def split_flag(df: DataFrame, key: Sequence[str], frac: float, seed, out: str =
     ``key`` must identify rows (unique, non-NULL).
     """
     hashed = df.withColumn("_sw_h", hash60(seed, *key))
-    # the refinement passes read a narrow written table (hash + key), not the source plan
-    hk = materialize(hashed.select("_sw_h", *key), "split-keys")
-    n = hk.count()
+    hk = hashed.select("_sw_h", *key)
+    if not is_small(hk):
+        # the refinement passes read a narrow written table (hash + key), not the source plan
+        hk = materialize(hk, "split-keys")
+    # the top-level histogram also counts the rows: no separate count pass
+    first = _histogram(hk, F.lit(True), HASH_BITS - LEVEL_BITS)
+    n = sum(c for _, c in first)
     k = sample_size(n, frac)
     if k <= 0:
         flag = F.lit(False)
     elif k >= n:
         flag = F.lit(True)
     else:
-        threshold = kth_smallest(hk, k, key, n)
+        threshold = kth_smallest(hk, k, key, n, first)
         flag = _le_tuple([F.col("_sw_h"), *[F.col(c) for c in key]], threshold)
     return hashed.withColumn(out, flag).drop("_sw_h")
 
