@@ -30,6 +30,9 @@ LOAD_TS = "2024-01-01 00:00:00"
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 BOOL_COLS = ["ih_program_declared", "ia_program_declared", "pa_program_declared", "hm_program_declared"]
 
+# The UNKNOWN member has surrogate key 0 and, where a text
+# default exists, the label 'UNKNOWN'; the reference's county filler
+# 'unknown' normalises to that label, so such members are dropped.
 DECLARATION = DimensionSpec(
     name="declaration_dim",
     tk="declaration_tk",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,10 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     return df
 
 
+# Rows of the last written intermediate per name, counted while writing it.
+WRITTEN_ROWS: dict[str, int] = {}
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
@@ -69,9 +74,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     from starweave.session import shared_path
 
+    from starweave.operators.metrics import observed
+
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    tagged, obs = observed(df, f"{name}-{os.urandom(4).hex()}")
+    tagged.write.mode("overwrite").parquet(path)
+    WRITTEN_ROWS[name] = obs.get.get("rows", 0)  # run check, counted during the write (A4)
     return spark.read.parquet(path)
 
 
