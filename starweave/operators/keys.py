@@ -46,14 +46,17 @@ def parse_bytes(text: str) -> int:
 
 
 def is_small(df: DataFrame) -> bool:
-    """Estimated in-memory size (~4x Catalyst's bytes) within ``SMALL_BYTES``.
+    """Estimated in-memory size (~4x Catalyst's bytes) within ``SMALL_BYTES``
+    (or the session setting ``spark.starweave.smallBytes``).
 
     Catalyst's estimate is exact for scans of written tables and an upper
     bound through filters, projections, aggregates, windows and joins.
     """
     from starweave.operators.joins import estimated_bytes
 
-    return 4 * estimated_bytes(df) <= SMALL_BYTES
+    conf = df.sparkSession.conf.get("spark.starweave.smallBytes", None)
+    limit = parse_bytes(conf) if conf else SMALL_BYTES
+    return 4 * estimated_bytes(df) <= limit
 
 
 def range_partitions(df: DataFrame, allow_single: bool = True) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import sys
 import time
 from pathlib import Path
@@ -21,6 +22,11 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     spark = local_session()
+    # STARWEAVE_CONF="k=v,k=v" forces code paths, e.g. the cluster-scale ones:
+    # spark.starweave.broadcastBytes=0,spark.starweave.smallBytes=0,spark.sql.shuffle.partitions=17
+    for item in filter(None, os.environ.get("STARWEAVE_CONF", "").split(",")):
+        k, v = item.split("=", 1)
+        spark.conf.set(k.strip(), v.strip())
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
