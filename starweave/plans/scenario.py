@@ -77,7 +77,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 # Written intermediates of the current session, by (session, data dir, name):
 # the split orders and the flat line table play the role of the reference's
 # 80 %/20 % files, produced once and read by every later step.
-_STORED: dict[tuple[int, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _app(spark: SparkSession) -> str:
+    """Key of the running application (a new session after ``stop()`` gets a new one)."""
+    return spark.sparkContext.applicationId
 
 
 SOURCE_TABLES = ("orders-split", "customers", "lines")
@@ -106,7 +111,7 @@ def run_concurrently(tasks: dict, workers: int = 4) -> dict:
 
 def stored(spark: SparkSession, d: str, name: str, build) -> DataFrame:
     """Build, write once per session and data dir, and read back."""
-    key = (id(spark), d, name)
+    key = (_app(spark), d, name)
     if key not in _STORED:
         _STORED[key] = materialize(build(), name)
     return _STORED[key]
