@@ -48,9 +48,9 @@ def main() -> None:
     spark.conf.set("spark.starweave.broadcastBytes", "0")
     section(
         "Surrogate keys by range numbering (dense_number), dimension forced to the range path",
-        "Dedup (hash exchange, WindowGroupLimit Partial first), the deduplicated members written, then one "
+        "The deduplicated members were written first (the dedup plan is shown below); numbering them is one "
         "range exchange whose per-partition size branch reads it as a ReusedExchange; the only "
-        "single-partition exchange carries one row per partition.",
+        "single-partition exchange carries one row per partition; the UNKNOWN member is a one-row Range.",
         S.dim_declaration(spark, d),
     )
     dims = S.written_dims(spark, d)
