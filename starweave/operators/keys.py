@@ -121,9 +121,10 @@ def dense_number(
     exchange samples its input in a separate pass, which would otherwise
     recompute the whole upstream plan.
 
-    Rows must be unique over all columns once ``tie`` is included (give a row id
-    as ``tie`` when identical rows may occur); the remaining columns are added
-    as trailing sort keys so the range exchange is shared by both branches.
+    Identical rows get consecutive numbers (which one gets which cannot be
+    told apart). A row id as ``tie`` lets a mass of identical rows spread over
+    several range partitions instead of one. The remaining columns are added
+    as trailing sort keys, so the range exchange is shared by both branches.
     """
     lead = list(order) + [t for t in tie if t not in order]
     rest = [c for c in df.columns if c not in lead]
