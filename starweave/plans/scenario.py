@@ -20,7 +20,7 @@ from starweave.operators.clean import cast_bool_columns, duration_fallback
 from starweave.operators.joins import denormalize, lookup_join
 from starweave.operators.split import split_flag
 from starweave.plans.dimensions import DimensionSpec, build_dimension
-from starweave.plans.facts import KeyLookup, build_fact, stage_fact
+from starweave.plans.facts import KeyLookup, build_fact, resolve_keys, stage_fact
 from starweave.sources.files import materialize, read_parquet
 
 # Seed and size of the 80:20 split (seeded sample of 20 %).
@@ -334,3 +334,8 @@ def fact_lookups(spark: SparkSession, d: str) -> list[KeyLookup]:
 
 def fact(spark: SparkSession, d: str) -> DataFrame:
     return build_fact(staging(spark, d, with_row_id=True), fact_lookups(spark, d), ["deaths"], "disaster_fact_tk", LINE_KEY)
+
+
+def fact_rows(spark: SparkSession, d: str) -> DataFrame:
+    """FK-resolved fact rows without the fact's own surrogate key (for roll-ups)."""
+    return resolve_keys(staging(spark, d), fact_lookups(spark, d), ["deaths"])
