@@ -43,6 +43,13 @@ def _estimated(df: DataFrame) -> int:
     return estimated_bytes(df)
 
 
+def _scan_partitions(df: DataFrame) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
+        return 1 << 30
+
+
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """Parquet scan (column pruning and filters reach the reader).
 
@@ -53,7 +60,7 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     splits than that and is left untouched (no extra shuffle at scale).
     """
     df = spark.read.parquet(path)
-    if min_partitions and _estimated(df) > REBALANCE_BYTES and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and _estimated(df) > REBALANCE_BYTES and _scan_partitions(df) < min_partitions:
         # hash on every column: deterministic on retry and needs no local sort
         # (round-robin repartition sorts each input partition first)
         df = df.repartition(min_partitions, *[F.col(c) for c in df.columns])
