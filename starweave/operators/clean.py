@@ -43,11 +43,15 @@ def cast_bool_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def drop_null_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop rows with a NULL in any of ``cols``.
 
-    Written as ``isNotNull`` filters (not ``dropna``) so they reach the scan.
+    Written as ``isNotNull`` filters (not ``dropna``) so they reach the scan;
+    float keys also drop NaN, as pandas does.
     """
+    types = dict(df.dtypes)
     cond = F.lit(True)
     for c in cols:
         cond = cond & F.col(c).isNotNull()
+        if types.get(c) in ("float", "double"):
+            cond = cond & ~F.isnan(F.col(c))  # pandas' dropna also drops NaN
     return df.filter(cond)
 
 

@@ -95,3 +95,8 @@ def test_parse_lenient_and_strict(spark):
 def test_text_normalisation(spark):
     df = spark.createDataFrame([("  ab c ",), ("\tx\n",)], "s string")
     assert [tuple(r) for r in df.select(normalize_key("s"), strip_ws("s")).collect()] == [("AB C", "ab c"), ("\tX\n", "x")]
+
+
+def test_drop_null_keys_drops_nan_like_pandas(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c")], "k double, v string")
+    assert rows(clean.drop_null_keys(df, ["k"])) == [(1.0, "a")]
