@@ -32,3 +32,14 @@ def test_range_numbering_for_large_inputs(spark):
     assert "rangepartitioning" in plan
     single = [ln for ln in plan.splitlines() if "SinglePartition" in ln]
     assert len(single) <= 1  # only the per-partition size table
+
+
+def test_range_numbering_reads_one_shuffle(spark):
+    df = spark.range(0, 50000).select((F.col("id") * 7919 % 50000).alias("k"), (F.col("id") % 3).alias("v"))
+    out = keys.dense_number(df, ["k"], "tk", partitions=4, materialize_input=False)
+    qe = out._jdf.queryExecution()
+    qe.toRdd().count()
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    own = [ln for ln in final.splitlines() if "Exchange rangepartitioning" in ln and "ReusedExchange" not in ln]
+    assert len(own) == 1  # the other branch names it inside its ReusedExchange line
