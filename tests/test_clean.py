@@ -100,3 +100,13 @@ def test_text_normalisation(spark):
 def test_drop_null_keys_drops_nan_like_pandas(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c")], "k double, v string")
     assert rows(clean.drop_null_keys(df, ["k"])) == [(1.0, "a")]
+
+
+def test_to_date_lenient(spark):
+    from datetime import date
+
+    from starweave.functions.dates import to_date_lenient
+
+    df = spark.createDataFrame([("2020-01-02",), ("2020-01-02T03:04:05Z",), ("unknown",), (None,)], "s string")
+    got = [r[0] for r in df.select(to_date_lenient("s")).collect()]
+    assert got == [date(2020, 1, 2), date(2020, 1, 2), None, None]
