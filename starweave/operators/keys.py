@@ -45,21 +45,24 @@ def parse_bytes(text: str) -> int:
     return int(t)
 
 
-def is_small(df: DataFrame) -> bool:
+def is_small(df: DataFrame, size_hint: int | None = None) -> bool:
     """Estimated in-memory size (~4x Catalyst's bytes) within ``SMALL_BYTES``
     (or the session setting ``spark.starweave.smallBytes``).
 
     Catalyst's estimate is exact for scans of written tables and an upper
     bound through filters, projections, aggregates, windows and joins.
+    ``size_hint`` replaces it when the caller knows a tighter bound (e.g. the
+    input of left joins to unique-key sides, which add no rows).
     """
     from starweave.operators.joins import estimated_bytes
 
     conf = df.sparkSession.conf.get("spark.starweave.smallBytes", None)
     limit = parse_bytes(conf) if conf else SMALL_BYTES
-    return 4 * estimated_bytes(df) <= limit
+    size = estimated_bytes(df) if size_hint is None else size_hint
+    return 4 * size <= limit
 
 
-def range_partitions(df: DataFrame, allow_single: bool = True) -> int:
+def range_partitions(df: DataFrame, allow_single: bool = True, size_hint: int | None = None) -> int:
     """Partitions for a range exchange sized from the plan's estimated bytes.
 
     1 for a tiny input (in-memory rows, ~4x the Parquet estimate, under
@@ -72,9 +75,10 @@ def range_partitions(df: DataFrame, allow_single: bool = True) -> int:
     spark = df.sparkSession
     upper = shuffle_partitions(df)
     advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    if allow_single and is_small(df):
+    if allow_single and is_small(df, size_hint):
         return 1
-    wanted = -(-4 * estimated_bytes(df) // max(advisory, 1))
+    size = estimated_bytes(df) if size_hint is None else size_hint
+    wanted = -(-4 * size // max(advisory, 1))
     lower = min(upper, spark.sparkContext.defaultParallelism)
     return int(max(lower, min(upper, wanted)))
 
@@ -113,6 +117,7 @@ def dense_number(
     partitions: int | None = None,
     materialize_input: bool = True,
     allow_single: bool = True,
+    size_hint: int | None = None,
 ) -> DataFrame:
     """``row_number() over (order by order..., tie...)`` (ascending, NULLs first), as bigint.
 
@@ -129,7 +134,7 @@ def dense_number(
     lead = list(order) + [t for t in tie if t not in order]
     rest = [c for c in df.columns if c not in lead]
     sort_cols = [F.col(c).asc_nulls_first() for c in lead + rest]
-    n_parts = partitions or range_partitions(df, allow_single)
+    n_parts = partitions or range_partitions(df, allow_single, size_hint)
     if n_parts > 1 and materialize_input and _is_computed(df):
         from starweave.sources.files import materialize
 

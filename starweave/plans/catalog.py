@@ -14,7 +14,7 @@ from starweave.functions.dates import ISO_Z, date_text, elapsed_days, elapsed_se
 from starweave.functions.hashing import hash_mod
 from starweave.functions.text import first_matching, html_text_nodes, normalize_key, strip_ws
 from starweave.operators import clean, constraints, history, html, keys, metrics
-from starweave.operators.joins import first_match_ids, lookup_join
+from starweave.operators.joins import estimated_bytes, first_match_ids, lookup_join
 from starweave.operators.split import exact_split
 from starweave.plans import scenario as S
 from starweave.plans.cleaning import CleanConfig, clean_declarations
@@ -394,7 +394,9 @@ def normalize_declarations(spark, d):
     )
     linked = link_declarations(decl, disasters, states)
     order = ["declaration_request_number", "disaster_fk", "state_fk", "declaration_title", "declaration_type", "declaration_date"]
-    return keys.dense_number(linked.select(*order), order, "id").select(
+    # left joins to unique-key id tables add no rows: the declarations bound the size
+    hint = estimated_bytes(decl)
+    return keys.dense_number(linked.select(*order), order, "id", size_hint=hint).select(
         "id", "declaration_title", "declaration_type", "declaration_date", "declaration_request_number", "disaster_fk", "state_fk"
     )
 
