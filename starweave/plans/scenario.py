@@ -69,9 +69,11 @@ STAGING_COLS = [
 ]
 
 
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A driver table, read with at least one partition per core."""
-    return read_parquet(spark, f"{d}/{name}.parquet", min_partitions=spark.sparkContext.defaultParallelism)
+def table(spark: SparkSession, d: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A driver table (optionally only ``columns``), read with at least one partition per core."""
+    return read_parquet(
+        spark, f"{d}/{name}.parquet", min_partitions=spark.sparkContext.defaultParallelism, columns=columns
+    )
 
 
 # Written intermediates of the current session, by (session, data dir, name):
@@ -136,7 +138,7 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
         o = order_split(spark, d).select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "is_test"
         )
-        li = table(spark, d, "lineitem").select(*LINE_KEY, "l_quantity", "l_returnflag", "l_shipdate")
+        li = table(spark, d, "lineitem", [*LINE_KEY, "l_quantity", "l_returnflag", "l_shipdate"])
         ln = lookup_join(li, o, [(F.col("l_orderkey"), "o_orderkey")], how="inner")
         c = customers(spark, d).select("c_custkey", "c_name", "c_mktsegment", "n_name")
         ln = lookup_join(ln, c, [(F.col("o_custkey"), "c_custkey")], how="inner")

@@ -50,7 +50,9 @@ def _scan_partitions(df: DataFrame) -> int:
         return 1 << 30
 
 
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path: str, min_partitions: int | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Parquet scan (column pruning and filters reach the reader).
 
     A Parquet row group is the smallest split, so a small table stored as one
@@ -60,6 +62,10 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     splits than that and is left untouched (no extra shuffle at scale).
     """
     df = spark.read.parquet(path)
+    if columns:
+        # project before any rebalancing: the rebalance hashes the columns it
+        # keeps, and nothing below it could be pruned afterwards
+        df = df.select(*columns)
     if min_partitions and _estimated(df) > REBALANCE_BYTES and _scan_partitions(df) < min_partitions:
         # hash on every column: deterministic on retry and needs no local sort
         # (round-robin repartition sorts each input partition first)
