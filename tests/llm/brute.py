@@ -1,0 +1,73 @@
+"""Plain Python versions of the contracts, written apart from the operators."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+
+import xxhash
+
+NO_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+UP = {c: c + 32 for c in range(65, 91)}
+SECRETS = {
+    "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 8),
+    "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
+    "hex": (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 32),
+}
+
+
+def crc(doc_id) -> int:
+    return zlib.crc32(str(doc_id).encode())
+
+
+def contamination(docs, items):
+    grams = {}
+    for it in items:
+        w = NO_WORD.findall((it["text"] or "").translate(UP))
+        n = min(10, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            grams.setdefault(tuple(w[i : i + n]), set()).add(str(it["item_id"]))
+    out = []
+    for d in docs:
+        w = NO_WORD.findall((d["text"] or "").translate(UP))
+        hit, ids = set(), set()
+        for n in {len(g) for g in grams}:
+            for i in range(len(w) - n + 1):
+                if (g := tuple(w[i : i + n])) in grams:
+                    hit |= set(range(i, i + n))
+                    ids |= grams[g]
+        out.append((d["doc_id"], len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
+    return out
+
+
+def simhash(text) -> int:
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UP))
+    grams = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []
+    hs = [xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def components(codes: dict) -> dict:
+    """doc_id -> smallest doc_id reachable over links of at most 3 bits."""
+    ids, up = list(codes), {i: i for i in codes}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            if (codes[i] ^ codes[j]).bit_count() <= 3:
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    return {i: root(i) for i in ids}
+
+
+def base_secrets(text):
+    return sorted((m.start(), k, m.end()) for k, (name, (rx, ok)) in enumerate(SECRETS.items()) for m in rx.finditer(text or "") if ok(m))
+
+
+def secret_digest(found):
+    return hashlib.sha256(",".join(f"{list(SECRETS)[k]}:{s}:{e}" for s, k, e in found).encode()).hexdigest()
