@@ -51,6 +51,17 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def pieces(text: str, size: int = 1 << 20):
+    """The whole text in parts of at most ``size`` characters, cut behind white space where there is any."""
+    at = 0
+    while len(text) - at > size:
+        end = max(text.rfind(" ", at, at + size), text.rfind("\n", at, at + size)) + 1
+        end = end if end > at else at + size
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor`` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, remainder, save, texts, unused
+from starweave.llm.common import add_columns, pieces, remainder, texts, unused
 
 DIMS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -45,24 +45,23 @@ def _fold() -> np.ndarray:
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     """(feature numbers, counts) of a whole text; None if it has no letter."""
-    if not text:
-        return None
-    codes = _fold()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-    space = codes == 32
-    if space.all():
-        return None
-    keep = ~space
-    keep[1:] |= ~space[:-1]
-    codes = np.concatenate(([32], codes[keep], [32])).astype(np.uint32)
     counts = np.zeros(DIMS, dtype=np.int64)
-    for n in ORDERS:
-        if len(codes) < n:
+    for part in pieces(text) if text else ():
+        codes = _fold()[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+        space = codes == 32
+        if space.all():
             continue
-        h = np.full(len(codes) - n + 1, n * 40503, dtype=np.uint32)
-        for k in range(n):
-            h = (h ^ codes[k : len(codes) - n + 1 + k]) * np.uint32(_MULTIPLIERS[k])
-            h ^= h >> np.uint32(15)
-        counts += np.bincount(h & np.uint32(DIMS - 1), minlength=DIMS)
+        keep = ~space
+        keep[1:] |= ~space[:-1]
+        codes = np.concatenate(([32], codes[keep], [32])).astype(np.uint32)
+        for n in ORDERS:
+            h = np.full(len(codes) - n + 1, n * 40503, dtype=np.uint32)
+            for k in range(n):
+                h = (h ^ codes[k : len(codes) - n + 1 + k]) * np.uint32(_MULTIPLIERS[k])
+                h ^= h >> np.uint32(15)
+            counts += np.bincount(h & np.uint32(DIMS - 1), minlength=DIMS)
+    if not counts.any():
+        return None
     at = np.flatnonzero(counts)
     return at, counts[at]
 
