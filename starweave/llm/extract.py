@@ -28,7 +28,7 @@ from starweave.llm.common import add_columns
 
 SAMPLE_PAGES = 1000
 # Weights of features that no labelled page shows.
-WORD, LINK_WORD, TAG = 1.0, 0.2, -0.5
+WORD, LINK_WORD, MARKED_WORD, TAG = 1.0, 0.2, 2.0, -0.5
 LEAST, MOST_WORD, MOST_TAG = 0.1, 3.0, 12.0
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +41,7 @@ _CLASSES = frozenset(
     "form header menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promoted promotion recommended related replies "
     "reply share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription toolbar warning widget widgets".split()
 )
+_BOUNDS = frozenset(f"tag {n}" for n in _CONTENT)
 _COMMENTS = frozenset("comment comments reply replies disqus".split())
 _STATES = frozenset("has no with without open is".split())  # class names like has-sidebar tell about the page, not the element
 _BLOCKS = frozenset(
@@ -150,10 +151,11 @@ def text_of(page: str | None, learned: dict) -> str:
     total, start, best, first, last = 0.0, 0, 0.0, 0, 0
     for i, (feature, words, _, _, _) in enumerate(seq):
         if feature.startswith("word"):
-            total += words * learned.get(feature, LINK_WORD if " a " in feature else WORD)
+            unseen = LINK_WORD if " a " in feature else MARKED_WORD if feature.startswith("word in") else WORD
+            total += words * learned.get(feature, unseen)
         elif feature:
-            total += learned.get(feature, TAG)
-        if total > best:
+            total += learned.get(feature, -MOST_TAG if feature in _BOUNDS else TAG)
+        if total > 0 and total >= best:
             best, first, last = total, start, i + 1
         if total < 0:
             total, start = 0.0, i + 1

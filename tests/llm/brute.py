@@ -71,3 +71,37 @@ def base_secrets(text):
 
 def secret_digest(found):
     return hashlib.sha256(",".join(f"{list(SECRETS)[k]}:{s}:{e}" for s, k, e in found).encode()).hexdigest()
+
+
+def without_repeats(texts, length=200):
+    """(bytes left, removed, runs) of each text, by a table of all strings of ``length`` bytes."""
+    data = [(t or "").encode() for t in texts]
+    seen = {}
+    for i, d in enumerate(data):
+        for p in range(len(d) - length + 1):
+            seen[d[p : p + length]] = seen.get(d[p : p + length], 0) + 1
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for p in range(len(d) - length + 1):
+            if seen[d[p : p + length]] > 1:
+                gone[p : p + length] = b"\x01" * length
+        runs = len(re.findall(b"\x01+", bytes(gone)))
+        out.append((bytes(b for b, g in zip(d, gone) if not g), sum(gone), runs))
+    return out
+
+
+def top_k(rows, every=50, k=5):
+    import math
+
+    v = {}
+    for r in rows:
+        e = r["embedding"]
+        if r["vec_id"] is not None and e is not None and all(x is not None and math.isfinite(x) for x in e):
+            v[r["vec_id"]] = [math.floor(256 * x) for x in e]
+    out = []
+    for q in v:
+        if q % every == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v[q], v[c])), c) for c in v if c != q and len(v[c]) == len(v[q]))
+            out += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scores[:k])]
+    return sorted(out)

@@ -1,0 +1,79 @@
+import hashlib
+import random
+
+import brute
+import numpy as np
+import pytest
+
+from starweave.llm import suffix_dedup as S
+from starweave.llm.common import table
+
+
+def check(rows, docs):
+    want = {}
+    for (i, t), (left, removed, runs) in zip(docs, brute.without_repeats([t for _, t in docs])):
+        want.setdefault(i, []).append((len((t or "").encode()), removed, runs, hashlib.sha256(left).hexdigest()))
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def noise(rnd, n):
+    return "".join(rnd.choice("abcdefgh é") for _ in range(n))
+
+
+def planted(seed):
+    rnd = random.Random(seed)
+    shared = [noise(rnd, n) for n in (150, 199, 200, 201, 260, 420, 900)]
+    docs = [noise(rnd, rnd.randint(0, 900)) for _ in range(25)]
+    for i in range(40):  # passages in other surroundings, cut at either end, twice in one text
+        a, b = rnd.choice(shared), rnd.choice(shared)
+        cut = rnd.randint(0, 60)
+        docs.append(noise(rnd, rnd.randint(0, 300)) + a[cut:] + noise(rnd, rnd.randint(0, 40)) + b[: len(b) - cut] + noise(rnd, rnd.randint(0, 100)))
+    base = noise(rnd, 1500)
+    for _ in range(12):  # near copies
+        x = list(base)
+        for p in rnd.sample(range(len(x)), rnd.randint(0, 5)):
+            x[p] = "#"
+        docs.append("".join(x))
+    docs += [base, base, noise(rnd, 100), None, "", "a" * 199, "a" * 200, "b" * 201, "xyz" * 300, "yzx" * 100, "q" * 5000]
+    return [(i, t) for i, t in enumerate(docs)] + [(3, docs[3]), (None, docs[30])]
+
+
+@pytest.mark.parametrize("seed,hot,batch", [(1, 16384, 8192), (2, 3, 64), (3, 0, 1), (4, 40, 7)])
+def test_planted_repeats_equal_brute_force(spark, make_docs, monkeypatch, seed, hot, batch):
+    monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "BATCH", batch)
+    docs = planted(seed)
+    rows = S.query(make_docs(docs).selectExpr("*", "1 AS key", "2 AS rank", "3 AS spans").repartition(5)).collect()
+    check(rows, docs)
+
+
+def test_small_table_equals_brute_force(spark, rows_of):
+    docs = [(d["doc_id"], d["text"]) for d in rows_of("documents")]
+    rows = S.query(table(spark, "/root/testdata/sf0.001", "documents")).collect()
+    check(rows, docs)
+    assert any(0 < r.n_removed < r.n_bytes for r in rows)
+
+
+def test_empty_table_and_one_row(spark, make_docs):
+    assert S.query(make_docs([])).collect() == []
+    check(S.query(make_docs([(1, "w " * 4000)])).collect(), [(1, "w " * 4000)])
+
+
+def test_anchors_follow_the_content():
+    rnd = np.random.default_rng(5)
+    same = rnd.integers(0, 255, 600, dtype=np.uint8).tobytes()
+    a, b = rnd.bytes(777) + same + rnd.bytes(100), rnd.bytes(31) + same
+    inside = lambda d, at: {x - at for x in S.anchors(d).tolist() if at + S.SPAN <= x < at + 600 - S.SPAN - S.GRAM}
+    assert inside(a, 777) == inside(b, 31) != set()
+    starts = S.anchors(a)
+    assert np.diff(starts).max() <= S.SPAN
+
+
+def test_long_texts_are_scanned_in_parts(monkeypatch):
+    data = np.random.default_rng(6).bytes(20000)
+    want = S.anchors(data)
+    monkeypatch.setattr(S, "_CHUNK", 1000)
+    assert S.anchors(data).tolist() == want.tolist()

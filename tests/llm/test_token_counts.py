@@ -1,0 +1,85 @@
+from collections import Counter
+
+import pytest
+
+from starweave.llm import token_counts as C
+from starweave.llm.common import table
+from starweave.session import shared_path
+
+CHANGES = "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long"
+
+
+def want(docs):
+    out = Counter()
+    first = {}
+    for d in sorted(docs, key=lambda d: (d["doc_id"] is not None, d["doc_id"])):
+        t = d["text"]
+        if t is None or t not in first:
+            first[t] = 1
+            for name, n in ((C.WORDS, len((t or "").encode().split())), (C.PIECES, -(-len((t or "").encode()) // 4))):
+                key = (d["source"], d["lang"], name)
+                out[key, "docs"] += 1
+                out[key, "tokens"] += n
+    return sorted(((*k, out[k, "docs"], out[k, "tokens"]) for k, kind in out if kind == "docs"), key=str)
+
+
+def test_whole_table(spark, rows_of):
+    got = sorted((tuple(r) for r in C.query(table(spark, "/root/testdata/sf0.01", "documents")).collect()), key=str)
+    assert got == want(rows_of("documents", "/root/testdata/sf0.01"))
+
+
+def test_edges(spark, make_docs):
+    rows = [(1, "a  b\tc", "en", "s"), (2, None, None, None), (3, "", "en", "s"), (4, "a  b\tc", "de", "t"), (None, "é x", "en", "s"), (5, None, None, None), (6, "w " * 100000, "en", "s"), (7, "w " * 100000, "en", "u")]
+    docs = make_docs(rows).selectExpr("*", "1 AS row", "2 AS words", "3 AS digest")
+    got = sorted((tuple(r) for r in C.query(docs).collect()), key=str)
+    assert got == want([{"doc_id": i, "text": t, "lang": lang, "source": s} for i, t, lang, s in rows])
+    assert C.query(make_docs([])).collect() == []
+    assert [tuple(r)[3:] for r in C.query(make_docs([(1, "a b"), (1, "a b")])).collect()] in ([(1, 2), (1, 1)], [(1, 1), (1, 2)])
+
+
+@pytest.fixture
+def store(spark):
+    return C.RollupStore(spark, shared_path(spark, "rollup-test"))
+
+
+def changes(spark, *rows):
+    return spark.createDataFrame([(op, "s", "en", "t", new, old) for op, new, old in rows], CHANGES)
+
+
+def test_signed_changes_add_up_and_empty_keys_go(spark, store):
+    assert store.totals().collect() == []
+    assert store.commit("a", changes(spark, ("insert", 5, None), ("insert", 7, None)))
+    assert store.commit("b", changes(spark, ("revise", 6, 5), ("delete", None, 7)))
+    assert [tuple(r)[3:] for r in store.totals().collect()] == [(1, 6)]
+    assert store.commit("c", changes(spark, ("delete", None, 6)))
+    assert store.totals().collect() == []
+
+
+def test_a_batch_counts_once(spark, store):
+    batch = changes(spark, ("insert", 5, None))
+    assert store.commit("a", batch) and not store.commit("a", batch)
+    assert [tuple(r)[3:] for r in store.totals().collect()] == [(1, 5)]
+    with pytest.raises(ValueError):
+        store.commit("a", changes(spark, ("insert", 6, None)))
+
+
+def test_work_of_a_lost_driver_does_not_count(spark, store):
+    store.commit("a", changes(spark, ("insert", 5, None)))
+    # sums written, commit row not
+    C.signed(changes(spark, ("insert", 9, None))).selectExpr("*", "'b' AS batch_id", "'zz' AS attempt").write.mode("append").parquet(f"{store.path}/deltas")
+    assert [tuple(r)[3:] for r in store.totals().collect()] == [(1, 5)]
+    store.commit("b", changes(spark, ("insert", 9, None)))
+    assert [tuple(r)[3:] for r in store.totals().collect()] == [(2, 14)]
+
+
+def test_of_two_writers_one_counts(spark, store):
+    store.commit("a", changes(spark, ("insert", 5, None)))
+    row = store.commits().first()
+    C.signed(changes(spark, ("insert", 5, None))).selectExpr("*", "'a' AS batch_id", "'!' AS attempt").write.mode("append").parquet(f"{store.path}/deltas")
+    spark.createDataFrame([("a", "!", row["checksum"])], C._COMMITS).write.mode("append").parquet(f"{store.path}/commits")
+    assert [tuple(r)[3:] for r in store.totals().collect()] == [(1, 5)]
+
+
+def test_unknown_changes_fail(spark, store):
+    with pytest.raises(Exception, match="unknown change"):
+        store.commit("a", changes(spark, ("upsert", 5, None)))
