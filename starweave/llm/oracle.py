@@ -1,5 +1,63 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express; the others are tested against plain Python."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_SPACE_WORD = r"'[^\x20\x09-\x0D]+'"
+_BENCH_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op2_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op4_token_counts": f"""
+WITH d AS (
+  SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), {_SPACE_WORD})) AS words,
+         CAST(ceil(octet_length(encode(coalesce(text, ''))) / 4.0) AS BIGINT) AS pieces,
+         text IS NULL OR row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS FIRST) = 1 AS stays
+  FROM documents
+), c AS (
+  SELECT source, lang, 'words-2' AS tokenizer, words AS n FROM d WHERE stays
+  UNION ALL SELECT source, lang, 'pieces-1', pieces FROM d WHERE stays
+)
+SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM c GROUP BY ALL
+""",
+    "op6_decontamination": f"""
+WITH i AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, {_BENCH_WORD}) AS w FROM benchmark
+), g AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(w), 10) AS n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS gram
+  FROM i, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(p) WHERE len(w) > 0
+), d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER}, {_BENCH_WORD}) AS w FROM documents
+), k AS (
+  SELECT DISTINCT n FROM g
+), s AS (
+  SELECT row, n, p, array_to_string(w[p : p + n - 1], ' ') AS gram
+  FROM d, k, unnest(range(1, len(w) - n + 2)) AS t(p) WHERE len(w) >= n
+), h AS (
+  SELECT s.row, s.p, s.n, g.item FROM s JOIN g ON s.gram = g.gram AND s.n = g.n
+), covered AS (
+  SELECT row, count(DISTINCT x) AS n_hit FROM h, unnest(range(p, p + n)) AS t(x) GROUP BY row
+), named AS (
+  SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
+""",
+}
