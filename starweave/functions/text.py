@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The HTML character references decoded in extracted text, in the
-# order they are replaced (``&amp;`` last so ``&amp;lt;`` stays ``&lt;``).
-HTML_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
-
 # Python's str.strip() whitespace (ASCII + NBSP + common Unicode spaces).
 _WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+# A character reference behind its ampersand.
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
 # Script/style bodies and comments carry no text (no backreferences, so the
 # same pattern runs in any regex engine).
 NON_TEXT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -41,11 +33,25 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_c(c), rf"^{_WS}+|{_WS}+$", "")
 
 
+def _reference(name: Column) -> Column:
+    """The character of a reference without ``&`` and ``;``: #8217, #x2019 or a name; NULL if there is none."""
+    code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2))).cast("int")
+    code = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    named = F.create_map(*[F.lit(x) for n, c in sorted(name2codepoint.items()) for x in (n, chr(c))])
+    return F.when(name.startswith("#"), char).otherwise(F.try_element_at(named, name))
+
+
 def unescape_html(c) -> Column:
-    out = _c(c)
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decodes numeric and named (HTML 4) character references, once: ``&amp;lt;`` becomes ``&lt;``."""
+
+    def piece(p: Column) -> Column:
+        name = F.regexp_extract(p, REFERENCE, 1)
+        return F.coalesce(F.concat(_reference(name), F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p))
+
+    pieces = F.split(_c(c), "&")
+    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), piece), ""))
+    return F.when(F.instr(_c(c), "&") > 0, decoded).otherwise(_c(c))
 
 
 def html_text_nodes(c) -> Column:

@@ -8,8 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starweave.operators.joins import lookup_join
+from starweave.operators.joins import fits_broadcast, hot_keys, lookup_join
 from starweave.operators.keys import dense_number, ntz_literal
+from starweave.sources.files import materialize
 
 
 def scd2_merge(
@@ -23,6 +24,8 @@ def scd2_merge(
 ) -> DataFrame:
     """Type-2 merge of ``incoming`` (one row per natural key) into a dimension.
 
+    Raises if a key comes in twice, since its successor would be ambiguous.
+
     Open rows whose attributes changed (NULL-safe compare) are closed at
     ``load_ts`` and get a successor with version + 1; new keys enter with
     version 1; new rows take keys after the current maximum, in natural-key
@@ -35,7 +38,11 @@ def scd2_merge(
     inc = incoming.select(*[F.col(c).alias(f"_in_{c}") for c in [*keys, *attrs]]).withColumn("_in", F.lit(True))
 
     cond = [open_rows[k].eqNullSafe(inc[f"_in_{k}"]) for k in keys]
-    j = open_rows.join(inc, cond, "full_outer")
+    # written once: closed rows and successors read the same join result
+    j = materialize(open_rows.join(inc, cond, "full_outer"), "scd2-join")
+    twice = j.filter(F.col("_in")).groupBy(*[f"_in_{k}" for k in keys]).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"incoming rows repeat a natural key: {tuple(twice)[:-1]}")
     same = F.lit(True)
     for a in attrs:
         same = same & F.col(a).eqNullSafe(F.col(f"_in_{a}"))
@@ -91,20 +98,19 @@ def rollup_fact(
 ) -> DataFrame:
     """Roll the fact up by dimension attributes.
 
-    The fact is first aggregated by its foreign keys (map-side partial sums,
-    a hot key is just one partial row per task); only then are the
-    attribute columns attached and the ROLLUP computed over the much smaller
-    pre-aggregate. ``dims`` = [(dim, tk, [(name, expr over dim)])].
+    The attributes are joined to the fact (broadcast where the dimension was
+    measured to fit), the levels are aggregated with partial sums in every
+    task, and only that small result is expanded by the ROLLUP.
+    ``dims`` = [(dim, tk, [(name, expr over dim)])].
     """
-    fks = [tk for _, tk, _ in dims]
-    pre = fact.groupBy(*fks).agg(
-        *[F.sum(m).alias(m) for m in sums], F.count(F.lit(1)).alias(count_name)
-    )
-    out = pre
+    shuffled = {tk: [F.col(tk)] for dim, tk, _ in dims if not fits_broadcast(dim)}
+    hot = hot_keys(fact, shuffled)
+    out = fact
     for dim, tk, attrs in dims:
         side = dim.select(F.col(tk).alias("_sw_tk"), *[expr.alias(name) for name, expr in attrs])
-        out = lookup_join(out, side, [(F.col(tk), "_sw_tk")])
-    return out.rollup(*levels).agg(
+        out = lookup_join(out, side, [(F.col(tk), "_sw_tk")], broadcast=tk not in shuffled, hot=hot.get(tk))
+    base = out.groupBy(*levels).agg(*[F.sum(m).alias(m) for m in sums], F.count(F.lit(1)).alias(count_name))
+    return base.rollup(*levels).agg(
         *[F.sum(m).alias(m) for m in sums],
         F.sum(count_name).alias(count_name),
         F.grouping_id().alias("grouping_level"),

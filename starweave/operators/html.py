@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starweave.functions.text import first_matching, html_text_nodes, strip_ws, unescape_html
 
-ANCHOR = r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
+# An anchor's address (with its quotes, if any) and its content.
+ANCHOR = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
+QUOTES = r"""^["']|["']$"""
 
 
 def card_fragments(pages: DataFrame, card_pattern, id_col: str = "page_id") -> DataFrame:
@@ -52,17 +54,23 @@ def extract_cards(
     texts = html_text_nodes(F.col("card"))
     out = {
         "Title": strip_ws(unescape_html(F.regexp_replace(F.col("_sw_atext"), r"<[^>]*>", ""))),
-        "Link": F.concat(F.lit(base_url), unescape_html(F.col("_sw_href"))),
+        "Link": F.concat(F.lit(base_url), unescape_html(F.regexp_replace("_sw_href", QUOTES, ""))),
     }
     for name, needle in labels.items():
         out[name] = strip_ws(first_matching(texts, needle))
     return with_anchor.select(F.col(id_col), F.col("card_pos"), *[v.alias(k) for k, v in out.items()])
 
 
+def _one_group(card_pattern) -> Column:
+    if not isinstance(card_pattern, str):
+        raise TypeError("counting cards needs a regular expression with one group, not a (tag, class) pair")
+    return F.lit(card_pattern)
+
+
 def card_counts(pages: DataFrame, card_pattern: str, id_col: str = "page_id") -> DataFrame:
     """Number of cards per page (0 for a page without cards)."""
     return pages.select(
-        F.col(id_col), F.size(F.regexp_extract_all(F.col("html"), F.lit(card_pattern), 1)).alias("n_cards")
+        F.col(id_col), F.size(F.regexp_extract_all(F.col("html"), _one_group(card_pattern), 1)).alias("n_cards")
     )
 
 
@@ -76,3 +84,12 @@ def pages_until_empty(
     counts = card_counts(pages, card_pattern, id_col)
     first_empty = counts.filter(F.col("n_cards") < min_cards).agg(F.min(id_col)).scalar()
     return counts.filter(first_empty.isNull() | (F.col(id_col) < first_empty))
+
+
+def listing_cards(
+    pages: DataFrame, card_pattern: str, base_url: str, labels: Mapping[str, str], id_col: str = "page_id"
+) -> DataFrame:
+    """The listing job as a whole (D10): the cards of all pages before the first one without any."""
+    first_empty = card_counts(pages, card_pattern, id_col).filter(F.col("n_cards") == 0).agg(F.min(id_col)).scalar()
+    read = pages.filter(first_empty.isNull() | (F.col(id_col) < first_empty))
+    return extract_cards(read, card_pattern, base_url, labels, id_col)

@@ -1,12 +1,13 @@
-"""Key-resolving joins (J1-J9) with size-checked broadcast and skew-safe fallbacks."""
+"""Key-resolving joins (J1-J9): broadcast by measured size, salted shuffle joins otherwise."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from starweave.sources.files import measured
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows whose join key is NULL can never match; they are spread over this many
@@ -20,40 +21,54 @@ HOT_KEY_SALTS = 32
 HOT_SAMPLE_FRACTION = 0.001
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (no job is run)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # pragma: no cover - estimate unavailable
-        return 1 << 62
-
-
 def broadcast_limit(df: DataFrame) -> int:
     conf = df.sparkSession.conf.get("spark.starweave.broadcastBytes", None)
     return int(conf) if conf else DEFAULT_BROADCAST_BYTES
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True when the side's estimated size is under the broadcast limit."""
-    return estimated_bytes(df) <= (limit if limit is not None else broadcast_limit(df))
+def fits_broadcast(side: DataFrame, limit: int | None = None) -> bool:
+    """True if ``side`` was measured while it was written and is under the broadcast limit.
+
+    A side that wasn't measured is not forced either way: Spark's own threshold
+    and the sizes that adaptive execution sees decide.
+    """
+    known = measured(side)
+    return known is not None and known[1] <= (limit if limit is not None else broadcast_limit(side))
 
 
-def hot_keys(df: DataFrame, cols: Sequence[str], share: float = HOT_SHARE,
-             fraction: float = HOT_SAMPLE_FRACTION, seed: int = 17) -> list[tuple]:
-    """Keys with at least ``share`` of a seeded sample of ``df`` (at most 1/share keys).
+def hot_keys(
+    df: DataFrame, keys: Mapping[str, Sequence[Column | str]], share: float = HOT_SHARE,
+    fraction: float = HOT_SAMPLE_FRACTION, seed: int = 17,
+) -> dict[str, list[str]]:
+    """For each named key (its columns): values, as JSON, with at least ``share`` of a seeded sample of ``df``.
 
-    Used only to balance a shuffle join: a missed or extra key changes the
-    work per task, never the result.
+    One job for all keys, and at most 1/share values of each. Used only to
+    balance shuffle joins: a missed or extra value changes the work per task,
+    never the result.
     """
-    sample = df.sample(fraction=fraction, seed=seed).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    total = sample.agg(F.sum("_n")).first()[0] or 0
-    if not total:
-        return []
-    cond = F.col("_n") >= F.lit(max(2, int(share * total)))
+    if not keys:
+        return {}
+    sample = df.sample(fraction=fraction, seed=seed)
+    each = [F.struct(F.lit(name).alias("name"), key_json(cols).alias("value")) for name, cols in keys.items()]
+    exploded = sample.select(F.explode(F.array(*each)).alias("k")).where("k.value is not null").select("k.*")
+    # the subtotals of the names come with the counts; they are the largest, so the limit keeps them
+    counted = exploded.rollup("name", "value").count().where("name is not null and count > 1")
+    top = counted.orderBy(F.desc("count")).limit(len(keys) * (1 + int(1 / share))).collect()
+    total = {r["name"]: r["count"] for r in top if r["value"] is None}
+    out: dict[str, list[str]] = {name: [] for name in keys}
+    for r in top:
+        if r["value"] is not None and r["count"] >= share * total[r["name"]]:
+            out[r["name"]].append(r["value"])
+    return out
+
+
+def key_json(cols: Sequence[Column | str]) -> Column:
+    """The key as text; NULL if any part is."""
+    cols = [_as_col(c) for c in cols]
+    known = F.lit(True)
     for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return [tuple(r[c] for c in cols) for r in sample.filter(cond).orderBy(F.desc("_n")).limit(int(1 / share)).collect()]
+        known = known & c.isNotNull()
+    return F.when(known, F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])))
 
 
 def _as_col(c) -> Column:
@@ -65,52 +80,42 @@ def lookup_join(
     dim: DataFrame,
     on: Sequence[tuple[Column | str, str]],
     how: str = "left",
-    limit: int | None = None,
-    salt_hot_keys: bool = True,
+    broadcast: bool | None = None,
+    hot: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``fact`` to a dimension-like side on ``fact_expr == dim_col`` pairs.
 
     The fact-side key expressions are computed once into helper columns
-    (J2: a normalised key is not re-derived per comparison). The dimension is
-    broadcast only when its estimated size is under the limit; otherwise it
-    is a shuffle join in which NULL fact keys (which cannot match) carry a
-    salt so they spread over partitions, and hot non-NULL keys (found in a
-    sample) are salted too, their dimension rows replicated once per salt.
-    AQE's skew-join split remains on for whatever the sample misses.
+    (J2: a normalised key is not re-derived per comparison). ``broadcast``
+    says that the side was measured and fits (default: ask ``dim`` itself).
+    Otherwise NULL fact keys (which cannot match) carry a salt so they spread
+    over partitions, and so do the rows of ``hot`` keys (see ``hot_keys``), whose
+    dimension rows are replicated once per salt. Salts come from the row's place
+    in its partition, so identical rows spread too. AQE's skew-join split remains
+    on for the rest.
     """
     names = [f"_sw_k{i}" for i in range(len(on))]
     dnames = [f"_sw_dk{i}" for i in range(len(on))]
     f = fact.withColumns({n: _as_col(expr) for n, (expr, _) in zip(names, on)})
     d = dim.withColumnsRenamed({dc: dn for (_, dc), dn in zip(on, dnames)})
-    if fits_broadcast(dim, limit):
-        cond = [F.col(n) == F.col(dn) for n, dn in zip(names, dnames)]
+    cond = [F.col(n) == F.col(dn) for n, dn in zip(names, dnames)]
+    if fits_broadcast(dim) if broadcast is None else broadcast:
         return f.join(F.broadcast(d), cond, how).drop(*names, *dnames)
+    if how == "inner" and not hot:
+        return f.join(d, cond, how).drop(*names, *dnames)
     any_null = F.lit(False)
     for n in names:
         any_null = any_null | F.col(n).isNull()
-    hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable]) if hashable else F.lit(0)
-    hot = hot_keys(f, names) if salt_hot_keys else []
+    place = F.xxhash64(F.monotonically_increasing_id())
+    salt = F.when(any_null, F.lit(1) + F.pmod(place, F.lit(NULL_KEY_SALTS)))
+    copies = F.array(F.lit(0).cast("bigint"))
     if hot:
-        f_key = F.struct(*[F.col(n) for n in names])
-        d_key = F.struct(*[F.col(n) for n in dnames])
-        as_struct = [F.struct(*[F.lit(v).alias(n) for v, n in zip(k, names)]) for k in hot]
-        d_struct = [F.struct(*[F.lit(v).alias(n) for v, n in zip(k, dnames)]) for k in hot]
-        f_hot, d_hot = f_key.isin(as_struct), d_key.isin(d_struct)
-    else:
-        f_hot = d_hot = F.lit(False)
-    f = f.withColumn(
-        "_sw_fsalt",
-        F.when(any_null, F.lit(1) + F.pmod(row_hash, F.lit(NULL_KEY_SALTS)))
-        .when(f_hot, F.lit(1) + F.pmod(row_hash, F.lit(HOT_KEY_SALTS)))
-        .otherwise(F.lit(0)),
-    )
-    # dimension rows of hot keys are replicated once per salt value (bounded: few keys x salts)
-    d = d.withColumn(
-        "_sw_dsalt",
-        F.explode(F.when(d_hot, F.sequence(F.lit(1), F.lit(HOT_KEY_SALTS))).otherwise(F.array(F.lit(0)))),
-    )
-    cond = [F.col(n) == F.col(dn) for n, dn in zip(names, dnames)] + [F.col("_sw_fsalt") == F.col("_sw_dsalt")]
+        salt = salt.when(key_json(names).isin(list(hot)), F.lit(1) + F.pmod(place, F.lit(HOT_KEY_SALTS)))
+        # dimension rows of hot keys are replicated once per salt value (bounded: few keys x salts)
+        copies = F.when(key_json(dnames).isin(list(hot)), F.sequence(F.lit(1).cast("bigint"), F.lit(HOT_KEY_SALTS).cast("bigint"))).otherwise(copies)
+    f = f.withColumn("_sw_fsalt", salt.otherwise(F.lit(0)).cast("bigint"))
+    d = d.withColumn("_sw_dsalt", F.explode(copies))
+    cond.append(F.col("_sw_fsalt") == F.col("_sw_dsalt"))
     return f.join(d, cond, how).drop(*names, *dnames, "_sw_fsalt", "_sw_dsalt")
 
 
@@ -135,11 +140,11 @@ def first_match_lookup(
 ) -> DataFrame:
     """Per row: id of the first ``table`` row whose ``match_col`` equals ``value``, else NULL."""
     ids = first_match_ids(table, match_col, id_col, out)
-    return lookup_join(df, ids, [(_as_col(value), "_sw_mv")])
+    return lookup_join(df, ids, [(_as_col(value), "_sw_mv")], broadcast=fits_broadcast(table))
 
 
 def null_safe_anti(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` with no ``existing`` row on ``keys`` (NULL matches NULL)."""
     ex = existing.select(*[F.col(k).alias(f"_sw_e_{k}") for k in keys])
     cond = [df[k].eqNullSafe(ex[f"_sw_e_{k}"]) for k in keys]
-    return df.join(F.broadcast(ex) if fits_broadcast(ex) else ex, cond, "left_anti")
+    return df.join(F.broadcast(ex) if fits_broadcast(existing) else ex, cond, "left_anti")

@@ -2,12 +2,10 @@
 
 ``dense_number`` is the scalable form of ``row_number() over (order by ...)``:
 the reference's global window sends every row to one task. Here rows are
-range-partitioned on the full ordering (Spark samples the bounds), sorted
-inside each partition, numbered locally with ``monotonically_increasing_id``
-(partition index in the high bits, position in the low 33 bits), and shifted by
-the running total of the partition sizes. The partition-size table has one row
-per shuffle partition, so broadcasting it is bounded by construction, and the
-count branch reuses the same range exchange (one shuffle in total).
+range-partitioned on the full ordering, sorted and numbered inside each
+partition, and written once with their partition and place. The sizes of the
+partitions are then read from those same files, so the running totals that
+shift the places cannot disagree with the rows, whatever the plan does.
 """
 
 from __future__ import annotations
@@ -20,22 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOW_BITS = (1 << 33) - 1
-# Inputs below this (estimated in-memory bytes, one advisory partition) are
-# numbered in one sorted partition and never written first.
-SMALL_BYTES = 64 << 20
-# Logical operators whose result is worth writing before a range partitioning
-# samples it (the sampling pass would otherwise recompute them).
-_COMPUTED = ("Join", "Aggregate", "Window", "Union", "Generate", "Expand", "Sort", "WindowGroupLimit")
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def parse_bytes(text: str) -> int:
     """'67108864b', '64m', '1g' -> bytes (Spark size-string convention)."""
     t = str(text).strip().lower().rstrip("b")
@@ -45,42 +33,10 @@ def parse_bytes(text: str) -> int:
     return int(t)
 
 
-def is_small(df: DataFrame, size_hint: int | None = None) -> bool:
-    """Estimated in-memory size (~4x Catalyst's bytes) within ``SMALL_BYTES``
-    (or the session setting ``spark.starweave.smallBytes``).
-
-    Catalyst's estimate is exact for scans of written tables and an upper
-    bound through filters, projections, aggregates, windows and joins.
-    ``size_hint`` replaces it when the caller knows a tighter bound (e.g. the
-    input of left joins to unique-key sides, which add no rows).
-    """
-    from starweave.operators.joins import estimated_bytes
-
-    conf = df.sparkSession.conf.get("spark.starweave.smallBytes", None)
-    limit = parse_bytes(conf) if conf else SMALL_BYTES
-    size = estimated_bytes(df) if size_hint is None else size_hint
-    return 4 * size <= limit
-
-
-def range_partitions(df: DataFrame, allow_single: bool = True, size_hint: int | None = None) -> int:
-    """Partitions for a range exchange sized from the plan's estimated bytes.
-
-    1 for a tiny input (in-memory rows, ~4x the Parquet estimate, under
-    ``SMALL_BYTES``); otherwise about one advisory partition size each,
-    between one per core and ``spark.sql.shuffle.partitions``. The explicit
-    count keeps AQE from merging ranges, so it is sized up front.
-    """
-    from starweave.operators.joins import estimated_bytes
-
-    spark = df.sparkSession
-    upper = shuffle_partitions(df)
+def range_partitions(spark, size: int) -> int:
+    """Ranges of about one advisory partition size each, for ``size`` measured bytes."""
     advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    if allow_single and is_small(df, size_hint):
-        return 1
-    size = estimated_bytes(df) if size_hint is None else size_hint
-    wanted = -(-4 * size // max(advisory, 1))
-    lower = min(upper, spark.sparkContext.defaultParallelism)
-    return int(max(lower, min(upper, wanted)))
+    return max(1, -(-size // max(advisory, 1)))
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -115,58 +71,47 @@ def dense_number(
     start: int = 1,
     tie: Sequence[str] = (),
     partitions: int | None = None,
-    materialize_input: bool = True,
-    allow_single: bool = True,
-    size_hint: int | None = None,
 ) -> DataFrame:
     """``row_number() over (order by order..., tie...)`` (ascending, NULLs first), as bigint.
 
-    On the range path an input computed by joins/aggregates/windows is first
-    written to the shared folder (``materialize_input``): the range
-    exchange samples its input in a separate pass, which would otherwise
-    recompute the whole upstream plan.
+    The input is written first unless it is a written intermediate already: the
+    range exchange samples it in a separate pass, and its measured bytes give
+    the number of ranges (``partitions`` overrides it). An input of at most one
+    advisory partition is one range and needs no offsets.
 
     Identical rows get consecutive numbers (which one gets which cannot be
     told apart). A row id as ``tie`` lets a mass of identical rows spread over
     several range partitions instead of one. The remaining columns are added
-    as trailing sort keys, so the range exchange is shared by both branches.
+    as trailing sort keys, so equal inputs are numbered alike.
     """
+    from starweave.sources.files import materialize, measured
+
+    spark = df.sparkSession
     lead = list(order) + [t for t in tie if t not in order]
     rest = [c for c in df.columns if c not in lead]
     sort_cols = [F.col(c).asc_nulls_first() for c in lead + rest]
-    n_parts = partitions or range_partitions(df, allow_single, size_hint)
-    if n_parts > 1 and materialize_input and _is_computed(df):
-        from starweave.sources.files import materialize
-
+    if measured(df) is None:
         df = materialize(df, "numbering-input")
+    n_parts = partitions or range_partitions(spark, measured(df)[1])
     if n_parts == 1:
-        # bounded input (fits one advisory partition): a single sorted
-        # partition is what the range exchange would produce anyway
         w = Window.orderBy(*sort_cols)
         return df.withColumn(out, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
 
+    # monotonically_increasing_id: partition in the high bits, place in the low 33
     ranged = (
         df.repartitionByRange(n_parts, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_sw_id", F.monotonically_increasing_id())
-        .withColumn("_sw_part", F.shiftright("_sw_id", 33))
+        .withColumns({"_sw_part": F.shiftright("_sw_id", 33), "_sw_place": F.col("_sw_id").bitwiseAND(F.lit(_LOW_BITS))})
     )
-    sizes = ranged.groupBy("_sw_part").agg(F.count(F.lit(1)).alias("_sw_n"))
+    placed = materialize(ranged.drop("_sw_id"), "numbered")
+    # one row per range: broadcasting and ordering them is bounded by their number
+    sizes = placed.groupBy("_sw_part").agg((F.max("_sw_place") + 1).alias("_sw_n"))
     before = Window.orderBy("_sw_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_sw_part", F.coalesce(F.sum("_sw_n").over(before), F.lit(0)).alias("_sw_off"))
-    numbered = ranged.join(F.broadcast(offsets), "_sw_part").withColumn(
-        out,
-        (F.col("_sw_off") + F.col("_sw_id").bitwiseAND(F.lit(_LOW_BITS)) + F.lit(start)).cast("bigint"),
-    )
-    return numbered.drop("_sw_id", "_sw_part", "_sw_off")
-
-
-def _is_computed(df: DataFrame) -> bool:
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # plan not inspectable (e.g. Spark Connect): assume computed
-        return True
-    return any(line.lstrip(" :+-").startswith(_COMPUTED) for line in plan.splitlines())
+    numbered = placed.join(F.broadcast(offsets), "_sw_part")
+    numbered = numbered.withColumn(out, (F.col("_sw_off") + F.col("_sw_place") + F.lit(start)).cast("bigint"))
+    return numbered.drop("_sw_part", "_sw_place", "_sw_off")
 
 
 def global_number(df: DataFrame, order: Sequence[str], out: str, start: int = 1) -> DataFrame:
@@ -180,15 +125,6 @@ def surrogate_key(df: DataFrame, natural_key: Sequence[str], out: str, start: in
     return dense_number(df, natural_key, out, start=start)
 
 
-def next_identity(existing: DataFrame, new_rows: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:
-    """Autoincrement identity for appended rows: max(existing id) + dense number (K2).
-
-    The current maximum is one scalar (a single aggregate row), read once.
-    """
-    base = existing.agg(F.max(id_col)).first()[0] or 0
-    return dense_number(new_rows, order, id_col, start=int(base) + 1)
-
-
 def ntz_literal(ts: datetime | str) -> Column:
     text = ts.isoformat(sep=" ") if isinstance(ts, datetime) else str(ts)
     return F.to_timestamp_ntz(F.lit(text))

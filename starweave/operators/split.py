@@ -5,7 +5,7 @@ pandas ``sample(frac, random_state)`` takes exactly round(frac * n) rows.
 60-bit md5 of (seed, row key) and the first k are the sample. Nothing is
 sorted globally: the k-th smallest (hash, key) is found with a few narrow
 histogram passes over the key column (each pass keeps one bucket of 2^16;
-the first also counts the rows), and every row is then flagged by comparing
+rows are counted while the table is written), and every row is then flagged by comparing
 against that threshold tuple - a plain filter, no shuffle of the data being
 split.
 """
@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starweave.functions.hashing import hash60
-from starweave.operators.keys import is_small
-from starweave.sources.files import materialize
+from starweave.sources.files import materialize, measured
 
 HASH_BITS = 60
 LEVEL_BITS = 16
@@ -31,12 +30,14 @@ def sample_size(n: int, frac: float) -> int:
     return int(round(n * frac))
 
 
-def _le_tuple(cols: Sequence[Column], values: Sequence) -> Column:
-    """Lexicographic ``tuple(cols) <= tuple(values)`` for non-NULL columns."""
-    out = cols[-1] <= F.lit(values[-1])
-    for c, v in zip(reversed(cols[:-1]), reversed(values[:-1])):
-        out = (c < F.lit(v)) | ((c == F.lit(v)) & out)
-    return out
+def _tuple(cols: Sequence[str]) -> Column:
+    """(hash, key) as one value: compared part by part, NULL first and equal to NULL."""
+    return F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(cols)])
+
+
+def _literal(hk: DataFrame, cols: Sequence[str], values: Sequence) -> Column:
+    types = {f.name: f.dataType for f in hk.schema.fields}
+    return F.struct(*[F.lit(v).cast(types[c]).alias(f"p{i}") for i, (c, v) in enumerate(zip(cols, values))])
 
 
 def _histogram(hk: DataFrame, cond: Column, shift: int) -> list[tuple[int, int]]:
@@ -63,24 +64,17 @@ def _locate(hist: list[tuple[int, int]], k: int) -> tuple[int, int, int]:
     raise ValueError("k exceeds the histogram total")
 
 
-def kth_smallest(
-    hk: DataFrame, k: int, key: Sequence[str], n: int | None = None, first: list[tuple[int, int]] | None = None
-) -> tuple:
-    """The k-th smallest (_sw_h, *key) tuple of ``hk`` (1-based), by refinement.
-
-    ``first`` is an already computed top-level histogram (it also gave ``n``).
-    """
+def kth_smallest(hk: DataFrame, k: int, key: Sequence[str], n: int | None = None) -> tuple:
+    """The k-th smallest (_sw_h, *key) tuple of ``hk`` (1-based), by refinement."""
     cond = F.lit(True)
     shift = HASH_BITS
     remaining = hk.count() if n is None else n
-    hist = first
     while remaining > FINAL_ROWS and shift > 0:
         shift = max(shift - LEVEL_BITS, 0)
-        if hist is None:
-            hist = _histogram(hk, cond, shift)
-        bucket, remaining, k = _locate(hist, k)
+        bucket, remaining, k = _locate(_histogram(hk, cond, shift), k)
         cond = cond & (F.shiftright("_sw_h", shift) == F.lit(bucket))
-        hist = None
+    if remaining > FINAL_ROWS:
+        raise ValueError(f"{remaining} rows share one hash: the key does not identify rows")
     ordered = hk.filter(cond).orderBy("_sw_h", *key).offset(k - 1).limit(1).first()
     return tuple(ordered[c] for c in ["_sw_h", *key])
 
@@ -88,24 +82,26 @@ def kth_smallest(
 def split_flag(df: DataFrame, key: Sequence[str], frac: float, seed, out: str = "is_test") -> DataFrame:
     """Flag exactly round(frac * n) rows (smallest seeded hash) as the sample.
 
-    ``key`` must identify rows (unique, non-NULL).
+    NULL is a key value like any other. Raises if the key does not identify
+    the rows at the threshold, since no exact split of equal keys is repeatable.
     """
+    cols = ["_sw_h", *key]
     hashed = df.withColumn("_sw_h", hash60(seed, *key))
-    hk = hashed.select("_sw_h", *key)
-    if not is_small(hk):
-        # the refinement passes read a narrow written table (hash + key), not the source plan
-        hk = materialize(hk, "split-keys")
-    # the top-level histogram also counts the rows: no separate count pass
-    first = _histogram(hk, F.lit(True), HASH_BITS - LEVEL_BITS)
-    n = sum(c for _, c in first)
+    # the passes read a narrow written table (hash + key), not the source plan
+    hk = materialize(hashed.select(*cols), "split-keys")
+    n = measured(hk)[0]
     k = sample_size(n, frac)
     if k <= 0:
         flag = F.lit(False)
     elif k >= n:
         flag = F.lit(True)
     else:
-        threshold = kth_smallest(hk, k, key, n, first)
-        flag = _le_tuple([F.col("_sw_h"), *[F.col(c) for c in key]], threshold)
+        threshold = kth_smallest(hk, k, key, n)
+        below = _tuple(cols) <= _literal(hk, cols, threshold)
+        taken = hk.filter(below).count()
+        if taken != k:
+            raise ValueError(f"{taken} rows reach the threshold instead of {k}: the key {list(key)} is not unique")
+        flag = below
     return hashed.withColumn(out, flag).drop("_sw_h")
 
 

@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from starweave.functions.dates import ISO_Z, date_text, elapsed_days, elapsed_seconds, parse_ts
 from starweave.functions.hashing import hash_mod
 from starweave.functions.text import first_matching, html_text_nodes, normalize_key, strip_ws
-from starweave.operators import clean, constraints, history, html, keys, metrics
-from starweave.operators.joins import estimated_bytes, first_match_ids, lookup_join
+from starweave.operators import clean, constraints, history, html, joins, keys, metrics
 from starweave.operators.split import exact_split
 from starweave.plans import scenario as S
+from starweave.plans import warehouse as W
 from starweave.plans.cleaning import CleanConfig, clean_declarations
 from starweave.plans.dimensions import DimensionSpec, build_dimension, dedup_sources, union_sources
 from starweave.plans.facts import resolve_keys
-from starweave.plans.normalize import append_entities, bridge, insert_if_absent, link_declarations
+from starweave.plans.normalize import append_entities, bridge, insert_if_absent
 from starweave.session import shared_path
 from starweave.sources import files, jdbc
 from starweave.sources.files import materialize
@@ -37,7 +37,7 @@ BASE_URL = "https://listing.example"
 
 # The output column names of a listing card and the text each
 # labelled field is picked by (as on the listing pages being extracted).
-CARD_LABELS = {"Incident Period": "Incident Period:", "Declaration Date": "declared"}
+CARD_LABELS = {"Incident Period": "Incident Period:", "Declaration Date": "Major Disaster Declaration declared"}
 
 
 # ------------------------------------------------------------- sources / sinks
@@ -148,8 +148,7 @@ def head_n(spark, d):
 def row_counts(spark, d):
     out = None
     for name in ["orders", "customer", "lineitem"]:
-        # a count needs no columns and no rebalancing
-        s = metrics.shape(spark.read.parquet(f"{d}/{name}.parquet"), name)
+        s = metrics.shape(T(spark, d, name), name)
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -297,7 +296,7 @@ def dim_generic(spark, d):
 
 
 def denormalize_fk(spark, d):
-    return S.staging_db_side(spark, d).select(*S.STAGING_COLS)
+    return S.denormalized_db_side(spark, d).select(*S.STAGING_COLS)
 
 
 def staging_fact(spark, d):
@@ -306,18 +305,18 @@ def staging_fact(spark, d):
 
 def join_normalized_key(spark, d):
     st = S.staging(spark, d)
-    out = resolve_keys(st, [S.fact_lookups(spark, d)[0]], ["country_name"])
+    out = resolve_keys(st, S.fact_lookups(spark, d, "state_dim"), ["country_name"])
     return out
 
 
 def fact_key_lookup(spark, d):
     st = S.staging(spark, d)
-    return resolve_keys(st, [S.fact_lookups(spark, d)[1]], ["declaration_request_number", "disaster_number"])
+    return resolve_keys(st, S.fact_lookups(spark, d, "disaster_dim"), ["declaration_request_number", "disaster_number"])
 
 
 def join_composite_key(spark, d):
     st = S.staging(spark, d)
-    return resolve_keys(st, [S.fact_lookups(spark, d)[3]], ["incident_begin_date", "incident_end_date"])
+    return resolve_keys(st, S.fact_lookups(spark, d, "incident_datesdim"), ["incident_begin_date", "incident_end_date"])
 
 
 def fact_unknown_member(spark, d):
@@ -335,30 +334,8 @@ def fact_build(spark, d):
 # ------------------------------------------------------------- normalisation
 
 
-def _flat80(spark, d):
-    ln = S.lines(spark, d).filter(~F.col("is_test"))
-    return ln.select(
-        F.col("n_name").alias("state"),
-        F.col("c_name").alias("country_name"),
-        F.col("l_partkey").alias("disaster_number"),
-        F.col("p_type").alias("incident_type"),
-        F.to_date("o_orderdate").alias("incident_begin_date"),
-        F.to_date("l_shipdate").alias("incident_end_date"),
-        S.line_duration().alias("incident_duration"),
-        (F.pmod("p_size", F.lit(2)) == 1).alias("ih_program_declared"),
-        (F.col("p_size") > 25).alias("ia_program_declared"),
-        (F.col("p_retailprice") > 1500).alias("pa_program_declared"),
-        (F.col("p_brand") == "Brand#1").alias("hm_program_declared"),
-        F.col("l_quantity").cast("int").alias("deaths"),
-        F.col("o_orderpriority").alias("declaration_title"),
-        F.col("o_orderstatus").alias("declaration_type"),
-        F.to_date("o_orderdate").alias("declaration_date"),
-        F.col("l_orderkey").alias("declaration_request_number"),
-    )
-
-
-DISASTER_COLS = ["disaster_number", "incident_type", "incident_begin_date", "incident_end_date", "incident_duration",
-                 *S.BOOL_COLS, "deaths"]
+_flat80 = W.flat80
+DISASTER_COLS = W.DISASTER_COLS
 
 
 def _states(spark, d):
@@ -388,25 +365,14 @@ def _entities(spark, d):
 
 
 def normalize_declarations(spark, d):
-    flat = _flat80(spark, d)
     disasters, states = _entities(spark, d)
-    decl = keys.distinct_rows(
-        flat, ["declaration_title", "declaration_type", "declaration_date", "declaration_request_number", "country_name", "disaster_number"]
-    )
-    linked = link_declarations(decl, disasters, states)
-    order = ["declaration_request_number", "disaster_fk", "state_fk", "declaration_title", "declaration_type", "declaration_date"]
-    # left joins to unique-key id tables add no rows: the declarations bound the size
-    hint = estimated_bytes(decl)
-    return keys.dense_number(linked.select(*order), order, "id", size_hint=hint).select(
-        "id", "declaration_title", "declaration_type", "declaration_date", "declaration_request_number", "disaster_fk", "state_fk"
-    )
+    return W.declarations(_flat80(spark, d), disasters, states, keep_unmatched=False)
 
 
 def first_match_lookup(spark, d):
     flat = _flat80(spark, d)
     decl = keys.distinct_rows(flat, ["declaration_request_number", "incident_type"])
-    ids = first_match_ids(_disasters(spark, d), "incident_type", "id", "disaster_fk")
-    return lookup_join(decl, ids, [(F.col("incident_type"), "_sw_mv")])
+    return joins.first_match_lookup(decl, "incident_type", _disasters(spark, d), "incident_type", "id", "disaster_fk")
 
 
 def insert_if_absent_q(spark, d):
@@ -420,6 +386,14 @@ def bridge_table(spark, d):
     return bridge(flat, disasters, "disaster_number", states, "country_name")
 
 
+def denormalize_unmatched(spark, d):
+    return W.denormalized(spark, d)
+
+
+def fact_from_entities(spark, d):
+    return W.fact(spark, d)
+
+
 # ------------------------------------------------------------- constraints
 
 
@@ -458,6 +432,38 @@ def pages_until_empty(spark, d):
     return html.pages_until_empty(T(spark, d, "pages"), CARD, min_cards=6)
 
 
+def listing_pages(spark, d):
+    """Listing pages made from orders, twenty to a page: cards with every style of
+    quoting and of character reference, then an empty page, then older pages that
+    the job must not reach."""
+    o = T(spark, d, "orders", ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate"])
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    href = F.concat(F.lit("/orders/"), F.col("o_orderkey").cast("string"), F.lit("?a=1&amp;b=2"))
+    quoted = (
+        F.when(F.pmod("o_orderkey", F.lit(3)) == 0, F.concat(F.lit('"'), href, F.lit('"')))
+        .when(F.pmod("o_orderkey", F.lit(3)) == 1, F.concat(F.lit("'"), href, F.lit("'")))
+        .otherwise(href)
+    )
+    kind = F.when(F.col("o_orderstatus") == "P", "Emergency Declaration").otherwise("Major Disaster Declaration")
+    card = F.concat(
+        F.lit("<li><h3><a class=x href="), quoted, F.lit(">R&eacute;gion&#8217;s &#x201C;"), F.col("o_orderpriority"),
+        F.lit("&rdquo; <b>"), F.col("o_orderkey").cast("string"), F.lit("</b></a></h3><span>Incident&nbsp;Period</span><p> Incident Period: "),
+        day, F.lit(" &ndash; "), day, F.lit("</p><p>"), kind, F.lit(" declared on "), day, F.lit("</p></li>"),
+    )
+    page = F.floor(F.col("o_orderkey") / 20)
+    cards = o.select(page.alias("page_id"), F.col("o_orderkey").alias("k"), card.alias("card"))
+    made = cards.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cards"))
+    made = made.select("page_id", F.concat(F.lit("<ul>"), F.array_join(F.transform("cards", lambda c: c["card"]), "\n"), F.lit("</ul>")).alias("html"))
+    last = made.agg(F.max("page_id")).scalar()
+    empty = spark.range(1).select((last + 1).alias("page_id"), F.lit("<ul></ul>").alias("html"))
+    older = made.select((last + 2 + F.col("page_id")).alias("page_id"), "html")
+    return made.unionByName(empty).unionByName(older)
+
+
+def listing_cards(spark, d):
+    return html.listing_cards(listing_pages(spark, d), CARD, BASE_URL, CARD_LABELS)
+
+
 # ------------------------------------------------------------- cleaning
 
 
@@ -498,6 +504,19 @@ def clean_and_split(spark, d):
     return clean_declarations(raw_declarations(spark, d), CLEAN, fips_lookup(spark, d))
 
 
+def clean_csv_files(spark, d):
+    """The two files of the cleaning step (80 % and 20 %), written as CSV and read back with all codes as text."""
+    flagged = clean_and_split(spark, d)
+    fields = [f.name for f in flagged.schema.fields if f.name != "is_test"]
+    out = None
+    for name, test in (("processed_80", False), ("processed_20", True)):
+        path = shared_path(spark, name)
+        files.write_csv(flagged.filter(F.col("is_test") == test).select(*fields), path)
+        back = files.read_csv(spark, path, schema=", ".join(f"`{c}` string" for c in fields)).withColumn("is_test", F.lit(test))
+        out = back if out is None else out.unionByName(back)
+    return clean.try_cast_columns(out, {"deaths": "int", "incident_duration": "int"})
+
+
 # ------------------------------------------------------------- history / roll-up
 
 
@@ -530,9 +549,10 @@ def scd2_history(spark, d):
 
 
 def fact_rollup(spark, d):
-    # the roll-up needs foreign keys and measures only, not the fact's own key
-    f = S.fact_rows(spark, d)
-    written = S.written_dims(spark, d)
+    # the roll-up needs three foreign keys and the measures, not the fact's own key
+    used = ("state_dim", "disaster_dim", "incident_datesdim")
+    written = S.written_dims(spark, d, *used)
+    f = resolve_keys(S.staging(spark, d), S.fact_lookups(spark, d, *used), ["deaths"])
     dims = [
         (written["state_dim"], "state_tk", [("state_name", F.col("state_name"))]),
         (written["incident_datesdim"], "incident_dates_tk", [("incident_year", F.year("incident_begin_date"))]),
@@ -591,13 +611,17 @@ QUERIES: dict[str, Query] = {
     "first_match_lookup": first_match_lookup,
     "insert_if_absent": insert_if_absent_q,
     "bridge_table": bridge_table,
+    "denormalize_unmatched": denormalize_unmatched,
+    "fact_from_entities": fact_from_entities,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_fk": check_fk,
     "html_cards": html_cards,
     "first_match_text": first_match_text,
     "pages_until_empty": pages_until_empty,
+    "listing_cards": listing_cards,
     "clean_and_split": clean_and_split,
+    "clean_csv_files": clean_csv_files,
     "scd2_merge": scd2_merge,
     "scd2_history": scd2_history,
     "fact_rollup": fact_rollup,

@@ -51,7 +51,9 @@ def clean_declarations(raw: DataFrame, cfg: CleanConfig, lookup: DataFrame | Non
     """Processed records with an exact-split flag column (``cfg.flag``)."""
     df = drop_columns(raw, [c for c in cfg.drop if c not in cfg.row_key])
     df = drop_null_keys(df, cfg.required)
-    value_cols = [c for c in df.columns if c not in cfg.row_key]
+    # the flag needs the row key only: it is set before any join, so the key table is a narrow scan
+    df = split_flag(df, list(cfg.row_key), cfg.test_fraction, cfg.seed, cfg.flag)
+    value_cols = [c for c in df.columns if c not in cfg.row_key and c != cfg.flag]
     df = fill_unknown(df, value_cols, cfg.fill_value)
     lo, hi = cfg.measure_range
     df = synthetic_int(df, cfg.measure, lo, hi, cfg.seed, cfg.row_key)
@@ -70,5 +72,4 @@ def clean_declarations(raw: DataFrame, cfg: CleanConfig, lookup: DataFrame | Non
     if lookup is not None and cfg.lookup_col:
         df = recode_lookup(df, cfg.lookup_col, lookup)
     df = df.withColumnsRenamed(dict(cfg.renames))
-    flagged = split_flag(df, list(cfg.row_key), cfg.test_fraction, cfg.seed, cfg.flag)
-    return flagged.drop(*[c for c in cfg.row_key if c in cfg.drop])
+    return df.drop(*[c for c in cfg.row_key if c in cfg.drop])

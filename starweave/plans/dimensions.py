@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweave.operators.clean import drop_null_keys
-from starweave.sources.files import materialize
 from starweave.operators.keys import (
     first_by_attributes,
-    is_small,
+    global_number,
     scd1_columns,
     surrogate_key,
     with_unknown_member,
@@ -62,21 +61,18 @@ def dedup_sources(sources: Sequence[DataFrame], spec: DimensionSpec) -> DataFram
     return first_by_attributes(staged, spec.natural_key, rank_col="_sw_src").drop("_sw_src")
 
 
-def build_dimension(
-    sources: Sequence[DataFrame], spec: DimensionSpec, load_ts: datetime | str, materialize_rows: bool = True
-) -> DataFrame:
+def build_dimension(sources: Sequence[DataFrame], spec: DimensionSpec, load_ts: datetime | str, global_window: bool = False) -> DataFrame:
     """Conformed dimension with surrogate key, SCD columns and an UNKNOWN member.
 
-    Unless they are small, the deduplicated members are written to the shared
-    folder before they are numbered (``materialize_rows``): the range
-    partitioning samples that table and the sources are scanned once.
+    The numbering writes the deduplicated members first, so the sources are
+    scanned once. ``global_window`` numbers them in a single task instead (for
+    comparison on small data only).
     """
     one = dedup_sources(sources, spec)
     if spec.reserved:
         one = without_reserved(one, spec.natural_key, spec.reserved)
-    if materialize_rows and not is_small(one):
-        one = materialize(one, spec.name)
-    keyed = surrogate_key(one, spec.natural_key, spec.tk)
+    number = global_number if global_window else surrogate_key
+    keyed = number(one, spec.natural_key, spec.tk)
     dim = scd1_columns(keyed, load_ts).select(spec.tk, *SCD_COLUMNS, *spec.columns)
     unknown = {spec.tk: 0, "version": 1, "date_from": load_ts, **spec.unknown}
     return with_unknown_member(dim, unknown)

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweave.functions.text import normalize_key
-from starweave.operators.joins import lookup_join
-from starweave.operators.keys import dense_number
-from starweave.sources.files import materialize
+from starweave.operators.joins import fits_broadcast, hot_keys, lookup_join
+from starweave.operators.keys import dense_number, global_number
 
 UNKNOWN_TK = 0
 
@@ -40,13 +39,21 @@ def resolve_keys(
     lookups: Sequence[KeyLookup],
     keep: Sequence[str],
     unknown_tk: int = UNKNOWN_TK,
+    plain_joins: bool = False,
 ) -> DataFrame:
     """Left-join every lookup; unmatched keys resolve to the UNKNOWN member.
 
     Left joins never drop a staging row; each dimension side is reduced to its
     key and tk (the natural key is unique in a built dimension, so no row is
-    duplicated either). Broadcast vs shuffle is decided per dimension by size.
+    duplicated either). A dimension is broadcast if its measured size fits; for
+    the others, one sample of the staging rows finds the hot keys of all lookups
+    (left joins to unique keys don't change them).
     """
+    shuffled = {}
+    for i, lk in enumerate(lookups):
+        if not fits_broadcast(lk.dim):
+            shuffled[str(i)] = [normalize_key(f) if lk.normalize else F.col(f) for f, _ in lk.on]
+    hot = {} if plain_joins else hot_keys(staging, shuffled)
     out = staging
     tks = []
     for i, lk in enumerate(lookups):
@@ -56,7 +63,10 @@ def resolve_keys(
             *[(normalize_key(d) if lk.normalize else F.col(d)).alias(n) for d, n in dim_cols.items()],
         )
         on = [(normalize_key(f) if lk.normalize else F.col(f), dim_cols[d]) for f, d in lk.on]
-        out = lookup_join(out, side, on)
+        if plain_joins:
+            out = out.join(side, [key == F.col(c) for key, c in on], "left")
+        else:
+            out = lookup_join(out, side, on, broadcast=str(i) not in shuffled, hot=hot.get(str(i)))
         tks.append((f"_sw_tk{i}", lk.tk))
     return out.select(
         *[F.coalesce(F.col(src), F.lit(unknown_tk)).cast("bigint").alias(name) for src, name in tks],
@@ -70,22 +80,22 @@ def build_fact(
     measures: Sequence[str],
     fact_tk: str,
     row_id: Sequence[str] = (),
-    materialize_resolved: bool = True,
+    global_window: bool = False,
+    plain_joins: bool = False,
 ) -> DataFrame:
     """FK-resolved fact numbered 1..n by (all tks, measures).
 
-    The resolved rows (tks, measures, row id: narrow columns) are written to
-    the shared folder first, so the range partitioning of the numbering
-    samples that table instead of re-running staging and every dimension.
+    The numbering writes the resolved rows (tks, measures, row id: narrow
+    columns) before it range-partitions them, so staging and lookups run once.
 
     ``row_id`` columns identify staging rows; they only split ties between
     otherwise identical rows (so a hot duplicate spreads over partitions) and
-    are dropped from the result.
+    are dropped from the result. ``global_window`` (one task numbers all) and
+    ``plain_joins`` are for comparison on small data only.
     """
-    resolved = resolve_keys(staging, lookups, [*measures, *row_id])
-    if materialize_resolved:
-        resolved = materialize(resolved, "fact-resolved")
+    resolved = resolve_keys(staging, lookups, [*measures, *row_id], plain_joins=plain_joins)
     order = [lk.tk for lk in lookups] + list(measures)
-    # facts are large by nature: always the range path (one task per core at least)
-    numbered = dense_number(resolved, order, fact_tk, tie=list(row_id), allow_single=False)
+    if global_window:
+        return global_number(resolved, [*order, *row_id], fact_tk).select(*order, fact_tk)
+    numbered = dense_number(resolved, order, fact_tk, tie=list(row_id))
     return numbered.select(*order, fact_tk)

@@ -6,6 +6,8 @@ tables (views ``orders``, ``lineitem`` ...). Shared pieces are CTE texts.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 LOAD_TS = "TIMESTAMP '2024-01-01 00:00:00'"
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 BOOLS = ["ih_program_declared", "ia_program_declared", "pa_program_declared", "hm_program_declared"]
@@ -204,9 +206,10 @@ ISO = "%Y-%m-%dT%H:%M:%SZ"
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 NON_TEXT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 CARD = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
-ANCHOR = r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+ANCHOR = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
+QUOTES = r"""^["']|["']$"""
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+NAMED = "MAP {" + ", ".join(f"'{n}': chr({c})" for n, c in sorted(name2codepoint.items())) + "}"
 
 
 def q(s: str) -> str:
@@ -218,9 +221,13 @@ def strip_sql(x: str) -> str:
 
 
 def unescape_sql(x: str) -> str:
-    for ent, ch in ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return x
+    name = f"regexp_extract(p, {q(REFERENCE)}, 1)"
+    code = f"TRY_CAST(CASE WHEN {name} ILIKE '#x%' THEN '0x' || substr({name}, 3) ELSE substr({name}, 2) END AS INTEGER)"
+    char = f"CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr({code}) END"
+    char = f"CASE WHEN {name} LIKE '#%' THEN {char} ELSE element_at({NAMED}, {name})[1] END"
+    piece = f"coalesce({char} || substr(p, length({name}) + 2), '&' || p)"
+    cut = f"string_split({x}, '&')"
+    return f"({cut}[1] || coalesce(array_to_string(list_transform({cut}[2:], lambda p: {piece}), ''), ''))"
 
 
 def text_nodes_sql(x: str) -> str:
@@ -322,6 +329,69 @@ merged AS (
          CAST(NULL AS TIMESTAMP) AS date_to, in_number AS part_number, in_size AS p_size, in_brand AS p_brand
   FROM j WHERE in_number IS NOT NULL AND (part_tk IS NULL OR diff))"""
 
+# The chain on loaded entity tables: no State for household customers, no Disaster over size 45.
+ENTITIES = FLAT80 + """,
+e_states AS (SELECT row_number() OVER (ORDER BY country_name) AS id, name, country_name FROM states
+             WHERE country_name IN (SELECT c_name FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')),
+e_disasters AS (SELECT row_number() OVER (ORDER BY disaster_number) AS id, * EXCLUDE (id) FROM disasters
+                WHERE disaster_number IN (SELECT p_partkey FROM part WHERE p_size <= 45)),
+e_declarations AS (
+  SELECT row_number() OVER (ORDER BY declaration_request_number NULLS FIRST, disaster_fk NULLS FIRST, state_fk NULLS FIRST,
+                            declaration_title NULLS FIRST, declaration_type NULLS FIRST, declaration_date NULLS FIRST) AS id, *
+  FROM (SELECT x.declaration_title, x.declaration_type, x.declaration_date, x.declaration_request_number,
+               d.id AS disaster_fk, s.id AS state_fk
+        FROM (SELECT DISTINCT declaration_title, declaration_type, declaration_date, declaration_request_number,
+                     country_name, disaster_number FROM flat80) x
+        LEFT JOIN e_disasters d ON x.disaster_number = d.disaster_number
+        LEFT JOIN e_states s ON x.country_name = s.country_name)),
+e_joined AS (
+  SELECT c.*, s.name AS state, s.country_name, d.* EXCLUDE (id)
+  FROM e_declarations c LEFT JOIN e_states s ON c.state_fk = s.id LEFT JOIN e_disasters d ON c.disaster_fk = d.id)"""
+
+
+def entity_fact() -> list[str]:
+    """CTEs of the fact on the entity tables: the sources' first halves come from those tables."""
+
+    def dim(name, src, keys, attrs, own, tk, cols, unknown, cond="TRUE"):
+        one = first_per_key(f"e_{src}", keys, attrs)
+        return (f"e_{src} AS (SELECT {own[0]}, 0 AS src FROM {own[1]} UNION ALL BY NAME SELECT * FROM {src} WHERE src = 1), "
+                f"e_{name}_one AS (SELECT * FROM ({one}) WHERE {cond}), " + dimension(f"e_{name}", f"e_{name}_one", tk, keys, cols, unknown))
+
+    parts = [DECL_SRC, DIS_SRC, DATES_SRC, STATE_SRC, ENTITIES]
+    parts.append(dim("declaration", "decl_src", ["declaration_request_number"], ["declaration_title", "declaration_type", "declaration_date"],
+                     ("declaration_request_number, declaration_title, declaration_type, declaration_date", "e_declarations"), "declaration_tk",
+                     ["declaration_title", "declaration_type", "declaration_date", "declaration_request_number"],
+                     {"declaration_title": "CAST(NULL AS VARCHAR)", "declaration_type": "CAST(NULL AS VARCHAR)",
+                      "declaration_date": "CAST(NULL AS DATE)", "declaration_request_number": "CAST(NULL AS BIGINT)"}))
+    parts.append(dim("disaster", "dis_src", ["disaster_number"], ["incident_type", *BOOLS],
+                     ("disaster_number, incident_type, " + ", ".join(BOOLS), "e_disasters"), "disaster_tk", ["disaster_number", "incident_type", *BOOLS],
+                     {"disaster_number": "CAST(NULL AS BIGINT)", "incident_type": "CAST(NULL AS VARCHAR)", **{b: "false" for b in BOOLS}}))
+    parts.append(dim("dates", "dates_src", ["incident_begin_date", "incident_end_date"], ["incident_duration"],
+                     ("incident_begin_date, incident_end_date, incident_duration", "e_disasters"), "incident_dates_tk",
+                     ["incident_begin_date", "incident_end_date", "incident_duration"],
+                     {"incident_begin_date": "CAST(NULL AS DATE)", "incident_end_date": "CAST(NULL AS DATE)", "incident_duration": "0"}))
+    parts.append(dim("state", "state_src", ["country_name"], ["state_name"],
+                     ("upper(trim(name)) AS state_name, upper(trim(country_name)) AS country_name", "e_states"), "state_tk", ["state_name", "country_name"],
+                     {"state_name": "'UNKNOWN'", "country_name": "'UNKNOWN'"}, "country_name IS DISTINCT FROM 'UNKNOWN'"))
+    parts.append(f"""
+e_staging AS (
+  SELECT country_name, disaster_number, declaration_request_number, incident_begin_date, incident_end_date, deaths,
+         incident_duration AS incident_hours FROM e_joined
+  UNION ALL
+  SELECT trim({MESSY_COUNTY}), l_partkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE l_orderkey END,
+         CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE), CAST(l_quantity AS INTEGER), {LINE_DURATION}
+  FROM lines JOIN cust ON o_custkey = c_custkey WHERE is_test),
+e_resolved AS (
+  SELECT coalesce(s.state_tk, 0) AS state_tk, coalesce(di.disaster_tk, 0) AS disaster_tk,
+         coalesce(dc.declaration_tk, 0) AS declaration_tk, coalesce(dt.incident_dates_tk, 0) AS incident_dates_tk, f.deaths, f.incident_hours
+  FROM e_staging f
+  LEFT JOIN e_state s ON upper(trim(f.country_name)) = upper(trim(s.country_name))
+  LEFT JOIN e_disaster di ON f.disaster_number = di.disaster_number
+  LEFT JOIN e_declaration dc ON f.declaration_request_number = dc.declaration_request_number
+  LEFT JOIN e_dates dt ON f.incident_begin_date = dt.incident_begin_date AND f.incident_end_date = dt.incident_end_date)""")
+    return parts
+
+
 TK4 = ["state_tk", "disaster_tk", "declaration_tk", "incident_dates_tk"]
 FACT_ALL = [ALL_DIMS, STAGING, RESOLVED, FACT]
 DTYPE_COLS = "declaration_request_number, declaration_title, declaration_type, declaration_date"
@@ -330,23 +400,35 @@ STAGING_COLS = ["country_name", "state", "disaster_number", "declaration_request
 LK = ", ".join(LINE_KEY)
 
 
-def _cards_sql() -> str:
+def _cards_sql(pages: str = "pages", before: str = "") -> str:
     texts = text_nodes_sql("card")
     return f"""
-WITH c AS (
+WITH {before}c AS (
   SELECT page_id, unnest(arr) AS card, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS card_pos
-  FROM (SELECT page_id, regexp_extract_all(html, {q(CARD)}, 1) AS arr FROM pages)),
+  FROM (SELECT page_id, regexp_extract_all(html, {q(CARD)}, 1) AS arr FROM {pages})),
 a AS (SELECT *, regexp_extract(card, {q(ANCHOR)}, 1) AS href, regexp_extract(card, {q(ANCHOR)}, 2) AS atext,
              {texts} AS texts
       FROM c WHERE regexp_matches(card, {q(ANCHOR)}))
 SELECT page_id, card_pos,
        {strip_sql(unescape_sql("regexp_replace(atext, '<[^>]*>', '', 'g')"))} AS "Title",
-       'https://listing.example' || {unescape_sql('href')} AS "Link",
+       'https://listing.example' || {unescape_sql("regexp_replace(href, " + q(QUOTES) + ", '', 'g')")} AS "Link",
        {strip_sql(first_match_sql('texts', 'Incident Period:'))} AS "Incident Period",
-       {strip_sql(first_match_sql('texts', 'declared'))} AS "Declaration Date"
+       {strip_sql(first_match_sql('texts', 'Major Disaster Declaration declared'))} AS "Declaration Date"
 FROM a"""
 
 
+LISTING = """made AS (
+  SELECT CAST(floor(o_orderkey / 20) AS BIGINT) AS page_id, '<ul>' || string_agg(
+    '<li><h3><a class=x href=' || CASE o_orderkey % 3 WHEN 0 THEN '"' || h || '"' WHEN 1 THEN chr(39) || h || chr(39) ELSE h END
+    || '>R&eacute;gion&#8217;s &#x201C;' || o_orderpriority || '&rdquo; <b>' || o_orderkey
+    || '</b></a></h3><span>Incident&nbsp;Period</span><p> Incident Period: ' || day || ' &ndash; ' || day || '</p><p>'
+    || CASE o_orderstatus WHEN 'P' THEN 'Emergency Declaration' ELSE 'Major Disaster Declaration' END
+    || ' declared on ' || day || '</p></li>', chr(10) ORDER BY o_orderkey) || '</ul>' AS html
+  FROM (SELECT *, '/orders/' || o_orderkey || '?a=1&amp;b=2' AS h, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+  GROUP BY 1),
+"""
+
+
 def _first_text_sql() -> str:
     return f"""
 SELECT page_id, CAST(len(texts) AS INTEGER) AS n_strings, {first_match_sql('texts', '©')} AS footer_text,
@@ -476,10 +558,16 @@ ORACLE: dict[str, str] = {
                "SELECT DISTINCT d.disaster_fk, s.state_fk FROM (SELECT DISTINCT disaster_number, country_name FROM flat80) p "
                "JOIN (SELECT disaster_number, min(id) AS disaster_fk FROM disasters GROUP BY ALL) d ON p.disaster_number = d.disaster_number "
                "JOIN (SELECT country_name, min(id) AS state_fk FROM states GROUP BY ALL) s ON p.country_name = s.country_name)"),
+    "denormalize_unmatched": with_ctes(ENTITIES, select="SELECT * FROM e_joined"),
+    "fact_from_entities": with_ctes(
+        *entity_fact(),
+        select="SELECT *, row_number() OVER (ORDER BY state_tk, disaster_tk, declaration_tk, incident_dates_tk, "
+               "deaths NULLS FIRST, incident_hours NULLS FIRST) AS disaster_fact_tk FROM e_resolved"),
     "check_not_null": _not_null_sql(),
     "check_unique": "SELECT l_orderkey, l_linenumber, count(*) AS dup_count FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "check_fk": f"SELECT {LK} FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45)",
     "html_cards": _cards_sql(),
+    "listing_cards": _cards_sql("made", LISTING),
     "first_match_text": _first_text_sql(),
     "pages_until_empty": f"""
 WITH c AS (SELECT page_id, CAST(len(regexp_extract_all(html, {q(CARD)}, 1)) AS INTEGER) AS n_cards FROM pages)
@@ -489,6 +577,10 @@ SELECT * FROM c WHERE (SELECT min(page_id) FROM c WHERE n_cards < 6) IS NULL
         FIPS.lstrip(), RAW,
         select="SELECT * EXCLUDE (id, _h), row_number() OVER (ORDER BY _h, id) <= round_even(count(*) OVER () * 0.2, 0) AS is_test "
                f"FROM (SELECT *, {h60(1, ['id'])} AS _h FROM cleaned)"),
+    "clean_csv_files": with_ctes(
+        FIPS.lstrip(), RAW,
+        select="SELECT * EXCLUDE (id, _h), row_number() OVER (ORDER BY _h, id) <= round_even(count(*) OVER () * 0.2, 0) AS is_test "
+               f"FROM (SELECT *, {h60(1, ['id'])} AS _h FROM cleaned)"),
     "scd2_merge": "WITH " + PART_MERGE + "\nSELECT * FROM merged",
     "scd2_history": "WITH " + PART_MERGE + """
 SELECT part_number, version, previous_value, new_value FROM (

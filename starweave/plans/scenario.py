@@ -11,16 +11,18 @@ unknown county, ...), since the tables themselves hold no NULLs.
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starweave.functions.dates import elapsed_days
 from starweave.functions.hashing import hash_mod
 from starweave.operators.clean import cast_bool_columns, duration_fallback
-from starweave.operators.joins import denormalize, lookup_join
+from starweave.operators.joins import denormalize, fits_broadcast, lookup_join
 from starweave.operators.split import split_flag
 from starweave.plans.dimensions import DimensionSpec, build_dimension
-from starweave.plans.facts import KeyLookup, build_fact, resolve_keys, stage_fact
+from starweave.plans.facts import KeyLookup, build_fact, stage_fact
 from starweave.sources.files import materialize, read_parquet
 
 # Seed and size of the 80:20 split (seeded sample of 20 %).
@@ -70,16 +72,16 @@ STAGING_COLS = [
 
 
 def table(spark: SparkSession, d: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A driver table (optionally only ``columns``), read with at least one partition per core."""
-    return read_parquet(
-        spark, f"{d}/{name}.parquet", min_partitions=spark.sparkContext.defaultParallelism, columns=columns
-    )
+    """A driver table (optionally only ``columns``)."""
+    return read_parquet(spark, f"{d}/{name}.parquet", columns)
 
 
 # Written intermediates of the current session, by (session, data dir, name):
 # the split orders and the flat line table play the role of the reference's
 # 80 %/20 % files, produced once and read by every later step.
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
+_LOCKS: dict[tuple[str, str, str], Lock] = {}
+_GUARD = Lock()
 
 
 def _app(spark: SparkSession) -> str:
@@ -112,11 +114,14 @@ def run_concurrently(tasks: dict, workers: int = 4) -> dict:
 
 
 def stored(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    """Build, write once per session and data dir, and read back."""
+    """Build, write once per session and data dir, and read back. Safe to call from several threads."""
     key = (_app(spark), d, name)
-    if key not in _STORED:
-        _STORED[key] = materialize(build(), name)
-    return _STORED[key]
+    with _GUARD:
+        lock = _LOCKS.setdefault(key, Lock())
+    with lock:
+        if key not in _STORED:
+            _STORED[key] = materialize(build(), name)
+        return _STORED[key]
 
 
 def order_split(spark: SparkSession, d: str) -> DataFrame:
@@ -139,11 +144,14 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "is_test"
         )
         li = table(spark, d, "lineitem", [*LINE_KEY, "l_quantity", "l_returnflag", "l_shipdate"])
-        ln = lookup_join(li, o, [(F.col("l_orderkey"), "o_orderkey")], how="inner")
-        c = customers(spark, d).select("c_custkey", "c_name", "c_mktsegment", "n_name")
-        ln = lookup_join(ln, c, [(F.col("o_custkey"), "c_custkey")], how="inner")
+        c = customers(spark, d)
+        small = fits_broadcast(c)
         p = table(spark, d, "part").select("p_partkey", "p_type", "p_size", "p_brand", "p_retailprice")
-        return lookup_join(ln, p, [(F.col("l_partkey"), "p_partkey")], how="inner")
+        # left joins: a line without its order, customer or part is still a line
+        ln = lookup_join(li, o, [(F.col("l_orderkey"), "o_orderkey")])
+        ln = lookup_join(ln, c.select("c_custkey", "c_name", "c_mktsegment", "n_name"), [(F.col("o_custkey"), "c_custkey")], broadcast=small)
+        ln = lookup_join(ln, p, [(F.col("l_partkey"), "p_partkey")])
+        return ln.withColumn("is_test", F.coalesce("is_test", F.lit(False)))
 
     return stored(spark, d, "lines", build)
 
@@ -264,7 +272,22 @@ def dim_state(spark, d):
 
 
 def staging_db_side(spark: SparkSession, d: str) -> DataFrame:
-    """80 % side: line -> Declaration -> State through the OLTP foreign keys."""
+    """80 % side: the flat line records hold their order and customer already."""
+    train = lines(spark, d).filter(~F.col("is_test"))
+    return train.select(
+        F.trim("c_name").alias("country_name"),
+        F.trim("n_name").alias("state"),
+        F.col("l_partkey").alias("disaster_number"),
+        F.col("l_orderkey").alias("declaration_request_number"),
+        F.to_date("o_orderdate").alias("incident_begin_date"),
+        F.to_date("l_shipdate").alias("incident_end_date"),
+        F.col("l_quantity").cast("int").alias("deaths"),
+        *LINE_KEY,
+    )
+
+
+def denormalized_db_side(spark: SparkSession, d: str) -> DataFrame:
+    """80 % side by its keys: line -> Declaration -> State through the OLTP foreign keys."""
     declaration = order_split(spark, d).filter(~F.col("is_test")).select(
         F.col("o_orderkey").alias("declaration_fk"), F.col("o_custkey").alias("state_fk"), "o_orderdate"
     )
@@ -287,8 +310,8 @@ def staging_db_side(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def staging_csv_side(spark: SparkSession, d: str) -> DataFrame:
-    """20 % side: flat records with messy text and missing request numbers."""
+def staging_csv_side(spark: SparkSession, d: str, more: list = ()) -> DataFrame:
+    """20 % side: flat records with messy text and missing request numbers (and further columns)."""
     flat = lines(spark, d).filter(F.col("is_test"))
     return flat.select(
         F.trim(messy_county()).alias("country_name"),
@@ -299,6 +322,7 @@ def staging_csv_side(spark: SparkSession, d: str) -> DataFrame:
         F.to_date("l_shipdate").alias("incident_end_date"),
         F.col("l_quantity").cast("int").alias("deaths"),
         *LINE_KEY,
+        *more,
     )
 
 
@@ -307,37 +331,44 @@ def staging(spark: SparkSession, d: str, with_row_id: bool = False) -> DataFrame
     return stage_fact([staging_db_side(spark, d), staging_csv_side(spark, d)], cols)
 
 
-def written_dims(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The four dimensions, built and written once (as the warehouse load does).
+DIM_BUILDERS = {
+    "state_dim": dim_state, "disaster_dim": dim_disaster,
+    "declaration_dim": dim_declaration, "incident_datesdim": dim_incident_dates,
+}
+
+
+def written_dims(spark: SparkSession, d: str, *names: str) -> dict[str, DataFrame]:
+    """The named dimensions (default: all four), built and written once (as the warehouse load does).
 
     They are independent, so their jobs are submitted concurrently and share
     the executors instead of running one after another.
     """
-    builders = {
-        "state_dim": dim_state, "disaster_dim": dim_disaster,
-        "declaration_dim": dim_declaration, "incident_datesdim": dim_incident_dates,
-    }
-    return run_concurrently({name: (lambda n=name, b=b: stored(spark, d, n, lambda: b(spark, d))) for name, b in builders.items()})
-
-
-def fact_lookups(spark: SparkSession, d: str) -> list[KeyLookup]:
-    dims = written_dims(spark, d)
-    return [
-        KeyLookup(dims["state_dim"], "state_tk", (("country_name", "country_name"),), normalize=True),
-        KeyLookup(dims["disaster_dim"], "disaster_tk", (("disaster_number", "disaster_number"),)),
-        KeyLookup(dims["declaration_dim"], "declaration_tk", (("declaration_request_number", "declaration_request_number"),)),
-        KeyLookup(
-            dims["incident_datesdim"],
-            "incident_dates_tk",
-            (("incident_begin_date", "incident_begin_date"), ("incident_end_date", "incident_end_date")),
-        ),
-    ]
+    lines(spark, d), customers(spark, d)  # what all of them read
+    wanted = names or tuple(DIM_BUILDERS)
+    return run_concurrently({n: (lambda n=n: stored(spark, d, n, lambda: DIM_BUILDERS[n](spark, d))) for n in wanted})
 
 
-def fact(spark: SparkSession, d: str) -> DataFrame:
-    return build_fact(staging(spark, d, with_row_id=True), fact_lookups(spark, d), ["deaths"], "disaster_fact_tk", LINE_KEY)
+# Tk, (fact column, dimension column) pairs and whether both are normalised, by dimension.
+LOOKUPS = {
+    "state_dim": ("state_tk", (("country_name", "country_name"),), True),
+    "disaster_dim": ("disaster_tk", (("disaster_number", "disaster_number"),), False),
+    "declaration_dim": ("declaration_tk", (("declaration_request_number", "declaration_request_number"),), False),
+    "incident_datesdim": (
+        "incident_dates_tk",
+        (("incident_begin_date", "incident_begin_date"), ("incident_end_date", "incident_end_date")),
+        False,
+    ),
+}
+
 
+def key_lookups(dims: dict[str, DataFrame]) -> list[KeyLookup]:
+    return [KeyLookup(dims[n], tk, on, normalize) for n, (tk, on, normalize) in LOOKUPS.items() if n in dims]
 
-def fact_rows(spark: SparkSession, d: str) -> DataFrame:
-    """FK-resolved fact rows without the fact's own surrogate key (for roll-ups)."""
-    return resolve_keys(staging(spark, d), fact_lookups(spark, d), ["deaths"])
+
+def fact_lookups(spark: SparkSession, d: str, *names: str) -> list[KeyLookup]:
+    """Lookups of the named dimensions (default: all), which are built if need be."""
+    return key_lookups(written_dims(spark, d, *names))
+
+
+def fact(spark: SparkSession, d: str) -> DataFrame:
+    return build_fact(staging(spark, d, with_row_id=True), fact_lookups(spark, d), ["deaths"], "disaster_fact_tk", LINE_KEY)

@@ -22,6 +22,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "starw
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("STARWEAVE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # single-machine tables are one small file each: smaller splits keep all cores reading
+        .config("spark.sql.files.maxPartitionBytes", "4m")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -30,10 +32,11 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "starw
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when nothing is set
-    (local tests) a fresh scratch folder is created.
+    Only a local session, whose executor is the driver, gets a scratch folder
+    of its own when nothing is set. Anywhere else that folder would be a
+    different one on every machine, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -41,13 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediates need a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="starweave-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written intermediates."""
+    """A fresh sub-folder of the shared checkpoint folder for written intermediates.
+
+    Spark gives each application a folder of its own in the checkpoint folder, so
+    what an application wrote can be removed as a whole when it has ended.
+    """
     base = ensure_checkpoint_dir(spark)
     suffix = os.urandom(6).hex()
     return f"{base.rstrip('/')}/{name}-{suffix}"

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,68 +34,50 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",")
     df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
-# Scans smaller than this are not worth a rebalancing shuffle.
-REBALANCE_BYTES = 1 << 20
-
+def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Parquet scan (column pruning and filters reach the reader; splits are a session setting)."""
+    df = spark.read.parquet(path)
+    return df.select(*columns) if columns else df
 
-def _estimated(df: DataFrame) -> int:
-    from starweave.operators.joins import estimated_bytes
 
-    return estimated_bytes(df)
+# What was measured while an intermediate was written, by the DataFrame read back.
+_MEASURED: WeakKeyDictionary[DataFrame, tuple[int, int]] = WeakKeyDictionary()
 
 
-def _scan_partitions(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
-        return 1 << 30
+def _row_bytes(df: DataFrame):
+    """Decoded size of a row: 8 bytes a column, and the text or binary itself."""
+    size = F.lit(8 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
+    return size
 
 
-def read_parquet(
-    spark: SparkSession, path: str, min_partitions: int | None = None, columns: Sequence[str] | None = None
-) -> DataFrame:
-    """Parquet scan (column pruning and filters reach the reader).
-
-    A Parquet row group is the smallest split, so a small table stored as one
-    row group is read by a single task and everything pipelined after the
-    scan runs single-threaded. With ``min_partitions`` such a scan is
-    rebalanced to that many partitions; a large input already has more
-    splits than that and is left untouched (no extra shuffle at scale).
-    """
-    df = spark.read.parquet(path)
-    if columns:
-        # project before any rebalancing: the rebalance hashes the columns it
-        # keeps, and nothing below it could be pruned afterwards
-        df = df.select(*columns)
-    if min_partitions and _estimated(df) > REBALANCE_BYTES and _scan_partitions(df) < min_partitions:
-        # hash on every column: deterministic on retry and needs no local sort
-        # (round-robin repartition sorts each input partition first)
-        df = df.repartition(min_partitions, *[F.col(c) for c in df.columns])
-    return df
-
-
-# Rows of the last written intermediate per name, counted while writing it.
-WRITTEN_ROWS: dict[str, int] = {}
+def measured(df: DataFrame) -> tuple[int, int] | None:
+    """(rows, decoded bytes) counted while ``df`` was written; None for any other DataFrame."""
+    return _MEASURED.get(df)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage (an executor lost later re-reads files instead of
-    recomputing joins), gives Catalyst exact sizes for broadcast decisions,
-    and lets a following range partitioning sample a written table instead
-    of re-running the whole upstream plan.
+    recomputing joins) and lets a following range partitioning sample a written
+    table instead of re-running the whole upstream plan. Rows and decoded bytes
+    are counted while writing; see ``measured``.
     """
     from starweave.session import shared_path
 
-    from starweave.operators.metrics import observed
-
     spark = df.sparkSession
     path = shared_path(spark, name)
-    tagged, obs = observed(df, f"{name}-{os.urandom(4).hex()}")
+    obs = Observation(f"{name}-{os.urandom(4).hex()}")
+    tagged = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
     tagged.write.mode("overwrite").parquet(path)
-    WRITTEN_ROWS[name] = obs.get.get("rows", 0)  # run check, counted during the write (A4)
-    return spark.read.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _MEASURED[back] = (int(obs.get.get("rows") or 0), int(obs.get.get("bytes") or 0))  # run check (A4)
+    return back
 
 
 def write_parquet(

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -21,13 +22,25 @@ from starweave.operators.keys import dense_number
 from starweave.plans.facts import KeyLookup, resolve_keys
 
 
-def _prior_max(spark: SparkSession, sink_path: str, tk: str, epoch_id: int) -> int:
+def _prior_max(spark: SparkSession, sink_path: str, epoch_id: int) -> int:
+    """Largest key of the epochs before, from one row per epoch beside the sink."""
     try:
-        prior = spark.read.parquet(sink_path)
-    except Exception:  # no batch written yet
+        tops = spark.read.schema("top long, epoch long").parquet(f"{sink_path}-tops")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else than a sink without batches
+            raise
         return 0
-    top = prior.filter(F.col("epoch") < epoch_id).agg(F.max(tk)).first()[0]
-    return int(top or 0)
+    return int(tops.filter(F.col("epoch") < epoch_id).agg(F.max("top")).first()[0] or 0)
+
+
+def _write_epoch(df: DataFrame, epoch_id: int, path: str) -> None:
+    (
+        df.withColumn("epoch", F.lit(epoch_id).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("epoch")
+        .parquet(path)
+    )
 
 
 def load_fact_batch(
@@ -43,16 +56,11 @@ def load_fact_batch(
     spark = batch.sparkSession
     resolved = resolve_keys(batch, lookups, [*measures, *row_id])
     order = [lk.tk for lk in lookups] + list(measures)
-    start = _prior_max(spark, sink_path, fact_tk, epoch_id) + 1
+    start = _prior_max(spark, sink_path, epoch_id) + 1
     numbered = dense_number(resolved, order, fact_tk, start=start, tie=list(row_id))
-    (
-        numbered.select(*order, fact_tk)
-        .withColumn("epoch", F.lit(epoch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("epoch")
-        .parquet(sink_path)
-    )
+    rows = Observation()
+    _write_epoch(numbered.select(*order, fact_tk).observe(rows, F.count(F.lit(1)).alias("n")), epoch_id, sink_path)
+    _write_epoch(spark.range(1).select(F.lit(start - 1 + rows.get["n"]).cast("long").alias("top")), epoch_id, f"{sink_path}-tops")
 
 
 def start_fact_stream(

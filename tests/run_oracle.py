@@ -23,7 +23,7 @@ def main() -> int:
     names = sys.argv[2:]
     spark = local_session()
     # STARWEAVE_CONF="k=v,k=v" forces code paths, e.g. the cluster-scale ones:
-    # spark.starweave.broadcastBytes=0,spark.starweave.smallBytes=0,spark.sql.shuffle.partitions=17
+    # spark.starweave.broadcastBytes=0,spark.sql.autoBroadcastJoinThreshold=-1,spark.sql.adaptive.advisoryPartitionSizeInBytes=64k
     for item in filter(None, os.environ.get("STARWEAVE_CONF", "").split(",")):
         k, v = item.split("=", 1)
         spark.conf.set(k.strip(), v.strip())

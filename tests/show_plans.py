@@ -44,12 +44,12 @@ def main() -> None:
     print(f"# Physical plans ({Path(d).name}, local[8], final adaptive plans)\n")
     print("Generated by `python tests/show_plans.py`. Expression ids and file paths are elided.\n")
 
-    spark.conf.set("spark.starweave.smallBytes", "0")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
     spark.conf.set("spark.starweave.broadcastBytes", "0")
     section(
         "Surrogate keys by range numbering (dense_number), dimension forced to the range path",
-        "The deduplicated members were written first (the dedup plan is shown below); numbering them is one "
-        "range exchange whose per-partition size branch reads it as a ReusedExchange; the only "
+        "The deduplicated members were written first (the dedup plan is shown below), then range-partitioned, sorted "
+        "and written with their partition and place. Rows and partition sizes are read from those files; the only "
         "single-partition exchange carries one row per partition; the UNKNOWN member is a one-row Range.",
         S.dim_declaration(spark, d),
     )
@@ -61,9 +61,9 @@ def main() -> None:
         "dimension side replicates hot keys per salt. At this size AQE then sees the real dimension is small and "
         "switches to a broadcast at run time; the salt stays in the join keys.",
         lookup_join(staging, dims["disaster_dim"].select("disaster_tk", "disaster_number"),
-                    [(F.col("disaster_number"), "disaster_number")]),
+                    [(F.col("disaster_number"), "disaster_number")], broadcast=False),
     )
-    spark.conf.unset("spark.starweave.smallBytes")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.unset("spark.starweave.broadcastBytes")
     S.reset_stored(keep=S.SOURCE_TABLES)
     staging = S.staging(spark, d, with_row_id=True)

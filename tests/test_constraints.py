@@ -19,4 +19,3 @@ def test_checks(spark):
     assert rows(C.check_not_null(child, ["id", "fk"])) == [("fk", 1), ("id", 0)]
     assert rows(C.check_unique(child, ["id"])) == [(3, 2)]
     assert rows(C.check_fk(child, ["fk"], parent, ["pk"])) == [(2, 9)]
-    assert rows(C.not_null_violations(child, ["fk"])) == [(3, None)]

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from conftest import rows
 
 from starweave.operators import history, keys
@@ -21,7 +22,7 @@ def test_scd2_merge_and_history(spark):
     assert rows(again) == rows(merged)
 
 
-def test_rollup_pre_aggregates_before_join(spark):
+def test_rollup_of_levels(spark):
     fact = spark.createDataFrame([(1, 5), (1, 7), (2, 1), (0, 2)], "s_tk long, deaths int")
     dim = spark.createDataFrame([(0, None), (1, "A"), (2, "B")], "s_tk long, name string")
     from pyspark.sql import functions as F
@@ -29,3 +30,10 @@ def test_rollup_pre_aggregates_before_join(spark):
     out = history.rollup_fact(fact, [(dim, "s_tk", [("name", F.col("name"))])], ["name"], ["deaths"])
     got = {(r.name, r.grouping_level): (r.deaths, r.fact_rows) for r in out.collect()}
     assert got == {("A", 0): (12, 2), ("B", 0): (1, 1), (None, 0): (2, 1), (None, 1): (15, 4)}
+
+
+def test_scd2_merge_refuses_a_repeated_key(spark):
+    cur = keys.scd1_columns(keys.surrogate_key(spark.createDataFrame([("a", 1)], "k string, v int"), ["k"], "tk"), "2023-01-01 00:00:00")
+    inc = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
+    with pytest.raises(ValueError, match="repeat a natural key"):
+        history.scd2_merge(cur.select("tk", "version", "date_from", "date_to", "k", "v"), inc, ["k"], ["v"], "tk", "2024-01-01 00:00:00")

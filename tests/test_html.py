@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 
 from starweave.operators import html
@@ -43,3 +44,22 @@ def test_nested_cards_balanced(spark):
                              {"Incident Period": "Incident Period:", "Declaration Date": "declared"})
     got = [tuple(r) for r in out.orderBy("card_pos").select("Title", "Link", "Incident Period", "Declaration Date").collect()]
     assert got == [("A", "https://x.example/a", "Incident Period: 1", ""), ("B", "https://x.example/b", "", "declared 2")]
+
+
+def test_any_quoting_and_references(spark):
+    page = ("<li><a class=x href='/q?a=1&amp;b'>L&#8217;&eacute;t&#xE9; &notaname; &amp;lt;</a></li><li><a href=/bare>B</a></li>"
+            "<li><a data-href=\"/no\">none</a></li><li><a href=\"/d\">D &copy</a></li>")
+    pages = spark.createDataFrame([(0, "u", page)], "page_id long, url string, html string")
+    out = html.extract_cards(pages, r"(?is)<li>(.*?)</li>", "", {})
+    assert [(r.Title, r.Link) for r in out.orderBy("card_pos").collect()] == [
+        ("L\u2019\u00e9t\u00e9 &notaname; &lt;", "/q?a=1&b"), ("B", "/bare"), ("D &copy", "/d")]
+
+
+def test_listing_stops_at_the_first_empty_page(spark):
+    out = html.listing_cards(_pages(spark), CARD, "", {})
+    assert sorted(r.page_id for r in out.collect()) == [0, 1]
+
+
+def test_counting_needs_a_pattern(spark):
+    with pytest.raises(TypeError):
+        html.pages_until_empty(_pages(spark), ("div", "views-row"))

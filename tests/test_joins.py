@@ -15,10 +15,11 @@ def _dim(spark):
 
 def test_lookup_join_broadcast_and_shuffle_agree(spark):
     f, d = _fact(spark), _dim(spark)
-    bc = joins.lookup_join(f, d, [(F.col("k"), "k")], limit=1 << 40)
-    sh = joins.lookup_join(f, d, [(F.col("k"), "k")], limit=0)
+    bc = joins.lookup_join(f, d, [(F.col("k"), "k")], broadcast=True)
+    sh = joins.lookup_join(f, d, [(F.col("k"), "k")], broadcast=False)
     assert rows(bc) == rows(sh) == [(1, "a", 10), (2, "b", 20), (9, "e", None), (None, "c", None), (None, "d", None)]
     assert "BroadcastHashJoin" in bc._jdf.queryExecution().executedPlan().toString()
+    assert not joins.fits_broadcast(d)  # not measured: no broadcast is forced
     assert "_sw_fsalt" in sh._jdf.queryExecution().optimizedPlan().toString()
 
 
@@ -62,8 +63,28 @@ def test_shuffle_join_salts_hot_key(spark):
     cold = spark.range(0, 60000).select((F.col("id") % 5000 + 100).alias("k"), F.col("id").alias("rid"))
     fact = hot.unionByName(cold)
     dim = spark.range(0, 6000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("tk"))
-    assert (7,) in joins.hot_keys(fact, ["k"], fraction=0.05)
-    salted = joins.lookup_join(fact, dim, [(F.col("k"), "k")], limit=0)
-    plain = joins.lookup_join(fact, dim, [(F.col("k"), "k")], limit=1 << 40)
+    hot = joins.hot_keys(fact, {"a": ["k"], "b": [F.col("rid")]}, fraction=0.05)
+    assert hot["a"] == ['{"k0":7}'] and hot["b"] == []
+    salted = joins.lookup_join(fact, dim, [(F.col("k"), "k")], broadcast=False, hot=hot["a"])
+    plain = joins.lookup_join(fact, dim, [(F.col("k"), "k")], broadcast=True)
     assert salted.count() == 90000
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_identical_rows_of_a_hot_key_get_different_salts(spark):
+    fact = spark.range(0, 5000, 1, 4).select(F.lit(7).alias("k"))
+    dim = spark.createDataFrame([(7, 70)], "k int, tk int")
+    out = joins.lookup_join(fact, dim, [(F.col("k"), "k")], broadcast=False, hot=['{"k0":7}'])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in plan
+    assert out.where("tk = 70").count() == 5000
+
+
+def test_check_fk_shuffle_path_equals_broadcast(spark, monkeypatch):
+    from starweave.operators import constraints
+
+    child = spark.createDataFrame([(i % 5 if i % 7 else None, i) for i in range(200)], "fk int, i int")
+    parent = spark.createDataFrame([(0,), (1,), (1,), (2,)], "pk int")
+    want = [(r.fk, r.i) for r in child.collect() if r.fk in (3, 4)]
+    assert rows(constraints.check_fk(child, ["fk"], parent, ["pk"])) == sorted(want)
+    assert rows(constraints.check_fk(child, ["fk"], parent, ["pk"], hot=['{"k0":3}', '{"k0":1}'])) == sorted(want)

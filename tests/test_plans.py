@@ -1,9 +1,13 @@
 """Plan shape: pushdown, pruning, pre-shuffle reduction, no single-task numbering of base rows."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from starweave.operators import keys
+from starweave.operators import joins, keys
 from starweave.plans import scenario as S
+from starweave.plans.facts import resolve_keys
+from starweave.sources import files
 
 D = "/root/testdata/sf0.01"
 
@@ -26,20 +30,49 @@ def test_flat_line_read_is_pruned_and_filter_pushed(spark):
     assert "l_quantity" not in schema and "p_type" not in schema
 
 
-def test_range_numbering_for_large_inputs(spark):
+def test_numbering_reads_sizes_and_rows_from_the_same_files(spark):
     df = spark.range(0, 200000).select((F.col("id") * 7919 % 200000).alias("k"))
     plan = _plan(keys.dense_number(df, ["k"], "tk", partitions=8))
-    assert "rangepartitioning" in plan
-    single = [ln for ln in plan.splitlines() if "SinglePartition" in ln]
-    assert len(single) <= 1  # only the per-partition size table
-
-
-def test_range_numbering_reads_one_shuffle(spark):
-    df = spark.range(0, 50000).select((F.col("id") * 7919 % 50000).alias("k"), (F.col("id") % 3).alias("v"))
-    out = keys.dense_number(df, ["k"], "tk", partitions=4, materialize_input=False)
-    qe = out._jdf.queryExecution()
-    qe.toRdd().count()
-    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
-    own = [ln for ln in final.splitlines() if "Exchange rangepartitioning" in ln and "ReusedExchange" not in ln]
-    assert len(own) == 1  # the other branch names it inside its ReusedExchange line
+    # rows come numbered from files: no range exchange is left that could be evaluated twice
+    assert "rangepartitioning" not in plan and plan.count("FileScan parquet") == 2
+    assert len([ln for ln in plan.splitlines() if "SinglePartition" in ln]) <= 1  # only the size table
+
+
+def test_compressible_table_is_neither_broadcast_nor_sorted_in_one_task(spark):
+    # 3 million wide rows that compress to almost nothing on disk
+    wide = spark.range(0, 3_000_000).select((F.col("id") % 1000).alias("k"), F.lit("x" * 100).alias("a"), F.lit("y" * 100).alias("b"))
+    written = files.materialize(wide, "compressible")
+    count, size = files.measured(written)
+    assert count == 3_000_000 and size > 600_000_000
+    assert not joins.fits_broadcast(written)
+    assert keys.range_partitions(spark, size) > 8
+    fact = spark.range(0, 1000).select((F.col("id") % 1000).alias("f"))
+    plan = joins.lookup_join(fact, written.select("k", "a"), [(F.col("f"), "k")], broadcast=joins.fits_broadcast(written))
+    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_projections_scan_their_columns_only(spark):
+    from starweave.plans.catalog import QUERIES
+
+    for name, used in {"distinct_rows": {"o_custkey", "o_orderstatus"}, "synthetic_measure": {"o_orderkey"}, "recode_small": {"event_id", "event_type"},
+                       "project_cols": {"c_custkey", "c_name", "c_mktsegment"}, "head_n": None, "cast_types": {"o_orderkey", "o_custkey", "o_orderstatus"}}.items():
+        plan = _plan(QUERIES[name](spark, D))
+        schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+        if used:
+            assert {c.split(":")[0] for s in schemas for c in s.split(",")} == used, name
+        if name not in ("distinct_rows", "head_n"):
+            assert "Exchange" not in plan, name
+
+
+def test_four_lookups_take_one_sampling_job(spark):
+    S.written_dims(spark, D)
+    lookups, staging = S.fact_lookups(spark, D), S.staging(spark, D)
+    spark.conf.set("spark.starweave.broadcastBytes", "0")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookups", "plan building only")
+    try:
+        resolve_keys(staging, lookups, ["deaths"])
+        assert len(tracker.getJobIdsForGroup("lookups")) <= 3  # adaptive stages of one query
+    finally:
+        spark.conf.unset("spark.starweave.broadcastBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

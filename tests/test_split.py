@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -39,3 +40,22 @@ def test_split_edge_fractions(spark):
     df = spark.range(0, 10).select(F.col("id").alias("k"))
     assert sp.split_flag(df, ["k"], 0.0, 1).filter("is_test").count() == 0
     assert sp.split_flag(df, ["k"], 1.0, 1).filter("is_test").count() == 10
+
+
+def test_null_keys_are_a_value_like_any_other(spark):
+    df = spark.range(0, 1000).select(F.when(F.col("id") % 1000 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    rest, sample = sp.exact_split(df, ["k"], 0.25, 1)
+    assert (rest.count(), sample.count()) == (750, 250)
+
+
+@pytest.mark.parametrize("key", ["v % 10", "1", "cast(null as long)"])
+def test_keys_that_do_not_identify_rows_are_refused(spark, key):
+    df = spark.range(0, 1000).selectExpr("id AS v").selectExpr(f"{key} AS k", "v")
+    with pytest.raises(ValueError, match="not unique|does not identify"):
+        sp.exact_split(df, ["k"], 0.25, 1)
+
+
+def test_many_equal_hashes_are_not_sorted_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(sp, "FINAL_ROWS", 50)
+    with pytest.raises(ValueError, match="does not identify"):
+        sp.split_flag(spark.range(0, 500).selectExpr("1 AS k"), ["k"], 0.5, 1)
