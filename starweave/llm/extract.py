@@ -175,6 +175,7 @@ def fit(pages: DataFrame, url: str = "url", html: str = "html") -> dict:
     marked = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[ \\t\\r\\n>]"))
     marked = marked.withColumn("key", F.xxhash64("html"))
     chosen = marked.select("url", "key").distinct().orderBy(F.xxhash64("url"), "url", "key").limit(SAMPLE_PAGES)
+    chosen = F.broadcast(chosen)  # at most SAMPLE_PAGES rows
     sample = marked.join(chosen, marked["url"].eqNullSafe(chosen["url"]) & (marked["key"] == chosen["key"]), "left_semi")
 
     def count(batches):

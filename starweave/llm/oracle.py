@@ -6,6 +6,20 @@ _SPACE_WORD = r"'[^\x20\x09-\x0D]+'"
 _BENCH_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# Fixed value: the pattern of assignments.
+_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+# Matches of each kind and the texts between them, whose lengths give the places.
+_PIECES = "\n    UNION ALL ".join(
+    f"SELECT row, {kind} AS kind, {least} AS least_n, {_sql(rx)} AS rx, regexp_extract_all(text, {_sql(rx)}) AS m, string_split_regex(text, {_sql(rx)}) AS p FROM d"
+    for kind, rx, least in ((0, _ASSIGN, 8), (1, "AKIA[A-Z0-9]+", 16), (2, "[0-9a-f]+", 32), (3, "[A-Za-z0-9_-]+", 20))
+)
+
 ORACLE: dict[str, str] = {
     "op2_exact_top_k": """
 WITH v AS (
@@ -59,5 +73,104 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
+""",
+    # up to 50,000 documents a bucket, where a bucket is one shard
+    "op3_length_buckets": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), {_SPACE_WORD})) AS BIGINT) AS n_tokens FROM documents
+), q AS (
+  SELECT *, 2.0 ** (floor(log2(greatest(n_tokens, 1))) - 8) AS fine FROM d
+), b AS (
+  SELECT row_number() OVER (ORDER BY max(n_tokens)) AS j, max(n_tokens) AS top, count(*) AS n, sum(n_tokens) AS total
+  FROM q GROUP BY ceil(n_tokens / greatest(fine, 1.0)), greatest(fine, 1.0)
+), c AS (
+  SELECT 0 AS j, 0 AS top, 0 AS n, 0 AS total
+  UNION ALL SELECT j, top, sum(n) OVER (ORDER BY j), sum(total) OVER (ORDER BY j) FROM b
+), pad AS (  -- padding of a bucket over the bins after i up to j
+  SELECT lo.j AS i, hi.j AS j, hi.top * (hi.n - lo.n) - (hi.total - lo.total) AS cost FROM c lo JOIN c hi ON lo.j < hi.j
+), dp AS (
+  SELECT 1 AS k, j, cost, CAST(0 AS BIGINT) AS i FROM pad WHERE i = 0
+  UNION ALL
+  SELECT dp.k + 1, pad.j, min(dp.cost + pad.cost), arg_min(pad.i, struct_pack(c := dp.cost + pad.cost, i := pad.i))
+  FROM dp JOIN pad ON pad.i = dp.j
+  WHERE dp.k < (SELECT least(12, count(*)) FROM b) AND dp.j >= dp.k GROUP BY dp.k, pad.j
+), cut AS (
+  SELECT k, j, i FROM dp WHERE k = (SELECT least(12, count(*)) FROM b) AND j = (SELECT count(*) FROM b)
+  UNION ALL
+  SELECT dp.k, dp.j, dp.i FROM cut JOIN dp ON dp.k = cut.k - 1 AND dp.j = cut.i
+), ends AS (
+  SELECT cut.k - 1 AS bucket, CAST(b.top AS BIGINT) AS bucket_len FROM cut JOIN b ON cut.j = b.j
+), placed AS (
+  SELECT d.*, e.bucket, e.bucket_len, row_number() OVER (PARTITION BY e.bucket ORDER BY doc_id) - 1 AS place,
+         greatest(1, 65536 // greatest(1, e.bucket_len)) AS per_batch
+  FROM d ASOF JOIN ends e ON d.n_tokens <= e.bucket_len
+)
+SELECT doc_id, n_tokens, CAST(bucket AS INTEGER) AS bucket, bucket_len, bucket_len - n_tokens AS padding, CAST(0 AS BIGINT) AS shard,
+       place // per_batch AS batch, place % per_batch AS slot
+FROM placed
+""",
+    "op9_secrets": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents
+), kinds(kind, name, rx, least_n) AS (
+  VALUES (0, 'assign', {_sql(_ASSIGN)}, 8), (1, 'access', 'AKIA[A-Z0-9]+', 16), (2, 'hex', '[0-9a-f]+', 32), (3, 'token', '[A-Za-z0-9_-]+', 20)
+), pieces AS (
+  SELECT row, kind, least_n, rx, m, p FROM (
+    {_PIECES}
+  )
+), found AS (
+  SELECT row, kind, least_n, rx, unnest(m) AS hit, unnest(range(1, len(m) + 1)) AS nth, m, p FROM pieces WHERE len(m) > 0
+), spans AS (
+  SELECT row, kind, least_n, CASE WHEN kind = 0 THEN regexp_extract(hit, rx, 2) ELSE hit END AS value,
+         CAST(list_sum(list_transform(list_slice(p, 1, nth), lambda x: length(x))) + coalesce(list_sum(list_transform(list_slice(m, 1, nth - 1), lambda x: length(x))), 0) AS BIGINT) AS first,
+         length(hit) AS n
+  FROM found WHERE length(hit) >= least_n
+), base AS (
+  SELECT row, kind, value, first, first + n AS stop FROM spans WHERE kind < 3 AND length(value) >= least_n
+), tokens AS (
+  SELECT row, kind, value, first, first + n AS stop FROM spans s
+  WHERE kind = 3 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+    AND (SELECT -sum(k / length(value) * log2(k / length(value)))
+         FROM (SELECT count(*) AS k FROM (SELECT unnest(string_split(value, '')) AS ch) GROUP BY ch)) >= 3.5
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = s.row AND b.first < s.first + s.n AND b.stop > s.first)
+), every AS (
+  SELECT * FROM base UNION ALL SELECT * FROM tokens
+), owners AS (
+  SELECT value, count(DISTINCT owner) < 3 AS live FROM every JOIN d USING (row) GROUP BY value
+), shown AS (
+  SELECT row, string_agg(CASE WHEN kind < 3 OR live THEN name || ':' || first || ':' || stop END, ',' ORDER BY first, kind) AS spans,
+         string_agg(CASE WHEN kind < 3 THEN name || ':' || first || ':' || stop END, ',' ORDER BY first, kind) AS base,
+         count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex,
+         count_if(live) AS n_live, count_if(NOT live) AS n_example
+  FROM every JOIN owners USING (value) JOIN kinds USING (kind) GROUP BY row
+)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_example, 0) AS BIGINT) AS n_example
+FROM d LEFT JOIN shown USING (row)
+""",
+    "op10_suffix_dedup": """
+WITH d AS (  -- two hexadecimal digits a byte
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), w AS (
+  SELECT row, p, md5(substr(x, 2 * p + 1, 400)) AS s FROM d, unnest(range(0, length(x) // 2 - 199)) AS t(p)
+), again AS (
+  SELECT row, p FROM w SEMI JOIN (SELECT s FROM w GROUP BY s HAVING count(*) > 1) r ON w.s = r.s
+), runs AS (
+  SELECT row, min(p) AS first, max(p) + 200 AS stop
+  FROM (SELECT row, p, sum(fresh) OVER (PARTITION BY row ORDER BY p) AS run
+        FROM (SELECT row, p, CASE WHEN p - lag(p) OVER (PARTITION BY row ORDER BY p) <= 200 THEN 0 ELSE 1 END AS fresh FROM again))
+  GROUP BY row, run
+), gaps AS (  -- what is kept before each run
+  SELECT row, first, stop, coalesce(lag(stop) OVER (PARTITION BY row ORDER BY first), 0) AS since FROM runs
+), cut AS (
+  SELECT row, sum(stop - first) AS n_removed, count(*) AS n_spans, max(stop) AS last,
+         string_agg(substr(x, 2 * since + 1, 2 * (first - since)), '' ORDER BY first) AS before
+  FROM gaps JOIN d USING (row) GROUP BY row
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(before, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (row)
 """,
 }

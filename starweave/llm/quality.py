@@ -210,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray) -> dict | None:
     # ids that occur in the table, so that the bound counts rows with texts
     marked = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = marked.withColumn("rn", F.row_number().over(near)).where(F.col("rn") <= SAMPLE_PER_LABEL).select("doc_id", "y")
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id")
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * SAMPLE_PER_LABEL rows
 
     def features(b):
         return [pa.array([pooled(t, vectors).tolist() for t in texts(b)], pa.list_(pa.float32()))]
