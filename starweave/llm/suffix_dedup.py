@@ -10,16 +10,20 @@ Equal strings of LENGTH bytes hold an anchor at the same place, with at least
 a prefix that repeats. Ranks are 64-bit fingerprints of what they stand for;
 they need no renumbering and tell equal from unequal like numbers do.
 
+Every start of LENGTH bytes belongs to one anchor, the least of the SPAN positions
+from it on; equal strings have theirs at the same distance.
+
 1. The anchors of every text are ranked by their first PREFIX bytes. Spark sorts
    the ranks; unique ones go. What repeats inside one batch of texts is known
    already, and only one row for it is sent, so that no common rank fills a task.
 2. Each remaining anchor's surroundings are sorted by rank, so that whole rank
    classes meet. There, prefixes are doubled: the rank of twice the length is that
    of the pair (rank, rank at the offset), from single bytes until LENGTH is
-   reached, for every start that the anchor stands for. A start repeats if its rank
-   occurs again in the class at the same distance from its anchor.
+   reached, for every start that belongs to the anchor. A start repeats if its
+   rank occurs again in the class at the same distance from its anchor.
 3. Classes of more than ``HOT`` anchors are never gathered: their starts are ranked
-   where the texts are, and counted by Spark with partial sums.
+   where the texts are, a rank that repeats inside a text is settled there, and
+   Spark counts one row per text and rank with partial sums.
 
 Texts that are equal as a whole are ranked once: all bytes of such texts go if they
 have LENGTH bytes. Texts are told apart by a 64-bit hash.
@@ -44,17 +48,22 @@ PREFIX = LENGTH - SPAN
 HOT = 16_384
 BATCH = 8_192  # anchors that are ranked at once, and whole classes beyond
 _MASK = np.uint64((1 << 24) - 1)
-_CHUNK = 1 << 23  # bytes of a text that are scanned at once
+_CHUNK = 1 << 22  # starts of a text that are scanned at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_BYTE = np.random.default_rng(13).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # rank of a single byte
+_POWER = [pow(int(_A), 1 << i, 1 << 64) for i in range(64)]
+
 
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first start, last start) of a whole text: the starts of LENGTH bytes that belong to each anchor.
 
-def anchors(data: bytes) -> np.ndarray:
-    """Anchor positions of a whole text, ascending."""
+    A very long text is scanned in parts; an anchor whose starts lie in two parts comes twice.
+    """
+    last = len(data) - LENGTH  # the last start
     found = []
-    for at in range(0, max(1, len(data)), _CHUNK):
-        part = np.frombuffer(data, dtype=np.uint8, count=min(len(data) - at, _CHUNK + LENGTH), offset=at)
-        if len(part) < SPAN + GRAM - 1:
-            break
+    for at in range(0, last + 1, _CHUNK):
+        n = min(_CHUNK, last + 1 - at)
+        part = np.frombuffer(data, dtype=np.uint8, count=n + SPAN + GRAM - 2, offset=at)
         h = np.lib.stride_tricks.sliding_window_view(part, GRAM).copy().view(np.uint64).ravel()
         h *= _A
         h ^= h >> np.uint64(29)
@@ -66,63 +75,67 @@ def anchors(data: bytes) -> np.ndarray:
             low = np.minimum(low[:-step], low[step:])
             width += step
         pos = (low & _MASK).astype(np.int64)
-        found.append(at + pos[np.flatnonzero(np.append(True, pos[1:] != pos[:-1]))])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-
-def doubled(rank: np.ndarray, offset: int) -> np.ndarray:
-    """Ranks of the pairs (rank, rank at ``offset``), along the last axis."""
-    out = rank[..., :-offset] * _A
-    out ^= out >> np.uint64(29)
-    out += rank[..., offset:]
-    out *= _B
-    out ^= out >> np.uint64(32)
-    return out
+        first = np.flatnonzero(np.append(True, pos[1:] != pos[:-1]))
+        found.append((at + pos[first], at + first, at + np.append(first[1:], n) - 1))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def ranks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of all starts by LENGTH bytes, and by the power of two below."""
-    rank = (data.astype(np.uint64) + np.uint64(1)) * _A
-    width = 1
+    """Ranks of all starts by LENGTH bytes, and by the power of two below, by prefix doubling.
+
+    The rank of a pair is rank * odd + rank at the offset, with an odd number for
+    each length; equal strings have equal ranks wherever they are.
+    """
+    rank, width, step = _BYTE[data], 1, 0
     while 2 * width <= LENGTH:
-        rank = doubled(rank, width)
-        width *= 2
-    return (doubled(rank, LENGTH - width) if width < LENGTH else rank), rank
+        rank = rank[:-width] * np.uint64(_POWER[step]) + rank[width:]
+        width, step = 2 * width, step + 1
+    whole = rank[: -(LENGTH - width)] * _B + rank[LENGTH - width :] if width < LENGTH else rank.copy()
+    whole ^= whole >> np.uint64(32)
+    whole *= _A
+    whole ^= whole >> np.uint64(29)
+    return whole, rank
+
 
+def repeated_starts(contexts: list[bytes], back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For anchors of one or more whole classes: number of the first and last repeated start of each, (1, 0) if none.
 
-def repeated_starts(contexts: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For anchors with ``left`` bytes before them in their context: least and largest distance of a
-    repeated start before the anchor; (1, 0) if there is none. All anchors must differ in place."""
+    A context reaches from the anchor's first start to LENGTH bytes behind its
+    last; ``back`` is the distance from the first start to the anchor.
+    """
     n = len(contexts)
-    size = np.array([len(c) for c in contexts])
-    grid = np.zeros((n, SPAN - 1 + LENGTH), dtype=np.uint8)
-    flat = np.frombuffer(b"".join(contexts), dtype=np.uint8)
+    size = np.array([len(c) for c in contexts], dtype=np.int64)
     begin = np.cumsum(size) - size
-    col = np.arange(len(flat)) - np.repeat(begin, size) + np.repeat(SPAN - 1 - left, size)
-    grid[np.repeat(np.arange(n), size), col] = flat
-    rank, half = ranks(grid)
-    back = SPAN - 1 - np.arange(SPAN)  # distance of each column's start from the anchor
-    # the distance is part of the rank: a start is not to meet itself by way of another anchor
-    rank = rank ^ (back.astype(np.uint64) * _A)
-    inside = (back <= left[:, None]) & (LENGTH - back <= (size - left)[:, None])
-    at = np.flatnonzero(inside.ravel())
-    value = rank.ravel()[at]
-    order = np.argsort(value, kind="stable")
-    value, at = value[order], at[order]
-    row, column = at // SPAN, at % SPAN
+    rank, half = ranks(np.frombuffer(b"".join(contexts), dtype=np.uint8))
+    starts = size - LENGTH + 1
+    row = np.repeat(np.arange(n), starts)
+    number = np.arange(len(row)) - np.repeat(np.cumsum(starts) - starts, starts)
+    at = begin[row] + number
+    # the distance to the anchor is part of the rank: starts belong to one anchor each
+    value = rank[at] ^ ((back[row] - number).astype(np.uint64) * _A)
+    order = np.argsort(value)
+    value, spot = value[order], at[order]
     same = value[1:] == value[:-1]
+    other = LENGTH - half_width()
     # what the last pair was made of must be equal as well
-    same &= (half[row[1:], column[1:]] == half[row[:-1], column[:-1]]) & (half[row[1:], column[1:] + LENGTH % half_width()] == half[row[:-1], column[:-1] + LENGTH % half_width()])
-    again = np.zeros(len(at), dtype=bool)
+    same &= (half[spot[1:]] == half[spot[:-1]]) & (half[spot[1:] + other] == half[spot[:-1] + other])
+    again = np.zeros(len(value), dtype=bool)
     again[1:] |= same
     again[:-1] |= same
-    least, most = np.full(n, SPAN), np.full(n, -1)
-    np.minimum.at(least, row[again], back[column[again]])
-    np.maximum.at(most, row[again], back[column[again]])
-    return np.where(most < 0, 1, least), np.where(most < 0, 0, most)
+    hit = np.zeros(len(value), dtype=bool)
+    hit[order] = again
+    row, number = row[hit], number[hit]
+    first, last = np.full(n, 1), np.zeros(n, dtype=np.int64)
+    if len(row):
+        edge = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        first[row[edge]], last[row[edge]] = number[edge], number[np.append(edge[1:], len(row)) - 1]
+    return first, last
 
 
 def half_width() -> int:
+    """The largest power of two up to LENGTH."""
     return 1 << (LENGTH.bit_length() - 1)
 
 
@@ -131,96 +144,105 @@ def _key():
 
 
 def _rank_anchors(docs: DataFrame) -> DataFrame:
-    """(rank, key, pos, known) of all anchors; known: the rank repeats within the batch."""
+    """(rank, key, pos, back, starts, known) of all anchors; known: the rank repeats within the batch."""
 
     def run(batches):
         for b in batches:
-            name, key, pos, seen = [], [], [], set()
+            rank, key, cols, seen = [], [], [], set()
             for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if k in seen:
                     continue
                 seen.add(k)
                 data = text.encode("utf-8", "surrogatepass")
-                at = anchors(data)
-                at = at[at + PREFIX <= len(data)]
-                name.append(np.fromiter((xxhash.xxh64_intdigest(data[i : i + PREFIX]) for i in at.tolist()), dtype=np.uint64, count=len(at)))
-                key.append(np.full(len(at), k, dtype=np.int64))
-                pos.append(at)
-            if not name:
+                pos, first, last = anchors(data)
+                rank.append(np.fromiter((xxhash.xxh64_intdigest(data[i : i + PREFIX]) for i in pos.tolist()), dtype=np.uint64, count=len(pos)))
+                key.append(np.full(len(pos), k, dtype=np.int64))
+                cols.append((pos, (pos - first).astype(np.int32), (last - first + 1).astype(np.int32)))
+            if not rank:
                 continue
-            name, key, pos = np.concatenate(name).view(np.int64), np.concatenate(key), np.concatenate(pos)
-            _, which, n = np.unique(name, return_inverse=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(key), pa.array(pos), pa.array(n[which] > 1)], names=["rank", "key", "pos", "known"])
+            rank, key = np.concatenate(rank).view(np.int64), np.concatenate(key)
+            cols = [np.concatenate(c) for c in zip(*cols)]
+            _, which, n = np.unique(rank, return_inverse=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (rank, key, *cols, n[which] > 1)], names=["rank", "key", "pos", "back", "starts", "known"])
 
     long = docs.where(F.octet_length("text") >= LENGTH).select(_key().alias("key"), "text")
-    return save(long.mapInArrow(run, "rank long, key long, pos long, known boolean"), "anchors")
+    return save(long.mapInArrow(run, "rank long, key long, pos long, back int, starts int, known boolean"), "anchors")
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """(rank, key, pos, hot) of the anchors whose first PREFIX bytes occur at another place too."""
+    """(rank, key, pos, back, starts, hot) of the anchors whose first PREFIX bytes occur at another place too."""
     ranked = _rank_anchors(docs)
-    known = ranked.where("known").select("rank", "key", "pos")
+    names = ["rank", "key", "pos", "back", "starts"]
+    known = ranked.where("known").select(*names)
     place = F.xxhash64("key", "pos")
-    sent = ranked.where("not known").select("rank", "key", "pos", place.alias("place"))
+    sent = ranked.where("not known").select(*names, place.alias("place"))
     # one row stands for all that a batch knows to repeat; it differs from every place
-    sent = sent.union(known.select("rank").distinct().selectExpr("rank", "cast(null as long)", "cast(null as long)", "-1L"))
+    sent = sent.union(known.select("rank").distinct().selectExpr("rank", "cast(null as long)", "cast(null as long)", "0", "0", "-1L"))
     near = Window.partitionBy("rank")
     met = sent.withColumn("low", F.min("place").over(near)).withColumn("high", F.max("place").over(near)).where("low <> high and key is not null")
-    found = save(known.union(met.select("rank", "key", "pos")).distinct(), "repeated-anchors")
+    found = save(known.union(met.select(*names)).distinct(), "repeated-anchors")
     common = found.groupBy("rank").count().where(F.col("count") > HOT).select("rank", F.lit(True).alias("hot"))
-    return found.join(common, "rank", "left").select("rank", "key", "pos", F.coalesce("hot", F.lit(False)).alias("hot"))
+    return found.join(common, "rank", "left").select(*names, F.coalesce("hot", F.lit(False)).alias("hot"))
 
 
-def _surroundings(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of common classes the starts with their ranks, of all others the anchors with the bytes around them."""
+_ANCHOR, _START, _SPAN = 0, 1, 2
+
+
+def _surroundings(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of three kinds: anchors of small classes with the bytes around them (pos: first start; back), starts of
+    common classes with their two ranks (one for each rank in a text), and spans that one text settles (pos, back: end)."""
     whole = docs.where(F.octet_length("text") >= LENGTH).groupBy(_key().alias("key")).agg(F.first("text").alias("text"))
-    places = found.groupBy("key").agg(F.collect_list(F.struct("pos", "rank", "hot")).alias("places"))
+    places = found.groupBy("key").agg(F.collect_list(F.struct("pos", "rank", "back", "starts", "hot")).alias("places"))
     rows = whole.join(places, "key").select("key", "text", "places")
-    kind = pa.schema([("rank", pa.int64()), ("key", pa.int64()), ("pos", pa.int64()), ("left", pa.int32()), ("around", pa.binary()), ("rank2", pa.int64())])
+    shape = pa.schema([("kind", pa.int32()), ("rank", pa.int64()), ("rank2", pa.int64()), ("key", pa.int64()), ("pos", pa.int64()), ("back", pa.int64()), ("around", pa.binary())])
+
+    def batch(kind, key, pos, rank=None, rank2=None, back=None, around=None):
+        n = len(pos)
+        cols = [np.full(n, kind, np.int32), rank, rank2, np.full(n, key), pos, back]
+        cols = [pa.nulls(n, f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, shape)]
+        return pa.RecordBatch.from_arrays([*cols, pa.nulls(n, pa.binary()) if around is None else pa.array(around, pa.binary())], schema=shape)
 
     def run(batches):
         for b in batches:
             for key, text, found in zip(*(b.column(i) for i in range(3))):
-                data, key = text.as_py().encode("utf-8", "surrogatepass"), key.as_py()
-                spots = found.values
-                pos, rank, hot = (spots.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "rank", "hot"))
-                cold = ~hot.astype(bool)
-                for i in range(0, int(cold.sum()), BATCH):
-                    p, r = pos[cold][i : i + BATCH], rank[cold][i : i + BATCH]
-                    left = np.minimum(p, SPAN - 1)
-                    around = [data[x - y : x + LENGTH] for x, y in zip(p.tolist(), left.tolist())]
-                    none = pa.nulls(len(p), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(r), pa.array(np.full(len(p), key)), pa.array(p), pa.array(left.astype(np.int32)), pa.array(around, pa.binary()), none], schema=kind)
-                for p, first, second in _starts(data, pos[~cold]):
-                    yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(np.full(len(p), key)), pa.array(p), pa.nulls(len(p), pa.int32()), pa.nulls(len(p), pa.binary()), pa.array(second)], schema=kind)
-
-    made = save(rows.mapInArrow(run, "rank long, key long, pos long, left int, around binary, rank2 long"), "surroundings")
-    return made.where("left is null"), made.where("left is not null")
-
-
-def _starts(data: bytes, pos: np.ndarray):
-    """Yields (starts, two ranks) of all starts that the anchors at ``pos`` stand for, each once."""
-    if not len(pos):
-        return
-    last = len(data) - LENGTH
-    for at in range(0, last + 1, 1 << 16):  # bounded memory for very long texts
-        end = min(last + 1, at + (1 << 16))
-        mine = pos[(pos >= at) & (pos < end + SPAN)]
-        if not len(mine):
-            continue
-        mark = np.zeros(end - at + 1, dtype=np.int64)
-        np.add.at(mark, np.clip(mine - (SPAN - 1) - at, 0, end - at), 1)
-        np.add.at(mark, np.clip(mine + 1 - at, 0, end - at), -1)
-        here = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+                data, key, spots = text.as_py().encode("utf-8", "surrogatepass"), key.as_py(), found.values
+                pos, rank, back, starts, hot = (spots.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "rank", "back", "starts", "hot"))
+                hot = hot.astype(bool)
+                first = pos - back
+                for i in range(0, int((~hot).sum()), BATCH):
+                    p, n = first[~hot][i : i + BATCH], starts[~hot][i : i + BATCH]
+                    around = [data[x : x + y + LENGTH - 1] for x, y in zip(p.tolist(), n.tolist())]
+                    yield batch(_ANCHOR, key, p, rank[~hot][i : i + BATCH], None, back[~hot][i : i + BATCH], around)
+                if hot.any():
+                    p, one, two = _starts(data, first[hot], starts[hot])
+                    _, at, which, n = np.unique(one, return_index=True, return_inverse=True, return_counts=True)
+                    settled = union([(x, x + LENGTH) for x in p[n[which] > 1].tolist()])
+                    if settled:
+                        yield batch(_SPAN, key, [x for x, _ in settled], back=[y for _, y in settled])
+                    for i in range(0, len(at), 1 << 16):
+                        j = at[i : i + (1 << 16)]
+                        yield batch(_START, key, p[j], one[j], two[j])
+
+    return save(rows.mapInArrow(run, "kind int, rank long, rank2 long, key long, pos long, back long, around binary"), "surroundings")
+
+
+def _starts(data: bytes, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, two ranks) of all starts first, first + 1 ... of which each anchor has ``count``."""
+    pos = np.sort(np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count))
+    one, two = [], []
+    for at in range(0, len(data) - LENGTH + 1, 1 << 16):  # bounded memory for very long texts
+        here = pos[np.searchsorted(pos, at) : np.searchsorted(pos, at + (1 << 16))] - at
         if len(here):
-            rank, half = ranks(np.frombuffer(data, dtype=np.uint8, count=end - at + LENGTH - 1, offset=at))
-            other = half[here] * _B + half[here + LENGTH % half_width()]
-            yield here + at, rank[here].view(np.int64), other.view(np.int64)
+            part = np.frombuffer(data, dtype=np.uint8, count=min(len(data) - at, (1 << 16) + LENGTH), offset=at)
+            rank, half = ranks(part)
+            one.append(rank[here])
+            two.append(half[here] * _B + half[here + LENGTH - half_width()])
+    return pos, np.concatenate(one).view(np.int64), np.concatenate(two).view(np.int64)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(key, begin, end): stretches of text ``key`` that repeated strings of LENGTH bytes cover."""
-    hot, cold = _surroundings(docs, repeated_anchors(docs))
+    made = _surroundings(docs, repeated_anchors(docs))
 
     def classes(batches):
         held: list = []
@@ -239,17 +261,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     def judged(t):
         pos, key = t.column("pos").to_numpy(), t.column("key").to_numpy()
-        least, most = repeated_starts(t.column("around").to_pylist(), t.column("left").to_numpy().astype(np.int64))
-        yes = least <= most
-        yield pa.RecordBatch.from_arrays([pa.array(key[yes]), pa.array((pos - most)[yes]), pa.array((pos - least)[yes] + LENGTH)], names=["key", "begin", "end"])
-
-    sorted_ = cold.select("rank", "key", "pos", "left", "around").repartition("rank").sortWithinPartitions("rank")
-    spans = sorted_.mapInArrow(classes, "key long, begin long, end long")
-    # common classes: two different places of one rank
-    place = F.xxhash64("key", "pos")
-    again = hot.groupBy("rank", "rank2").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("rank", "rank2")
+        first, last = repeated_starts(t.column("around").to_pylist(), t.column("back").to_numpy())
+        yes = first <= last
+        yield pa.RecordBatch.from_arrays([pa.array(key[yes]), pa.array((pos + first)[yes]), pa.array((pos + last)[yes] + LENGTH)], names=["key", "begin", "end"])
+
+    cold = made.where(F.col("kind") == _ANCHOR).select("rank", "key", "pos", "back", "around")
+    spans = cold.repartition("rank").sortWithinPartitions("rank").mapInArrow(classes, "key long, begin long, end long")
+    settled = made.where(F.col("kind") == _SPAN).select("key", F.col("pos").alias("begin"), F.col("back").alias("end"))
+    # common classes: a rank of two different texts
+    hot = made.where(F.col("kind") == _START).select("rank", "rank2", "key", "pos")
+    again = hot.groupBy("rank", "rank2").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("rank", "rank2")
     common = hot.join(again, ["rank", "rank2"]).select("key", F.col("pos").alias("begin"), (F.col("pos") + LENGTH).alias("end"))
-    return spans.union(common)
+    return spans.union(settled).union(common)
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

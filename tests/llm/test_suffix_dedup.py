@@ -64,16 +64,34 @@ def test_empty_table_and_one_row(spark, make_docs):
 
 def test_anchors_follow_the_content():
     rnd = np.random.default_rng(5)
-    same = rnd.integers(0, 255, 600, dtype=np.uint8).tobytes()
+    same = rnd.integers(0, 255, 900, dtype=np.uint8).tobytes()
     a, b = rnd.bytes(777) + same + rnd.bytes(100), rnd.bytes(31) + same
-    inside = lambda d, at: {x - at for x in S.anchors(d).tolist() if at + S.SPAN <= x < at + 600 - S.SPAN - S.GRAM}
-    assert inside(a, 777) == inside(b, 31) != set()
-    starts = S.anchors(a)
-    assert np.diff(starts).max() <= S.SPAN
+
+    def owners(d, at):
+        """Distance from each start inside ``same`` to its anchor."""
+        out = {}
+        for pos, first, last in zip(*(x.tolist() for x in S.anchors(d))):
+            assert first <= last and first <= pos < first + S.SPAN
+            out |= {p - at: pos - p for p in range(first, last + 1)}
+        assert sorted(out) == [p - at for p in range(len(d) - S.LENGTH + 1)]
+        return [out[p] for p in range(900 - S.LENGTH + 1)]
+
+    assert owners(a, 777) == owners(b, 31)
 
 
 def test_long_texts_are_scanned_in_parts(monkeypatch):
     data = np.random.default_rng(6).bytes(20000)
-    want = S.anchors(data)
+    spread = lambda x: [(p, int(a)) for a, f, e in zip(*x) for p in range(f, e + 1)]
+    want = spread(S.anchors(data))
     monkeypatch.setattr(S, "_CHUNK", 1000)
-    assert S.anchors(data).tolist() == want.tolist()
+    assert spread(S.anchors(data)) == want
+
+
+def test_ranks_are_those_of_the_strings():
+    data = np.frombuffer((b"abc" * 200 + b"x" + b"abc" * 150), dtype=np.uint8)
+    rank, _ = S.ranks(data)
+    by_rank, by_string = {}, {}
+    for i in range(len(data) - S.LENGTH + 1):
+        by_rank.setdefault(int(rank[i]), set()).add(i)
+        by_string.setdefault(bytes(data[i : i + S.LENGTH]), set()).add(i)
+    assert sorted(map(sorted, by_rank.values())) == sorted(map(sorted, by_string.values()))
