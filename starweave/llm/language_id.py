@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, pieces, remainder, texts, unused
+from starweave.llm.common import add_columns, pieces, remainder, save, texts, unused
 
 DIMS = 1 << 14
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANG = 800
+BROADCAST_ROWS = 200_000  # ids of the sample
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.002
 MIN_SCORE = 0.35  # the pipeline rejects documents below it
@@ -140,6 +141,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
     near = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = rows.select("id", "lang").withColumn("rn", F.row_number().over(near)).where(F.col("rn") <= SAMPLE_PER_LANG).select("id", "lang").distinct()
+    chosen = save(chosen, "language-sample")
+    # SAMPLE_PER_LANG rows a language; languages are counted, since labels may be anything
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
     sample = rows.join(chosen, ["id", "lang"], "left_semi")
 
     def featurise(b):
