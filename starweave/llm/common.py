@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,20 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)
 
 
+def bounded_sample(rows: DataFrame, group: str, ids: Sequence[str], size: int) -> DataFrame:
+    """(group, *ids): at most ``size`` different ids of each group, those with the smallest hash.
+
+    The groups' counts first give a cut by hash that leaves about four times as
+    many rows as are wanted, so that no task ranks more than that of a group.
+    """
+    rows = rows.select(group, *ids)
+    counts = rows.groupBy(F.col(group).alias("_sw_group")).agg(F.count("*").alias("_sw_n"))
+    place = F.pmod(F.xxhash64(*ids), F.lit(1 << 32)) / float(1 << 32)
+    near = rows.join(counts, rows[group] == counts["_sw_group"]).where(place * F.col("_sw_n") <= 4 * size).select(group, *ids).distinct()
+    order = Window.partitionBy(group).orderBy(F.xxhash64(*ids), *ids)
+    return near.withColumn("_sw_rank", F.row_number().over(order)).where(F.col("_sw_rank") <= size).drop("_sw_rank")
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

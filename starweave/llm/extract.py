@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns
+from starweave.llm.common import add_columns, bounded_sample
 
 SAMPLE_PAGES = 1000
 # Weights of features that no labelled page shows.
@@ -174,8 +174,8 @@ def fit(pages: DataFrame, url: str = "url", html: str = "html") -> dict:
     """Weights from at most ``SAMPLE_PAGES`` labelled pages; none if no page is labelled."""
     marked = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[ \\t\\r\\n>]"))
     marked = marked.withColumn("key", F.xxhash64("html"))
-    chosen = marked.select("url", "key").distinct().orderBy(F.xxhash64("url"), "url", "key").limit(SAMPLE_PAGES)
-    chosen = F.broadcast(chosen)  # at most SAMPLE_PAGES rows
+    chosen = bounded_sample(marked.withColumn("all", F.lit(1)), "all", ["url", "key"], SAMPLE_PAGES)
+    chosen = F.broadcast(chosen.select("url", "key"))  # at most SAMPLE_PAGES rows
     sample = marked.join(chosen, marked["url"].eqNullSafe(chosen["url"]) & (marked["key"] == chosen["key"]), "left_semi")
 
     def count(batches):

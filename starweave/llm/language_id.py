@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, pieces, remainder, save, texts, unused
+from starweave.llm.common import add_columns, bounded_sample, pieces, remainder, save, texts, unused
 
 DIMS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -120,7 +120,6 @@ def train(rows: list, langs: list[str], idf: np.ndarray) -> tuple[np.ndarray, np
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict:
     """A model from every row of ``docs`` that has a language. Bounded: DIMS x languages."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null")
 
     def frequencies(batches):
@@ -139,9 +138,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     for at, n in df.items():
         idf[at] = np.log((1.0 + total) / (1.0 + n)) + 1.0
 
-    near = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("rn", F.row_number().over(near)).where(F.col("rn") <= SAMPLE_PER_LANG).select("id", "lang").distinct()
-    chosen = save(chosen, "language-sample")
+    chosen = save(bounded_sample(rows, "lang", ["id"], SAMPLE_PER_LANG), "language-sample")
     # SAMPLE_PER_LANG rows a language; languages are counted, since labels may be anything
     chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
     sample = rows.join(chosen, ["id", "lang"], "left_semi")

@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, pieces, remainder, texts
+from starweave.llm.common import add_columns, bounded_sample, pieces, remainder, texts
 
 SLOTS = 1 << 12
 DIMS = 32
@@ -206,10 +206,9 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray) -> dict | None:
     larger of its labels.
     """
     marked = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("double").alias("y"))
-    near = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
     # ids that occur in the table, so that the bound counts rows with texts
     marked = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
-    chosen = marked.withColumn("rn", F.row_number().over(near)).where(F.col("rn") <= SAMPLE_PER_LABEL).select("doc_id", "y")
+    chosen = bounded_sample(marked, "y", ["doc_id"], SAMPLE_PER_LABEL)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * SAMPLE_PER_LABEL rows
 
     def features(b):

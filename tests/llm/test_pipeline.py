@@ -52,3 +52,24 @@ def test_nothing_left(spark, make_docs, rows):
         docs = stage(spark, docs, "/root/testdata/sf0.001")
     assert docs.collect() == []
     assert language_id.MIN_SCORE < 0.5
+
+
+EXTRA = ["code", "component", "node", "gone", "gone_id", "gone_key", "key", "row", "spans", "span", "w", "hash", "gram", "lang_pred", "score",
+         "cut", "cut_id", "text_key", "id", "owner", "n_tokens", "bucket", "shard", "at", "n", "rank"]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_with_clashing_columns_nulls_and_repeats(spark, make_docs, name, stage):
+    good = "the and of that with some words here"
+    rows = [(i, f"{good} number {i} " + "abc "[: i % 4] * i, "en") for i in range(30)] + [(40, "x " * 100000, "en"), (None, f"{good} no id", None, None)]
+    docs = make_docs(rows + [rows[3]]).selectExpr("*", *[f"{i} AS {c}" for i, c in enumerate(EXTRA)])
+    out = stage(spark, docs, "/root/testdata/sf0.001")
+    got = out.collect()
+    if name == "packing":
+        assert len(got) == len(rows) + 1 and "batch" in out.columns
+        return
+    assert out.columns == docs.columns
+    assert {r.doc_id for r in got} <= {r[0] for r in rows} and sum(r.doc_id == 3 for r in got) in (0, 2)
+    assert all(r[c] == i for r in got for i, c in enumerate(EXTRA))
+    if name in ("decontamination", "secrets"):
+        assert len(got) == len(rows) + 1
