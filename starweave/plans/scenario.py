@@ -98,6 +98,22 @@ def reset_stored(keep: tuple[str, ...] = ()) -> None:
         del _STORED[key]
 
 
+# The tables behind the written intermediates, and what their files looked like then.
+STAMPED = ("orders", "lineitem", "customer", "nation", "part")
+_STAMPS: dict[tuple[str, str], int] = {}
+
+
+def forget_stale(spark: SparkSession, d: str) -> None:
+    """Forget intermediates of ``d`` whose tables have other files by now (path, length, time of change)."""
+    key = (_app(spark), d)
+    files = spark.read.format("binaryFile").load([f"{d}/{t}.parquet" for t in STAMPED]).select("path", "length", "modificationTime")
+    stamp = files.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0]
+    if _STAMPS.setdefault(key, stamp) != stamp:
+        for k in [k for k in _STORED if k[:2] == key]:
+            del _STORED[k]
+        _STAMPS[key] = stamp
+
+
 def prepare_sources(spark: SparkSession, d: str) -> None:
     """Write the split orders and the flat line table (the reference's 80/20 files)."""
     order_split(spark, d)
