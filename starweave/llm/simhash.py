@@ -3,16 +3,17 @@
 Fingerprints: 64 bits from the XXH64 hashes of all 3-word shingles. Links: at
 most ``MAX_BITS`` differing bits, among the distinct fingerprints.
 
-Search. A code is cut into four 16-bit chunks; two codes within 3 bits agree in
-one chunk at least. For each of the four rotations that bring a chunk to the
-top, the codes are sorted by Gray rank over the cluster (range exchange) and cut
+Search. A code is cut into parts, four of 16 bits for up to ``FEW`` codes and five
+beyond; of two codes within 3 bits, all parts but three agree at least. For each
+choice of as many parts, those are brought to the top of the code, and the codes
+are sorted by Gray rank over the cluster (range exchange) and cut
 into blocks of at most ``BLOCK`` codes, so no key, however common, makes a
 block larger. Every block holds a hierarchy: neighbours in Gray order share most
 of their bits, and the bits on which all members of a group agree (mask and
 pattern) are kept once, in the group's node, the children keeping only what is
 left. A query walks down from the root, adds up the differing bits of the masked
 patterns and drops a whole group as soon as the sum is over the limit. Codes with
-the same top chunk lie in one block, or in a run of blocks; for such runs, the
+the same top parts lie in one block, or in a run of blocks; for such runs, the
 pairs of blocks whose root patterns differ in at most 3 bits are searched too.
 Links inside a block are merged at once, each code then gets one link to the
 first of its group, so the output stays linear; `connected` joins the rest.
@@ -20,6 +21,8 @@ first of its group, so the output stays linear; `connected` joins the rest.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -35,7 +38,7 @@ BLOCK = 4096
 FAN = 8
 QUERIES = 256  # codes that walk the index at once
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
-_TOP = np.uint64(0xFFFF000000000000)
+FEW = BLOCK << 16  # codes up to which equal top parts of 16 bits fit one block on average
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -71,8 +74,29 @@ def gray_rank(code: Column) -> Column:
     return code
 
 
-def rotated(code: Column, bits: int) -> Column:
-    return F.shiftleft(code, bits).bitwiseOR(F.shiftrightunsigned(code, 64 - bits)) if bits else code
+def layouts(parts: int) -> list[list[tuple[int, int, int]]]:
+    """For each choice of all parts but three: (old place, new place, bits) of every part, the chosen ones on top.
+
+    Places count from the lowest bit; the chosen parts come first in each list.
+    """
+    width = [64 // parts + (i < 64 % parts) for i in range(parts)]
+    low = [sum(width[:i]) for i in range(parts)]
+    out = []
+    for chosen in combinations(range(parts), parts - MAX_BITS):
+        at, layout = 64, []
+        for i in [*chosen, *(j for j in range(parts) if j not in chosen)]:
+            at -= width[i]
+            layout.append((low[i], at, width[i]))
+        out.append(layout)
+    return out
+
+
+def arranged(code: Column, layout: list[tuple[int, int, int]]) -> Column:
+    out = F.lit(0).cast("bigint")
+    for old, new, bits in layout:
+        part = F.shiftrightunsigned(code, old).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
+        out = out.bitwiseOR(F.shiftleft(part, new))
+    return out
 
 
 def build(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -90,8 +114,8 @@ def build(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels[::-1]
 
 
-def search(queries: np.ndarray, levels: list, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(query, leaf) numbers of codes that agree in the top chunk and differ in at most ``max_bits`` bits."""
+def search(queries: np.ndarray, levels: list, top: np.uint64, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """(query, leaf) numbers of codes that agree in the bits of ``top`` and differ in at most ``max_bits`` bits."""
     q = np.arange(len(queries))
     node = np.zeros(len(queries), dtype=np.int64)
     acc = np.zeros(len(queries), dtype=np.int64)
@@ -103,7 +127,7 @@ def search(queries: np.ndarray, levels: list, max_bits: int = MAX_BITS) -> tuple
             q, node, acc = q[inside], node[inside], acc[inside]
         x = (queries[q] ^ pattern[node]) & extra[node]
         acc = acc + np.bitwise_count(x)
-        near = (acc <= max_bits) & ((x & _TOP) == 0)
+        near = (acc <= max_bits) & ((x & top) == 0)
         q, node, acc = q[near], node[near], acc[near]
     return q, node
 
@@ -129,19 +153,23 @@ def _stars(nodes: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes[at], nodes[label[at]]
 
 
-def links_inside(codes: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def top_mask(bits: int) -> np.uint64:
+    return _ALL << np.uint64(64 - bits)
+
+
+def links_inside(codes: np.ndarray, nodes: np.ndarray, top: np.uint64, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     levels, label = build(codes), np.arange(len(codes))
     for i in range(0, len(codes), QUERIES):
-        q, leaf = search(codes[i : i + QUERIES], levels)
+        q, leaf = search(codes[i : i + QUERIES], levels, top, max_bits)
         q = q + i
         label = merge(label, q[leaf > q], leaf[leaf > q])
     return _stars(nodes, label)
 
 
-def links_between(a: np.ndarray, a_nodes: np.ndarray, b: np.ndarray, b_nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def links_between(a: np.ndarray, a_nodes: np.ndarray, b: np.ndarray, b_nodes: np.ndarray, top: np.uint64, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     levels, label = build(b), np.arange(len(a) + len(b))
     for i in range(0, len(a), QUERIES):
-        q, leaf = search(a[i : i + QUERIES], levels)
+        q, leaf = search(a[i : i + QUERIES], levels, top, max_bits)
         label = merge(label, q + i, leaf + len(a))
     return _stars(np.concatenate([a_nodes, b_nodes]), label)
 
@@ -160,13 +188,16 @@ def _nodes(value) -> np.ndarray:
     return np.frombuffer(value.as_py(), dtype=np.int64)
 
 
-def blocks(points: DataFrame) -> DataFrame:
-    """``points`` (code, node: unique codes) as blocks in Gray order, for each of the four rotations.
+def blocks(points: DataFrame, parts: int) -> DataFrame:
+    """``points`` (code, node: unique codes) as blocks in Gray order, for each layout of ``parts`` parts.
 
-    Columns: id, turn, first and last (top chunk of the rank, of the block's
-    ends), mask and pattern of the root, codes, nodes (binary, 8 bytes each).
+    Columns: id, turn (number of the layout), bits (of its top parts), first and
+    last (top parts of the rank, of the block's ends), mask and pattern of the
+    root, codes, nodes (binary, 8 bytes each).
     """
-    turns = F.explode(F.array(*[F.struct(F.lit(r).alias("turn"), rotated(F.col("code"), 16 * r).alias("code")) for r in range(4)]))
+    plans = layouts(parts)
+    bits = [sum(w for _, _, w in x[: parts - MAX_BITS]) for x in plans]
+    turns = F.explode(F.array(*[F.struct(F.lit(r).alias("turn"), arranged(F.col("code"), x).alias("code")) for r, x in enumerate(plans)]))
     spread = points.select("node", turns.alias("p")).select("node", "p.turn", "p.code")
     # xor with the sign bit makes the signed order that of the unsigned ranks
     ranked = spread.withColumn("rank", gray_rank(F.col("code")).bitwiseXOR(F.lit(-(1 << 63))))
@@ -175,8 +206,8 @@ def blocks(points: DataFrame) -> DataFrame:
     def row(turn, code, node, rank):
         every, some = np.bitwise_and.reduce(code), np.bitwise_or.reduce(code)
         mask = ~(every ^ some)
-        top = (rank[[0, -1]].view(np.uint64) >> np.uint64(48)).astype(np.int64)
-        return {"turn": int(turn), "first": int(top[0]), "last": int(top[1]), "mask": int(mask.view(np.int64)), "pattern": int((every & mask).view(np.int64)), "codes": code.tobytes(), "nodes": node.tobytes()}
+        top = (rank[[0, -1]].view(np.uint64) >> np.uint64(64 - bits[turn])).astype(np.int64)
+        return {"turn": int(turn), "bits": bits[turn], "first": int(top[0]), "last": int(top[1]), "mask": int(mask.view(np.int64)), "pattern": int((every & mask).view(np.int64)), "codes": code.tobytes(), "nodes": node.tobytes()}
 
     def cut(batches):
         held = None
@@ -197,32 +228,36 @@ def blocks(points: DataFrame) -> DataFrame:
             node, turn, code, rank = held
             yield pa.RecordBatch.from_pylist([row(turn[0], np.ascontiguousarray(code).view(np.uint64), node, rank)], schema=arrow)
 
-    arrow = pa.schema([("turn", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("mask", pa.int64()), ("pattern", pa.int64()), ("codes", pa.binary()), ("nodes", pa.binary())])
-    made = sorted_.mapInArrow(cut, "turn int, first long, last long, mask long, pattern long, codes binary, nodes binary")
+    arrow = pa.schema([("turn", pa.int32()), ("bits", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("mask", pa.int64()), ("pattern", pa.int64()), ("codes", pa.binary()), ("nodes", pa.binary())])
+    made = sorted_.mapInArrow(cut, "turn int, bits int, first long, last long, mask long, pattern long, codes binary, nodes binary")
     return save(made.withColumn("id", F.monotonically_increasing_id()), "simhash-blocks")
 
 
-def near_pairs(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(u, v): links between nodes whose components are those of all pairs within ``max_bits`` (at most 3) bits."""
-    if not 0 <= max_bits <= 3:
-        raise ValueError("the four chunks find pairs within 3 bits at most")
-    made = blocks(points)
+def near_pairs(points: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None) -> DataFrame:
+    """(u, v): links between nodes whose components are those of all pairs within ``max_bits`` (at most 3) bits.
+
+    ``parts`` (4 or more; default: by the number of codes) sets how finely the
+    search is spread; the components are the same.
+    """
+    if not 0 <= max_bits <= MAX_BITS:
+        raise ValueError(f"the parts find pairs within {MAX_BITS} bits at most")
+    made = blocks(points, parts or (MAX_BITS + 1 if points.count() <= FEW else MAX_BITS + 2))
 
     def inside(batches):
         for b in batches:
-            yield _edge_batch([links_inside(_codes(c), _nodes(n)) for c, n in zip(b.column(0), b.column(1))])
+            yield _edge_batch([links_inside(_codes(c), _nodes(n), top_mask(t.as_py()), max_bits) for c, n, t in zip(*b.columns)])
 
     def between(batches):
         for b in batches:
-            yield _edge_batch([links_between(_codes(a), _nodes(x), _codes(c), _nodes(y)) for a, x, c, y in zip(*b.columns)])
+            yield _edge_batch([links_between(_codes(a), _nodes(x), _codes(c), _nodes(y), top_mask(t.as_py()), max_bits) for a, x, c, y, t in zip(*b.columns)])
 
-    # blocks that begin or end within the same top chunk
+    # blocks that begin or end within the same top parts
     ends = made.withColumn("chunk", F.explode(F.array_distinct(F.array("first", "last"))))
     a, b = ends.alias("a"), ends.alias("b")
     differ = F.bit_count(F.col("a.pattern").bitwiseXOR(F.col("b.pattern")).bitwiseAND(F.col("a.mask")).bitwiseAND(F.col("b.mask")))
     runs = a.join(b, (F.col("a.turn") == F.col("b.turn")) & (F.col("a.chunk") == F.col("b.chunk")) & (F.col("a.id") < F.col("b.id")) & (differ <= max_bits))
-    pairs = runs.select("a.codes", "a.nodes", F.col("b.codes").alias("codes_b"), F.col("b.nodes").alias("nodes_b"))
-    out = made.select("codes", "nodes").mapInArrow(inside, "u long, v long")
+    pairs = runs.select("a.codes", "a.nodes", F.col("b.codes").alias("codes_b"), F.col("b.nodes").alias("nodes_b"), "a.bits")
+    out = made.select("codes", "nodes", "bits").mapInArrow(inside, "u long, v long")
     return out.union(pairs.mapInArrow(between, "u long, v long"))
 
 

@@ -1,6 +1,7 @@
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starweave.llm import simhash as S
 from starweave.llm.common import connected, table
@@ -33,8 +34,8 @@ def test_null_ids_repeated_rows_and_empty_table(spark, make_docs):
     assert S.query(make_docs([])).collect() == []
 
 
-@pytest.mark.parametrize("block,fan", [(4096, 8), (16, 3), (7, 2)])
-def test_index_finds_all_links_of_random_and_clustered_codes(spark, monkeypatch, block, fan):
+@pytest.mark.parametrize("block,fan,parts", [(4096, 8, None), (16, 3, 4), (7, 2, 4), (16, 4, 5), (9, 8, 6)])
+def test_index_finds_all_links_of_random_and_clustered_codes(spark, monkeypatch, block, fan, parts):
     monkeypatch.setattr(S, "BLOCK", block)
     monkeypatch.setattr(S, "FAN", fan)
     rng = np.random.default_rng(block)
@@ -48,7 +49,7 @@ def test_index_finds_all_links_of_random_and_clustered_codes(spark, monkeypatch,
     codes = sorted(set(map(int, codes)))
     rng.shuffle(codes)
     points = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c, i) for i, c in enumerate(codes)], "code long, node long")
-    groups = {r.node: r.component for r in connected(S.near_pairs(points), "t").collect()}
+    groups = {r.node: r.component for r in connected(S.near_pairs(points, parts=parts), "t").collect()}
     want = brute.components({i: c for i, c in enumerate(codes)})
     assert {i: groups.get(i, i) for i in want} == want
 
@@ -57,7 +58,7 @@ def test_search_prunes_but_finds_every_near_code():
     rng = np.random.default_rng(3)
     top = np.uint64(7 << 48)
     codes = np.unique(rng.integers(0, 2**10, 300, dtype=np.uint64) | top)
-    q, leaf = S.search(codes, S.build(codes))
+    q, leaf = S.search(codes, S.build(codes), S.top_mask(16))
     want = {(i, j) for i in range(len(codes)) for j in range(len(codes)) if int(codes[i] ^ codes[j]).bit_count() <= 3}
     assert set(zip(q.tolist(), leaf.tolist())) == want
 
@@ -72,3 +73,13 @@ def test_stage_keeps_the_smallest_id_of_each_group(spark, rows_of):
     kept = S.keep_one(spark, docs, SF)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want_rows(rows_of("documents"))})
+
+
+def test_layouts_bring_every_choice_of_parts_to_the_top(spark):
+    for parts in (4, 5, 6):
+        for layout in S.layouts(parts):
+            assert sorted(i for old, _, n in layout for i in range(old, old + n)) == list(range(64))
+            assert sorted(i for _, new, n in layout for i in range(new, new + n)) == list(range(64))
+    code = 0x0123456789ABCDEF
+    got = spark.range(1).select(*[S.arranged(F.lit(code).cast("long"), x) for x in S.layouts(4)]).first()
+    assert [f"{c & (1 << 64) - 1:016x}"[:4] for c in got] == ["cdef", "89ab", "4567", "0123"]
