@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,6 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is not set: intermediates need a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="starweave-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
