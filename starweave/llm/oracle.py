@@ -150,10 +150,10 @@ SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(
 FROM d LEFT JOIN shown USING (row)
 """,
     "op10_suffix_dedup": """
-WITH d AS (  -- two hexadecimal digits a byte
-  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS x FROM documents
 ), w AS (
-  SELECT row, p, md5(substr(x, 2 * p + 1, 400)) AS s FROM d, unnest(range(0, length(x) // 2 - 199)) AS t(p)
+  SELECT row, p, md5(x[p + 1 : p + 200]) AS s FROM d, unnest(range(0, octet_length(x) - 199)) AS t(p)
 ), again AS (
   SELECT row, p FROM w SEMI JOIN (SELECT s FROM w GROUP BY s HAVING count(*) > 1) r ON w.s = r.s
 ), runs AS (
@@ -165,12 +165,12 @@ WITH d AS (  -- two hexadecimal digits a byte
   SELECT row, first, stop, coalesce(lag(stop) OVER (PARTITION BY row ORDER BY first), 0) AS since FROM runs
 ), cut AS (
   SELECT row, sum(stop - first) AS n_removed, count(*) AS n_spans, max(stop) AS last,
-         string_agg(substr(x, 2 * since + 1, 2 * (first - since)), '' ORDER BY first) AS before
+         string_agg(hex(x[since + 1 : first]), '' ORDER BY first) AS before
   FROM gaps JOIN d USING (row) GROUP BY row
 )
-SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+SELECT doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(coalesce(before, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+       sha256(unhex(coalesce(before, '')) || x[CAST(coalesce(last, 0) AS BIGINT) + 1 : octet_length(x)]) AS kept_sha256
 FROM d LEFT JOIN cut USING (row)
 """,
 }
