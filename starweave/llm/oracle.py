@@ -21,6 +21,19 @@ _PIECES = "\n    UNION ALL ".join(
 )
 
 ORACLE: dict[str, str] = {
+    # for pages that mark their article, with the tags and character references of the test pages
+    "op1_main_text": r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS body FROM pages
+), b AS (
+  SELECT page_id, url, string_split_regex(replace(regexp_replace(body, '</?b>', '', 'g'), '<br>', ' '), '</?(?:h1|p)>') AS parts FROM a
+), c AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(
+    replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text
+  FROM b
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM c
+""",
     "op2_exact_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
