@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starweave.llm.common import save
+from starweave.llm.common import BROADCAST_ROWS, save
 
 LENGTH = 200
 GRAM = 8
@@ -181,7 +181,9 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     near = Window.partitionBy("rank")
     met = sent.withColumn("low", F.min("place").over(near)).withColumn("high", F.max("place").over(near)).where("low <> high and key is not null")
     found = save(known.union(met.select(*names)).distinct(), "repeated-anchors")
-    common = found.groupBy("rank").count().where(F.col("count") > HOT).select("rank", F.lit(True).alias("hot"))
+    common = save(found.groupBy("rank").count().where(F.col("count") > HOT).select("rank", F.lit(True).alias("hot")), "common-ranks")
+    # one row for HOT anchors at least; broadcast so that a common rank's anchors stay where they are
+    common = F.broadcast(common) if common.count() <= BROADCAST_ROWS else common
     return found.join(common, "rank", "left").select(*names, F.coalesce("hot", F.lit(False)).alias("hot"))
 
 
