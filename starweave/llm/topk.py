@@ -7,7 +7,8 @@ bound counts what was read of it, plus for every list where it hasn't appeared t
 last product read there; its lower bound takes the list's smallest product
 instead. Reading stops when the k-th best lower bound, or the k-th best score
 that the query has from blocks before, is above the upper bound of all but a few
-vectors; the final scores of those are then resolved. Only the k best of a block
+vectors; the final scores of those are then resolved. The first block gives every
+query the score that all later ones have to reach. Only the k best of a block
 leave the task. Queries come in blocks too, so every block pair is a bounded
 piece of work and no pair of single vectors is ever shuffled.
 """
@@ -25,37 +26,51 @@ K = 5
 SCALE = 256
 BLOCK, QUERIES = 2048, 512  # vectors and queries in a block
 SLOTS = 64  # most copies of a query block that are sent out
+SEEDS = 32  # most blocks that are broadcast
+GRID = 32  # depths that are looked at before a list is read
 
 
-def nra(query: np.ndarray, values: np.ndarray, order: np.ndarray, k: int, floor: float) -> np.ndarray:
-    """Positions in ``values`` (n x dims) that may be among the k best or reach ``floor``; all that do are there.
+def sorted_lists(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two lists for each dimension, ascending (number d) and descending (number dims + d): positions, and components."""
+    up = np.argsort(values, axis=0, kind="stable").T
+    at = np.concatenate([up, up[:, ::-1]])
+    dims = values.shape[1]
+    return at, values[at, np.tile(np.arange(dims), 2)[:, None]].astype(np.float64)
 
-    ``order`` (dims x n): positions sorted by component, ascending. Sums are
-    exact in doubles below 2**53, so bounds never rule out an equal score.
+
+def nra(query: np.ndarray, lists: tuple[np.ndarray, np.ndarray], n: int, k: int, floor: float) -> np.ndarray:
+    """Positions among ``n`` vectors that may be among the k best or reach ``floor``; all that do are there.
+
+    ``lists``: see ``sorted_lists``. Sums are exact in doubles below 2**53, so
+    bounds never rule out an equal score.
     """
-    n = len(values)
     dims = np.flatnonzero(query)
     if n <= k or not len(dims):
         return np.arange(n)
     q = query[dims].astype(np.float64)[:, None]
-    up = q[:, 0] > 0
-    lists = np.where(up[:, None], order[dims][:, ::-1], order[dims])
-    low = q[:, 0] * values[lists[:, -1], dims]
-    depth, known = max(k, n // 16), floor > -np.inf
+    which = dims + len(query) * (q[:, 0] > 0)  # the end with the largest products comes first
+    low = q * lists[1][which, -1:]
+    known = floor > -np.inf
+    depth = max(k, n // 2)  # without a floor, bounds only meet far down
+    if known:
+        # a vector that no list has shown yet is out once the last products add up to less than the floor
+        grid = np.unique(np.linspace(0, n - 1, GRID).astype(np.int64))
+        unseen = (q * lists[1][which[:, None], grid]).sum(axis=0)
+        out = grid[unseen < floor]
+        depth = int(1.5 * out[0]) + k if len(out) else n  # and half as far again for those that some lists have shown
     while True:
         depth = min(depth, n)
-        read = lists[:, :depth]
-        product = q * values[read, dims[:, None]]
+        at = lists[0][which, :depth].ravel()
+        product = q * lists[1][which, :depth]
         last = product[:, -1:]
-        at = read.ravel()
         upper = last.sum() + np.bincount(at, (product - last).ravel(), n)
         if not known:
-            lower = low.sum() + np.bincount(at, (product - low[:, None]).ravel(), n)
+            lower = low.sum() + np.bincount(at, (product - low).ravel(), n)
             floor = max(floor, np.partition(lower, n - k)[n - k])
         left = np.flatnonzero(upper >= floor)
-        if depth == n or len(left) <= 8 * k:
+        if depth == n or len(left) <= max(8 * k, n // 4):
             return left
-        depth *= 2
+        depth = depth * 5 // 4 + 1
 
 
 def best(queries: np.ndarray, query_ids: np.ndarray, values: np.ndarray, ids: np.ndarray, k: int, floors: np.ndarray, kept: dict) -> list[tuple]:
@@ -64,13 +79,12 @@ def best(queries: np.ndarray, query_ids: np.ndarray, values: np.ndarray, ids: np
     ``kept`` holds each query's k best scores of this task so far, ``floors``
     the k-th of them.
     """
-    order = np.argsort(values, axis=0, kind="stable").T
-    doubles = values.astype(np.float64)
+    lists = sorted_lists(values)
     out = []
     for i, (query, own) in enumerate(zip(queries, query_ids)):
         # the query itself (and copies under its id) may be among the best: read for that many more
         extra = int((ids == own).sum())
-        at = nra(query, doubles, order, k + extra, floors[i])
+        at = nra(query, lists, len(values), k + extra, floors[i])
         at = at[ids[at] != own]
         score = values[at] @ query
         first = np.lexsort((ids[at], -score))[:k]
@@ -79,7 +93,7 @@ def best(queries: np.ndarray, query_ids: np.ndarray, values: np.ndarray, ids: np
             top = np.sort(np.concatenate([kept.get(i, np.zeros(0, np.int64)), score[first]]))[-k:]
             kept[i] = top
             if len(top) == k:
-                floors[i] = top[0]
+                floors[i] = max(floors[i], top[0])
     return out
 
 
@@ -106,6 +120,11 @@ def _blocks(rows: DataFrame, size: int, count: int) -> DataFrame:
     return rows.groupBy("dims", "block").applyInArrow(pack, "dims int, block int, ids binary, vals binary")
 
 
+def _unpack(dims: int, ids: bytes, vals: bytes, cand_ids: bytes, cand_vals: bytes):
+    ids, cand_ids = np.frombuffer(ids, np.int64), np.frombuffer(cand_ids, np.int64)
+    return np.frombuffer(vals, np.int64).reshape(len(ids), dims), ids, np.frombuffer(cand_vals, np.int64).reshape(len(cand_ids), dims), cand_ids
+
+
 def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of ``queries`` its k best of ``candidates`` (both: vec_id, v, dims, row).
 
@@ -113,20 +132,33 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """
     n, nq = candidates.count(), queries.count()
     packed = save(_blocks(candidates, BLOCK, n), "vectors").withColumnsRenamed({"ids": "cand_ids", "vals": "cand_vals"})
-    asked = save(_blocks(queries, QUERIES, nq), "queries")
+    asked = save(_blocks(queries, QUERIES, nq), "queries").withColumnRenamed("block", "ask")
+
+    # first, every query against one block, whose k-th best score all other blocks have to reach
+    seed = packed.join(packed.groupBy("dims").agg(F.min("block").alias("block")), ["dims", "block"], "left_semi").select("dims", "cand_ids", "cand_vals")
+    seed = F.broadcast(seed) if seed.count() <= SEEDS else seed  # one block of bounded size for each length of vectors
+
+    def begin(batches):
+        for b in batches:
+            for dims, ask, ids, vals, cand_ids, cand_vals in zip(*(c.to_pylist() for c in b.columns)):
+                floors = np.full(len(ids) // 8, -np.inf)
+                best(*_unpack(dims, ids, vals, cand_ids, cand_vals), k, floors, {})
+                yield pa.RecordBatch.from_pylist([{"dims": dims, "ask": ask, "floors": floors.tobytes()}], schema=pa.schema([("dims", pa.int32()), ("ask", pa.int32()), ("floors", pa.binary())]))
+
+    floors = asked.join(seed, "dims").select("dims", "ask", "ids", "vals", "cand_ids", "cand_vals").mapInArrow(begin, "dims int, ask int, floors binary")
+    asked = asked.join(save(floors, "floors"), ["dims", "ask"])
+
     slots = max(1, min(SLOTS, -(-n // BLOCK)))
-    asked = asked.withColumnRenamed("block", "ask").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    asked = asked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     packed = packed.withColumn("slot", F.pmod("block", F.lit(slots)))
-    pairs = asked.join(packed, ["dims", "slot"]).select("dims", "ask", "ids", "vals", "cand_ids", "cand_vals")
+    pairs = asked.join(packed, ["dims", "slot"]).select("dims", "ask", "ids", "vals", "cand_ids", "cand_vals", "floors")
 
     def run(batches):
         state: dict = {}  # per block of queries: k best scores met in this task
         for b in batches:
-            for dims, ask, ids, vals, cand_ids, cand_vals in zip(*(c.to_pylist() for c in b.columns)):
-                ids, cand_ids = np.frombuffer(ids, np.int64), np.frombuffer(cand_ids, np.int64)
-                q, v = np.frombuffer(vals, np.int64).reshape(len(ids), dims), np.frombuffer(cand_vals, np.int64).reshape(len(cand_ids), dims)
-                floors, kept = state.setdefault((dims, ask), (np.full(len(ids), -np.inf), {}))
-                found = best(q, ids, v, cand_ids, k, floors, kept)
+            for dims, ask, ids, vals, cand_ids, cand_vals, floor in zip(*(c.to_pylist() for c in b.columns)):
+                floors, kept = state.setdefault((dims, ask), (np.frombuffer(floor).copy(), {}))
+                found = best(*_unpack(dims, ids, vals, cand_ids, cand_vals), k, floors, kept)
                 cols = list(zip(*found)) if found else [(), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(c, dtype=np.int64)) for c in cols], names=["query_id", "vec_id", "score"])
 
