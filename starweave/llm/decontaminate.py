@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.common import save, table
+from starweave.llm.common import save, table, unused
 
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
@@ -123,6 +123,16 @@ def query(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def remove_spans(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` with the words inside window occurrences cut out of ``text``; all other columns as they are."""
+    found = hits(docs.select("doc_id", "text"), items.select("item_id", "text"), size).where("n_hit > 0")
+    key, id_, cut = unused(docs, "text_key"), unused(docs, "hit_id"), unused(docs, "hit_spans")
+    found = found.select(F.col("id").alias(id_), F.col("key").alias(key), F.col("spans").alias(cut)).dropDuplicates([id_, key])
+    rows = docs.join(found, docs["doc_id"].eqNullSafe(found[id_]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found[key]), "left")
+    text = F.when(F.col(cut).isNull(), docs["text"]).otherwise(without_spans(docs["text"], F.col(cut)))
+    return rows.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+
+
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a window of the benchmark go; the others stay as they are."""
     found = hits(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))

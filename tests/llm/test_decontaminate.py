@@ -77,3 +77,10 @@ def test_words_inside_spans_can_be_cut_out(spark):
 def test_main_path_holds_no_python(spark):
     plan = D.query(table(spark, SF, "documents"), table(spark, SF, "benchmark"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_spans_can_go_instead_of_documents(spark, make_docs, items):
+    docs = make_docs([(1, "Keep this, two words! And that"), (2, "clean text"), (None, None), (3, " ".join(f"word{i}" for i in range(14)) + " tail")]).selectExpr("*", "7 AS hit_spans")
+    out = D.remove_spans(docs, items)
+    assert out.columns == docs.columns
+    assert {r.doc_id: (r.text, r.hit_spans) for r in out.collect()} == {1: ("Keep this, And that", 7), 2: ("clean text", 7), None: (None, 7), 3: ("tail", 7)}
