@@ -101,10 +101,10 @@ def query(docs: DataFrame) -> DataFrame:
 
     1. every document arrives, its words counted by blanks; 2. every document is
     counted by a second tokenizer version; 3. the first counts are revised where
-    counting real words gives another number; 4. documents whose text another
-    document with a smaller id has too (and repeated rows but one) are deleted
-    under both versions. Batches 2 and 4 are committed twice, as after a lost driver;
-    that changes nothing. Null texts have no tokens; rows without an id sort first.
+    counting real words gives another number; 4. the documents of each text are
+    replaced by the one with the smallest id: all are deleted under both versions,
+    that one is inserted again. Batches 2 and 4 are committed twice, as after a lost
+    driver; that changes nothing. Null texts have no tokens; rows without an id sort first.
     """
     rows = docs.select("doc_id", "source", "lang", n_spaces(F.col("text")).alias("blanks"), n_words(F.col("text")).alias("words"), n_pieces(F.col("text")).alias("pieces"), F.sha2("text", 256).alias("digest"))
     rows = save(rows.withColumn("row", F.monotonically_increasing_id()), "token-counts")
@@ -114,11 +114,12 @@ def query(docs: DataFrame) -> DataFrame:
         count = lambda c: (F.col(c) if c else F.lit(None)).cast("long")
         return df.select(F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), count(new).alias("n_tokens"), count(old).alias("old_tokens"))
 
-    # the first of each text, found by partial aggregation, so that a common text is no single task
-    first = rows.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("first"))
-    again = rows.select("digest", "row", "source", "lang", "words", "pieces").join(first, "digest").where("row <> first.row")
+    # the first of each text by partial aggregation: a common text is no single task, and no join is needed
+    texts = rows.where("digest is not null")
+    first = texts.groupBy("digest").agg(F.min(F.struct("doc_id", "row", "source", "lang", "words", "pieces")).alias("f")).select("f.*")
     second = change(rows, "insert", PIECES, "pieces", None)
-    last = change(again, "delete", WORDS, None, "words").union(change(again, "delete", PIECES, None, "pieces"))
+    last = change(texts, "delete", WORDS, None, "words").union(change(texts, "delete", PIECES, None, "pieces"))
+    last = last.union(change(first, "insert", WORDS, "words", None)).union(change(first, "insert", PIECES, "pieces", None))
     store.commit("1-words", change(rows, "insert", WORDS, "blanks", None))
     for _ in range(2):
         store.commit("2-pieces", second)
