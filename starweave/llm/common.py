@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from starweave.session import shared_path
 
 
+BROADCAST_ROWS = 200_000  # most rows, of a few short columns, that are broadcast
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -74,7 +77,8 @@ def bounded_sample(rows: DataFrame, group: str, ids: Sequence[str], size: int) -
     many rows as are wanted, so that no task ranks more than that of a group.
     """
     rows = rows.select(group, *ids)
-    counts = rows.groupBy(F.col(group).alias("_sw_group")).agg(F.count("*").alias("_sw_n"))
+    counts = save(rows.groupBy(F.col(group).alias("_sw_group")).agg(F.count("*").alias("_sw_n")), "group-counts")
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts  # else a common group would be one task
     place = F.pmod(F.xxhash64(*ids), F.lit(1 << 32)) / float(1 << 32)
     near = rows.join(counts, rows[group] == counts["_sw_group"]).where(place * F.col("_sw_n") <= 4 * size).select(group, *ids).distinct()
     order = Window.partitionBy(group).orderBy(F.xxhash64(*ids), *ids)

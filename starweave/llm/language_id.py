@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, bounded_sample, pieces, remainder, save, texts, unused
+from starweave.llm.common import BROADCAST_ROWS, add_columns, bounded_sample, pieces, remainder, save, texts, unused
 
 DIMS = 1 << 14
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANG = 800
-BROADCAST_ROWS = 200_000  # ids of the sample
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.002
 MIN_SCORE = 0.35  # the pipeline rejects documents below it
