@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, connected, save, texts, unused
+from starweave.llm.common import add_columns, connected, save, texts
 
 MAX_BITS = 3
 SHINGLE = 3
