@@ -1,4 +1,4 @@
-import brute
+from llm import brute
 import pytest
 
 from starweave.llm import decontaminate as D

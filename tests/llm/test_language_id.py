@@ -1,4 +1,4 @@
-import brute
+from llm import brute
 import numpy as np
 
 from starweave.llm import language_id as L

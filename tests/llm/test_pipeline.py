@@ -1,4 +1,4 @@
-import brute
+from llm import brute
 import corpus_pipeline
 import pytest
 

@@ -1,4 +1,4 @@
-import brute
+from llm import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-import brute
+from llm import brute
 import numpy as np
 import pytest
 
