@@ -39,6 +39,14 @@ def range_partitions(spark, size: int) -> int:
     return max(1, -(-size // max(advisory, 1)))
 
 
+def fixed_bytes(df: DataFrame, rows: int | None) -> int | None:
+    """Decoded bytes of ``rows`` rows if all columns have a fixed width, else None."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if rows is None or not all(isinstance(f.dataType, fixed) for f in df.schema.fields):
+        return None
+    return 8 * len(df.columns) * rows
+
+
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """DISTINCT over the selected columns (A1); partial + final hash aggregate."""
     return (df.select(*cols) if cols else df).distinct()
@@ -71,13 +79,16 @@ def dense_number(
     start: int = 1,
     tie: Sequence[str] = (),
     partitions: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """``row_number() over (order by order..., tie...)`` (ascending, NULLs first), as bigint.
 
     The input is written first unless it is a written intermediate already: the
     range exchange samples it in a separate pass, and its measured bytes give
     the number of ranges (``partitions`` overrides it). An input of at most one
-    advisory partition is one range and needs no offsets.
+    advisory partition is one range and needs no offsets; if the caller knows from
+    measured tables that the input has ``at_most`` so many rows of fixed width, and
+    they fit one range, it isn't written either.
 
     Identical rows get consecutive numbers (which one gets which cannot be
     told apart). A row id as ``tie`` lets a mass of identical rows spread over
@@ -90,9 +101,13 @@ def dense_number(
     lead = list(order) + [t for t in tie if t not in order]
     rest = [c for c in df.columns if c not in lead]
     sort_cols = [F.col(c).asc_nulls_first() for c in lead + rest]
-    if measured(df) is None:
-        df = materialize(df, "numbering-input")
-    n_parts = partitions or range_partitions(spark, measured(df)[1])
+    bound = fixed_bytes(df, at_most)
+    if partitions is None and bound is not None and range_partitions(spark, bound) == 1:
+        n_parts = 1
+    else:
+        if measured(df) is None:
+            df = materialize(df, "numbering-input")
+        n_parts = partitions or range_partitions(spark, measured(df)[1])
     if n_parts == 1:
         w = Window.orderBy(*sort_cols)
         return df.withColumn(out, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
@@ -120,9 +135,9 @@ def global_number(df: DataFrame, order: Sequence[str], out: str, start: int = 1)
     return df.withColumn(out, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
 
 
-def surrogate_key(df: DataFrame, natural_key: Sequence[str], out: str, start: int = 1) -> DataFrame:
+def surrogate_key(df: DataFrame, natural_key: Sequence[str], out: str, start: int = 1, at_most: int | None = None) -> DataFrame:
     """Deterministic 1..n in natural-key order; 0 stays reserved for UNKNOWN (K1)."""
-    return dense_number(df, natural_key, out, start=start)
+    return dense_number(df, natural_key, out, start=start, at_most=at_most)
 
 
 def ntz_literal(ts: datetime | str) -> Column:

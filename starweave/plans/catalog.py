@@ -383,7 +383,7 @@ def insert_if_absent_q(spark, d):
 def bridge_table(spark, d):
     flat = _flat80(spark, d)
     disasters, states = _entities(spark, d)
-    return bridge(flat, disasters, "disaster_number", states, "country_name")
+    return bridge(flat, disasters, "disaster_number", states, "country_name", at_most=files.measured(S.lines(spark, d))[0])
 
 
 def denormalize_unmatched(spark, d):

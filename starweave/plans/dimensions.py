@@ -61,18 +61,22 @@ def dedup_sources(sources: Sequence[DataFrame], spec: DimensionSpec) -> DataFram
     return first_by_attributes(staged, spec.natural_key, rank_col="_sw_src").drop("_sw_src")
 
 
-def build_dimension(sources: Sequence[DataFrame], spec: DimensionSpec, load_ts: datetime | str, global_window: bool = False) -> DataFrame:
+def build_dimension(
+    sources: Sequence[DataFrame], spec: DimensionSpec, load_ts: datetime | str, at_most: int | None = None, global_window: bool = False
+) -> DataFrame:
     """Conformed dimension with surrogate key, SCD columns and an UNKNOWN member.
 
     The numbering writes the deduplicated members first, so the sources are
-    scanned once. ``global_window`` numbers them in a single task instead (for
+    scanned once (see ``dense_number`` for ``at_most``, the rows of all sources). ``global_window`` numbers them in a single task instead (for
     comparison on small data only).
     """
     one = dedup_sources(sources, spec)
     if spec.reserved:
         one = without_reserved(one, spec.natural_key, spec.reserved)
-    number = global_number if global_window else surrogate_key
-    keyed = number(one, spec.natural_key, spec.tk)
+    if global_window:
+        keyed = global_number(one, spec.natural_key, spec.tk)
+    else:
+        keyed = surrogate_key(one, spec.natural_key, spec.tk, at_most=at_most)
     dim = scd1_columns(keyed, load_ts).select(spec.tk, *SCD_COLUMNS, *spec.columns)
     unknown = {spec.tk: 0, "version": 1, "date_from": load_ts, **spec.unknown}
     return with_unknown_member(dim, unknown)

@@ -80,13 +80,15 @@ def build_fact(
     measures: Sequence[str],
     fact_tk: str,
     row_id: Sequence[str] = (),
+    at_most: int | None = None,
     global_window: bool = False,
     plain_joins: bool = False,
 ) -> DataFrame:
     """FK-resolved fact numbered 1..n by (all tks, measures).
 
     The numbering writes the resolved rows (tks, measures, row id: narrow
-    columns) before it range-partitions them, so staging and lookups run once.
+    columns) before it range-partitions them, so staging and lookups run once; for
+    ``at_most``, the staging rows if they were counted, see ``dense_number``.
 
     ``row_id`` columns identify staging rows; they only split ties between
     otherwise identical rows (so a hot duplicate spreads over partitions) and
@@ -97,5 +99,5 @@ def build_fact(
     order = [lk.tk for lk in lookups] + list(measures)
     if global_window:
         return global_number(resolved, [*order, *row_id], fact_tk).select(*order, fact_tk)
-    numbered = dense_number(resolved, order, fact_tk, tie=list(row_id))
+    numbered = dense_number(resolved, order, fact_tk, tie=list(row_id), at_most=at_most)
     return numbered.select(*order, fact_tk)

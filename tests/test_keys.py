@@ -38,6 +38,16 @@ def test_dense_number_of_a_small_input_needs_no_offsets(spark):
     assert rows(keys.dense_number(df, ["k"], "rn")) == [(i, i + 1) for i in range(1000)]
 
 
+def test_a_counted_fixed_width_input_that_fits_one_range_is_not_written(spark, monkeypatch):
+    from starweave.sources import files
+
+    df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
+    monkeypatch.setattr(files, "materialize", None)
+    assert rows(keys.dense_number(df, ["k"], "rn", at_most=1000)) == [(i, i + 1) for i in range(1000)]
+    assert keys.fixed_bytes(df.withColumn("s", F.lit("text")), 1000) is None
+    assert keys.range_partitions(spark, keys.fixed_bytes(df, 100_000_000)) > 1
+
+
 def test_dedup_keeps_source_rank_then_attributes_nulls_last(spark):
     df = spark.createDataFrame(
         [(1, None, 1), (1, "b", 1), (1, "z", 0), (2, None, 0), (2, "a", 0), (3, None, 0)],
