@@ -82,7 +82,7 @@ def main() -> None:
     )
     section(
         "Fact build (flagship)",
-        "The resolved fact is written first; numbering is a range exchange over that table.",
+        "The staging rows are counted and the resolved columns have a fixed width, so at this size they are known to fit one range and are sorted without being written; beyond one advisory partition they are written and range-partitioned.",
         S.fact(spark, d),
     )
     from starweave.operators.split import split_flag
