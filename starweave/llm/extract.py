@@ -6,10 +6,13 @@ forms, scripts, styles, reader comments) are left out of the sequence, by
 element name, role or class name. Of the rest, every word scores above zero and
 every tag below; one linear scan finds the contiguous run with the largest sum,
 and its words are the text. The weights are log odds of lying inside or outside
-the content, counted per feature (for a word: whether it is in an article
-element, in a link, and its block; for a tag: its name) over labelled pages, that
-is, pages whose author marked the content with an `article` or `main` element: at
-most ``SAMPLE_PAGES`` different ones, those with the smallest hash of their address.
+the content, counted per feature (for a word: whether it is in a link, and its
+block; for a tag: its name) over labelled pages, that is, pages whose author
+marked the content with an `article` or `main` element: at most ``SAMPLE_PAGES``
+different ones, those with the smallest hash of their address. The mark is the
+label and in no feature, so what is learned holds for pages without it. On a
+page that has the mark itself, its words outside weigh ``LEAST``, those inside
+``MARKED_WORD`` and the tags inside ``TAG`` at least, and the mark's own ``EDGE``.
 """
 
 from __future__ import annotations
@@ -28,7 +31,9 @@ from starweave.llm.common import add_columns, bounded_sample
 
 SAMPLE_PAGES = 1000
 # Weights of features that no labelled page shows.
-WORD, LINK_WORD, MARKED_WORD, TAG = 1.0, 0.2, 2.0, -0.5
+WORD, LINK_WORD, TAG = 1.0, 0.2, -0.5
+# On pages with marked content: least weight of a word inside, weight of the tags that open and close the content.
+MARKED_WORD, EDGE = 2.0, -8.0
 LEAST, MOST_WORD, MOST_TAG = 0.1, 3.0, 12.0
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,13 +46,13 @@ _CLASSES = frozenset(
     "form header menu modal nav navbar navigation newsletter notice notices notification pagination paywall popup promo promoted promotion recommended related replies "
     "reply share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription toolbar warning widget widgets".split()
 )
-_BOUNDS = frozenset(f"tag {n}" for n in _CONTENT)
 _COMMENTS = frozenset("comment comments reply replies disqus".split())
 _STATES = frozenset("has no with without open is".split())  # class names like has-sidebar tell about the page, not the element
 _BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main "
     "nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+_PLACES = _BLOCKS - _CONTENT  # blocks that may lie inside or outside the content
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|([^<]+)|(<)""", re.S
 )
@@ -78,8 +83,15 @@ def _left_out(name: str, attrs: str, in_content: bool) -> bool:
     return False
 
 
+def _tag(name: str, in_content: bool) -> str:
+    return "edge" if name in _CONTENT and not in_content else f"tag {name}"
+
+
 def tokens(page: str):
-    """Yields (feature, words, raw text, is a block edge, inside content) of a page without the parts left out."""
+    """Yields (feature, words, raw text, is a block edge, inside content) of a page without the parts left out.
+
+    No feature tells whether it is inside; the outermost tags of the content are ``edge``.
+    """
     stack: list[tuple[str, bool]] = []
     out = content = links = 0  # open elements of each sort
     pos, size = 0, len(page)
@@ -90,8 +102,8 @@ def tokens(page: str):
         if m[7] is not None or m[8] is not None:
             if not out:
                 raw = m[0]
-                block = next((n for n, _ in reversed(stack) if n in _BLOCKS), "")
-                yield f"word {'in' if content else 'out'} {'a' if links else ''} {block}", len(raw.split()), raw, False, content > 0
+                block = next((n for n, _ in reversed(stack) if n in _PLACES), "")
+                yield f"word {'a' if links else ''} {block}", len(raw.split()), raw, False, content > 0
             continue
         name = (m[2] or m[5] or "").lower()
         if not name:
@@ -107,14 +119,14 @@ def tokens(page: str):
                     if n == name:
                         break
                 if not out:
-                    yield "" if gone else f"tag {name}", 0, "", name in _BLOCKS, content > 0
+                    yield "" if gone else _tag(name, content > 0), 0, "", name in _BLOCKS, content > 0
             elif not out:
-                yield f"tag {name}", 0, "", name in _BLOCKS, content > 0
+                yield _tag(name, content > 0), 0, "", name in _BLOCKS, content > 0
             continue
         was = content > 0
         gone = _left_out(name, attrs, was)
         if not out and not gone:
-            yield f"tag {name}", 0, " " if name in ("br", "wbr", "img") else "", name in _BLOCKS, was
+            yield _tag(name, was), 0, " " if name in ("br", "wbr", "img") else "", name in _BLOCKS, was
         elif not out and name in _BLOCKS:
             yield "", 0, "", True, was  # what is left out still parts the blocks around it
         if name in _VOID:
@@ -148,13 +160,17 @@ def text_of(page: str | None, learned: dict) -> str:
     if not page:
         return ""
     seq = list(tokens(page))
+    marked = any(words and content for _, words, _, _, content in seq)
     total, start, best, first, last = 0.0, 0, 0.0, 0, 0
-    for i, (feature, words, _, _, _) in enumerate(seq):
+    for i, (feature, words, _, _, content) in enumerate(seq):
         if feature.startswith("word"):
-            unseen = LINK_WORD if " a " in feature else MARKED_WORD if feature.startswith("word in") else WORD
-            total += words * learned.get(feature, unseen)
+            weight = learned.get(feature, LINK_WORD if feature.startswith("word a ") else WORD)
+            if marked:
+                weight = max(weight, MARKED_WORD) if content else LEAST
+            total += words * weight
         elif feature:
-            total += learned.get(feature, -MOST_TAG if feature in _BOUNDS else TAG)
+            weight = EDGE if feature == "edge" else learned.get(feature, TAG)
+            total += max(weight, TAG) if marked and content and feature != "edge" else weight
         if total > 0 and total >= best:
             best, first, last = total, start, i + 1
         if total < 0:
@@ -183,7 +199,7 @@ def fit(pages: DataFrame, url: str = "url", html: str = "html") -> dict:
         for b in batches:
             for page in b.column(0).to_pylist():
                 for feature, words, _, _, content in tokens(page):
-                    if feature:
+                    if feature and feature != "edge":
                         (inside if content else outside)[feature] += words if feature.startswith("word") else 1
         names = sorted(inside.keys() | outside.keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([inside[n] for n in names], pa.int64()), pa.array([outside[n] for n in names], pa.int64())], names=["f", "i", "o"])

@@ -65,3 +65,33 @@ def test_nulls_repeats_empty_and_clashing_columns(spark):
     got = sorted(((r.page_id or 0, r.n_chars) for r in X.query(df).collect()))
     assert got == [(0, 1), (1, 3), (1, 3), (2, 0), (3, 0), (4, 599999)]
     assert X.query(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def frame(content):
+    """A page with unclassed words and wrappers around ``content``."""
+    links = "".join(f"<li><a href={i}>More of this {i}</a></li>" for i in range(8))
+    return f"<html><body><div><div>Site <p>Site name and its motto</p></div><ul>{links}</ul></div>{content}<div><div>Find us <p>Where we are and when we open</p></div><ul>{links}</ul></div></body></html>"
+
+
+STORY = "<h1>The title</h1><p>" + "word " * 100 + "</p><div><p>a short caption</p></div><p>" + "more " * 100 + "</p>"
+STORY_TEXT = "The title\n" + " ".join(["word"] * 100) + "\na short caption\n" + " ".join(["more"] * 100)
+
+
+def test_weights_of_marked_pages_hold_for_pages_without_a_mark(spark):
+    inner = "<h1>A title</h1><p>" + "some words " * 40 + "</p><p>See <a href=x>this</a> too</p>"
+    rows = [(i, f"u{i}", frame(f"<article>{inner}</article>")) for i in range(200)]
+    rows.append((1000, "v", frame(f"<div id=content>{STORY}</div>")))
+    df = spark.createDataFrame(rows, SCHEMA)
+    learned = X.fit(df)
+    assert not any(" in " in f or " out " in f or f in ("edge", "tag article") for f in learned)
+    assert learned["word  p"] > 1 > learned["word  div"] == learned["word a li"] == X.LEAST
+    assert learned["tag p"] > -1 and learned["tag div"] < -5 and learned["tag li"] < -5
+    got = {r.page_id: r.text for r in X.query(df).collect()}
+    assert got[1000] == STORY_TEXT
+    assert all(got[i] == "A title\n" + " ".join(["some words"] * 40) + "\nSee this too" for i in range(200))
+
+
+def test_words_right_in_the_mark_are_learned_as_those_of_the_block_around_it():
+    found = {f: content for f, words, _, _, content in X.tokens("<body><main>in it</main><div><article>too</article></div>out") if words}
+    assert found == {"word  body": False, "word  div": True}
+    assert X.text_of("<article></article><p>all words of the page", {}) == "all words of the page"
