@@ -3,7 +3,12 @@
 A page is read as a sequence of words and tags. Elements that are never part of
 an article (menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles, reader comments) are left out of the sequence, by
-element name, role or class name. Of the rest, every word scores above zero and
+element name, role, class name or id. Inside the content, and for ids of other
+elements than boxes, a name counts only if all its parts are known, so that
+`social-impact` is a heading's address and `social-links` a box; a heading goes
+only by the class names of adverts and comments. A label of the page's layout
+(`sidebar-left`) leaves an element in that holds `main`, the page's only article
+or most of the words outside links. Of the rest, every word scores above zero and
 every tag below; one linear scan finds the contiguous run with the largest sum,
 and its words are the text. The weights are log odds of lying inside or outside
 the content, counted per feature (for a word: whether it is in a link, and its
@@ -47,6 +52,16 @@ _CLASSES = frozenset(
     "reply share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription toolbar warning widget widgets".split()
 )
 _COMMENTS = frozenset("comment comments reply replies disqus".split())
+_ADS = _COMMENTS | frozenset("ad ads adv advert adverts advertisement advertising promo promoted promotion sponsor sponsored".split())
+_NOTICES = _ADS | frozenset("consent cookie cookies modal newsletter notice notices notification paywall popup recommended related signup skip subscribe subscription warning".split())
+# Parts of names that say nothing about what an element holds.
+_FORMS = frozenset(
+    "area articles bar block body bottom box button buttons col column container content count div global group inner item items left link links list main meta "
+    "outer page panel posts primary respond right row secondary section site slot space thread top unit wrap wrapper zone".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BOXES = frozenset("div ol table td ul".split())  # their ids name places of the page; ids of others may be headings' addresses
+_STAYS, _LAYOUT, _NOTICE, _GONE = range(4)
 _STATES = frozenset("has no with without open is".split())  # class names like has-sidebar tell about the page, not the element
 _BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main "
@@ -59,28 +74,120 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
-def _left_out(name: str, attrs: str, in_content: bool) -> bool:
+def _label(label: str, loose: bool) -> frozenset:
+    """The known names in a class name or id; unless ``loose``, none if one of its parts is not known."""
+    parts = frozenset(p for p in re.split(r"[-_]+", label) if p and not p.isdigit())
+    known = parts & _CLASSES
+    return known if known and not parts & _STATES and (loose or parts <= _CLASSES | _FORMS) else frozenset()
+
+
+def _left_out(name: str, attrs: str, in_content: bool) -> int:
+    """_STAYS; _GONE; or _LAYOUT, _NOTICE: goes unless it holds what `_wrappers` asks for."""
     if name in _OUT or (name == "header" and not in_content):
-        return True
+        return _GONE
     if not attrs or name in ("html", "body"):
-        return False
+        return _STAYS
+    found = _STAYS
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden":
-            return name not in _CONTENT
+            return _STAYS if name in _CONTENT else _GONE
         if key == "role" and value in _ROLES:
-            return True
-        if key in ("class", "id"):
-            for label in value.split():
-                parts = re.split(r"[-_]+", label)
-                if _STATES.intersection(parts):
-                    continue
-                if name in _CONTENT:
-                    if in_content and _COMMENTS.intersection(parts):
-                        return True
-                elif _CLASSES.intersection(parts):
-                    return True
-    return False
+            return _GONE
+        if key not in ("class", "id") or (name in _HEADINGS and key == "id"):
+            continue
+        for label in value.split():
+            strict = _label(label, False)
+            if name in _CONTENT:
+                if in_content and strict & _COMMENTS:
+                    return _GONE
+                continue
+            if strict & _ADS:
+                return _GONE
+            if name in _HEADINGS:
+                continue
+            if in_content:
+                known = strict - {"header"} if key == "class" else frozenset()
+            else:
+                known = strict if key == "id" and name not in _BOXES else _label(label, True)
+            if known:
+                found = max(found, _NOTICE if known & _NOTICES else _LAYOUT)
+    return found
+
+
+def _scan(page: str):
+    """Yields (element name or '' for text, is a closing tag, attributes or text, place) in page order."""
+    pos, size = 0, len(page)
+    low = None
+    while pos < size:
+        at, m = pos, _TOKEN.match(page, pos)
+        pos = m.end()
+        if m[7] is not None or m[8] is not None:
+            yield "", False, m[0], at
+            continue
+        name = (m[2] or m[5] or "").lower()
+        if not name:
+            continue
+        closing = bool(m[1] or m[4])
+        yield name, closing, m[3] or m[6] or "", at
+        if name in _RAW and not closing:
+            low = page.lower() if low is None else low
+            end = low.find(f"</{name}", pos)
+            if end < 0 or len(low) != size:  # unclosed, or lower case of another length
+                found = re.compile(f"</{name}", re.I).search(page, pos)
+                end = found.start() if found else size
+            close = page.find(">", end)
+            pos = size if close < 0 else close + 1
+
+
+def _wrappers(page: str) -> set[int]:
+    """Places of the elements that stay in spite of a label.
+
+    They hold `main`; or the page's only article, a notice if it also holds most
+    of the words; or, unless the label is a notice's, most of the words outside
+    notices. Words in links or in what goes do not count.
+    """
+    stack: list[tuple[str, int, int, tuple]] = []
+    held: list[tuple[int, int, tuple]] = []
+    out = notices = content = links = 0
+    words = every = mains = articles = 0  # words: outside notices; every: all
+
+    def close() -> str:
+        nonlocal out, notices, content, links
+        name, level, at, before = stack.pop()
+        out -= level == _GONE
+        notices -= level == _NOTICE
+        content -= name in _CONTENT
+        links -= name == "a"
+        if level in (_LAYOUT, _NOTICE):
+            held.append((at, level, tuple(x - y for x, y in zip((words, every, mains, articles), before))))
+        return name
+
+    for name, closing, text, at in _scan(page):
+        if not name:
+            n = 0 if out or links else len(text.split())
+            every += n
+            words += 0 if notices else n
+        elif closing:
+            if any(x[0] == name for x in stack):
+                while close() != name:
+                    pass
+        elif name not in _VOID and name not in _RAW:
+            level = _STAYS if out else _left_out(name, text, content > 0)
+            stack.append((name, level, at, (words, every, mains, articles)))
+            if name in _CONTENT and not out and not _left_out(name, text, True):
+                mains += name == "main"
+                articles += name == "article"
+            out += level == _GONE
+            notices += level == _NOTICE
+            content += name in _CONTENT
+            links += name == "a"
+    while stack:
+        close()
+    return {
+        at for at, level, (w, e, m, a) in held
+        if m or (a == articles == 1 and (level == _LAYOUT or 2 * e > every)) or (level == _LAYOUT and 2 * w > words)
+    }
 
 
 def _tag(name: str, in_content: bool) -> str:
@@ -94,21 +201,13 @@ def tokens(page: str):
     """
     stack: list[tuple[str, bool]] = []
     out = content = links = 0  # open elements of each sort
-    pos, size = 0, len(page)
-    low = None
-    while pos < size:
-        m = _TOKEN.match(page, pos)
-        pos = m.end()
-        if m[7] is not None or m[8] is not None:
+    kept = None
+    for name, closing, text, at in _scan(page):
+        if not name:
             if not out:
-                raw = m[0]
                 block = next((n for n, _ in reversed(stack) if n in _PLACES), "")
-                yield f"word {'a' if links else ''} {block}", len(raw.split()), raw, False, content > 0
+                yield f"word {'a' if links else ''} {block}", len(text.split()), text, False, content > 0
             continue
-        name = (m[2] or m[5] or "").lower()
-        if not name:
-            continue
-        closing, attrs = m[1] or m[4], m[3] or m[6] or ""
         if closing:
             if any(n == name for n, _ in stack):
                 while True:
@@ -124,21 +223,15 @@ def tokens(page: str):
                 yield _tag(name, content > 0), 0, "", name in _BLOCKS, content > 0
             continue
         was = content > 0
-        gone = _left_out(name, attrs, was)
+        level = _STAYS if out else _left_out(name, text, was)
+        if level in (_LAYOUT, _NOTICE):
+            kept = _wrappers(page) if kept is None else kept
+        gone = level != _STAYS and (level == _GONE or at not in kept)
         if not out and not gone:
             yield _tag(name, was), 0, " " if name in ("br", "wbr", "img") else "", name in _BLOCKS, was
         elif not out and name in _BLOCKS:
             yield "", 0, "", True, was  # what is left out still parts the blocks around it
-        if name in _VOID:
-            continue
-        if name in _RAW:
-            low = page.lower() if low is None else low
-            end = low.find(f"</{name}", pos)
-            if end < 0 or len(low) != size:  # unclosed, or lower case of another length
-                found = re.compile(f"</{name}", re.I).search(page, pos)
-                end = found.start() if found else size
-            close = page.find(">", end)
-            pos = size if close < 0 else close + 1
+        if name in _VOID or name in _RAW:
             continue
         stack.append((name, gone))
         out += gone

@@ -95,3 +95,25 @@ def test_words_right_in_the_mark_are_learned_as_those_of_the_block_around_it():
     found = {f: content for f, words, _, _, content in X.tokens("<body><main>in it</main><div><article>too</article></div>out") if words}
     assert found == {"word  body": False, "word  div": True}
     assert X.text_of("<article></article><p>all words of the page", {}) == "all words of the page"
+
+
+LONG = "word " * 60
+
+
+@pytest.mark.parametrize("page,text", [
+    *[(f"<article><h1>T</h1><section id={slug}><h2>Head</h2><p>{LONG}</p></section></article>", "T\nHead\n" + LONG.strip())
+      for slug in ("social-impact", "related-work", "notice-period", "comment-syntax", "menu", "form-design")],
+    *[(f"<{tag}><p>{LONG}</p><h2 id={slug}>Head</h2><p>{LONG}</p></{tag}>", f"{LONG.strip()}\nHead\n{LONG.strip()}")
+      for tag in ("article", "div") for slug in ("social-impact", "related-work", "notice-period", "comment-syntax", "related")],
+    (f"<div><p>{LONG}</p><section id=social-impact><p>{LONG}</p></section></div>", f"{LONG.strip()}\n{LONG.strip()}"),
+    *[(f"<div class='{label}'><nav>menu</nav><div class=sidebar>at the side</div><{tag}><h1>T</h1><p>{LONG}</p></{tag}></div>", "T\n" + LONG.strip())
+      for label in ("layout sidebar-left", "app header-fixed", "page nav-open-left menu-top") for tag in ("article", "main", "div")],
+    (f"<article><div class=article-header><h1>T</h1></div><p>{LONG}</p><div class=ad-slot>Buy</div><div class=share-buttons>Share</div><div id=comment-7>Hi</div></article>", "T\n" + LONG.strip()),
+    (f"<article><p>{LONG}</p><section class=comment-list>{LONG * 5}</section><section id=comments>{LONG * 5}</section></article>", LONG.strip()),
+    (f"<div><p>{LONG}</p></div><div id=site-sidebar>Some words</div><div id=comments><article class=comment>{LONG * 2}</article></div>", LONG.strip()),
+    (f"<p>{LONG}</p><div class=cookie-bar>{LONG * 2}</div><div class=top-menu><a href=1>{LONG * 2}</a></div>", LONG.strip()),
+    (f"<p>{LONG}</p><div class=related><article>{LONG}</article><article>{LONG}</article></div>", LONG.strip()),
+    (f"<p>{LONG}</p><div class=related><article>One teaser</article></div>", LONG.strip()),
+])
+def test_labels_of_headings_and_layouts_are_not_those_of_boxes(page, text):
+    assert X.text_of(page, {}) == text
