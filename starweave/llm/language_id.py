@@ -147,6 +147,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         return [pa.array([None if a is None else a.astype(np.int32) for a, _ in found], pa.list_(pa.int32())), pa.array([None if a is None else c for a, c in found], pa.list_(pa.int64()))]
 
     sample = add_columns(sample, [T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("n", T.ArrayType(T.LongType()))], featurise, keep=["id", "lang"]).where("at is not null")
+    # a repeated id teaches once a language
+    sample = sample.groupBy("id", "lang").agg(F.min(F.struct("at", "n")).alias("f")).select("id", "lang", "f.at", "f.n")
 
     def learn(batches):
         got = [r for b in batches for r in b.to_pylist()]

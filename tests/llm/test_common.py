@@ -13,6 +13,13 @@ def test_bounded_sample(spark):
     assert few.count() == 30
 
 
+def test_bounded_sample_counts_ids_not_rows(spark):
+    rows = spark.range(0, 1000).select(F.lit("a").alias("g"), "id").union(spark.range(0, 200000).select(F.lit("a").alias("g"), F.lit(7).cast("long").alias("id")))
+    got = {r.id for r in C.bounded_sample(rows, "g", ["id"], 100).collect()}
+    assert len(got) == 100
+    assert got == {r.id for r in C.bounded_sample(rows.distinct(), "g", ["id"], 100).collect()}
+
+
 def test_pieces_are_the_whole_text():
     for text in ("", "a b c", "x" * 50, "word " * 30, "a\n" + "b" * 25 + " c"):
         for size in (7, 10, 1000):
