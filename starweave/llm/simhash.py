@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, connected, save, texts
+from starweave.llm.common import BROADCAST_ROWS, add_columns, connected, save, texts
 
 MAX_BITS = 3
 SHINGLE = 3
@@ -265,12 +265,23 @@ def components(codes: DataFrame) -> DataFrame:
     """(code, component) for every distinct code of ``codes`` (doc_id, code).
 
     component: the smallest non-null doc_id reachable over links (null if the
-    code has null ids only; such codes take no part in linking).
+    code has null ids only; such codes take no part in linking). Texts are not
+    linked by sharing an id.
     """
     points = save(codes.groupBy("code").agg(F.min("doc_id").alias("node")), "simhash-codes")
-    edges = near_pairs(points.where("node is not null"))
-    groups = connected(edges, "simhash-links")
-    return points.join(groups, "node", "left").select("code", F.coalesce("component", "node").alias("component"))
+    known = points.where("node is not null")
+    if known.groupBy("node").count().where("count > 1").isEmpty():
+        groups = connected(near_pairs(known), "simhash-links")
+        return points.join(groups, "node", "left").select("code", F.coalesce("component", "node").alias("component"))
+    # an id with several texts is no node: the codes are, and each group is named afterwards
+    groups = connected(near_pairs(known.select("code", F.col("code").alias("node"))), "simhash-links")
+    named = points.join(groups, points["code"] == groups["node"], "left").select("code", F.coalesce("component", "code").alias("first"), points["node"])
+    named = save(named, "simhash-groups")
+    least = named.groupBy("first").agg(F.min("node").alias("component"), F.count("*").alias("n"))
+    # codes alone in their group are named by it; the others' names are broadcast if few, so that a large group stays spread
+    names = save(least.where("n > 1").select("first", "component"), "simhash-names")
+    names = F.broadcast(names) if names.count() <= BROADCAST_ROWS else names
+    return named.join(names, "first", "left").select("code", F.coalesce("component", "node").alias("component"))
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -284,10 +295,13 @@ def query(docs: DataFrame) -> DataFrame:
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the document with the smallest id of each component stays.
 
-    Rows without an id are kept; rows that repeat the id of a document that
-    stays are that document and stay.
+    Rows without an id are kept; rows that repeat the id and text of a document
+    that stays are that document and stay. An id with several texts is a
+    document for each of them.
     """
-    codes = save(with_fingerprints(docs.select("doc_id", "text"), keep=["doc_id"]), "simhash")
+    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
+    codes = save(with_fingerprints(keyed, keep=["doc_id", "key"]), "simhash")
     groups = components(codes)
-    gone = codes.join(groups, "code").where("doc_id <> component").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(*docs.columns)
+    gone = codes.join(groups, "code").where("doc_id <> component").select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
+    same = (docs["doc_id"] == gone["gone"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_key"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)

@@ -75,6 +75,20 @@ def test_stage_keeps_the_smallest_id_of_each_group(spark, rows_of):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want_rows(rows_of("documents"))})
 
 
+def test_stage_drops_texts_not_ids(spark, make_docs):
+    a, b, c = "one two three four five", "six seven eight nine ten", "some other words are here"
+    rows = [(5, a), (5, a), (5, b), (2, b), (2, b), (7, a), (None, b)]
+    assert sorted((r.doc_id or 0, r.text) for r in S.keep_one(spark, make_docs(rows), SF).collect()) == [(0, b), (2, b), (2, b), (5, a), (5, a)]
+    # 5 is the least id of two texts, one of which is near a text of 2
+    long = " ".join(f"w{i}" for i in range(400))
+    near = long + "".join(f" x{i}" for i in range(8))
+    assert (int(S.fingerprint(near)) ^ int(S.fingerprint(long))).bit_count() == S.MAX_BITS
+    rows = [(5, long), (5, c), (6, c), (2, near), (9, long), (None, a)]
+    assert sorted((r.doc_id or 0, r.text) for r in S.keep_one(spark, make_docs(rows), SF).collect()) == [(0, a), (2, near), (5, c)]
+    got = {(r.doc_id, r.component_id) for r in S.query(make_docs(rows)).collect()}
+    assert got == {(5, 5), (5, 2), (6, 5), (2, 2), (9, 2), (None, None)}
+
+
 def test_layouts_bring_every_choice_of_parts_to_the_top(spark):
     for parts in (4, 5, 6):
         for layout in S.layouts(parts):
