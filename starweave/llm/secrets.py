@@ -5,7 +5,8 @@ and, added by the method, bare tokens: runs of 20 or more of `A-Za-z0-9_-` that
 mix digits with letters and look random. Each candidate value is hashed, and for
 each hash the corpus is asked how many repositories (documents) and how many
 owners (sources) hold it. A value that at least ``EXAMPLE_OWNERS`` owners hold is
-a widely copied example; any other is specific to its owners and looks live.
+a widely copied example; any other is specific to its owners and looks live,
+whatever the number of its repositories.
 Base spans are always reported; a bare token only if its value looks live.
 """
 
