@@ -1,4 +1,7 @@
-"""Removal of repeated byte strings by distributed prefix doubling over sampled suffixes.
+"""Removal of repeated byte strings by fingerprints of suffixes sampled by content.
+
+The rerank rounds of distributed prefix doubling were replaced: Spark groups the
+sampled suffixes once, and prefixes are doubled inside the tasks.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else too.
 
