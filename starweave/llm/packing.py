@@ -4,7 +4,8 @@ A global histogram of token counts, one aggregation over all documents, feeds a
 dynamic programme that places the bucket boundaries so that padding (boundary
 minus length, over all documents) is least. Lengths up to 2 * ``STEPS`` are kept
 apart; longer ones share a bin with those within one part in ``STEPS``, so the
-histogram stays a few thousand rows whatever the corpus. Inside a bucket,
+histogram stays a few thousand rows whatever the corpus, and the padding is less
+than one part in ``STEPS`` of the padded size above the least. Inside a bucket,
 batches of as many documents as the token budget allows are filled in hash
 shards of bounded size, so no bucket is one task; only the last batch of a shard
 may be short. A document longer than the budget makes a batch of its own.
