@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starweave.llm import decontaminate, extract, language_id, packing, quality, secrets, simhash, suffix_dedup, token_counts, topk
+from starweave.llm import decontaminate, extract, language_id, packing, periodic_runs, quality, secrets, simhash, suffix_dedup, token_counts, topk
 from starweave.llm.common import table
 
 QUERIES = {
@@ -16,4 +16,5 @@ QUERIES = {
     "op8_simhash": lambda spark, sf_dir: simhash.query(table(spark, sf_dir, "documents")),
     "op10_suffix_dedup": lambda spark, sf_dir: suffix_dedup.query(table(spark, sf_dir, "documents")),
     "op9_secrets": lambda spark, sf_dir: secrets.query(table(spark, sf_dir, "documents")),
+    "op11_periodic_runs": lambda spark, sf_dir: periodic_runs.query(table(spark, sf_dir, "documents")),
 }

@@ -1,0 +1,119 @@
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from starweave.llm import periodic_runs as R
+from starweave.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_runs(w, min_length=24, min_exponent=3):
+    """Every maximal stretch for every period, least periods only."""
+    n, found = len(w), {}
+    for q in range(1, n // min_exponent + 1):
+        i = 0
+        while i + q < n:
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(min_length, min_exponent * q):
+                found.setdefault((i, j + q - i), q)
+            i = j
+    return sorted(((a, size, q) for (a, size), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def brute_row(doc_id, text):
+    w = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and w:
+        g, n = h // 10, len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(w)
+    gone = {i for a, size, q in runs for i in range(a + q, a + size)}
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None, None, None))
+    return (
+        doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+        hashlib.sha256("".join(f"{a},{size},{q}\n" for a, size, q in runs).encode()).hexdigest(),
+        hashlib.sha256(b" ".join(x for i, x in enumerate(w) if i not in gone)).hexdigest(),
+    )
+
+
+def words(rnd, kind):
+    if kind == 0:
+        return [rnd.randrange(3) for _ in range(rnd.randrange(400))]
+    if kind == 1:  # nested periods
+        a = [rnd.randrange(2) for _ in range(rnd.randrange(1, 5))]
+        b = a * rnd.randrange(3, 20) + [9]
+        return b * rnd.randrange(1, 9) + a * rnd.randrange(12)
+    if kind == 2:  # Fibonacci words are full of runs
+        x, y = [0], [0, 1]
+        while len(y) < rnd.randrange(50, 600):
+            x, y = y, y + x
+        return y
+    if kind == 3:
+        return [1] * rnd.randrange(200)
+    root = [rnd.randrange(50) for _ in range(rnd.randrange(1, 90))]
+    full = [99] * rnd.randrange(40) + root * rnd.randrange(2, 7) + root[: rnd.randrange(len(root) + 1)]
+    return full + [rnd.randrange(50) for _ in range(rnd.randrange(60))]
+
+
+@pytest.mark.parametrize("kind", range(5))
+@pytest.mark.parametrize("batch", [1 << 17, 37, 1])
+def test_runs_are_all_runs(kind, batch, monkeypatch):
+    monkeypatch.setattr(R, "BATCH_WORDS", batch)
+    rnd = random.Random(kind * 100 + batch)
+    for _ in range(8 if batch == 1 else 25):
+        w = words(rnd, kind)
+        assert R.find_runs(np.array(w, dtype=np.int64)) == brute_runs(w)
+        assert R.find_runs(np.array(w, dtype=np.int64), 2, 2) == brute_runs(w, 2, 2)
+
+
+def test_a_wrong_fingerprint_is_noticed(monkeypatch):
+    good = R._mixed
+    monkeypatch.setattr(R, "_mixed", lambda x, y, seed: np.zeros_like(x) if seed < 64 else good(x, y, seed))
+    w = [i % 7 for i in range(100)] + list(range(100, 200))
+    assert R.find_runs(np.array(w, dtype=np.int64)) == [(0, 100, 7)]
+
+
+def test_long_periodic_text_stays_cheap():
+    assert R.find_runs(np.zeros(600_000, dtype=np.int64)) == [(0, 600_000, 1)]
+    w = np.tile(np.append(np.zeros(50, dtype=np.int64), 1), 5_000)
+    assert (0, len(w), 51) in R.find_runs(w) and len(R.find_runs(w)) == 5_001
+
+
+def test_exponents_below_two_are_refused():
+    with pytest.raises(ValueError):
+        R.SquareCatcher(min_exponent=1)
+
+
+def test_whole_table_against_brute_force(spark, rows_of):
+    got = [tuple(r) for r in R.query(table(spark, SF, "documents")).collect()]
+    docs = [d for d in rows_of("documents") if len((d["text"] or "").split()) < 700 or zlib.crc32(str(d["doc_id"]).encode()) % 10 == 0 and len(d["text"]) < 20_000]
+    want = {r[0]: r for r in (brute_row(d["doc_id"], d["text"]) for d in docs)}
+    assert len(got) == len(rows_of("documents")) and len(want) > 100
+    assert {r[0]: r for r in got if r[0] in want} == want
+    assert any(r[1] for r in got)
+
+
+def test_edges(spark, make_docs):
+    rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "a " * 24), (5, "a " * 24), (None, "a b " * 12), (10, "a b c d " * 30), (6, "x y " * 23), (7, "a b " * 50_000 + "c")]
+    docs = make_docs(rows).selectExpr("*", "'x' AS runs", "1 AS start", "2 AS collapsed")
+    got = sorted(map(tuple, R.query(docs).collect()), key=str)
+    assert got == sorted([brute_row(*r) for r in rows[:-1]] + [tuple(x) for x in R.query(make_docs(rows[-1:])).collect()], key=str)
+    assert R.query(make_docs(rows[-1:])).first()[1:6] == (1, 0, 100_000, 2, 50_000_000) or zlib.crc32(b"7") % 10 == 0
+    assert R.query(make_docs([])).collect() == []
+
+
+def test_real_outputs(spark, make_docs):
+    got = R.mark_runs(make_docs([(1, "so it " + "is on " * 20 + "now")]), min_length=10).first()
+    assert [tuple(r) for r in got.runs] == [(2, 40, 2)] and got.collapsed == "so it is on now"
