@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starweave.llm import config_packing, decontaminate, extract, language_id, packing, periodic_runs, quality, secrets, simhash, suffix_dedup, token_counts, topk
+from starweave.llm import config_packing, decontaminate, extract, language_id, packing, periodic_runs, quality, secrets, simhash, spelling, suffix_dedup, token_counts, topk
 from starweave.llm.common import table
 
 QUERIES = {
@@ -18,4 +18,5 @@ QUERIES = {
     "op9_secrets": lambda spark, sf_dir: secrets.query(table(spark, sf_dir, "documents")),
     "op11_periodic_runs": lambda spark, sf_dir: periodic_runs.query(table(spark, sf_dir, "documents")),
     "op12_config_packing": lambda spark, sf_dir: config_packing.query(table(spark, sf_dir, "documents")),
+    "op13_spelling_variants": lambda spark, sf_dir: spelling.query(table(spark, sf_dir, "documents")),
 }
