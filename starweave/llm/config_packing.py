@@ -23,7 +23,7 @@ import os
 import re
 import struct
 import zlib
-from collections import ChainMap, Counter
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,8 +43,9 @@ NEAR = 0.02  # how far below the greatest price a configuration may be
 SPARE = 4  # of this many pieces at most this long a share of the capacity, one is kept for the last step
 RATE = 2.0  # how fast a price falls with the share covered
 BUCKET_ROWS = 50_000
-REMEMBERED = 400_000
-SLICE = 1 << 20
+REMEMBERED = 800_000
+TOGETHER = 512
+SLICE = 1 << 15
 
 
 # ---------------------------------------------------------------- tokens and pieces
@@ -59,11 +60,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Ids of texts, as little-endian unsigned 32-bit numbers.
 
-    No token of this tokenizer crosses white space, it takes no notice of the case
-    of A to Z, and letters and the points behind them are tokens apart. So what stands
-    between ASCII white space is encoded by itself, without those points, and
-    remembered, up to ``REMEMBERED`` strings. A text that may name special tokens,
-    whose case does count, is encoded as it is.
+    No token of this tokenizer crosses white space and it takes no notice of the case
+    of A to Z, so what stands between ASCII white space is encoded once and remembered,
+    up to ``REMEMBERED`` strings; so is a string of letters without the points behind it,
+    since these are tokens of their own. New strings of letters are encoded many at a
+    time, as the last token of each is marked as such. A text that may name special
+    tokens, whose case does count, is encoded as it is.
     """
 
     _letters = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
@@ -72,23 +74,48 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.strings: dict[bytes, bytes] = {}  # what stands between white space
-        self.parts: dict[bytes, bytes] = {}  # the same without points behind it, and points
-
-    def _ids(self, new: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-
-    def _learn(self, strings: set[bytes]) -> dict[bytes, bytes]:
-        split = {}
-        for x in strings:
-            core = x.rstrip(b".,;:!?")
-            split[x] = (core, x[len(core) :]) if core.isalpha() or self._letters.fullmatch(core.decode()) else (x, b"")
-        new = list({part for pair in split.values() for part in pair} - self.parts.keys())
-        parts = dict(zip(new, self._ids([part.decode() for part in new])))
-        if len(self.parts) < REMEMBERED:
-            self.parts.update(parts)
-        of = lambda part: parts[part] if part in parts else self.parts[part]
-        return {x: of(core) + of(points) for x, (core, points) in split.items()}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def _ids(self, strings: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def _words(self, plain: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of strings of letters, many at a time."""
+        out: dict[bytes, bytes] = {}
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            ids = self._ids([b" ".join(some).decode()])[0]
+            ends = (4 * (np.flatnonzero(self.last[np.frombuffer(ids, dtype="<u4")]) + 1)).tolist()
+            if len(ends) == len(some):
+                out.update((x, ids[start:end]) for x, start, end in zip(some, [0, *ends], ends))
+            else:  # not one word each, as was expected
+                out.update(zip(some, self._ids([x.decode() for x in some])))
+        return out
+
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of strings that are not known, and of the words in them."""
+        plain, pointed, odd, known = set(), [], set(), self.known
+        for x in new:
+            word = x.rstrip(b".,;:!?")
+            if not (word.isalpha() or self._letters.fullmatch(word.decode())):
+                odd.add(x)
+            elif len(word) == len(x):
+                plain.add(x)
+            else:
+                points = x[len(word) :]
+                pointed.append((x, word, points))
+                if word not in known:
+                    plain.add(word)
+                if points not in known:
+                    odd.add(points)
+        out = self._words(list(plain))
+        out.update(zip(odd, self._ids([x.decode() for x in odd])))
+        of = lambda x: out[x] if x in out else known[x]
+        out.update([(x, of(word) + of(points)) for x, word, points in pointed])
+        return out
 
     def encode(self, batch: list) -> list[bytes]:
         data = [(t or "").encode() for t in batch]
@@ -96,13 +123,14 @@ class Encoder:
         for i in odd:
             data[i] = b""
         words = [x.lower().split() for x in data]
-        learnt = self._learn(set().union(*words) - self.strings.keys())
-        known = self.strings
-        if len(known) < REMEMBERED:
-            known.update(learnt)
-        else:  # the common ones came first
-            known = ChainMap(learnt, known)
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
+        found = [list(map(self.known.get, w)) for w in words]
+        gaps = [i for i, f in enumerate(found) if None in f]
+        learnt = self._learn({x for i in gaps for x, v in zip(words[i], found[i]) if v is None})
+        for i in gaps:
+            found[i] = [learnt[x] if v is None else v for x, v in zip(words[i], found[i])]
+        if len(self.known) < REMEMBERED:  # the common ones come first
+            self.known.update(learnt)
+        out = [b"".join(f) for f in found]
         for i in odd:
             out[i] = self._ids([batch[i]])[0]
         return out

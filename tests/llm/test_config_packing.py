@@ -71,7 +71,7 @@ def test_encoder_gives_the_tokenizer_s_ids(remembered, monkeypatch):
     texts += ["".join(rnd.choice(letters) for _ in range(rnd.randrange(40))) for _ in range(800)]
     want = [enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert [ids(x) for x in enc.encode(texts)] == want == [ids(enc.encode([t])[0]) for t in texts]
-    assert len(enc.strings) < C.REMEMBERED + 3_000
+    assert len(enc.known) < C.REMEMBERED + 12_000
 
 
 def fewest(pieces, capacity):
