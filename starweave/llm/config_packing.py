@@ -42,7 +42,7 @@ STEP = 0.15  # share of a length's pieces that one purchase covers at most
 NEAR = 0.02  # how far below the greatest price a configuration may be
 SPARE = 4  # of this many pieces at most this long a share of the capacity, one is kept for the last step
 RATE = 2.0  # how fast a price falls with the share covered
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 1_000
 REMEMBERED = 800_000
 TOGETHER = 512
 SLICE = 1 << 15
