@@ -19,7 +19,7 @@ from starweave.plans import scenario as S
 from starweave.plans import warehouse as W
 from starweave.plans.cleaning import CleanConfig, clean_declarations
 from starweave.plans.dimensions import DimensionSpec, build_dimension, dedup_sources, union_sources
-from starweave.plans.facts import resolve_keys
+from starweave.plans.facts import KeyLookup, resolve_keys
 from starweave.plans.normalize import append_entities, bridge, insert_if_absent
 from starweave.session import shared_path
 from starweave.sources import files, jdbc
@@ -548,6 +548,39 @@ def scd2_history(spark, d):
     return history.scd2_history(merged, ["part_number"], "p_size")
 
 
+# When the part dimension was loaded, in the middle of the dates of the lines.
+PART_LOADS = ("1996-01-01 00:00:00", "1998-01-01 00:00:00", "2000-01-01 00:00:00")
+PART_COLS = ["part_tk", "version", "date_from", "date_to", "part_number", "p_size", "p_brand"]
+
+
+def part_snapshots(spark, d):
+    """The part records as they were at each load: small parts only; promoted ones grown; one brand grown again."""
+    p = T(spark, d, "part").select(F.col("p_partkey").alias("part_number"), "p_size", "p_brand", "p_type")
+    second = p.withColumn("p_size", F.when(F.col("p_type") == "PROMO", F.col("p_size") + 1).otherwise(F.col("p_size")))
+    third = second.withColumn("p_size", F.when(F.col("p_brand") == "Brand#1", F.col("p_size") + 2).otherwise(F.col("p_size")))
+    return [x.drop("p_type") for x in (p.filter("p_size <= 45"), second, third)]
+
+
+def part_versions(spark, d):
+    """The type-2 part dimension after three loads."""
+
+    def build():
+        first, *later = part_snapshots(spark, d)
+        dim = keys.scd1_columns(keys.surrogate_key(first, ["part_number"], "part_tk"), PART_LOADS[0]).select(*PART_COLS)
+        for ts, snapshot in zip(PART_LOADS[1:], later):
+            dim = history.scd2_merge(materialize(dim, "part-versions"), snapshot, ["part_number"], ["p_size", "p_brand"], "part_tk", ts)
+        return dim
+
+    return S.stored(spark, d, "part-versions", build)
+
+
+def fact_as_of(spark, d):
+    """Each line with the version of its part that was valid on its ship date (D7 on a type-2 dimension)."""
+    ln = T(spark, d, "lineitem", [*S.LINE_KEY, "l_quantity", "l_shipdate"])
+    part = KeyLookup(part_versions(spark, d), "part_tk", (("l_partkey", "part_number"),), at="l_shipdate")
+    return resolve_keys(ln, [part], [*S.LINE_KEY, "l_quantity", "l_shipdate"])
+
+
 def fact_rollup(spark, d):
     # the roll-up needs three foreign keys and the measures, not the fact's own key
     used = ("state_dim", "disaster_dim", "incident_datesdim")
@@ -625,4 +658,5 @@ QUERIES: dict[str, Query] = {
     "scd2_merge": scd2_merge,
     "scd2_history": scd2_history,
     "fact_rollup": fact_rollup,
+    "fact_as_of": fact_as_of,
 }

@@ -11,18 +11,24 @@ from pyspark.sql import functions as F
 from starweave.functions.text import normalize_key
 from starweave.operators.joins import fits_broadcast, hot_keys, lookup_join
 from starweave.operators.keys import dense_number, global_number
+from starweave.operators.temporal import as_of_lookup
 
 UNKNOWN_TK = 0
 
 
 @dataclass(frozen=True)
 class KeyLookup:
-    """Resolve ``tk`` of ``dim`` for each fact row on ``(fact_col, dim_col)`` pairs."""
+    """Resolve ``tk`` of ``dim`` for each fact row on ``(fact_col, dim_col)`` pairs.
+
+    ``at`` names the row's time: the version of the member valid then is taken (type 2).
+    Without it the open rows count (``date_to`` null), one for each natural key.
+    """
 
     dim: DataFrame
     tk: str
     on: tuple[tuple[str, str], ...]
     normalize: bool = False
+    at: str | None = None
 
 
 def stage_fact(sources: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
@@ -47,18 +53,25 @@ def resolve_keys(
     key and tk (the natural key is unique in a built dimension, so no row is
     duplicated either). A dimension is broadcast if its measured size fits; for
     the others, one sample of the staging rows finds the hot keys of all lookups
-    (left joins to unique keys don't change them).
+    (left joins to unique keys don't change them). Lookups with a time (``at``) find the
+    version valid then, see ``temporal.as_of_lookup``.
     """
     shuffled = {}
     for i, lk in enumerate(lookups):
-        if not fits_broadcast(lk.dim):
+        if not lk.at and not fits_broadcast(lk.dim):
             shuffled[str(i)] = [normalize_key(f) if lk.normalize else F.col(f) for f, _ in lk.on]
     hot = {} if plain_joins else hot_keys(staging, shuffled)
     out = staging
     tks = []
     for i, lk in enumerate(lookups):
+        tks.append((f"_sw_tk{i}", lk.tk))
+        if lk.at:
+            pairs = [tuple(normalize_key(c) if lk.normalize else F.col(c) for c in pair) for pair in lk.on]
+            out = as_of_lookup(out, lk.dim, pairs, lk.at, lk.tk, out=f"_sw_tk{i}", unknown_tk=None)
+            continue
         dim_cols = {d: f"_sw_l{i}_{j}" for j, (_, d) in enumerate(lk.on)}
-        side = lk.dim.select(
+        open_rows = lk.dim.filter(F.col("date_to").isNull()) if "date_to" in lk.dim.columns else lk.dim
+        side = open_rows.select(
             F.col(lk.tk).alias(f"_sw_tk{i}"),
             *[(normalize_key(d) if lk.normalize else F.col(d)).alias(n) for d, n in dim_cols.items()],
         )
@@ -67,7 +80,6 @@ def resolve_keys(
             out = out.join(side, [key == F.col(c) for key, c in on], "left")
         else:
             out = lookup_join(out, side, on, broadcast=str(i) not in shuffled, hot=hot.get(str(i)))
-        tks.append((f"_sw_tk{i}", lk.tk))
     return out.select(
         *[F.coalesce(F.col(src), F.lit(unknown_tk)).cast("bigint").alias(name) for src, name in tks],
         *[F.col(c) for c in keep],

@@ -446,6 +446,21 @@ def _not_null_sql() -> str:
     return with_ctes(STAGING, select="\nUNION ALL\n".join(parts))
 
 
+# The type-2 part dimension after three loads; a version ends when the next one begins.
+PART_VERSIONS = """
+snap AS (SELECT p_partkey AS k, p_brand, p_size AS s1, p_size + CASE WHEN p_type = 'PROMO' THEN 1 ELSE 0 END AS s2,
+                p_size + CASE WHEN p_type = 'PROMO' THEN 1 ELSE 0 END + CASE WHEN p_brand = 'Brand#1' THEN 2 ELSE 0 END AS s3 FROM part),
+v1 AS (SELECT row_number() OVER (ORDER BY k) AS tk, k, s1 AS size FROM snap WHERE s1 <= 45),
+v2 AS (SELECT (SELECT max(tk) FROM v1) + row_number() OVER (ORDER BY k) AS tk, k, s2 AS size FROM snap
+       WHERE s1 > 45 OR s2 <> s1),
+v3 AS (SELECT (SELECT max(tk) FROM v2) + row_number() OVER (ORDER BY k) AS tk, k, s3 AS size FROM snap WHERE s3 <> s2),
+part_versions AS (
+  SELECT tk AS part_tk, k AS part_number, size, TIMESTAMP '1996-01-01' AS date_from FROM v1
+  UNION ALL SELECT tk, k, size, TIMESTAMP '1998-01-01' FROM v2
+  UNION ALL SELECT tk, k, size, TIMESTAMP '2000-01-01' FROM v3)
+"""
+
+
 ORACLE: dict[str, str] = {
     "fact_build": with_ctes(*FACT_ALL, select="SELECT * FROM fact"),
     "staging_fact": with_ctes(STAGING, select="SELECT * FROM staging"),
@@ -597,4 +612,7 @@ SELECT part_number, version, previous_value, new_value FROM (
                  LEFT JOIN dates_dim dt ON f.incident_dates_tk = dt.incident_dates_tk
                  LEFT JOIN disaster_dim di ON f.disaster_tk = di.disaster_tk)
            GROUP BY ROLLUP (state_name, incident_year, incident_type)"""),
+    "fact_as_of": "WITH " + PART_VERSIONS + """
+SELECT coalesce(v.part_tk, 0) AS part_tk, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_shipdate
+FROM lineitem l ASOF LEFT JOIN part_versions v ON l.l_partkey = v.part_number AND l.l_shipdate >= v.date_from""",
 }
