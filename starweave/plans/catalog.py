@@ -14,15 +14,17 @@ from starweave.functions.dates import ISO_Z, date_text, elapsed_days, elapsed_se
 from starweave.functions.hashing import hash_mod
 from starweave.functions.text import first_matching, html_text_nodes, normalize_key, strip_ws
 from starweave.operators import clean, constraints, history, html, joins, keys, metrics
+from starweave.operators.registry import KeyRegistry
 from starweave.operators.split import exact_split
 from starweave.plans import scenario as S
 from starweave.plans import warehouse as W
 from starweave.plans.cleaning import CleanConfig, clean_declarations
 from starweave.plans.dimensions import DimensionSpec, build_dimension, dedup_sources, union_sources
 from starweave.plans.facts import KeyLookup, resolve_keys
-from starweave.plans.normalize import append_entities, bridge, insert_if_absent
+from starweave.plans.normalize import append_entities, bridge, insert_if_absent, insert_if_absent_logged
 from starweave.session import shared_path
 from starweave.sources import files, jdbc
+from starweave.sources.commit_log import CommitLog
 from starweave.sources.files import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,13 +83,14 @@ def _existing_states(spark, d):
 
 
 def append_load(spark, d):
-    path = shared_path(spark, "append-load")
-    existing = _existing_states(spark, d)
-    files.write_parquet(existing, path)
-    current = spark.read.parquet(path)
-    added = insert_if_absent(_state_rows(spark, d), current, ["country_name"])
-    files.write_parquet(added.select("id", "country_name", "name"), path, mode="append")
-    return spark.read.parquet(path)
+    """Two loads of states through the commit log; the second is tried three times, once by a driver that died."""
+    log = CommitLog(spark, shared_path(spark, "append-load"), "country_name string, name string", id_col="id", order=["country_name"])
+    log.append("first", _existing_states(spark, d))
+    incoming = _state_rows(spark, d)
+    log.write_attempt(incoming)  # lost before its commit
+    for _ in range(2):
+        insert_if_absent_logged(log, "second", incoming, ["country_name"])
+    return log.table()
 
 
 # ------------------------------------------------------------- projections
@@ -292,6 +295,14 @@ def dim_generic(spark, d):
     return build_dimension([T(spark, d, "supplier")], SUPPLIER, S.LOAD_TS)
 
 
+def dim_stable_keys(spark, d):
+    """The Declaration dimension after a refresh: members of the first load (the database's alone) keep their keys."""
+    registry = KeyRegistry(spark, shared_path(spark, "key-registry"), "declaration_request_number long", "declaration_tk")
+    sources = S.declaration_sources(spark, d)
+    build_dimension(sources[:1], S.DECLARATION, S.LOAD_TS, registry=registry, load_id="first")
+    return build_dimension(sources, S.DECLARATION, S.LOAD_TS, registry=registry, load_id="refresh")
+
+
 # ------------------------------------------------------------- staging / fact
 
 
@@ -607,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "dim_incident_dates": S.dim_incident_dates,
     "dim_state": S.dim_state,
     "dim_generic": dim_generic,
+    "dim_stable_keys": dim_stable_keys,
     "union_sources": union_sources_q,
     "dedup_natural_key": dedup_natural_key,
     "dedup_composite_key": dedup_composite_key,

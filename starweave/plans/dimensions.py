@@ -23,6 +23,8 @@ from starweave.operators.keys import (
     with_unknown_member,
     without_reserved,
 )
+from starweave.operators.registry import KeyRegistry
+from starweave.sources.files import materialize
 
 SCD_COLUMNS = ("version", "date_from", "date_to")
 
@@ -62,18 +64,31 @@ def dedup_sources(sources: Sequence[DataFrame], spec: DimensionSpec) -> DataFram
 
 
 def build_dimension(
-    sources: Sequence[DataFrame], spec: DimensionSpec, load_ts: datetime | str, at_most: int | None = None, global_window: bool = False
+    sources: Sequence[DataFrame],
+    spec: DimensionSpec,
+    load_ts: datetime | str,
+    at_most: int | None = None,
+    global_window: bool = False,
+    registry: KeyRegistry | None = None,
+    load_id: str | None = None,
 ) -> DataFrame:
     """Conformed dimension with surrogate key, SCD columns and an UNKNOWN member.
 
     The numbering writes the deduplicated members first, so the sources are
     scanned once (see ``dense_number`` for ``at_most``, the rows of all sources). ``global_window`` numbers them in a single task instead (for
-    comparison on small data only).
+    comparison on small data only). With a ``registry`` members keep the key that they had
+    at earlier loads, and only new ones are numbered, once for each ``load_id``.
     """
     one = dedup_sources(sources, spec)
     if spec.reserved:
         one = without_reserved(one, spec.natural_key, spec.reserved)
-    if global_window:
+    if registry is not None:
+        if load_id is None:
+            raise ValueError("a registered load needs an id, so that a second try of it adds no keys")
+        one = materialize(one, f"{spec.name}-members")  # read twice: for its keys and for its attributes
+        registry.extend(load_id, one)
+        keyed = registry.keyed(one)
+    elif global_window:
         keyed = global_number(one, spec.natural_key, spec.tk)
     else:
         keyed = surrogate_key(one, spec.natural_key, spec.tk, at_most=at_most)

@@ -487,6 +487,10 @@ ORACLE: dict[str, str] = {
         dimension("supplier_dim", "supplier", "supplier_tk", ["s_suppkey"], ["s_suppkey", "s_name", "s_nationkey"],
                   {"s_suppkey": "CAST(NULL AS BIGINT)", "s_name": "'UNKNOWN'", "s_nationkey": "CAST(NULL AS INTEGER)"}),
         select="SELECT * FROM supplier_dim"),
+    "dim_stable_keys": with_ctes(
+        DECL_DIM,
+        select="SELECT row_number() OVER (ORDER BY declaration_tk > 0, old IS NULL, declaration_request_number) - 1 AS declaration_tk, * EXCLUDE (declaration_tk, old) "
+               "FROM declaration_dim LEFT JOIN (SELECT DISTINCT declaration_request_number AS old FROM decl_src WHERE src = 0) ON declaration_request_number = old"),
     "union_sources": with_ctes(DECL_SRC, select=f"SELECT {DTYPE_COLS}, src AS source_rank FROM decl_src"),
     "dedup_natural_key": with_ctes(
         DECL_SRC, select=first_per_key("decl_src", ["declaration_request_number"],
