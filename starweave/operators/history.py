@@ -21,6 +21,7 @@ def scd2_merge(
     tk: str,
     load_ts: datetime | str,
     unknown_tk: int = 0,
+    top: int | None = None,
 ) -> DataFrame:
     """Type-2 merge of ``incoming`` (one row per natural key) into a dimension.
 
@@ -29,7 +30,8 @@ def scd2_merge(
     Open rows whose attributes changed (NULL-safe compare) are closed at
     ``load_ts`` and get a successor with version + 1; new keys enter with
     version 1; new rows take keys after the current maximum, in natural-key
-    order. Closed history and the UNKNOWN member pass through unchanged.
+    order. Closed history and the UNKNOWN member pass through unchanged. If ``current``
+    is a part of the dimension, ``top`` is the largest key of the whole.
     """
     ts = ntz_literal(load_ts)
     is_open = F.col("date_to").isNull() & (F.col(tk) != F.lit(unknown_tk))
@@ -63,7 +65,8 @@ def scd2_merge(
         F.lit(None).cast("timestamp_ntz").alias("date_to"),
         *[F.col(f"_in_{c}").alias(c) for c in [*keys, *attrs]],
     )
-    top = current.agg(F.max(tk)).first()[0] or 0
+    if top is None:
+        top = current.agg(F.max(tk)).first()[0] or 0
     numbered = dense_number(successors, list(keys), tk, start=int(top) + 1)
     cols = current.columns
     return fixed.select(*cols).unionByName(kept.select(*cols)).unionByName(numbered.select(*cols))

@@ -601,6 +601,7 @@ SELECT * FROM c WHERE (SELECT min(page_id) FROM c WHERE n_cards < 6) IS NULL
         select="SELECT * EXCLUDE (id, _h), row_number() OVER (ORDER BY _h, id) <= round_even(count(*) OVER () * 0.2, 0) AS is_test "
                f"FROM (SELECT *, {h60(1, ['id'])} AS _h FROM cleaned)"),
     "scd2_merge": "WITH " + PART_MERGE + "\nSELECT * FROM merged",
+    "scd2_merge_touched": "WITH " + PART_MERGE + "\nSELECT * FROM merged",
     "scd2_history": "WITH " + PART_MERGE + """
 SELECT part_number, version, previous_value, new_value FROM (
   SELECT part_number, version, lag(p_size) OVER (PARTITION BY part_number ORDER BY version) AS previous_value, p_size AS new_value

@@ -49,50 +49,38 @@ class Commit:
     first_id: int
 
 
-class CommitLog:
-    """The table in the folder ``path``: columns ``schema``, numbered in ``order`` within a load as ``id_col`` (if given)."""
+class EntryLog:
+    """Numbered entries (JSON objects) in the folder ``path``: each is put once, whole, by one writer."""
 
-    def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType | str, id_col: str | None = None, order: Sequence[str] = (), first_id: int = 1
-    ):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        self.id_col, self.order, self.start = id_col, list(order), first_id
-        self._known: dict[int, Commit] = {}
-        if id_col and id_col in self.schema.names:
-            raise ValueError(f"{id_col} is given by the log; it is no column of the rows")
-        if bool(id_col) != bool(self.order):
-            raise ValueError("numbered rows need an order, and only they")
-
-    # ------------------------------------------------------------- the log
+        self._known: dict[int, dict] = {}
 
-    def _java_path(self, name: str):
+    def java_path(self, name: str):
+        """(path, its file system)"""
         p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def commits(self) -> list[Commit]:
+    def entries(self) -> list[dict]:
         """The entries so far, in order; one a load, so their number does not grow with the rows."""
-        folder, fs = self._java_path("log")
+        folder, fs = self.java_path("log")
         if fs.exists(folder):
             for status in fs.listStatus(folder):
                 name = status.getPath().getName()
                 if name.endswith(".json") and (number := int(name[:-5])) not in self._known:
                     stream = fs.open(status.getPath())
                     try:
-                        self._known[number] = Commit(**json.loads(bytes(stream.readAllBytes()).decode()))
+                        self._known[number] = json.loads(bytes(stream.readAllBytes()).decode())
                     finally:
                         stream.close()
         return [self._known[n] for n in sorted(self._known)]
 
-    def find(self, load_id: str) -> Commit | None:
-        return next((c for c in self.commits() if c.load_id == load_id), None)
-
-    def _put(self, entry: Commit) -> bool:
+    def put(self, number: int, entry: dict) -> bool:
         """Makes the entry, whole or not at all; False if its number is taken."""
-        target, fs = self._java_path(f"log/{entry.number:012d}.json")
-        draft, _ = self._java_path(f"log/_{entry.attempt}-{os.urandom(4).hex()}")
+        target, fs = self.java_path(f"log/{number:012d}.json")
+        draft, _ = self.java_path(f"log/_draft-{os.urandom(8).hex()}")
         out = fs.create(draft, False)
-        out.write(json.dumps(asdict(entry)).encode())
+        out.write(json.dumps(entry).encode())
         out.close()
         try:
             if fs.getUri().getScheme() != "file":
@@ -106,6 +94,30 @@ class CommitLog:
             raise
         return True
 
+
+class CommitLog:
+    """The table in the folder ``path``: columns ``schema``, numbered in ``order`` within a load as ``id_col`` (if given)."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType | str, id_col: str | None = None, order: Sequence[str] = (), first_id: int = 1
+    ):
+        self.spark, self.path, self.log = spark, path.rstrip("/"), EntryLog(spark, path)
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.id_col, self.order, self.start = id_col, list(order), first_id
+        if id_col and id_col in self.schema.names:
+            raise ValueError(f"{id_col} is given by the log; it is no column of the rows")
+        if bool(id_col) != bool(self.order):
+            raise ValueError("numbered rows need an order, and only they")
+
+    # ------------------------------------------------------------- the log
+
+    def commits(self) -> list[Commit]:
+        """The loads so far, in order."""
+        return [Commit(**e) for e in self.log.entries()]
+
+    def find(self, load_id: str) -> Commit | None:
+        return next((c for c in self.commits() if c.load_id == load_id), None)
+
     # ------------------------------------------------------------- writing
 
     def write_attempt(self, rows: DataFrame) -> tuple[str, int]:
@@ -131,7 +143,7 @@ class CommitLog:
                 return None
             first = done[-1].first_id + done[-1].rows if done else self.start
             entry = Commit(len(done), load_id, attempt, rows, first)
-            if self._put(entry):
+            if self.log.put(entry.number, asdict(entry)):
                 return entry
 
     def append(self, load_id: str, rows: DataFrame) -> Commit:
@@ -174,7 +186,7 @@ class CommitLog:
 
     def orphans(self) -> list[str]:
         """Folders of attempts that no entry names: of lost drivers, of losing writers, or of loads at work just now."""
-        folder, fs = self._java_path("data")
+        folder, fs = self.log.java_path("data")
         named = {c.attempt for c in self.commits()}
         found = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
         return sorted(p.toString() for p in found if p.getName().startswith(f"{ATTEMPT}=") and p.getName().split("=", 1)[1] not in named)
