@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starweave.operators.bloom import pruned
 from starweave.sources.files import measured
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -144,7 +145,13 @@ def first_match_lookup(
 
 
 def null_safe_anti(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` with no ``existing`` row on ``keys`` (NULL matches NULL)."""
+    """Rows of ``df`` with no ``existing`` row on ``keys`` (NULL matches NULL).
+
+    If ``df`` was counted while it was written and ``existing`` is not broadcast, a Bloom
+    filter of the keys of ``df`` drops other rows of ``existing`` before the shuffle.
+    """
+    if (known := measured(df)) is not None and not fits_broadcast(existing):
+        existing = pruned(existing.select(*keys), keys, df, keys, known[0])
     ex = existing.select(*[F.col(k).alias(f"_sw_e_{k}") for k in keys])
     cond = [df[k].eqNullSafe(ex[f"_sw_e_{k}"]) for k in keys]
     return df.join(F.broadcast(ex) if fits_broadcast(existing) else ex, cond, "left_anti")

@@ -12,10 +12,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.operators.joins import fits_broadcast, lookup_join
+from starweave.operators.joins import fits_broadcast, lookup_join, null_safe_anti
 from starweave.operators.keys import distinct_rows
 from starweave.sources.commit_log import Commit, CommitLog
 from starweave.sources.files import materialize
@@ -35,13 +34,8 @@ class KeyRegistry:
 
     def extend(self, load_id: str, members: DataFrame) -> Commit:
         """Registers the natural keys of ``members`` that are new; keys with a null part have none."""
-        members = distinct_rows(members.dropna(subset=self.keys), self.keys)
-
-        def new(known: DataFrame) -> DataFrame:
-            old = known.select(*[F.col(k).alias(f"_sw_old_{k}") for k in self.keys])
-            return members.join(old, [members[k] == old[f"_sw_old_{k}"] for k in self.keys], "left_anti")
-
-        return self.log.append_from(load_id, new)
+        members = materialize(distinct_rows(members.dropna(subset=self.keys), self.keys), "registry-members")
+        return self.log.append_from(load_id, lambda known: null_safe_anti(members, known, self.keys))
 
     def keyed(self, members: DataFrame) -> DataFrame:
         """``members`` (registered, one row each) with their surrogate key in front."""
