@@ -21,7 +21,7 @@ from starweave.plans import scenario as S
 from starweave.plans import warehouse as W
 from starweave.plans.cleaning import CleanConfig, clean_declarations
 from starweave.plans.dimensions import DimensionSpec, build_dimension, dedup_sources, union_sources
-from starweave.plans.facts import KeyLookup, resolve_keys
+from starweave.plans.facts import KeyLookup, resolve_keys, stage_fact
 from starweave.plans.normalize import append_entities, bridge, insert_if_absent, insert_if_absent_logged
 from starweave.session import shared_path
 from starweave.sources import files, jdbc
@@ -423,6 +423,19 @@ def check_fk(spark, d):
     return orphans.select(*S.LINE_KEY)
 
 
+QUARANTINE_KEY = ["disaster_number", "incident_end_date"]
+
+
+def quarantine(spark, d):
+    """All staging rows with what is wrong with each: no request number, a second row of a key, no such disaster."""
+    cols = [*S.LINE_KEY, "declaration_request_number", *QUARANTINE_KEY]
+    st = stage_fact([S.staging_db_side(spark, d), S.staging_csv_side(spark, d)], cols)
+    disasters = T(spark, d, "part").filter(F.col("p_size") <= 45)
+    good, bad = constraints.quarantine(
+        st, ["declaration_request_number"], [QUARANTINE_KEY], [(["disaster_number"], disasters, ["p_partkey"])], order=S.LINE_KEY)
+    return good.withColumn("reasons", F.lit("")).unionByName(bad.withColumn("reasons", F.array_join("reject_reasons", ";")).drop("reject_reasons"))
+
+
 # ------------------------------------------------------------- pages
 
 
@@ -672,6 +685,7 @@ QUERIES: dict[str, Query] = {
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_fk": check_fk,
+    "quarantine": quarantine,
     "html_cards": html_cards,
     "first_match_text": first_match_text,
     "pages_until_empty": pages_until_empty,

@@ -617,6 +617,16 @@ SELECT part_number, version, previous_value, new_value FROM (
                  LEFT JOIN dates_dim dt ON f.incident_dates_tk = dt.incident_dates_tk
                  LEFT JOIN disaster_dim di ON f.disaster_tk = di.disaster_tk)
            GROUP BY ROLLUP (state_name, incident_year, incident_type)"""),
+    "quarantine": with_ctes(
+        """judged AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+             CASE WHEN is_test AND o_orderstatus = 'P' THEN NULL ELSE l_orderkey END AS declaration_request_number,
+             l_partkey AS disaster_number, CAST(l_shipdate AS DATE) AS incident_end_date,
+             row_number() OVER (PARTITION BY l_partkey, CAST(l_shipdate AS DATE) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS nth
+           FROM lines)""",
+        select="""SELECT * EXCLUDE (nth), concat_ws(';', CASE WHEN declaration_request_number IS NULL THEN 'null:declaration_request_number' END,
+             CASE WHEN nth > 1 THEN 'duplicate:disaster_number,incident_end_date' END,
+             CASE WHEN disaster_number NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45) THEN 'orphan:disaster_number' END) AS reasons
+           FROM judged"""),
     "fact_as_of": "WITH " + PART_VERSIONS + """
 SELECT coalesce(v.part_tk, 0) AS part_tk, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_shipdate
 FROM lineitem l ASOF LEFT JOIN part_versions v ON l.l_partkey = v.part_number AND l.l_shipdate >= v.date_from""",
