@@ -19,20 +19,71 @@ ANCHOR = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)<
 QUOTES = r"""^["']|["']$"""
 
 
+def elements(html: Column | str, tag: str, cls: str) -> Column:
+    """The outer HTML of every ``tag`` element with the class token ``cls``, in order of their start tags (H1).
+
+    No regular expression matches balanced tags, but the tags of one name are a short list:
+    the page is cut at them, their depth is a running sum over that list, and an element ends
+    where the depth is back at its own. Elements inside others are found too. Comments, script
+    and style bodies hold no tags; a tag that closes itself is an empty element; what is open at
+    the end of the page ends there. All of this is one expression in the JVM; null gives null.
+    """
+    page = F.col(html) if isinstance(html, str) else html
+    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+    end_tag, start_tag = rf"</{tag}(?=[\s>/])[^>]*+>", rf"""<{tag}(?=[\s>/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+    token = rf"(?is)(<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|{end_tag}|{start_tag})"
+    # the value of the class attribute, which no other attribute's value can be taken for
+    class_value = rf"""(?is)^<{tag}(?:\s+(?!class[\s=>/])[^\s=>"']++(?:\s*=\s*{value})?+)*+\s+class\s*=\s*({value})"""
+    closes_itself = rf"""(?is)^<{tag}(?:\s+[^\s=>"'/]++(?:\s*=\s*{value})?+)*+\s*/>$"""  # an unquoted value takes the slash
+    tokens = F.regexp_extract_all(page, F.lit(token), 1)
+    between = F.split(page, token)
+
+    def read(t: Column, i: Column) -> Column:
+        """What a token means (1: begins an element, -1: ends one, 2: both, 0: neither), and its length and that of the text before it."""
+        names = F.split(F.regexp_replace(F.regexp_extract(t, class_value, 1), r"""^["']|["']$""", ""), r"[\s\x{0b}]+")
+        starts = t.rlike(rf"(?is)^<{tag}[\s>/]")
+        kind = F.when(t.rlike(rf"(?is)^</{tag}[\s>/]"), -1).when(t.rlike(closes_itself), 2).when(starts, 1).otherwise(0)
+        return F.struct(F.length(F.get(between, i)).alias("gap"), F.length(t).alias("size"), kind.alias("kind"), F.array_contains(names, cls).alias("mine"))
+
+    steps = F.transform(tokens, read)
+    spans = "array<struct<first:int,depth:int,behind:int>>"
+    start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth"), F.array().cast(spans).alias("open"), F.array().cast(spans).alias("done"))
+
+    def step(acc: Column, t: Column) -> Column:
+        first = acc["at"] + t["gap"]
+        behind = first + t["size"]
+        span = F.struct(first.alias("first"), (acc["depth"] + 1).alias("depth"), behind.alias("behind"))
+        top = F.try_element_at(acc["open"], F.lit(-1))
+        ends = (t["kind"] == -1) & F.coalesce(top["depth"] == acc["depth"], F.lit(False))
+        closed = F.array(F.struct(top["first"].alias("first"), top["depth"].alias("depth"), behind.alias("behind")))
+        return F.struct(
+            behind.alias("at"),
+            F.when(t["kind"] == 1, acc["depth"] + 1).when(t["kind"] == -1, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"]).alias("depth"),
+            F.when((t["kind"] == 1) & t["mine"], F.concat(acc["open"], F.array(span))).when(ends, F.slice(acc["open"], F.lit(1), F.size(acc["open"]) - 1)).otherwise(acc["open"]).alias("open"),
+            F.when((t["kind"] == 2) & t["mine"], F.concat(acc["done"], F.array(span))).when(ends, F.concat(acc["done"], closed)).otherwise(acc["done"]).alias("done"),
+        )
+
+    def finish(acc: Column) -> Column:
+        left = F.transform(acc["open"], lambda s: F.struct(s["first"].alias("first"), s["depth"].alias("depth"), (F.length(page) + 1).alias("behind")))
+        return F.transform(F.array_sort(F.concat(acc["done"], left)), lambda s: F.substr(page, s["first"], s["behind"] - s["first"]))
+
+    return F.when(page.isNotNull(), F.aggregate(steps, start, step, finish))
+
+
+def _cards(card_pattern) -> Column:
+    """A page's cards: the one group of a regular expression, or the elements of a ``(tag, class)`` pair."""
+    if isinstance(card_pattern, tuple):
+        return elements("html", *card_pattern)
+    return F.regexp_extract_all(F.col("html"), F.lit(card_pattern), 1)
+
+
 def card_fragments(pages: DataFrame, card_pattern, id_col: str = "page_id") -> DataFrame:
     """One row per repeated element (H1): (page id, position, card html).
 
-    ``card_pattern`` is a regex with one group (flat cards, JVM-side) or a
-    ``(tag, class)`` pair for cards that nest the same tag (balanced
-    matching by ``functions.markup.element_html``).
+    ``card_pattern`` is a regex with one group (flat cards) or a ``(tag, class)`` pair
+    (cards that may nest their own tag, see ``elements``).
     """
-    if isinstance(card_pattern, tuple):
-        from starweave.functions.markup import element_html
-
-        found = element_html("html", card_pattern[0], card_pattern[1])
-    else:
-        found = F.regexp_extract_all(F.col("html"), F.lit(card_pattern), 1)
-    return pages.select(F.col(id_col), F.posexplode(found).alias("card_pos", "card"))
+    return pages.select(F.col(id_col), F.posexplode(_cards(card_pattern)).alias("card_pos", "card"))
 
 
 def extract_cards(
@@ -61,21 +112,15 @@ def extract_cards(
     return with_anchor.select(F.col(id_col), F.col("card_pos"), *[v.alias(k) for k, v in out.items()])
 
 
-def _one_group(card_pattern) -> Column:
-    if not isinstance(card_pattern, str):
-        raise TypeError("counting cards needs a regular expression with one group, not a (tag, class) pair")
-    return F.lit(card_pattern)
-
-
-def card_counts(pages: DataFrame, card_pattern: str, id_col: str = "page_id") -> DataFrame:
+def card_counts(pages: DataFrame, card_pattern, id_col: str = "page_id") -> DataFrame:
     """Number of cards per page (0 for a page without cards)."""
     return pages.select(
-        F.col(id_col), F.size(F.regexp_extract_all(F.col("html"), _one_group(card_pattern), 1)).alias("n_cards")
+        F.col(id_col), F.size(_cards(card_pattern)).alias("n_cards")
     )
 
 
 def pages_until_empty(
-    pages: DataFrame, card_pattern: str, min_cards: int = 1, id_col: str = "page_id"
+    pages: DataFrame, card_pattern, min_cards: int = 1, id_col: str = "page_id"
 ) -> DataFrame:
     """Pages before the first one with fewer than ``min_cards`` cards.
 
@@ -87,7 +132,7 @@ def pages_until_empty(
 
 
 def listing_cards(
-    pages: DataFrame, card_pattern: str, base_url: str, labels: Mapping[str, str], id_col: str = "page_id"
+    pages: DataFrame, card_pattern, base_url: str, labels: Mapping[str, str], id_col: str = "page_id"
 ) -> DataFrame:
     """The listing job as a whole (D10): the cards of all pages before the first one without any."""
     first_empty = card_counts(pages, card_pattern, id_col).filter(F.col("n_cards") == 0).agg(F.min(id_col)).scalar()

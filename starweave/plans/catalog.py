@@ -485,6 +485,26 @@ def listing_pages(spark, d):
     return made.unionByName(empty).unionByName(older)
 
 
+def nested_listing_pages(spark, d):
+    """The listing pages with cards that nest their own tag, among tags in comments, scripts and attributes that are none."""
+    changes = {
+        "<li>": "<DIV title='a > b' data-class=\"views-row\" class='odd views-row'><div class=views-rows><div>",
+        "</li>": "</div><div title=\"<div class='views-row'>\"></div></DIV ><div class=\"views-row\"/></div>",
+        "<ul>": "<!-- <div class=views-row><a href=x>no</a> --><script>'<div class=views-row>'</script><div class=\"views\">",
+        "</ul>": "</div>",
+    }
+    page = F.col("html")
+    for old, new in changes.items():
+        page = F.replace(page, F.lit(old), F.lit(new))
+    return listing_pages(spark, d).withColumn("html", page)
+
+
+def html_cards_nested(spark, d):
+    """The listing job on those pages; every card is followed by an empty one, whose place in the page counts."""
+    out = html.listing_cards(nested_listing_pages(spark, d), ("div", "views-row"), BASE_URL, CARD_LABELS)
+    return out.withColumn("card_pos", F.floor(F.col("card_pos") / 2).cast("int"))
+
+
 def listing_cards(spark, d):
     return html.listing_cards(listing_pages(spark, d), CARD, BASE_URL, CARD_LABELS)
 
@@ -690,6 +710,7 @@ QUERIES: dict[str, Query] = {
     "first_match_text": first_match_text,
     "pages_until_empty": pages_until_empty,
     "listing_cards": listing_cards,
+    "html_cards_nested": html_cards_nested,
     "clean_and_split": clean_and_split,
     "clean_csv_files": clean_csv_files,
     "scd2_merge": scd2_merge,

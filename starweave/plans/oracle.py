@@ -587,6 +587,7 @@ ORACLE: dict[str, str] = {
     "check_fk": f"SELECT {LK} FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45)",
     "html_cards": _cards_sql(),
     "listing_cards": _cards_sql("made", LISTING),
+    "html_cards_nested": _cards_sql("made", LISTING),
     "first_match_text": _first_text_sql(),
     "pages_until_empty": f"""
 WITH c AS (SELECT page_id, CAST(len(regexp_extract_all(html, {q(CARD)}, 1)) AS INTEGER) AS n_cards FROM pages)

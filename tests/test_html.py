@@ -1,4 +1,6 @@
-import pytest
+import random
+from html.parser import HTMLParser
+
 from conftest import rows
 
 from starweave.operators import html
@@ -60,6 +62,61 @@ def test_listing_stops_at_the_first_empty_page(spark):
     assert sorted(r.page_id for r in out.collect()) == [0, 1]
 
 
-def test_counting_needs_a_pattern(spark):
-    with pytest.raises(TypeError):
-        html.pages_until_empty(_pages(spark), ("div", "views-row"))
+class Reader(HTMLParser):
+    """Every element of a tag with a class token, read one tag after another."""
+
+    def __init__(self, page, tag, cls):
+        super().__init__(convert_charrefs=False)
+        self.page, self.tag, self.cls, self.open, self.found = page, tag, cls, [], []
+        self.feed(page)
+        self.close()
+        self.found += [(first, page[first:]) for first, mine in self.open if mine]
+
+    def place(self):
+        line, col = self.getpos()
+        return sum(len(x) + 1 for x in self.page.split("\n")[: line - 1]) + col
+
+    def handle_starttag(self, tag, attrs):
+        if tag == self.tag:
+            self.open.append((self.place(), self.cls in (dict(attrs).get("class") or "").split()))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag == self.tag and self.open.pop()[1]:
+            self.found.append((self.place(), self.get_starttag_text()))
+
+    def handle_endtag(self, tag):
+        if tag == self.tag and self.open:
+            first, mine = self.open.pop()
+            if mine:
+                self.found.append((first, self.page[first : self.page.index(">", self.place()) + 1]))
+
+
+PIECES = ["<div>", "<div class=card>", "<DIV class='a card b'>", '<div id="x>y" class="card">', "<div data-class=card>", "<div title=' class=card '>", "</div>", "</DIV >", "</div>",
+          "</div>", "<div class=card/>", '<div class="card"/>', "<!-- <div class=card> -->", "<script>'<div class=card>'</script>", "<p class=card>", "</p>", "text", "<divider class=card>", "a\nb", "<div\nclass\n=\n'card'\n>", "<div class=cards>"]
+
+
+def test_elements_against_a_parser(spark):
+    rnd = random.Random(7)
+    pages = ["".join(rnd.choice(PIECES) for _ in range(rnd.randrange(25))) for _ in range(400)] + ["", "<div class=card>" * 300 + "</div>" * 299]
+    got = spark.createDataFrame(list(enumerate(pages)) + [(-1, None)], "i int, html string").select("i", html.elements("html", "div", "card").alias("e")).collect()
+    found = {r.i: r.e for r in got}
+    assert found.pop(-1) is None
+    for i, page in enumerate(pages):
+        assert found[i] == [x for _, x in sorted(Reader(page, "div", "card").found)], page
+
+
+def test_elements_of_a_long_page_and_of_other_tags(spark):
+    page = "x" * 2_000_000 + "<li class='c'>" + " <b title='" + "q" * 100_000 + "'>t</b>" * 2_000 + "</li>"
+    got = spark.createDataFrame([(page,)], "html string").select(html.elements("html", "li", "c").alias("e")).first().e
+    assert got == [page[2_000_000:]]
+
+
+def test_pages_are_counted_by_elements_too(spark):
+    out = html.pages_until_empty(_pages(spark), ("div", "views-row"))
+    assert sorted((r.page_id, r.n_cards) for r in out.collect()) == [(0, 2), (1, 1)]
+
+
+def test_no_python_reads_pages(spark):
+    plan = html.extract_cards(_pages(spark), ("div", "views-row"), "", {})._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
