@@ -92,6 +92,26 @@ def scd2_history(dim: DataFrame, keys: Sequence[str], attr: str, version: str =
     )
 
 
+def level_rows(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[tuple[str, Column]]]]) -> DataFrame:
+    """``fact`` with the dimension attributes that it is rolled up by (E2); ``dims`` = [(dim, tk, [(name, expr over dim)])]."""
+    shuffled = {tk: [F.col(tk)] for dim, tk, _ in dims if not fits_broadcast(dim)}
+    hot = hot_keys(fact, shuffled)
+    out = fact
+    for dim, tk, attrs in dims:
+        side = dim.select(F.col(tk).alias("_sw_tk"), *[expr.alias(name) for name, expr in attrs])
+        out = lookup_join(out, side, [(F.col(tk), "_sw_tk")], broadcast=tk not in shuffled, hot=hot.get(tk))
+    return out
+
+
+def rollup_levels(base: DataFrame, levels: Sequence[str], sums: Sequence[str], count_name: str = "fact_rows") -> DataFrame:
+    """ROLLUP of rows that are added up by ``levels`` already."""
+    return base.rollup(*levels).agg(
+        *[F.sum(m).alias(m) for m in sums],
+        F.sum(count_name).alias(count_name),
+        F.grouping_id().alias("grouping_level"),
+    )
+
+
 def rollup_fact(
     fact: DataFrame,
     dims: Sequence[tuple[DataFrame, str, Sequence[tuple[str, Column]]]],
@@ -104,17 +124,7 @@ def rollup_fact(
     The attributes are joined to the fact (broadcast where the dimension was
     measured to fit), the levels are aggregated with partial sums in every
     task, and only that small result is expanded by the ROLLUP.
-    ``dims`` = [(dim, tk, [(name, expr over dim)])].
     """
-    shuffled = {tk: [F.col(tk)] for dim, tk, _ in dims if not fits_broadcast(dim)}
-    hot = hot_keys(fact, shuffled)
-    out = fact
-    for dim, tk, attrs in dims:
-        side = dim.select(F.col(tk).alias("_sw_tk"), *[expr.alias(name) for name, expr in attrs])
-        out = lookup_join(out, side, [(F.col(tk), "_sw_tk")], broadcast=tk not in shuffled, hot=hot.get(tk))
-    base = out.groupBy(*levels).agg(*[F.sum(m).alias(m) for m in sums], F.count(F.lit(1)).alias(count_name))
-    return base.rollup(*levels).agg(
-        *[F.sum(m).alias(m) for m in sums],
-        F.sum(count_name).alias(count_name),
-        F.grouping_id().alias("grouping_level"),
-    )
+    rows = level_rows(fact, dims)
+    base = rows.groupBy(*levels).agg(*[F.sum(m).alias(m) for m in sums], F.count(F.lit(1)).alias(count_name))
+    return rollup_levels(base, levels, sums, count_name)

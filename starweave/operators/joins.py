@@ -120,11 +120,22 @@ def lookup_join(
     return f.join(d, cond, how).drop(*names, *dnames, "_sw_fsalt", "_sw_dsalt")
 
 
+def spread_lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column | str, str]], how: str = "left", broadcast: bool | None = None) -> DataFrame:
+    """``lookup_join`` that looks for the hot keys itself, in a sample, if the side is not broadcast."""
+    small = fits_broadcast(dim) if broadcast is None else broadcast
+    hot = None if small else hot_keys(fact, {"key": [f for f, _ in on]})["key"]
+    return lookup_join(fact, dim, on, how, small, hot)
+
+
 def denormalize(child: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
-    """Chain of left joins on same-named FK columns (J1): child ⟕ p1 USING(k1) ⟕ p2 …"""
+    """Chain of left joins on same-named FK columns (J1): child ⟕ p1 USING(k1) ⟕ p2 …
+
+    One sample of the child finds the hot keys of all parents that are not broadcast.
+    """
+    hot = hot_keys(child, {key: [F.col(key)] for parent, key in parents if key in child.columns and not fits_broadcast(parent)})
     out = child
     for parent, key in parents:
-        out = lookup_join(out, parent, [(F.col(key), key)])
+        out = lookup_join(out, parent, [(F.col(key), key)], hot=hot.get(key))
     return out
 
 
@@ -141,7 +152,7 @@ def first_match_lookup(
 ) -> DataFrame:
     """Per row: id of the first ``table`` row whose ``match_col`` equals ``value``, else NULL."""
     ids = first_match_ids(table, match_col, id_col, out)
-    return lookup_join(df, ids, [(_as_col(value), "_sw_mv")], broadcast=fits_broadcast(table))
+    return spread_lookup(df, ids, [(_as_col(value), "_sw_mv")], broadcast=fits_broadcast(table))
 
 
 def null_safe_anti(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

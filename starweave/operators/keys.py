@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOW_BITS = (1 << 33) - 1
+FINE_RANGES = 4096
+RANGE_BYTES = 1 << 30
 
 
 def _col(c) -> Column:
@@ -34,9 +36,15 @@ def parse_bytes(text: str) -> int:
 
 
 def range_partitions(spark, size: int) -> int:
-    """Ranges of about one advisory partition size each, for ``size`` measured bytes."""
+    """Ranges for ``size`` measured bytes.
+
+    Each is about one advisory partition, up to ``FINE_RANGES`` of them; beyond that their
+    number stays until each holds ``RANGE_BYTES`` (sorting one spills), since every task of the
+    shuffle writes an index entry for every range.
+    """
     advisory = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    return max(1, -(-size // max(advisory, 1)))
+    fine = -(-size // max(advisory, 1))
+    return max(1, min(fine, max(FINE_RANGES, -(-size // RANGE_BYTES))))
 
 
 def fixed_bytes(df: DataFrame, rows: int | None) -> int | None:

@@ -15,7 +15,9 @@ from starweave.functions.hashing import hash_mod
 from starweave.functions.text import first_matching, html_text_nodes, normalize_key, strip_ws
 from starweave.operators import clean, constraints, history, html, joins, keys, metrics
 from starweave.operators.bucketed import BucketedDimension
+from starweave.operators.colocated import Colocated, colocated_lookup
 from starweave.operators.registry import KeyRegistry
+from starweave.operators.rollup_store import RollupStore
 from starweave.operators.split import exact_split
 from starweave.plans import scenario as S
 from starweave.plans import warehouse as W
@@ -24,7 +26,7 @@ from starweave.plans.dimensions import DimensionSpec, build_dimension, dedup_sou
 from starweave.plans.facts import KeyLookup, resolve_keys, stage_fact
 from starweave.plans.normalize import append_entities, bridge, insert_if_absent, insert_if_absent_logged
 from starweave.session import shared_path
-from starweave.sources import files, jdbc
+from starweave.sources import files, jdbc, partitioned
 from starweave.sources.commit_log import CommitLog
 from starweave.sources.files import materialize
 
@@ -636,17 +638,68 @@ def fact_as_of(spark, d):
     return resolve_keys(ln, [part], [*S.LINE_KEY, "l_quantity", "l_shipdate"])
 
 
-def fact_rollup(spark, d):
-    # the roll-up needs three foreign keys and the measures, not the fact's own key
-    used = ("state_dim", "disaster_dim", "incident_datesdim")
-    written = S.written_dims(spark, d, *used)
-    f = resolve_keys(S.staging(spark, d), S.fact_lookups(spark, d, *used), ["deaths"])
-    dims = [
+ROLLUP_DIMS = ("state_dim", "disaster_dim", "incident_datesdim")
+ROLLUP_LEVELS = ["state_name", "incident_year", "incident_type"]
+
+
+def _rollup_dims(written):
+    return [
         (written["state_dim"], "state_tk", [("state_name", F.col("state_name"))]),
         (written["incident_datesdim"], "incident_dates_tk", [("incident_year", F.year("incident_begin_date"))]),
         (written["disaster_dim"], "disaster_tk", [("incident_type", F.upper("incident_type"))]),
     ]
-    return history.rollup_fact(f, dims, ["state_name", "incident_year", "incident_type"], ["deaths"])
+
+
+def fact_rollup(spark, d):
+    # the roll-up needs three foreign keys and the measures, not the fact's own key
+    written = S.written_dims(spark, d, *ROLLUP_DIMS)
+    f = resolve_keys(S.staging(spark, d), S.fact_lookups(spark, d, *ROLLUP_DIMS), ["deaths"])
+    return history.rollup_fact(f, _rollup_dims(written), ROLLUP_LEVELS, ["deaths"])
+
+
+def fact_rollup_delta(spark, d):
+    """The same roll-up kept under loads: the database's rows, flat records with a wrong measure, their correction."""
+    written = S.written_dims(spark, d, *ROLLUP_DIMS)
+    store = RollupStore(spark, shared_path(spark, "rollup"), "state_name string, incident_year int, incident_type string", ["deaths"])
+
+    def rows(staged):
+        return history.level_rows(resolve_keys(staged, S.fact_lookups(spark, d, *ROLLUP_DIMS), ["deaths"]), _rollup_dims(written))
+
+    flat = rows(S.staging_csv_side(spark, d))
+    wrong = flat.withColumn("deaths", F.col("deaths") + F.length("incident_type"))
+    store.apply("database", added=rows(S.staging_db_side(spark, d)))
+    store.apply("flat", added=wrong)
+    store.compact()
+    for _ in range(2):
+        store.apply("correction", added=flat, removed=wrong)
+    return store.rollup()
+
+
+def fact_by_month(spark, d):
+    """Lines by month of shipping: loaded with wrong quantities of returned lines, whose months are replaced; then one year, by quarter."""
+    ln = T(spark, d, "lineitem", [*S.LINE_KEY, "l_quantity", "l_returnflag", "l_shipdate"]).withColumn("ship_month", partitioned.month_key("l_shipdate"))
+    path = shared_path(spark, "fact-by-month")
+    flagged = F.col("l_returnflag") == "R"
+    partitioned.overwrite_partitions(ln.withColumn("l_quantity", F.when(flagged, 0.0).otherwise(F.col("l_quantity"))), path, ["ship_month"])
+    touched = ln.filter(flagged).select("ship_month").distinct()  # a row a month
+    partitioned.overwrite_partitions(partitioned.join_on_partition(ln, touched, "ship_month").select(*ln.columns), path, ["ship_month"])
+    return month_report(partitioned.read_partitioned(spark, path, ln), ln)
+
+
+def month_report(fact, ln):
+    """Lines and quantity of 1998 by quarter; the year is a filter on the calendar, not on the fact."""
+    calendar = ln.select("ship_month").distinct()
+    calendar = calendar.select("ship_month", F.floor(F.col("ship_month") / 100).cast("int").alias("ship_year"), F.ceil(F.col("ship_month") % 100 / 3).cast("int").alias("ship_quarter"))
+    rows = partitioned.join_on_partition(fact, materialize(calendar, "calendar").filter("ship_year = 1998"), "ship_month")
+    return rows.groupBy("ship_year", "ship_quarter").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+
+
+def fact_colocated(spark, d):
+    """Staging lines with the key of their declaration, from tables in buckets of the request number."""
+    st = stage_fact([S.staging_db_side(spark, d), S.staging_csv_side(spark, d)], [*S.LINE_KEY, "declaration_request_number"])
+    dim = S.written_dims(spark, d, "declaration_dim")["declaration_dim"].select("declaration_tk", "declaration_request_number")
+    fact = Colocated(st, "staging-buckets", ["declaration_request_number"])
+    return colocated_lookup(fact, Colocated(dim, "declaration-buckets", ["declaration_request_number"]), "declaration_tk")
 
 
 QUERIES: dict[str, Query] = {
@@ -717,5 +770,8 @@ QUERIES: dict[str, Query] = {
     "scd2_merge_touched": scd2_merge_touched,
     "scd2_history": scd2_history,
     "fact_rollup": fact_rollup,
+    "fact_rollup_delta": fact_rollup_delta,
+    "fact_by_month": fact_by_month,
+    "fact_colocated": fact_colocated,
     "fact_as_of": fact_as_of,
 }

@@ -618,6 +618,14 @@ SELECT part_number, version, previous_value, new_value FROM (
                  LEFT JOIN dates_dim dt ON f.incident_dates_tk = dt.incident_dates_tk
                  LEFT JOIN disaster_dim di ON f.disaster_tk = di.disaster_tk)
            GROUP BY ROLLUP (state_name, incident_year, incident_type)"""),
+    "fact_by_month": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, CAST(quarter(l_shipdate) AS INTEGER) AS ship_quarter, count(*) AS n_lines,
+       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY ALL""",
+    "fact_colocated": with_ctes(
+        DECL_DIM,
+        select="""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, request AS declaration_request_number, coalesce(declaration_tk, 0) AS declaration_tk
+          FROM (SELECT *, CASE WHEN is_test AND o_orderstatus = 'P' THEN NULL ELSE l_orderkey END AS request FROM lines)
+          LEFT JOIN declaration_dim ON request = declaration_request_number"""),
     "quarantine": with_ctes(
         """judged AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
              CASE WHEN is_test AND o_orderstatus = 'P' THEN NULL ELSE l_orderkey END AS declaration_request_number,
@@ -632,3 +640,4 @@ SELECT part_number, version, previous_value, new_value FROM (
 SELECT coalesce(v.part_tk, 0) AS part_tk, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_shipdate
 FROM lineitem l ASOF LEFT JOIN part_versions v ON l.l_partkey = v.part_number AND l.l_shipdate >= v.date_from""",
 }
+ORACLE["fact_rollup_delta"] = ORACLE["fact_rollup"]

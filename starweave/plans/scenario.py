@@ -100,7 +100,7 @@ def reset_stored(keep: tuple[str, ...] = ()) -> None:
 
 # The tables behind the written intermediates, and what their files looked like then.
 STAMPED = ("orders", "lineitem", "customer", "nation", "part")
-_STAMPS: dict[tuple[str, str], int] = {}
+_STAMPS: dict[tuple[str, str], tuple] = {}
 _FRESH: set[tuple[str, str]] = set()
 
 
@@ -109,11 +109,21 @@ def begin_query(spark: SparkSession, d: str) -> None:
     _FRESH.discard((_app(spark), d))
 
 
+def table_stamp(spark: SparkSession, path: str) -> tuple:
+    """Length and time of change of a table's file, or of its folder: one question, however many files it has."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+    return status.getLen(), status.getModificationTime()
+
+
 def forget_stale(spark: SparkSession, d: str) -> None:
-    """Forget intermediates of ``d`` whose tables have other files by now (path, length, time of change)."""
+    """Forget intermediates of ``d`` whose tables were rewritten.
+
+    A folder's time changes when files come or go right below it. Whoever changes a table
+    further down calls ``reset_stored``.
+    """
     key = (_app(spark), d)
-    files = spark.read.format("binaryFile").load([f"{d}/{t}.parquet" for t in STAMPED]).select("path", "length", "modificationTime")
-    stamp = files.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0]
+    stamp = tuple(table_stamp(spark, f"{d}/{t}.parquet") for t in STAMPED)
     if _STAMPS.setdefault(key, stamp) != stamp:
         for k in [k for k in _STORED if k[:2] == key]:
             del _STORED[k]
