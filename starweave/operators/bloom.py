@@ -41,17 +41,19 @@ def _positions(cols: Sequence[Column], bits: int) -> list[Column]:
     return [(start + i * (2 * F.floor(step / 2) + 1)).bitwiseAND(F.lit(bits - 1)) for i in range(HASHES)]
 
 
-def bloom_filter(df: DataFrame, cols: Sequence[str], bits: int) -> DataFrame:
-    """One row (_sw_bits array<bigint>): the filter of the keys ``cols`` of all rows of ``df``."""
-    words = bits // 64
-    spark = df.sparkSession
-    at = F.explode(F.array(*_positions([F.col(c) for c in cols], bits)))
-    set_bits = df.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("mask"))
-    empty = spark.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("mask"))
+def bit_words(places: DataFrame, bits: int) -> DataFrame:
+    """One row (_sw_bits array<bigint>): ``bits`` bits, in words of 64, of which those numbered in the column ``at`` are set."""
+    set_bits = places.select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("mask"))
+    empty = places.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("mask"))
     each = set_bits.unionByName(empty).groupBy("word").agg(F.bit_or("mask").alias("mask"))
     return each.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "mask"))), lambda x: x["mask"]).alias("_sw_bits"))
 
 
+def bloom_filter(df: DataFrame, cols: Sequence[str], bits: int) -> DataFrame:
+    """One row (_sw_bits array<bigint>): the filter of the keys ``cols`` of all rows of ``df``."""
+    return bit_words(df.select(F.explode(F.array(*_positions([F.col(c) for c in cols], bits))).alias("at")), bits)
+
+
 def merged(one: DataFrame, other: DataFrame) -> DataFrame:
     """The filter of both sides' keys; the filters must be of one size."""
     both = one.unionByName(other).agg(F.collect_list("_sw_bits").alias("all"))
@@ -65,7 +67,7 @@ def may_hold(bits: Column, cols: Sequence[Column], size: int) -> Column:
     hit = F.lit(True)
     for at in _positions(cols, size):
         word = F.get(bits, F.shiftright(at, 6).cast("int"))
-        hit = hit & (word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))) != 0)
+        hit = hit & (F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1)
     return hit
 
 
