@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starweave.operators.bloom import bloom_filter, may_hold, size_for
 from starweave.session import shared_path
 
 
@@ -94,6 +95,55 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def text_key(text: Column) -> Column:
+    """A number by which the texts of one id are told apart; null counts as the empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _maybe_named(docs: DataFrame, named: DataFrame, id_: str, key: str, value: str | None = None) -> tuple[Column, DataFrame, bool]:
+    """Whether a row of ``docs`` can be among ``named``, that table, written, and whether it is few enough to broadcast.
+
+    ``value``: an array column, whose parts count as well.
+    """
+    named = save(named, "named-rows")
+    n, parts = named.agg(F.count("*"), F.sum(F.size(value)) if value else F.lit(0)).first()
+    if n + (parts or 0) <= BROADCAST_ROWS:
+        return F.lit(True), named, True
+    bits = size_for(n)
+    if bits is None:
+        return F.lit(True), named, False
+    held = bloom_filter(named, [id_, key], bits).scalar()
+    return may_hold(held, [F.col("doc_id"), text_key(F.col("text"))], bits), named, False
+
+
+def _same() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_sw_id")) & (text_key(F.col("text")) == F.col("_sw_key"))
+
+
+def without(docs: DataFrame, named: DataFrame, id_: str, key: str) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, text key) is not among ``named`` (id_, key; each once; null ids are equal).
+
+    Up to ``BROADCAST_ROWS`` named rows are broadcast, so no text is shuffled. Beyond that a
+    Bloom filter finds the rows that may be named, and only those go into a shuffle.
+    """
+    maybe, named, small = _maybe_named(docs, named, id_, key)
+    named = named.select(F.col(id_).alias("_sw_id"), F.col(key).alias("_sw_key"))
+    if small:
+        return docs.join(F.broadcast(named), _same(), "left_anti")
+    return docs.where(~maybe).unionByName(docs.where(maybe).join(named, _same(), "left_anti"))
+
+
+def with_named(docs: DataFrame, named: DataFrame, id_: str, key: str, value: str) -> DataFrame:
+    """``docs`` with the array column ``value`` of the row of ``named`` (id_, key, value) that names it, else null; see ``without``."""
+    maybe, named, small = _maybe_named(docs, named, id_, key, value)
+    named = named.select(F.col(id_).alias("_sw_id"), F.col(key).alias("_sw_key"), F.col(value).alias("_sw_value"))
+    columns = [*[F.col(f"`{c}`") for c in docs.columns], F.col("_sw_value").alias(value)]
+    if small:
+        return docs.join(F.broadcast(named), _same(), "left").select(*columns)
+    joined = docs.where(maybe).join(named, _same(), "left").select(*columns)
+    return docs.where(~maybe).withColumn(value, F.lit(None).cast(joined.schema[value].dataType)).unionByName(joined)
+
+
 def connected(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (u, v: bigint); component: its smallest node.
 

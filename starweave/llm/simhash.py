@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import BROADCAST_ROWS, add_columns, connected, save, texts
+from starweave.llm.common import BROADCAST_ROWS, add_columns, connected, save, texts, without
 
 MAX_BITS = 3
 SHINGLE = 3
@@ -264,17 +264,16 @@ def near_pairs(points: DataFrame, max_bits: int = MAX_BITS, parts: int | None =
 def components(codes: DataFrame) -> DataFrame:
     """(code, component) for every distinct code of ``codes`` (doc_id, code).
 
-    component: the smallest non-null doc_id reachable over links (null if the
-    code has null ids only; such codes take no part in linking). Texts are not
-    linked by sharing an id.
+    component: the smallest non-null doc_id reachable over links, rows without an id
+    link like any other (null if no row of the group has an id). Texts are not linked
+    by sharing an id.
     """
     points = save(codes.groupBy("code").agg(F.min("doc_id").alias("node")), "simhash-codes")
-    known = points.where("node is not null")
-    if known.groupBy("node").count().where("count > 1").isEmpty():
-        groups = connected(near_pairs(known), "simhash-links")
+    if points.groupBy("node").count().where("node is null or count > 1").isEmpty():
+        groups = connected(near_pairs(points), "simhash-links")
         return points.join(groups, "node", "left").select("code", F.coalesce("component", "node").alias("component"))
-    # an id with several texts is no node: the codes are, and each group is named afterwards
-    groups = connected(near_pairs(known.select("code", F.col("code").alias("node"))), "simhash-links")
+    # a missing id, or one with several texts, is no node: the codes are, and each group is named afterwards
+    groups = connected(near_pairs(points.select("code", F.col("code").alias("node"))), "simhash-links")
     named = points.join(groups, points["code"] == groups["node"], "left").select("code", F.coalesce("component", "code").alias("first"), points["node"])
     named = save(named, "simhash-groups")
     least = named.groupBy("first").agg(F.min("node").alias("component"), F.count("*").alias("n"))
@@ -285,7 +284,11 @@ def components(codes: DataFrame) -> DataFrame:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """op8: doc_id, fingerprint, component_id for every row; repeated rows each get a row."""
+    """op8: doc_id, fingerprint, component_id for every row; repeated rows each get a row.
+
+    Null and empty texts have fingerprint zero and link like any other; very long texts
+    are taken whole, part by part; further columns go; a table without rows gives none.
+    """
     codes = save(with_fingerprints(docs.select("doc_id", "text"), keep=["doc_id"]), "simhash")
     return codes.join(components(codes), "code", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
@@ -303,5 +306,4 @@ def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     codes = save(with_fingerprints(keyed, keep=["doc_id", "key"]), "simhash")
     groups = components(codes)
     gone = codes.join(groups, "code").where("doc_id <> component").select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
-    same = (docs["doc_id"] == gone["gone"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_key"])
-    return docs.join(gone, same, "left_anti").select(*docs.columns)
+    return without(docs, gone, "gone", "gone_key")

@@ -32,3 +32,21 @@ def test_connected_chains_and_stars(spark):
     got = {r.node: r.component for r in C.connected(spark.createDataFrame(edges, "u long, v long"), "t").collect()}
     assert got == {i: 0 for i in range(1, 61)} | {i: 100 for i in range(101, 140)} | {300: 299}
     assert C.connected(spark.createDataFrame([], "u long, v long"), "t").collect() == []
+
+
+def test_named_rows_go_or_get_their_value_whatever_their_number(spark, make_docs, monkeypatch):
+    from starweave.llm import common as C
+
+    rows = [(i if i % 7 else None, f"text {i % 40}") for i in range(300)] + [(3, None), (None, None), (4, "")]
+    docs = make_docs(rows)
+    named = docs.where("doc_id % 3 = 0 or (doc_id is null and text like '%5')").select(F.col("doc_id").alias("i"), C.text_key(F.col("text")).alias("k")).distinct()
+    valued = named.withColumn("v", F.array(F.lit(1), F.lit(2)))
+    gone = {(r[0], r[1] or "") for r in rows if (r[0] is not None and r[0] % 3 == 0) or (r[0] is None and (r[1] or "").endswith("5"))}
+    for limit in (C.BROADCAST_ROWS, -1):
+        monkeypatch.setattr(C, "BROADCAST_ROWS", limit)
+        left = C.without(docs, named, "i", "k")
+        key = lambda r: str(r)
+        assert left.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in left.collect()), key=key) == sorted((r for r in rows if (r[0], r[1] or "") not in gone), key=key)
+        got = C.with_named(docs, valued, "i", "k", "v").collect()
+        assert sorted(((r.doc_id, r.text, r.v) for r in got), key=key) == sorted(((*r, [1, 2] if (r[0], r[1] or "") in gone else None) for r in rows), key=key)

@@ -31,6 +31,24 @@ def test_edges(spark, make_docs):
 def test_null_ids_repeated_rows_and_empty_table(spark, make_docs):
     got = {(r.doc_id, r.component_id) for r in S.query(make_docs([(None, "x y z"), (3, "x y z"), (3, "x y z"), (None, "other words here now")])).collect()}
     assert got == {(None, 3), (3, 3), (None, None)}
+
+
+def test_rows_without_an_id_link_others(spark):
+    codes = lambda rows: spark.createDataFrame(rows, "doc_id long, code long")
+    assert {r.component for r in S.components(codes([(1, 0), (None, 7), (2, 63)])).collect()} == {1}
+    rng = np.random.default_rng(11)
+    for _ in range(3):
+        rows = [(None if rng.random() < 0.5 else int(rng.integers(0, 60)), int(sum(1 << int(b) for b in rng.integers(0, 14, rng.integers(0, 9))))) for _ in range(60)]
+        by_code = {c: i for i, c in enumerate(sorted({c for _, c in rows}))}
+        groups = brute.components({i: c for c, i in by_code.items()})
+        ids = {}
+        for i, c in rows:
+            ids.setdefault(groups[by_code[c]], set()).add(i)
+        want = {c: min((i for i in ids[groups[n]] if i is not None), default=None) for c, n in by_code.items()}
+        assert {r.code: r.component for r in S.components(codes(rows)).collect()} == want
+
+
+def test_the_table_without_rows(spark, make_docs):
     assert S.query(make_docs([])).collect() == []
 
 
