@@ -148,18 +148,22 @@ WITH d AS (
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = s.row AND b.first < s.first + s.n AND b.stop > s.first)
 ), every AS (
   SELECT * FROM base UNION ALL SELECT * FROM tokens
+), repos AS (
+  SELECT value, owner, count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) AS n FROM every JOIN d USING (row) GROUP BY value, owner
 ), owners AS (
-  SELECT value, count(DISTINCT owner) < 3 AS live FROM every JOIN d USING (row) GROUP BY value
+  SELECT value, CAST(sum(n) AS BIGINT) AS n_repos, count(*) AS n_owners, NOT (count(*) >= 3 OR (sum(n) >= 20 AND max(n) <= 0.75 * sum(n))) AS live
+  FROM repos GROUP BY value
 ), shown AS (
   SELECT row, string_agg(CASE WHEN kind < 3 OR live THEN name || ':' || first || ':' || stop END, ',' ORDER BY first, kind) AS spans,
          string_agg(CASE WHEN kind < 3 THEN name || ':' || first || ':' || stop END, ',' ORDER BY first, kind) AS base,
          count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex,
-         count_if(live) AS n_live, count_if(NOT live) AS n_example
+         count_if(live) AS n_live, count_if(NOT live) AS n_example, max(n_repos) AS max_repos, max(n_owners) AS max_owners
   FROM every JOIN owners USING (value) JOIN kinds USING (kind) GROUP BY row
 )
 SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
        CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_example, 0) AS BIGINT) AS n_example
+       CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_example, 0) AS BIGINT) AS n_example,
+       CAST(coalesce(max_repos, 0) AS BIGINT) AS max_repos, CAST(coalesce(max_owners, 0) AS BIGINT) AS max_owners
 FROM d LEFT JOIN shown USING (row)
 """,
     "op10_suffix_dedup": """

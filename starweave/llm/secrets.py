@@ -4,9 +4,9 @@ Candidates are the three base kinds (assignments, access keys, hexadecimal runs)
 and, added by the method, bare tokens: runs of 20 or more of `A-Za-z0-9_-` that
 mix digits with letters and look random. Each candidate value is hashed, and for
 each hash the corpus is asked how many repositories (documents) and how many
-owners (sources) hold it. A value that at least ``EXAMPLE_OWNERS`` owners hold is
-a widely copied example; any other is specific to its owners and looks live,
-whatever the number of its repositories.
+owners (sources) hold it. A value is a widely copied example if at least
+``EXAMPLE_OWNERS`` owners hold it, or if ``EXAMPLE_REPOS`` repositories do and no owner
+has more than ``OWNER_SHARE`` of them; any other is specific to its owners and looks live.
 Base spans are always reported; a bare token only if its value looks live.
 """
 
@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import add_columns, save, texts, unused
+from starweave.llm.common import BROADCAST_ROWS, add_columns, save, texts, unused, with_named
+from starweave.operators.joins import hot_keys, lookup_join
 
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS, OWNER_SHARE = 20, 0.75
 TOKEN_CHARS, TOKEN_BITS = 20, 3.5  # least length of a bare token, least entropy per character
 KINDS = ("assign", "access", "hex", "token")
 MASK = "[SECRET]"
@@ -100,23 +102,38 @@ def scanned(docs: DataFrame, owner: str = "source", doc_id: str = "doc_id", text
     return save(found.withColumn("row", F.monotonically_increasing_id()), "secrets")
 
 
-def ownership(rows: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """(value, n_repos, n_owners, live) for every candidate value. A null owner or id counts as one of its own."""
+def ownership(rows: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS, owner_share: float = OWNER_SHARE) -> DataFrame:
+    """(value, n_repos, n_owners, live) for every candidate value.
+
+    Rows without an owner are one owner's, and rows of an owner without an id are one repository.
+    """
     each = rows.where(F.size("spans") > 0).select("id", "owner", F.explode("spans.value").alias("value")).distinct()
-    repos = each.groupBy("value", "owner").agg(F.countDistinct(F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("n"))
     # a repository belongs to one owner here, so repositories add up over owners
-    return repos.groupBy("value").agg(F.sum("n").alias("n_repos"), F.count("*").alias("n_owners")).withColumn("live", F.col("n_owners") < example_owners)
+    repos = each.groupBy("value", "owner").agg(F.count("*").alias("n"))
+    sums = repos.groupBy("value").agg(F.sum("n").alias("n_repos"), F.count("*").alias("n_owners"), F.max("n").alias("most"))
+    example = (F.col("n_owners") >= example_owners) | ((F.col("n_repos") >= example_repos) & (F.col("most") <= owner_share * F.col("n_repos")))
+    return sums.select("value", "n_repos", "n_owners", (~example).alias("live"))
+
 
+def reported(rows: DataFrame) -> DataFrame:
+    """(row, all_spans, n_live, n_example, max_repos, max_owners) for rows with candidates: base spans, and tokens that look live.
 
-def reported(rows: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """(row, spans, n_live, n_example) for rows with candidates: base spans, and tokens that look live."""
+    Values of one repository, most of them, are live and need no join; the others are
+    broadcast if counted to be few, else the common ones are salted.
+    """
     each = rows.select("row", F.explode("spans").alias("s")).select("row", "s.*")
-    each = each.join(ownership(rows, example_owners), "value")
-    kept = F.when((F.col("kind") < 3) | F.col("live"), F.struct("start", "kind", "stop"))
+    shared = save(ownership(rows).where("n_repos > 1").withColumnRenamed("value", "_sw_value"), "secret-owners")
+    small = shared.count() <= BROADCAST_ROWS
+    hot = None if small else hot_keys(each, {"value": ["value"]})["value"]
+    each = lookup_join(each, shared, [("value", "_sw_value")], "left", small, hot)
+    live = F.coalesce("live", F.lit(True))
+    kept = F.when((F.col("kind") < 3) | live, F.struct("start", "kind", "stop"))
     return each.groupBy("row").agg(
         F.array_sort(F.collect_list(kept)).alias("all_spans"),
-        F.count_if(F.col("live")).alias("n_live"),
-        F.count_if(~F.col("live")).alias("n_example"),
+        F.count_if(live).alias("n_live"),
+        F.count_if(~live).alias("n_example"),
+        F.max(F.coalesce("n_repos", F.lit(1))).alias("max_repos"),
+        F.max(F.coalesce("n_owners", F.lit(1))).alias("max_owners"),
     )
 
 
@@ -126,7 +143,12 @@ def _text(spans) -> F.Column:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """op9: per row of documents. Null texts have no spans; repeated rows each get a row."""
+    """op9: per row of documents, with the most repositories and owners that one of its values has.
+
+    Null and empty texts have no spans, repeated rows each get a row (and are one
+    repository), very long texts are scanned whole, further columns go, and a table
+    without rows gives none.
+    """
     rows = scanned(docs.select("doc_id", "source", "text"))
     base = F.filter("spans", lambda s: s["kind"] < 3)
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
@@ -140,6 +162,8 @@ def query(docs: DataFrame) -> DataFrame:
         F.coalesce(_text(F.col("all_spans")), F.lit("")).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_example", F.lit(0)).alias("n_example"),
+        F.coalesce("max_repos", F.lit(0)).alias("max_repos"),
+        F.coalesce("max_owners", F.lit(0)).alias("max_owners"),
     )
 
 
@@ -153,14 +177,13 @@ def masked(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def mask_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every reported span is replaced by ``MASK`` and n_chars follows; no document goes."""
+    """Pipeline stage: every reported span is replaced by ``MASK`` and n_chars, which documents must have, follows; no document goes."""
     rows = scanned(docs.select("doc_id", "source", "text"))
     spans = rows.select("row", "id", "key").join(reported(rows), "row").where(F.size("all_spans") > 0)
     spans = spans.groupBy("id", "key").agg(F.first("all_spans").alias("all_spans"))
     key, cut, id_ = unused(docs, "text_key"), unused(docs, "cut"), unused(docs, "cut_id")
     spans = spans.select(F.col("id").alias(id_), F.col("key").alias(key), F.col("all_spans").alias(cut))
-    rows = docs.join(spans, docs["doc_id"].eqNullSafe(spans[id_]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == spans[key]), "left")
-    rows = rows.select(*[docs[c] for c in docs.columns], cut)
+    rows = with_named(docs, spans, id_, key, cut)
     at_text, at_n = docs.columns.index("text"), docs.columns.index("n_chars")
     schema = T.StructType(docs.schema.fields)
 

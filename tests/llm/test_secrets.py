@@ -48,6 +48,25 @@ def test_ownership_separates_copied_examples_from_live_tokens(spark, make_docs):
     assert got[10] == (f"token:3:{3 + len(live)}", 1, 0) and got[11][1:] == (1, 0)
 
 
+def test_many_repositories_of_two_owners_make_an_example(spark, make_docs):
+    copied, own = "Zk3_pQ9-xW7vB2nM5rT8yL", "ghp_9fK2mQ7xR4tV1bN8"
+    rows = [(i, f"use {copied} here", "en", f"s{i % 2}") for i in range(20)]  # even shares
+    rows += [(100 + i, f"my {own} key", "en", "s0" if i else "s1") for i in range(30)]  # one owner's, and a stray copy
+    rows += [(200, f"twice {copied}", "en", "s0"), (200, f"twice {copied}", "en", "s0"), (None, copied, "en", None)]
+    got = {r.doc_id: (r.n_live, r.n_example, r.max_repos, r.max_owners) for r in X.query(make_docs(rows[:-1])).collect()}
+    assert got[0] == (0, 1, 21, 2) and got[100] == (1, 0, 30, 2) and got[200] == (0, 1, 21, 2)
+    few = {r.doc_id: (r.n_live, r.max_repos, r.max_owners) for r in X.query(make_docs([*rows[:5], rows[-1]])).collect()}
+    assert few[0] == (0, 6, 3) and few[None] == (0, 6, 3)  # no owner is an owner of its own
+    assert X.query(make_docs([(1, "clean")])).first()[-2:] == (0, 0)
+
+
+def test_ownership_beyond_the_broadcast_size(spark, monkeypatch):
+    docs = table(spark, LARGER, "documents")
+    want = sorted(map(tuple, X.query(docs).collect()))
+    monkeypatch.setattr(X, "BROADCAST_ROWS", -1)
+    assert sorted(map(tuple, X.query(docs).collect())) == want
+
+
 def test_nulls_repeats_empty(spark, make_docs):
     rows = [(None, "password=abcdefgh", None, None), (1, "password=abcdefgh"), (1, "password=abcdefgh"), (2, None, None, None)]
     assert sorted(r.n_assign for r in X.query(make_docs(rows)).collect()) == [0, 1, 1, 1]
