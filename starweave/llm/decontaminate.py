@@ -3,8 +3,11 @@
 Benchmark items and documents are cut into the same words. Every 10 consecutive
 words of an item are a window (an item of fewer words is one window). A small
 two-probe bit table, made from the windows' first, middle and last words, lets
-each document scan its own windows inside its row; the few that pass are looked
-up by hash in the window table, and a hit counts only if the words are equal.
+each document scan its own windows inside its row. It travels with the plan (a
+function over an array cannot ask a subquery), so its size is bounded; of what
+passes, a Bloom filter of whole windows, sized by their count and shipped beside the
+plan, leaves the few that are looked up by hash in the window table, and a hit counts
+only if the words are equal.
 The window table is broadcast if its measured size allows it and joined by a
 shuffle beyond that; the results are the same.
 """
@@ -14,11 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.common import save, table, unused
+from starweave.llm.common import save, table, unused, with_named, without
+from starweave.operators.bloom import bloom_filter, may_hold, size_for
 
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
-MAX_SLOTS = 1 << 17  # bytes of the bit table that travels with the plan
+SLOTS, MAX_SLOTS = 1 << 17, 1 << 20  # bytes of the bit table that travels with the plan: 64 a window up to the first, else 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -50,15 +54,20 @@ def _slot(h: Column, slots: int, second: bool) -> Column:
     return F.pmod(F.shiftright(h, 24) if second else h, F.lit(slots)).cast("int")
 
 
-def _bit_table(windows: DataFrame, count: int) -> bytes:
+def table_slots(windows: int) -> int:
     slots = 1 << 12
-    while slots < MAX_SLOTS and slots < 64 * count:
+    while slots < MAX_SLOTS and slots < max(16 * windows, min(64 * windows, SLOTS)):
         slots *= 2
-    bits = bytearray(slots)
+    return slots
+
+
+def _bit_table(windows: DataFrame, count: int) -> bytes:
+    slots = table_slots(count)
     both = F.array(_slot(F.col("probe"), slots, False), _slot(F.col("probe"), slots, True))
+    marks = bytearray(slots)
     for (i,) in windows.select(F.explode(both)).distinct().collect():  # at most MAX_SLOTS rows
-        bits[i] = 1
-    return bytes(bits)
+        marks[i] = 1
+    return bytes(marks)
 
 
 def hits(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -71,7 +80,8 @@ def hits(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     found = save(benchmark_windows(items, size), "benchmark-windows")
     per_len = dict(found.groupBy("len").count().collect())  # at most `size` rows
     volume = found.agg(F.sum(F.octet_length("gram") + F.lit(64))).first()[0] or 0
-    bits = F.lit(_bit_table(found, sum(per_len.values())))
+    count = sum(per_len.values())
+    bits = F.lit(_bit_table(found, count))
     slots = F.octet_length(bits)
     grams = found.select("hash", "gram", F.col("item_id").cast("string").alias("item"), F.lit(True).alias("hit"))
     if volume <= BROADCAST_BYTES:
@@ -90,6 +100,9 @@ def hits(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     scan = base.select("row", "id", "key", "w", F.size("w").cast("long").alias("n_words"), F.explode_outer(F.concat(*[passing(n) for n in sorted(per_len) or [size]])).alias("span"))
     gram = F.when(F.col("span").isNotNull(), F.array_join(F.slice("w", F.col("span.at") + 1, F.col("span.len")), " "))
     scan = scan.select("row", "id", "key", "n_words", "span", gram.alias("gram"))
+    if (size_bits := size_for(count)) is not None:  # else the join looks up all that passed
+        held = bloom_filter(found, ["gram"], size_bits).scalar()
+        scan = scan.withColumn("gram", F.when(may_hold(held, [F.col("gram")], size_bits), F.col("gram")))
     # rows without a window to look up get a hash of their own, so that a shuffle spreads them
     scan = scan.withColumn("hash", F.when(F.col("gram").isNull(), F.xxhash64("row")).otherwise(F.xxhash64("gram")))
     met = scan.join(grams, ["hash", "gram"], "left").groupBy("row", "id", "key", "n_words").agg(
@@ -128,14 +141,13 @@ def remove_spans(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataF
     found = hits(docs.select("doc_id", "text"), items.select("item_id", "text"), size).where("n_hit > 0")
     key, id_, cut = unused(docs, "text_key"), unused(docs, "hit_id"), unused(docs, "hit_spans")
     found = found.select(F.col("id").alias(id_), F.col("key").alias(key), F.col("spans").alias(cut)).dropDuplicates([id_, key])
-    rows = docs.join(found, docs["doc_id"].eqNullSafe(found[id_]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found[key]), "left")
-    text = F.when(F.col(cut).isNull(), docs["text"]).otherwise(without_spans(docs["text"], F.col(cut)))
-    return rows.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    rows = with_named(docs, found, id_, key, cut)
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(without_spans(F.col("text"), F.col(cut)))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a window of the benchmark go; the others stay as they are."""
     found = hits(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
     gone = found.where("n_hit > 0").select(F.col("id").alias("gone_id"), F.col("key").alias("gone_key")).distinct()
-    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_key"])
-    return docs.join(gone, same, "left_anti").select(*docs.columns)
+    return without(docs, gone, "gone_id", "gone_key")

@@ -1,5 +1,6 @@
 from llm import brute
 import pytest
+from pyspark.sql import functions as F
 
 from starweave.llm import decontaminate as D
 from starweave.llm.common import table
@@ -50,6 +51,22 @@ def test_shuffle_join_beyond_the_broadcast_size(spark, make_docs, items, monkeyp
     assert sorted(map(str, D.query(docs, items).collect())) == want
 
 
+def test_few_windows_reach_the_join_by_chance(spark, make_docs):
+    """A benchmark whose windows fill much of the small table: the filter behind it keeps chance away from the join."""
+    many = spark.range(2_500).select(F.col("id").alias("item_id"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("b"), F.pmod(F.xxhash64("id", i), F.lit(5_000)).cast("string"))), " ").alias("text"))
+    n = D.benchmark_windows(many).count()
+    assert n > 200_000 and D.table_slots(n) == D.MAX_SLOTS
+    grams = D.benchmark_windows(many)
+    bits = D.size_for(n)
+    held = D.bloom_filter(grams, ["gram"], bits).scalar()
+    other = spark.range(200_000).select(F.concat(F.lit("x "), F.col("id").cast("string")).alias("gram"))
+    assert other.where(D.may_hold(held, [F.col("gram")], bits)).count() < 2_000
+    assert grams.where(D.may_hold(held, [F.col("gram")], bits)).count() == n
+    text = many.where("item_id = 7").first().text
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in D.query(make_docs([(1, text), (2, "no such words " * 50), (3, None)]), many).collect()}
+    assert got == {1: (100, 1), 2: (0, 0), 3: (0, 0)}
+
+
 def test_empty_tables(spark, make_docs, items):
     assert D.query(make_docs([]), items).collect() == []
     got = D.query(make_docs([(1, "two words")]), items.limit(0)).first()
