@@ -38,14 +38,15 @@ def elements(html: Column | str, tag: str, cls: str) -> Column:
     tokens = F.regexp_extract_all(page, F.lit(token), 1)
     between = F.split(page, token)
 
-    def read(t: Column, i: Column) -> Column:
+    def read(gap: Column, t: Column) -> Column:
         """What a token means (1: begins an element, -1: ends one, 2: both, 0: neither), and its length and that of the text before it."""
         names = F.split(F.regexp_replace(F.regexp_extract(t, class_value, 1), r"""^["']|["']$""", ""), r"[\s\x{0b}]+")
         starts = t.rlike(rf"(?is)^<{tag}[\s>/]")
         kind = F.when(t.rlike(rf"(?is)^</{tag}[\s>/]"), -1).when(t.rlike(closes_itself), 2).when(starts, 1).otherwise(0)
-        return F.struct(F.length(F.get(between, i)).alias("gap"), F.length(t).alias("size"), kind.alias("kind"), F.array_contains(names, cls).alias("mine"))
+        return F.struct(F.length(gap).alias("gap"), F.length(t).alias("size"), kind.alias("kind"), F.array_contains(names, cls).alias("mine"))
 
-    steps = F.transform(tokens, read)
+    # side by side, so that neither list is made again for each tag
+    steps = F.zip_with(F.slice(between, F.lit(1), F.size(tokens)), tokens, read)
     spans = "array<struct<first:int,depth:int,behind:int>>"
     start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth"), F.array().cast(spans).alias("open"), F.array().cast(spans).alias("done"))
 
