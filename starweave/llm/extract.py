@@ -15,9 +15,23 @@ the content, counted per feature (for a word: whether it is in a link, and its
 block; for a tag: its name) over labelled pages, that is, pages whose author
 marked the content with an `article` or `main` element: at most ``SAMPLE_PAGES``
 different ones, those with the smallest hash of their address. The mark is the
-label and in no feature, so what is learned holds for pages without it. On a
-page that has the mark itself, its words outside weigh ``LEAST``, those inside
-``MARKED_WORD`` and the tags inside ``TAG`` at least, and the mark's own ``EDGE``.
+label and in no feature, so what is learned holds for pages without it.
+
+On a page that has the mark itself, the mark outranks what is learned: words inside
+weigh ``MARKED_WORD`` at least, the mark's own tags ``EDGE``, and all tags inside,
+like all words outside, are scaled to weigh less than one marked word together. So
+no word of the content goes for the tags before it, and nothing outside pays for
+crossing the edge. Inside the content the class names of adverts, comments and
+notices drop a box; ordinary words (`menu`, `form`) only if most of its words are
+links. Where `main` holds an article, those outside are no content; of marks
+beside each other, articles with less than one word for ``TEASER`` of the longest
+are teasers: no content, and on pages with `main` they go with the box that holds
+little else.
+
+Null and empty pages, and pages without words, have an empty text. Long pages are
+read whole, in one pass (two if labels or several marks have to be judged). Repeated
+rows each have their result; an empty table has none. Columns beside page_id, url
+and html are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,6 +53,8 @@ SAMPLE_PAGES = 1000
 WORD, LINK_WORD, TAG = 1.0, 0.2, -0.5
 # On pages with marked content: least weight of a word inside, weight of the tags that open and close the content.
 MARKED_WORD, EDGE = 2.0, -8.0
+REST = 0.4 * MARKED_WORD  # most that all tags inside, or all words outside, weigh together there
+TEASER = 4  # an article beside one of more than so many times its words is a teaser
 LEAST, MOST_WORD, MOST_TAG = 0.1, 3.0, 12.0
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,6 +70,8 @@ _CLASSES = frozenset(
 _COMMENTS = frozenset("comment comments reply replies disqus".split())
 _ADS = _COMMENTS | frozenset("ad ads adv advert adverts advertisement advertising promo promoted promotion sponsor sponsored".split())
 _NOTICES = _ADS | frozenset("consent cookie cookies modal newsletter notice notices notification paywall popup recommended related signup skip subscribe subscription warning".split())
+# Words that an author may use for a part of the article.
+_ORDINARY = frozenset("banner dropdown footer form menu skip toolbar warning widget widgets".split())
 # Parts of names that say nothing about what an element holds.
 _FORMS = frozenset(
     "area articles bar block body bottom box button buttons col column container content count div global group inner item items left link links list main meta "
@@ -61,7 +79,7 @@ _FORMS = frozenset(
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BOXES = frozenset("div ol table td ul".split())  # their ids name places of the page; ids of others may be headings' addresses
-_STAYS, _LAYOUT, _NOTICE, _GONE = range(4)
+_STAYS, _LINKS, _LAYOUT, _NOTICE, _GONE = range(5)
 _STATES = frozenset("has no with without open is".split())  # class names like has-sidebar tell about the page, not the element
 _BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main "
@@ -71,6 +89,7 @@ _PLACES = _BLOCKS - _CONTENT  # blocks that may lie inside or outside the conten
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|([^<]+)|(<)""", re.S
 )
+_MARK = re.compile(r"<(?:article|main)(?![^\s/>])", re.I)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
@@ -82,7 +101,7 @@ def _label(label: str, loose: bool) -> frozenset:
 
 
 def _left_out(name: str, attrs: str, in_content: bool) -> int:
-    """_STAYS; _GONE; or _LAYOUT, _NOTICE: goes unless it holds what `_wrappers` asks for."""
+    """_STAYS; _GONE; or _LINKS, _LAYOUT, _NOTICE: goes unless it holds what `_wrappers` asks for."""
     if name in _OUT or (name == "header" and not in_content):
         return _GONE
     if not attrs or name in ("html", "body"):
@@ -110,7 +129,9 @@ def _left_out(name: str, attrs: str, in_content: bool) -> int:
                 known = strict - {"header"} if key == "class" else frozenset()
             else:
                 known = strict if key == "id" and name not in _BOXES else _label(label, True)
-            if known:
+            if in_content and known and known <= _ORDINARY:
+                found = max(found, _LINKS)
+            elif known:
                 found = max(found, _NOTICE if known & _NOTICES else _LAYOUT)
     return found
 
@@ -140,32 +161,91 @@ def _scan(page: str):
             pos = size if close < 0 else close + 1
 
 
-def _wrappers(page: str) -> set[int]:
+def _marks(page: str) -> tuple[set[int], set[int]]:
+    """(places of the elements that are the content, places of boxes of teasers in it) of a page with several marks."""
+    stack: list[tuple] = []
+    holders: list[tuple[int, str, int, tuple[int, ...]]] = []  # elements with articles and no main: place, name, all words, their numbers
+    found: list[tuple[int, int, int, bool]] = []  # articles: place, words outside links, all words, lies in main
+    mains: dict[int, int] = {}  # place -> words outside links
+    out = links = inside = depth = plain = every = 0
+
+    def close() -> str:
+        nonlocal out, links, inside, depth
+        name, at, gone, was_plain, was_every, was_found, was_mains = stack.pop()
+        out -= gone
+        links -= name == "a"
+        if not out and not gone:
+            if name == "main":
+                inside -= 1
+                if every > was_every:
+                    mains[at] = plain - was_plain
+            elif name == "article":
+                depth -= 1
+                if not depth:
+                    found.append((at, plain - was_plain, every - was_every, inside > 0))
+            if len(found) > was_found and len(mains) == was_mains:
+                holders.append((at, name, every - was_every, tuple(range(was_found, len(found)))))
+        return name
+
+    for name, closing, text, at in _scan(page):
+        if not name:
+            n = 0 if out else len(text.split())
+            every += n
+            plain += 0 if links else n
+        elif closing:
+            if any(x[0] == name for x in stack):
+                while close() != name:
+                    pass
+        elif name not in _VOID and name not in _RAW:
+            gone = not out and _left_out(name, text, inside + depth > 0) == _GONE
+            stack.append((name, at, gone, plain, every, len(found), len(mains)))
+            out += gone
+            links += name == "a"
+            if not out:
+                inside += name == "main"
+                depth += name == "article"
+    while stack:
+        close()
+    # where `main` holds an article, those outside are none
+    able = [i for i, x in enumerate(found) if x[3]] or range(len(found))
+    longest = max([found[i][1] for i in able], default=0)
+    if not any(x[3] for x in found):
+        longest = max([longest, *mains.values()])
+    teasers = {i for i in able if TEASER * found[i][1] < longest}
+    gone = {at for at, _, words, held in holders if teasers.issuperset(held) and 2 * sum(found[i][2] for i in held) >= words}
+    return mains.keys() | {found[i][0] for i in able if i not in teasers and not found[i][3]}, gone if mains else set()
+
+
+def _wrappers(page: str, marks: set[int] | None) -> set[int]:
     """Places of the elements that stay in spite of a label.
 
-    They hold `main`; or the page's only article, a notice if it also holds most
+    A label of ordinary words inside the content goes only from elements with more
+    words in links than outside. Others stay that hold `main`; or the page's only article, a notice if it also holds most
     of the words; or, unless the label is a notice's, most of the words outside
-    notices. Words in links or in what goes do not count.
+    notices. Words in links or in what goes do not count. ``marks``: see `tokens`.
     """
     stack: list[tuple[str, int, int, tuple]] = []
     held: list[tuple[int, int, tuple]] = []
     out = notices = content = links = 0
-    words = every = mains = articles = 0  # words: outside notices; every: all
+    words = every = linked = mains = articles = 0  # words: outside notices; every: all outside links
 
     def close() -> str:
         nonlocal out, notices, content, links
         name, level, at, before = stack.pop()
         out -= level == _GONE
         notices -= level == _NOTICE
-        content -= name in _CONTENT
+        content -= name in _CONTENT and (marks is None or at in marks)
         links -= name == "a"
-        if level in (_LAYOUT, _NOTICE):
-            held.append((at, level, tuple(x - y for x, y in zip((words, every, mains, articles), before))))
+        if level not in (_STAYS, _GONE):
+            held.append((at, level, tuple(x - y for x, y in zip((words, every, linked, mains, articles), before))))
         return name
 
     for name, closing, text, at in _scan(page):
         if not name:
-            n = 0 if out or links else len(text.split())
+            n = 0 if out else len(text.split())
+            if links:
+                linked += n
+                continue
             every += n
             words += 0 if notices else n
         elif closing:
@@ -174,68 +254,67 @@ def _wrappers(page: str) -> set[int]:
                     pass
         elif name not in _VOID and name not in _RAW:
             level = _STAYS if out else _left_out(name, text, content > 0)
-            stack.append((name, level, at, (words, every, mains, articles)))
+            stack.append((name, level, at, (words, every, linked, mains, articles)))
             if name in _CONTENT and not out and not _left_out(name, text, True):
                 mains += name == "main"
                 articles += name == "article"
             out += level == _GONE
             notices += level == _NOTICE
-            content += name in _CONTENT
+            content += name in _CONTENT and (marks is None or at in marks)
             links += name == "a"
     while stack:
         close()
     return {
-        at for at, level, (w, e, m, a) in held
-        if m or (a == articles == 1 and (level == _LAYOUT or 2 * e > every)) or (level == _LAYOUT and 2 * w > words)
+        at for at, level, (w, e, n, m, a) in held
+        if m or (level == _LINKS and n <= e) or (a == articles == 1 and (level == _LAYOUT or 2 * e > every)) or (level == _LAYOUT and 2 * w > words)
     }
 
 
-def _tag(name: str, in_content: bool) -> str:
-    return "edge" if name in _CONTENT and not in_content else f"tag {name}"
-
-
 def tokens(page: str):
     """Yields (feature, words, raw text, is a block edge, inside content) of a page without the parts left out.
 
-    No feature tells whether it is inside; the outermost tags of the content are ``edge``.
+    No feature tells whether it is inside; the outermost tags of the content are
+    ``edge``. Where a page has several marks, `_marks` says which are the content.
     """
-    stack: list[tuple[str, bool]] = []
+    marks, teasers = _marks(page) if len(_MARK.findall(page)) > 1 else (None, frozenset())
+    stack: list[tuple[str, bool, bool]] = []
     out = content = links = 0  # open elements of each sort
     kept = None
     for name, closing, text, at in _scan(page):
         if not name:
             if not out:
-                block = next((n for n, _ in reversed(stack) if n in _PLACES), "")
+                block = next((n for n, _, _ in reversed(stack) if n in _PLACES), "")
                 yield f"word {'a' if links else ''} {block}", len(text.split()), text, False, content > 0
             continue
         if closing:
-            if any(n == name for n, _ in stack):
+            if any(x[0] == name for x in stack):
                 while True:
-                    n, gone = stack.pop()
+                    n, gone, mark = stack.pop()
                     out -= gone
-                    content -= n in _CONTENT
+                    content -= mark
                     links -= n == "a"
                     if n == name:
                         break
                 if not out:
-                    yield "" if gone else _tag(name, content > 0), 0, "", name in _BLOCKS, content > 0
+                    yield "" if gone else "edge" if mark and not content else f"tag {name}", 0, "", name in _BLOCKS, content > 0
             elif not out:
-                yield _tag(name, content > 0), 0, "", name in _BLOCKS, content > 0
+                yield f"tag {name}", 0, "", name in _BLOCKS, content > 0
             continue
         was = content > 0
-        level = _STAYS if out else _left_out(name, text, was)
-        if level in (_LAYOUT, _NOTICE):
-            kept = _wrappers(page) if kept is None else kept
+        mark = name in _CONTENT and (marks is None or at in marks)
+        level = _STAYS if out else _GONE if at in teasers else _left_out(name, text, was)
+        if level not in (_STAYS, _GONE):
+            kept = _wrappers(page, marks) if kept is None else kept
         gone = level != _STAYS and (level == _GONE or at not in kept)
         if not out and not gone:
-            yield _tag(name, was), 0, " " if name in ("br", "wbr", "img") else "", name in _BLOCKS, was
+            yield "edge" if mark and not was else f"tag {name}", 0, " " if name in ("br", "wbr", "img") else "", name in _BLOCKS, was
         elif not out and name in _BLOCKS:
             yield "", 0, "", True, was  # what is left out still parts the blocks around it
         if name in _VOID or name in _RAW:
             continue
-        stack.append((name, gone))
+        stack.append((name, gone, mark))
         out += gone
-        content += name in _CONTENT
+        content += mark
         links += name == "a"
 
 
@@ -254,16 +333,21 @@ def text_of(page: str | None, learned: dict) -> str:
         return ""
     seq = list(tokens(page))
     marked = any(words and content for _, words, _, _, content in seq)
+    inner = outer = 1.0  # scales of the tags inside and the words outside on a marked page
+    if marked:
+        tags = -sum(learned.get(f, TAG) for f, _, _, _, content in seq if f.startswith("tag") and content)
+        around = sum(words for f, words, _, _, content in seq if f.startswith("word") and not content)
+        inner, outer = min(1.0, REST / tags) if tags else 1.0, min(LEAST, REST / around) if around else LEAST
     total, start, best, first, last = 0.0, 0, 0.0, 0, 0
     for i, (feature, words, _, _, content) in enumerate(seq):
         if feature.startswith("word"):
             weight = learned.get(feature, LINK_WORD if feature.startswith("word a ") else WORD)
             if marked:
-                weight = max(weight, MARKED_WORD) if content else LEAST
+                weight = max(weight, MARKED_WORD) if content else outer
             total += words * weight
         elif feature:
             weight = EDGE if feature == "edge" else learned.get(feature, TAG)
-            total += max(weight, TAG) if marked and content and feature != "edge" else weight
+            total += inner * weight if marked and content and feature != "edge" else weight
         if total > 0 and total >= best:
             best, first, last = total, start, i + 1
         if total < 0:

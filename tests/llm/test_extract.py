@@ -117,3 +117,49 @@ LONG = "word " * 60
 ])
 def test_labels_of_headings_and_layouts_are_not_those_of_boxes(page, text):
     assert X.text_of(page, {}) == text
+
+
+TEASERS = "".join(f"<article class=card><h3>Teaser {i}</h3><p>{'a few words of another story '}</p></article>" for i in range(4))
+FIGURES = "<div><figure><img src=a><img src=b></figure></div>" * 10
+
+
+@pytest.mark.parametrize("page,text", [
+    # teasers are articles beside the article; `main` comes before `article`
+    (f"<main><article><h1>T</h1><p>{LONG}</p></article></main><section><h2>More</h2>{TEASERS}</section>", "T\n" + LONG.strip()),
+    (f"<main><h1>T</h1><article><p>{LONG}</p></article><section><h2>More</h2>{TEASERS}</section></main>", "T\n" + LONG.strip()),
+    (f"<body><div><main><h1>T</h1><p>{LONG}</p></main>{TEASERS * 30}</div></body>", "T\n" + LONG.strip()),
+    (f"<article><h1>T</h1><p>{LONG}</p></article><section><h2>More</h2>{TEASERS}</section>", "T\n" + LONG.strip()),
+    (f"<section><h2>More</h2>{TEASERS}</section><article><h1>T</h1><p>{LONG}</p></article>", "T\n" + LONG.strip()),
+    (f"<article><h1>T</h1><p>{LONG}</p></article><article><p>{LONG}</p></article>", f"T\n{LONG.strip()}\n{LONG.strip()}"),
+    (f"<article><p>{LONG}</p><article><p>a quoted story</p></article><p>end</p></article>", f"{LONG.strip()}\na quoted story\nend"),
+    # no tags inside make the last words go, and no number of words outside makes them stay
+    (f"<article><p>{LONG}</p>{FIGURES}<p>end</p></article>", f"{LONG.strip()}\nend"),
+    (f"<article><p>first</p>{FIGURES * 20}<p>end</p></article>", "first\nend"),
+    (f"<p>{LONG * 50}<article><p>in</p></article>{LONG * 50}", "in"),
+    # ordinary names are no boxes there, unless they hold links
+    (f"<article><p>{LONG}</p><section class=menu>Soup and bread</section><div class=form>The form of it</div></article>", f"{LONG.strip()}\nSoup and bread\nThe form of it"),
+    (f"<article><p>{LONG}</p><div class=menu><a href=1>One</a> <a href=2>Two</a></div><div class=share>Share</div><p>end</p></article>", f"{LONG.strip()}\nend"),
+])
+def test_marked_pages_lose_nothing_but_boxes(page, text):
+    for learned in ({}, {"word  p": 0.1, "tag p": -12.0, "tag div": -12.0, "tag img": -12.0}):
+        assert X.text_of(page, learned) == text
+
+
+@pytest.mark.parametrize("layout", ["frame", "table"])
+def test_learned_weights_decide_pages_without_a_mark(spark, layout):
+    def wrap(content):
+        if layout == "frame":
+            return frame(content)
+        cells = "".join(f"<tr><td>Cell {i} of the site's table</td></tr>" for i in range(12))
+        return f"<html><body><table>{cells}</table>{content}<table>{cells}</table></body></html>"
+
+    inner = "<h1>A title</h1><p>" + "some words " * 40 + "</p><p>See <a href=x>this</a> too</p>"
+    rows = [(i, f"u{i}", wrap(f"<article>{inner}</article>")) for i in range(50)]
+    page = wrap(f"<div id=content>{STORY}</div>")
+    learned = X.fit(spark.createDataFrame(rows, SCHEMA))
+    assert X.text_of(page, learned) == STORY_TEXT
+    # without weights, with equal ones, or with those of words or tags alone turned round, it comes out wrong
+    turned = {f: -12.0 if w > -1 else -0.1 for f, w in learned.items() if f.startswith("tag")}
+    assert X.text_of(page, learned | turned) != STORY_TEXT
+    assert X.text_of(page, {f: 3.0 if f.startswith("word") else -0.1 for f in learned}) != STORY_TEXT
+    assert X.text_of(page, {f: 0.1 if f.startswith("word") else -12.0 for f in learned}) != STORY_TEXT
