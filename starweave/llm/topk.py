@@ -8,9 +8,17 @@ last product read there; its lower bound takes the list's smallest product
 instead. Reading stops when the k-th best lower bound, or the k-th best score
 that the query has from blocks before, is above the upper bound of all but a few
 vectors; the final scores of those are then resolved. The first block gives every
-query the score that all later ones have to reach. Only the k best of a block
-leave the task. Queries come in blocks too, so every block pair is a bounded
-piece of work and no pair of single vectors is ever shuffled.
+query the score that all later ones have to reach. Queries come in blocks too, and
+the block pairs are dealt as cells of a grid: a few query blocks against a few
+vector blocks, which meet in one task. A cell holds at most ``CELL`` blocks of
+either side and the scores of its own queries only; the number of cells grows with
+the counted work. Only what can be among the k best leaves a cell, and no pair of
+single vectors is ever shuffled.
+
+Null ids, null vectors and vectors with null or non-finite parts take no part;
+vectors of another length than the query's are no candidates. Ties go to the
+smaller vec_id. Empty tables have an empty result, and columns beside vec_id and
+embedding are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +33,10 @@ from starweave.llm.common import save
 K = 5
 SCALE = 256
 BLOCK, QUERIES = 2048, 512  # vectors and queries in a block
-SLOTS = 64  # most copies of a query block that are sent out
+CELL = 32  # most blocks of either side in a cell, of vectors up to WIDE numbers; fewer of longer ones
+WIDE = 64
+MIN_CELLS = 64  # small tables are cut into more, smaller cells
+MOST_PARTS = 1 << 15  # most shuffle partitions the cells are dealt over
 SEEDS = 32  # most blocks that are broadcast
 GRID = 32  # depths that are looked at before a list is read
 
@@ -73,13 +84,12 @@ def nra(query: np.ndarray, lists: tuple[np.ndarray, np.ndarray], n: int, k: int,
         depth = depth * 5 // 4 + 1
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, values: np.ndarray, ids: np.ndarray, k: int, floors: np.ndarray, kept: dict) -> list[tuple]:
-    """The block's k best for each query, without the query's own id: (query_id, vec_id, score).
+def best(queries: np.ndarray, query_ids: np.ndarray, values: np.ndarray, ids: np.ndarray, lists: tuple, k: int, floors: np.ndarray, kept: dict) -> list[tuple]:
+    """The block's k best for each query, without the query's own id: (number of the query, vec_id, score).
 
-    ``kept`` holds each query's k best scores of this task so far, ``floors``
-    the k-th of them.
+    ``lists``: the block's. ``kept`` holds each query's k best scores of this
+    cell so far, ``floors`` the k-th of them.
     """
-    lists = sorted_lists(values)
     out = []
     for i, (query, own) in enumerate(zip(queries, query_ids)):
         # the query itself (and copies under its id) may be among the best: read for that many more
@@ -88,7 +98,7 @@ def best(queries: np.ndarray, query_ids: np.ndarray, values: np.ndarray, ids: np
         at = at[ids[at] != own]
         score = values[at] @ query
         first = np.lexsort((ids[at], -score))[:k]
-        out += [(own, v, s) for v, s in zip(ids[at][first], score[first])]
+        out += [(i, v, s) for v, s in zip(ids[at][first], score[first])]
         if len(first):
             top = np.sort(np.concatenate([kept.get(i, np.zeros(0, np.int64)), score[first]]))[-k:]
             kept[i] = top
@@ -120,9 +130,16 @@ def _blocks(rows: DataFrame, size: int, count: int) -> DataFrame:
     return rows.groupBy("dims", "block").applyInArrow(pack, "dims int, block int, ids binary, vals binary")
 
 
-def _unpack(dims: int, ids: bytes, vals: bytes, cand_ids: bytes, cand_vals: bytes):
-    ids, cand_ids = np.frombuffer(ids, np.int64), np.frombuffer(cand_ids, np.int64)
-    return np.frombuffer(vals, np.int64).reshape(len(ids), dims), ids, np.frombuffer(cand_vals, np.int64).reshape(len(cand_ids), dims), cand_ids
+def _matrix(dims: int, ids: bytes, vals: bytes) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(ids, np.int64)
+    return np.frombuffer(vals, np.int64).reshape(len(ids), dims), ids
+
+
+def grid(blocks: int, asks: int, dims: int) -> tuple[int, int]:
+    """(groups of query blocks, slots of vector blocks): the cells of so many blocks of vectors of ``dims`` numbers."""
+    most = max(1, min(CELL, CELL * WIDE // max(1, dims)))
+    groups = max(1, -(-asks // most))
+    return groups, max(1, min(blocks, max(-(-blocks // most), -(-MIN_CELLS // groups))))
 
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
@@ -130,7 +147,7 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
 
     Vectors of another length than the query's are no candidates.
     """
-    n, nq = candidates.count(), queries.count()
+    (n, dims), nq = candidates.agg(F.count("*"), F.coalesce(F.max("dims"), F.lit(0))).first(), queries.count()
     packed = save(_blocks(candidates, BLOCK, n), "vectors").withColumnsRenamed({"ids": "cand_ids", "vals": "cand_vals"})
     asked = save(_blocks(queries, QUERIES, nq), "queries").withColumnRenamed("block", "ask")
 
@@ -142,27 +159,36 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
         for b in batches:
             for dims, ask, ids, vals, cand_ids, cand_vals in zip(*(c.to_pylist() for c in b.columns)):
                 floors = np.full(len(ids) // 8, -np.inf)
-                best(*_unpack(dims, ids, vals, cand_ids, cand_vals), k, floors, {})
+                values, own = _matrix(dims, cand_ids, cand_vals)
+                best(*_matrix(dims, ids, vals), values, own, sorted_lists(values), k, floors, {})
                 yield pa.RecordBatch.from_pylist([{"dims": dims, "ask": ask, "floors": floors.tobytes()}], schema=pa.schema([("dims", pa.int32()), ("ask", pa.int32()), ("floors", pa.binary())]))
 
     floors = asked.join(seed, "dims").select("dims", "ask", "ids", "vals", "cand_ids", "cand_vals").mapInArrow(begin, "dims int, ask int, floors binary")
     asked = asked.join(save(floors, "floors"), ["dims", "ask"])
 
-    slots = max(1, min(SLOTS, -(-n // BLOCK)))
-    asked = asked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    packed = packed.withColumn("slot", F.pmod("block", F.lit(slots)))
-    pairs = asked.join(packed, ["dims", "slot"]).select("dims", "ask", "ids", "vals", "cand_ids", "cand_vals", "floors")
-
-    def run(batches):
-        state: dict = {}  # per block of queries: k best scores met in this task
-        for b in batches:
-            for dims, ask, ids, vals, cand_ids, cand_vals, floor in zip(*(c.to_pylist() for c in b.columns)):
-                floors, kept = state.setdefault((dims, ask), (np.frombuffer(floor).copy(), {}))
-                found = best(*_unpack(dims, ids, vals, cand_ids, cand_vals), k, floors, kept)
-                cols = list(zip(*found)) if found else [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(c, dtype=np.int64)) for c in cols], names=["query_id", "vec_id", "score"])
-
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    groups, slots = grid(-(-n // BLOCK), -(-nq // QUERIES), dims)
+    parts = min(MOST_PARTS, 2 * groups * slots)
+    cell = ["dims", "group", "slot"]
+    asked = asked.withColumn("group", F.pmod("ask", F.lit(groups))).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    packed = packed.withColumn("slot", F.pmod("block", F.lit(slots))).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked, packed = (x.repartition(parts, *cell) for x in (asked, packed))  # a given number: cells are small, but much work
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        state = [(*_matrix(q["dims"], q["ids"], q["vals"]), np.frombuffer(q["floors"]).copy(), {}, []) for q in left.select(["dims", "ids", "vals", "floors"]).to_pylist()]
+        for i in range(right.num_rows if state else 0):
+            values, ids = _matrix(*(right.column(c)[i].as_py() for c in ("dims", "cand_ids", "cand_vals")))
+            lists = sorted_lists(values)
+            for query, own, floors, kept, found in state:
+                found.append(np.array(best(query, own, values, ids, lists, k, floors, kept), dtype=np.int64).reshape(-1, 3))
+        rows = [np.zeros((0, 3), np.int64)]
+        for _, own, floors, _, found in state:
+            got = np.concatenate([rows[0], *found])
+            got = got[got[:, 2] >= floors[got[:, 0]]]  # by now the k-th best of the cell, or of the first block
+            got[:, 0] = own[got[:, 0]]
+            rows.append(got)
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), (pa.array(c) for c in np.concatenate(rows).T.copy()))))
+
+    found = asked.groupBy(*cell).cogroup(packed.groupBy(*cell)).applyInArrow(run, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -54,3 +54,20 @@ def test_bounds_never_lose_a_winner_and_stop_early():
             assert set(np.flatnonzero(s >= max(kth, floor))) <= set(at)
         early += len(at) < 500
     assert early > 30  # of 40 queries, with the floor of the last round
+
+
+def test_cells_are_bounded_and_grow_with_the_work():
+    assert K.grid(0, 0, 0) == (1, 1) and K.grid(26, 3, 64) == (1, 26)
+    for blocks, asks, dims in ((100, 1, 64), (5000, 40, 64), (10**6, 80000, 64), (10**4, 200, 1024)):
+        groups, slots = K.grid(blocks, asks, dims)
+        most = max(1, K.CELL * K.WIDE // max(K.WIDE, dims))
+        assert -(-blocks // slots) <= most and -(-asks // groups) <= most and groups * slots >= K.MIN_CELLS
+
+
+def test_more_cells_than_one_for_each_slot(spark, rows_of, monkeypatch):
+    for name, value in (("BLOCK", 20), ("QUERIES", 2), ("CELL", 2), ("MIN_CELLS", 4)):
+        monkeypatch.setattr(K, name, value)
+    rows = rows_of("embeddings")
+    groups, slots = K.grid(-(-len(rows) // 20), 5, 64)
+    assert groups > 1 and groups * slots > 30
+    assert got(table(spark, "/root/testdata/sf0.001", "embeddings")) == brute.top_k(rows)
