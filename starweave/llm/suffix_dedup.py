@@ -29,7 +29,15 @@ from it on; equal strings have theirs at the same distance.
    Spark counts one row per text and rank with partial sums.
 
 Texts that are equal as a whole are ranked once: all bytes of such texts go if they
-have LENGTH bytes. Texts are told apart by a 64-bit hash.
+have LENGTH bytes. Texts are told apart by a 128-bit digest. Only texts with a
+repeated anchor are shuffled.
+
+`doubling_rounds` is the plain method, with a rank for every position and Spark's
+rerank rounds; it shuffles many times the text and serves as a check.
+
+Null texts are empty, and a null id is an id like any other. Repeated rows are texts
+with copies and each have their result; an empty table has none. Columns beside
+doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -43,6 +51,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starweave.llm.common import BROADCAST_ROWS, save
+from starweave.operators.bloom import bloom_filter, may_hold, size_for
 
 LENGTH = 200
 GRAM = 8
@@ -143,7 +152,7 @@ def half_width() -> int:
 
 
 def _key():
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def _rank_anchors(docs: DataFrame) -> DataFrame:
@@ -151,7 +160,7 @@ def _rank_anchors(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rank, key, cols, seen = [], [], [], set()
+            rank, keys, cols, seen = [], [], [], set()
             for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if k in seen:
                     continue
@@ -159,17 +168,18 @@ def _rank_anchors(docs: DataFrame) -> DataFrame:
                 data = text.encode("utf-8", "surrogatepass")
                 pos, first, last = anchors(data)
                 rank.append(np.fromiter((xxhash.xxh64_intdigest(data[i : i + PREFIX]) for i in pos.tolist()), dtype=np.uint64, count=len(pos)))
-                key.append(np.full(len(pos), k, dtype=np.int64))
+                keys.append((k, len(pos)))
                 cols.append((pos, (pos - first).astype(np.int32), (last - first + 1).astype(np.int32)))
             if not rank:
                 continue
-            rank, key = np.concatenate(rank).view(np.int64), np.concatenate(key)
+            rank = np.concatenate(rank).view(np.int64)
+            key = pa.array([k for k, _ in keys], pa.binary()).take(pa.array(np.repeat(np.arange(len(keys)), [n for _, n in keys])))
             cols = [np.concatenate(c) for c in zip(*cols)]
             _, which, n = np.unique(rank, return_inverse=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (rank, key, *cols, n[which] > 1)], names=["rank", "key", "pos", "back", "starts", "known"])
+            yield pa.RecordBatch.from_arrays([pa.array(rank), key, *[pa.array(c) for c in (*cols, n[which] > 1)]], names=["rank", "key", "pos", "back", "starts", "known"])
 
     long = docs.where(F.octet_length("text") >= LENGTH).select(_key().alias("key"), "text")
-    return save(long.mapInArrow(run, "rank long, key long, pos long, back int, starts int, known boolean"), "anchors")
+    return save(long.mapInArrow(run, "rank long, key binary, pos long, back int, starts int, known boolean"), "anchors")
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
@@ -180,7 +190,7 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     place = F.xxhash64("key", "pos")
     sent = ranked.where("not known").select(*names, place.alias("place"))
     # one row stands for all that a batch knows to repeat; it differs from every place
-    sent = sent.union(known.select("rank").distinct().selectExpr("rank", "cast(null as long)", "cast(null as long)", "0", "0", "-1L"))
+    sent = sent.union(known.select("rank").distinct().selectExpr("rank", "cast(null as binary)", "cast(null as long)", "0", "0", "-1L"))
     near = Window.partitionBy("rank")
     met = sent.withColumn("low", F.min("place").over(near)).withColumn("high", F.max("place").over(near)).where("low <> high and key is not null")
     found = save(known.union(met.select(*names)).distinct(), "repeated-anchors")
@@ -193,17 +203,32 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
 _ANCHOR, _START, _SPAN = 0, 1, 2
 
 
+def _once(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) once for each of ``keys`` (key; each once) that has a text; other texts are not shuffled.
+
+    Up to ``BROADCAST_ROWS`` keys are broadcast; beyond that a Bloom filter drops most other texts.
+    """
+    keys = save(keys, "text-keys")
+    n = keys.count()
+    long = docs.where(F.octet_length("text") >= LENGTH).select(_key().alias("key"), "text")
+    if n <= BROADCAST_ROWS:
+        long = long.join(F.broadcast(keys), "key", "left_semi")
+    elif (bits := size_for(n)) is not None:
+        long = long.where(may_hold(bloom_filter(keys, ["key"], bits).scalar(), [F.col("key")], bits))
+    return long.groupBy("key").agg(F.first("text").alias("text"))
+
+
 def _surroundings(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of three kinds: anchors of small classes with the bytes around them (pos: first start; back), starts of
     common classes with their two ranks (one for each rank in a text), and spans that one text settles (pos, back: end)."""
-    whole = docs.where(F.octet_length("text") >= LENGTH).groupBy(_key().alias("key")).agg(F.first("text").alias("text"))
+    whole = _once(docs, found.select("key").distinct())
     places = found.groupBy("key").agg(F.collect_list(F.struct("pos", "rank", "back", "starts", "hot")).alias("places"))
     rows = whole.join(places, "key").select("key", "text", "places")
-    shape = pa.schema([("kind", pa.int32()), ("rank", pa.int64()), ("rank2", pa.int64()), ("key", pa.int64()), ("pos", pa.int64()), ("back", pa.int64()), ("around", pa.binary())])
+    shape = pa.schema([("kind", pa.int32()), ("rank", pa.int64()), ("rank2", pa.int64()), ("key", pa.binary()), ("pos", pa.int64()), ("back", pa.int64()), ("around", pa.binary())])
 
     def batch(kind, key, pos, rank=None, rank2=None, back=None, around=None):
         n = len(pos)
-        cols = [np.full(n, kind, np.int32), rank, rank2, np.full(n, key), pos, back]
+        cols = [np.full(n, kind, np.int32), rank, rank2, [key] * n, pos, back]
         cols = [pa.nulls(n, f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, shape)]
         return pa.RecordBatch.from_arrays([*cols, pa.nulls(n, pa.binary()) if around is None else pa.array(around, pa.binary())], schema=shape)
 
@@ -228,7 +253,7 @@ def _surroundings(docs: DataFrame, found: DataFrame) -> DataFrame:
                         j = at[i : i + (1 << 16)]
                         yield batch(_START, key, p[j], one[j], two[j])
 
-    return save(rows.mapInArrow(run, "kind int, rank long, rank2 long, key long, pos long, back long, around binary"), "surroundings")
+    return save(rows.mapInArrow(run, "kind int, rank long, rank2 long, key binary, pos long, back long, around binary"), "surroundings")
 
 
 def _starts(data: bytes, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,13 +290,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield from judged(pa.Table.from_batches(held))
 
     def judged(t):
-        pos, key = t.column("pos").to_numpy(), t.column("key").to_numpy()
+        pos = t.column("pos").to_numpy()
         first, last = repeated_starts(t.column("around").to_pylist(), t.column("back").to_numpy())
         yes = first <= last
-        yield pa.RecordBatch.from_arrays([pa.array(key[yes]), pa.array((pos + first)[yes]), pa.array((pos + last)[yes] + LENGTH)], names=["key", "begin", "end"])
+        yield pa.RecordBatch.from_arrays([t.column("key").combine_chunks().filter(pa.array(yes)), pa.array((pos + first)[yes]), pa.array((pos + last)[yes] + LENGTH)], names=["key", "begin", "end"])
 
     cold = made.where(F.col("kind") == _ANCHOR).select("rank", "key", "pos", "back", "around")
-    spans = cold.repartition("rank").sortWithinPartitions("rank").mapInArrow(classes, "key long, begin long, end long")
+    spans = cold.repartition("rank").sortWithinPartitions("rank").mapInArrow(classes, "key binary, begin long, end long")
     settled = made.where(F.col("kind") == _SPAN).select("key", F.col("pos").alias("begin"), F.col("back").alias("end"))
     # common classes: a rank of two different texts
     hot = made.where(F.col("kind") == _START).select("rank", "rank2", "key", "pos")
@@ -280,6 +305,39 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return spans.union(settled).union(common)
 
 
+def doubling_rounds(docs: DataFrame, first: int = 25) -> DataFrame:
+    """(row, pos): the starts of repeated strings of LENGTH bytes, by a rank of every position and Spark's rounds.
+
+    ``docs``: row (unique) and text. The first ranks stand for ``first`` bytes. A
+    round drops the positions whose rank is unique, and ranks the rest anew by the
+    pair (rank, rank at the offset), until LENGTH is reached: a string can only
+    repeat if both of its parts do.
+    """
+
+    def begin(batches):
+        for b in batches:
+            for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                data = text.encode("utf-8", "surrogatepass")
+                for at in range(0, len(data) - first + 1, _CHUNK):
+                    n = min(_CHUNK, len(data) - first + 1 - at)
+                    part = data[at : at + n + first - 1]
+                    rank = np.fromiter((xxhash.xxh64_intdigest(part[i : i + first]) for i in range(n)), dtype=np.uint64, count=n)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row)), pa.array(np.arange(at, at + n)), pa.array(rank.view(np.int64))], names=["row", "pos", "rank"])
+
+    def repeated(ranks):
+        again = ranks.groupBy("rank").count().where("count > 1").select("rank")
+        return save(ranks.join(again, "rank", "left_semi"), "rounds")
+
+    ranks = docs.where(F.octet_length("text") >= LENGTH).select("row", "text").mapInArrow(begin, "row long, pos long, rank long")
+    left, width = repeated(save(ranks, "rounds")), first
+    while width < LENGTH:
+        offset = min(width, LENGTH - width)
+        ahead = left.select("row", (F.col("pos") - offset).alias("pos"), F.col("rank").alias("ahead"))
+        left = repeated(left.join(ahead, ["row", "pos"]).select("row", "pos", F.xxhash64("rank", "ahead").alias("rank")))
+        width += offset
+    return left.select("row", "pos")
+
+
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Disjoint maximal stretches, in order."""
     out: list[list[int]] = []
@@ -326,7 +384,7 @@ def query(docs: DataFrame) -> DataFrame:
     # texts with copies go whole and need no cutting
     partial = spans.join(copies, "key", "left_anti")
     cutting = docs.where(F.octet_length("text") >= LENGTH).select(_key().alias("key"), "text").join(partial, "key").select("key", "text", "spans")
-    done = cutting.mapInArrow(cut, "key long, removed long, parts long, rest string").dropDuplicates(["key"])
+    done = cutting.mapInArrow(cut, "key binary, removed long, parts long, rest string").dropDuplicates(["key"])
     out = rows.join(copies, "key", "left").join(done, "key", "left")
     whole = F.col("n").isNotNull()
     empty = F.lit(hashlib.sha256(b"").hexdigest())

@@ -95,3 +95,21 @@ def test_ranks_are_those_of_the_strings():
         by_rank.setdefault(int(rank[i]), set()).add(i)
         by_string.setdefault(bytes(data[i : i + S.LENGTH]), set()).add(i)
     assert sorted(map(sorted, by_rank.values())) == sorted(map(sorted, by_string.values()))
+
+
+@pytest.mark.parametrize("first", [25, 40])
+def test_rounds_of_prefix_doubling_find_the_same(spark, make_docs, first):
+    docs = [(i, t) for i, (_, t) in enumerate(planted(7))]
+    starts = {}
+    for r in S.doubling_rounds(make_docs(docs).selectExpr("doc_id AS row", "text"), first).collect():
+        starts.setdefault(r.row, []).append((r.pos, r.pos + S.LENGTH))
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in S.query(make_docs(docs)).collect()}
+    for i, t in docs:
+        spans = S.union(starts.get(i, []))
+        assert got[i] == (sum(e - s for s, e in spans), len(spans), hashlib.sha256(S.kept((t or "").encode(), spans)).hexdigest())
+
+
+def test_keys_that_are_not_broadcast(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
+    docs = planted(9)
+    check(S.query(make_docs(docs)).collect(), docs)
