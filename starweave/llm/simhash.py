@@ -251,12 +251,16 @@ def near_pairs(points: DataFrame, max_bits: int = MAX_BITS, parts: int | None =
         for b in batches:
             yield _edge_batch([links_between(_codes(a), _nodes(x), _codes(c), _nodes(y), top_mask(t.as_py()), max_bits) for a, x, c, y, t in zip(*b.columns)])
 
-    # blocks that begin or end within the same top parts
-    ends = made.withColumn("chunk", F.explode(F.array_distinct(F.array("first", "last"))))
+    # blocks that begin or end within the same top parts: the pairs are found on numbers, masks and patterns, which are
+    # small, and dealt evenly before their codes are fetched, so that one long run is not the work of one task
+    ends = made.select("turn", "bits", "id", "mask", "pattern", "first", "last").withColumn("chunk", F.explode(F.array_distinct(F.array("first", "last"))))
     a, b = ends.alias("a"), ends.alias("b")
     differ = F.bit_count(F.col("a.pattern").bitwiseXOR(F.col("b.pattern")).bitwiseAND(F.col("a.mask")).bitwiseAND(F.col("b.mask")))
     runs = a.join(b, (F.col("a.turn") == F.col("b.turn")) & (F.col("a.chunk") == F.col("b.chunk")) & (F.col("a.id") < F.col("b.id")) & (differ <= max_bits))
-    pairs = runs.select("a.codes", "a.nodes", F.col("b.codes").alias("codes_b"), F.col("b.nodes").alias("nodes_b"), "a.bits")
+    met = save(runs.select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b")).distinct(), "simhash-block-pairs")
+    one = made.select("id", "codes", "nodes", "bits")
+    other = made.select(F.col("id").alias("id_b"), F.col("codes").alias("codes_b"), F.col("nodes").alias("nodes_b"))
+    pairs = met.join(one, "id").join(other, "id_b").select("codes", "nodes", "codes_b", "nodes_b", "bits")
     out = made.select("codes", "nodes", "bits").mapInArrow(inside, "u long, v long")
     return out.union(pairs.mapInArrow(between, "u long, v long"))
 
