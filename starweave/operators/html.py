@@ -12,13 +12,36 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starweave.functions.text import first_matching, html_text_nodes, strip_ws, unescape_html
+from starweave.functions.text import first_matching, labelled_nodes, strip_ws, unescape_html
 
 # An anchor's address (with its quotes, if any) and its content.
 ANCHOR = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
 QUOTES = r"""^["']|["']$"""
 
 
+def _tag_patterns(tag: str) -> tuple[str, str, str, str]:
+    """Patterns for the tags named ``tag``: a token of the page, a token that starts an element, the value of its class, one that closes itself."""
+    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+    end_tag, start_tag = rf"</{tag}(?=[\s>/])[^>]*+>", rf"""<{tag}(?=[\s>/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+    token = rf"(?is)(<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|{end_tag}|{start_tag})"
+    # the value of the class attribute, which no other attribute's value can be taken for
+    class_value = rf"""(?is)^<{tag}(?:\s+(?!class[\s=>/])[^\s=>"']++(?:\s*=\s*{value})?+)*+\s+class\s*=\s*({value})"""
+    closes_itself = rf"""(?is)^<{tag}(?:\s+[^\s=>"'/]++(?:\s*=\s*{value})?+)*+\s*/>$"""  # an unquoted value takes the slash
+    return token, rf"(?is)^<{tag}[\s>/]", class_value, closes_itself
+
+
+def _has_class(t: Column, class_value: str, cls: str) -> Column:
+    names = F.split(F.regexp_replace(F.regexp_extract(t, class_value, 1), r"""^["']|["']$""", ""), r"[\s\x{0b}]+")
+    return F.array_contains(names, cls)
+
+
+def has_element(html: Column | str, tag: str, cls: str) -> Column:
+    """Whether ``elements`` finds any: the first start tag with the class answers, no element is put together."""
+    page = F.col(html) if isinstance(html, str) else html
+    token, starts, class_value, _ = _tag_patterns(tag)
+    return F.exists(F.regexp_extract_all(page, F.lit(token), 1), lambda t: t.rlike(starts) & _has_class(t, class_value, cls))
+
+
 def elements(html: Column | str, tag: str, cls: str) -> Column:
     """The outer HTML of every ``tag`` element with the class token ``cls``, in order of their start tags (H1).
 
@@ -29,21 +52,15 @@ def elements(html: Column | str, tag: str, cls: str) -> Column:
     the end of the page ends there. All of this is one expression in the JVM; null gives null.
     """
     page = F.col(html) if isinstance(html, str) else html
-    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
-    end_tag, start_tag = rf"</{tag}(?=[\s>/])[^>]*+>", rf"""<{tag}(?=[\s>/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-    token = rf"(?is)(<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|{end_tag}|{start_tag})"
-    # the value of the class attribute, which no other attribute's value can be taken for
-    class_value = rf"""(?is)^<{tag}(?:\s+(?!class[\s=>/])[^\s=>"']++(?:\s*=\s*{value})?+)*+\s+class\s*=\s*({value})"""
-    closes_itself = rf"""(?is)^<{tag}(?:\s+[^\s=>"'/]++(?:\s*=\s*{value})?+)*+\s*/>$"""  # an unquoted value takes the slash
+    token, start_tag, class_value, closes_itself = _tag_patterns(tag)
     tokens = F.regexp_extract_all(page, F.lit(token), 1)
     between = F.split(page, token)
 
     def read(gap: Column, t: Column) -> Column:
         """What a token means (1: begins an element, -1: ends one, 2: both, 0: neither), and its length and that of the text before it."""
-        names = F.split(F.regexp_replace(F.regexp_extract(t, class_value, 1), r"""^["']|["']$""", ""), r"[\s\x{0b}]+")
-        starts = t.rlike(rf"(?is)^<{tag}[\s>/]")
+        starts = t.rlike(start_tag)
         kind = F.when(t.rlike(rf"(?is)^</{tag}[\s>/]"), -1).when(t.rlike(closes_itself), 2).when(starts, 1).otherwise(0)
-        return F.struct(F.length(gap).alias("gap"), F.length(t).alias("size"), kind.alias("kind"), F.array_contains(names, cls).alias("mine"))
+        return F.struct(F.length(gap).alias("gap"), F.length(t).alias("size"), kind.alias("kind"), _has_class(t, class_value, cls).alias("mine"))
 
     # side by side, so that neither list is made again for each tag
     steps = F.zip_with(F.slice(between, F.lit(1), F.size(tokens)), tokens, read)
@@ -78,6 +95,13 @@ def _cards(card_pattern) -> Column:
     return F.regexp_extract_all(F.col("html"), F.lit(card_pattern), 1)
 
 
+def _has_cards(card_pattern) -> Column:
+    """Whether a page has a card: true with the first one, the others are not looked for."""
+    if isinstance(card_pattern, tuple):
+        return has_element("html", *card_pattern)
+    return F.col("html").rlike(card_pattern)
+
+
 def card_fragments(pages: DataFrame, card_pattern, id_col: str = "page_id") -> DataFrame:
     """One row per repeated element (H1): (page id, position, card html).
 
@@ -87,6 +111,12 @@ def card_fragments(pages: DataFrame, card_pattern, id_col: str = "page_id") -> D
     return pages.select(F.col(id_col), F.posexplode(_cards(card_pattern)).alias("card_pos", "card"))
 
 
+def _labelled(strings: Column, needle: str) -> Column:
+    """The first of ``strings`` that holds ``needle`` when it is stripped; only those that hold it at all are stripped."""
+    hits = F.transform(F.filter(strings, lambda s: s.contains(needle)), strip_ws)
+    return first_matching(F.filter(hits, lambda s: s != F.lit("")), needle)
+
+
 def extract_cards(
     pages: DataFrame,
     card_pattern,
@@ -95,21 +125,18 @@ def extract_cards(
     id_col: str = "page_id",
 ) -> DataFrame:
     """Title / Link / labelled texts per card; cards without an anchor are skipped."""
-    cards = card_fragments(pages, card_pattern, id_col)
-    with_anchor = cards.withColumns(
-        {
-            "_sw_href": F.regexp_extract(F.col("card"), ANCHOR, 1),
-            "_sw_atext": F.regexp_extract(F.col("card"), ANCHOR, 2),
-            "_sw_has_a": F.col("card").rlike(ANCHOR),
-        }
-    ).filter(F.col("_sw_has_a"))
-    texts = html_text_nodes(F.col("card"))
+    # a card's anchor is found once, inside the array, where no filter can be pushed past it and compute it again;
+    # its parts are read from the anchor alone
+    found = F.transform(_cards(card_pattern), lambda c: F.struct(c.alias("card"), F.regexp_extract(c, ANCHOR, 0).alias("a")))
+    cards = pages.select(F.col(id_col), F.posexplode(found).alias("card_pos", "_sw_c")).filter(F.col("_sw_c.a") != "")
+    # a column of its own: the labels share the decoded strings
+    with_anchor = cards.withColumn("_sw_texts", labelled_nodes(F.col("_sw_c.card"), list(labels.values()))) if labels else cards
     out = {
-        "Title": strip_ws(unescape_html(F.regexp_replace(F.col("_sw_atext"), r"<[^>]*>", ""))),
-        "Link": F.concat(F.lit(base_url), unescape_html(F.regexp_replace("_sw_href", QUOTES, ""))),
+        "Title": strip_ws(unescape_html(F.regexp_replace(F.regexp_extract("_sw_c.a", ANCHOR, 2), r"<[^>]*>", ""))),
+        "Link": F.concat(F.lit(base_url), unescape_html(F.regexp_replace(F.regexp_extract("_sw_c.a", ANCHOR, 1), QUOTES, ""))),
     }
     for name, needle in labels.items():
-        out[name] = strip_ws(first_matching(texts, needle))
+        out[name] = _labelled(F.col("_sw_texts"), needle)
     return with_anchor.select(F.col(id_col), F.col("card_pos"), *[v.alias(k) for k, v in out.items()])
 
 
@@ -136,6 +163,6 @@ def listing_cards(
     pages: DataFrame, card_pattern, base_url: str, labels: Mapping[str, str], id_col: str = "page_id"
 ) -> DataFrame:
     """The listing job as a whole (D10): the cards of all pages before the first one without any."""
-    first_empty = card_counts(pages, card_pattern, id_col).filter(F.col("n_cards") == 0).agg(F.min(id_col)).scalar()
+    first_empty = pages.filter(~_has_cards(card_pattern)).agg(F.min(id_col)).scalar()
     read = pages.filter(first_empty.isNull() | (F.col(id_col) < first_empty))
     return extract_cards(read, card_pattern, base_url, labels, id_col)

@@ -2,6 +2,7 @@ import random
 from html.parser import HTMLParser
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from starweave.operators import html
 
@@ -120,3 +121,33 @@ def test_pages_are_counted_by_elements_too(spark):
 def test_no_python_reads_pages(spark):
     plan = html.extract_cards(_pages(spark), ("div", "views-row"), "", {})._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_page_without_cards_by_first_card(spark):
+    pages = [(0, "<div class='views-row'></div>"), (1, "<!-- <div class=views-row> --><div class=views-rows></div>"),
+             (2, "<div a='<div class=views-row>'>x</div>"), (3, None), (4, ""), (5, "<p><div class='x views-row'/>"), (6, "<div class=views-row>open")]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    got = df.select("page_id", html.has_element("html", "div", "views-row").alias("has"), F.size(html.elements("html", "div", "views-row")).alias("n")).collect()
+    assert all(r.has is None if r.page_id == 3 else r.has == (r.n > 0) for r in got)
+    assert sorted(r.page_id for r in got if r.has) == [0, 5, 6]
+
+
+def test_labels_share_decoded_strings(spark):
+    page = "<li><a href=x>T</a><p>&#73;ncident Period:</p><p> Incident Period: 2 </p><i>&nbsp;declared&ndash;&bogus; &#0;</i></li>"
+    df = spark.createDataFrame([(0, page)], "page_id long, html string")
+    out = html.extract_cards(df, r"(?is)<li>(.*?)</li>", "", {"a": "Incident Period:", "b": "declared", "c": "2 ", "d": ""})
+    assert rows(out.select("a", "b", "c", "d")) == [("Incident Period:", "declared–&bogus; &#0;", "", "T")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("<script") == 1  # the card is cut into strings once, not for each label
+
+
+def test_listing_pages_move_columns_in_even_tasks(spark):
+    from starweave.plans import catalog
+
+    pages = catalog.listing_pages(spark, "/root/testdata/sf0.001")
+    lines = pages._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    # a set number of partitions, since few bytes would be merged into few tasks; what is shuffled holds no markup
+    assert at and all("REPARTITION_BY_NUM" in lines[i] for i in at)
+    assert not any("<li>" in x for i in at for x in lines[i : i + 3])
+    assert pages.count() == 2 * 75 + 1
