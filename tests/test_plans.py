@@ -76,3 +76,11 @@ def test_four_lookups_take_one_sampling_job(spark):
     finally:
         spark.conf.unset("spark.starweave.broadcastBytes")
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lines_carry_no_part_attributes(spark):
+    ln = S.lines(spark, D)
+    assert not [c for c in ln.columns if c.startswith("p_")]
+    some = ln.select("l_orderkey", "l_partkey").limit(50).unionByName(spark.createDataFrame([(-1, -1), (-2, None)], "l_orderkey long, l_partkey long"))
+    got = S.with_parts(spark, D, some).collect()
+    assert len(got) == 52 and all((r.p_size is None) == (r.l_orderkey < 0) for r in got)
