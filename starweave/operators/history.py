@@ -92,10 +92,16 @@ def scd2_history(dim: DataFrame, keys: Sequence[str], attr: str, version: str =
     )
 
 
-def level_rows(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[tuple[str, Column]]]]) -> DataFrame:
-    """``fact`` with the dimension attributes that it is rolled up by (E2); ``dims`` = [(dim, tk, [(name, expr over dim)])]."""
+def level_rows(
+    fact: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[tuple[str, Column]]]], sampled: DataFrame | None = None
+) -> DataFrame:
+    """``fact`` with the dimension attributes that it is rolled up by (E2); ``dims`` = [(dim, tk, [(name, expr over dim)])].
+
+    Hot keys are looked for in a sample of ``fact``. A sample of the end of a plan runs all of
+    it: where joins stand before, ``sampled`` holds the tks of a sample drawn ahead of them.
+    """
     shuffled = {tk: [F.col(tk)] for dim, tk, _ in dims if not fits_broadcast(dim)}
-    hot = hot_keys(fact, shuffled)
+    hot = hot_keys(fact, shuffled) if sampled is None else hot_keys(sampled, shuffled, fraction=1.0)
     out = fact
     for dim, tk, attrs in dims:
         side = dim.select(F.col(tk).alias("_sw_tk"), *[expr.alias(name) for name, expr in attrs])
@@ -118,13 +124,14 @@ def rollup_fact(
     levels: Sequence[str],
     sums: Sequence[str],
     count_name: str = "fact_rows",
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
-    """Roll the fact up by dimension attributes.
+    """Roll the fact up by dimension attributes (E2, E4); ``sampled``: see ``level_rows``.
 
     The attributes are joined to the fact (broadcast where the dimension was
     measured to fit), the levels are aggregated with partial sums in every
     task, and only that small result is expanded by the ROLLUP.
     """
-    rows = level_rows(fact, dims)
+    rows = level_rows(fact, dims, sampled)
     base = rows.groupBy(*levels).agg(*[F.sum(m).alias(m) for m in sums], F.count(F.lit(1)).alias(count_name))
     return rollup_levels(base, levels, sums, count_name)

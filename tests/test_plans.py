@@ -84,3 +84,19 @@ def test_lines_carry_no_part_attributes(spark):
     some = ln.select("l_orderkey", "l_partkey").limit(50).unionByName(spark.createDataFrame([(-1, -1), (-2, None)], "l_orderkey long, l_partkey long"))
     got = S.with_parts(spark, D, some).collect()
     assert len(got) == 52 and all((r.p_size is None) == (r.l_orderkey < 0) for r in got)
+
+
+def test_rollup_samples_ahead_of_its_joins(spark, monkeypatch):
+    from starweave.operators import history
+    from starweave.plans import catalog
+
+    seen = []
+    monkeypatch.setattr(history, "fits_broadcast", lambda dim: False)
+    monkeypatch.setattr(history, "hot_keys", lambda df, keys, **more: seen.append((_plan(df), more)) or {})
+    want = sorted(map(tuple, catalog.fact_rollup(spark, D).collect()), key=str)
+    assert len(seen) == 1 and seen[0][1] == {"fraction": 1.0}
+    plan = seen[0][0]
+    # the sample lies below the joins: no join of all staging rows stands under it
+    assert "Sample" in plan and all("Join" not in x for x in plan[plan.index("Sample") :].split("Union")[0].splitlines()[1:])
+    monkeypatch.undo()
+    assert want == sorted(map(tuple, catalog.fact_rollup(spark, D).collect()), key=str)
