@@ -14,6 +14,7 @@ from starweave.session import shared_path
 
 
 BROADCAST_ROWS = 200_000  # most rows, of a few short columns, that are broadcast
+BATCH_ROWS = 1000  # of a batch that goes to Python and back
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,18 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` in batches of at most ``BATCH_ROWS`` rows, unless the session sets a size of its own.
+
+    With Spark's default of 10,000 rows a batch of texts is some tens of MB, which both the
+    JVM, outside its heap, and the Python worker hold several times for every task.
+    """
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if df.sparkSession.conf.get(key, default) == default:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def add_columns(
     df: DataFrame,
     fields: Sequence[T.StructField],
@@ -48,7 +61,7 @@ def add_columns(
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([b.column(i) for i in at] + list(fn(b)), names=names)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list:

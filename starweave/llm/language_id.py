@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import BROADCAST_ROWS, add_columns, bounded_sample, pieces, remainder, save, texts, unused
+from starweave.llm.common import BROADCAST_ROWS, add_columns, bounded_sample, map_batches, pieces, remainder, save, texts, unused
 
 DIMS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(df[at], n), pa.int64())], names=["at", "n"])
 
-    df = dict(rows.select("text").mapInArrow(frequencies, "at int, n long").groupBy("at").agg(F.sum("n")).collect())
+    df = dict(map_batches(rows.select("text"), frequencies, "at int, n long").groupBy("at").agg(F.sum("n")).collect())
     total = df.pop(-1, 0)
     idf = np.full(DIMS, np.log(1.0 + total) + 1.0)
     for at, n in df.items():
@@ -151,15 +151,19 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     sample = sample.groupBy("id", "lang").agg(F.min(F.struct("at", "n")).alias("f")).select("id", "lang", "f.at", "f.n")
 
     def learn(batches):
-        got = [r for b in batches for r in b.to_pylist()]
-        got.sort(key=lambda r: (hash_of(r["id"]), str(r["id"]), r["lang"], r["at"]))
-        langs = sorted({r["lang"] for r in got})
+        # the lists stay arrays over the batches: as Python's numbers they take several times the memory
+        got = []
+        for b in batches:
+            lists = [[x.values.to_numpy(zero_copy_only=False) for x in b.column(i)] for i in (2, 3)]
+            got.extend(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), *lists))
+        got.sort(key=lambda r: (hash_of(r[0]), str(r[0]), r[1]))  # an id comes once a language
+        langs = sorted({r[1] for r in got})
         if langs:
-            data = [(np.array(r["at"]), np.array(r["n"]), langs.index(r["lang"])) for r in got]
+            data = [(at, n, langs.index(lang)) for _, lang, at, n in got]
             w, b, t = train(data, langs, idf)
             yield pa.RecordBatch.from_arrays([pa.array([langs], pa.list_(pa.string())), pa.array([w.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary()), pa.array([t])], names=["langs", "w", "b", "t"])
 
-    got = sample.repartition(1).mapInArrow(learn, "langs array<string>, w binary, b binary, t double").first()
+    got = map_batches(sample.repartition(1), learn, "langs array<string>, w binary, b binary, t double").first()
     if got is None:
         return {"langs": [], "idf": idf.astype(np.float32), "w": np.zeros((DIMS, 0), np.float32), "b": np.zeros(0, np.float32), "t": 1.0}
     k = len(got["langs"])

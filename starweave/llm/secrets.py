@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import BROADCAST_ROWS, add_columns, save, texts, unused, with_named
+from starweave.llm.common import BROADCAST_ROWS, add_columns, map_batches, save, texts, unused, with_named
 from starweave.operators.joins import hot_keys, lookup_join
 
 EXAMPLE_OWNERS = 3
@@ -200,4 +200,4 @@ def mask_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
             cols[at_n] = pa.array([len(t) if x else c for t, x, c in zip(new, spans, n)], b.column(at_n).type)
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)

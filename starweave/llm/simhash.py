@@ -30,13 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import BROADCAST_ROWS, add_columns, connected, save, texts, without
+from starweave.llm.common import BROADCAST_ROWS, add_columns, connected, map_batches, save, texts, without
 
 MAX_BITS = 3
 SHINGLE = 3
 BLOCK = 4096
 FAN = 8
-QUERIES = 256  # codes that walk the index at once
+QUERIES = 64  # codes that walk the index at once; where a block is one group, each meets all its codes
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 FEW = BLOCK << 16  # codes up to which equal top parts of 16 bits fit one block on average
 
@@ -229,7 +229,7 @@ def blocks(points: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist([row(turn[0], np.ascontiguousarray(code).view(np.uint64), node, rank)], schema=arrow)
 
     arrow = pa.schema([("turn", pa.int32()), ("bits", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("mask", pa.int64()), ("pattern", pa.int64()), ("codes", pa.binary()), ("nodes", pa.binary())])
-    made = sorted_.mapInArrow(cut, "turn int, bits int, first long, last long, mask long, pattern long, codes binary, nodes binary")
+    made = map_batches(sorted_, cut, "turn int, bits int, first long, last long, mask long, pattern long, codes binary, nodes binary")
     return save(made.withColumn("id", F.monotonically_increasing_id()), "simhash-blocks")
 
 
@@ -261,8 +261,8 @@ def near_pairs(points: DataFrame, max_bits: int = MAX_BITS, parts: int | None =
     one = made.select("id", "codes", "nodes", "bits")
     other = made.select(F.col("id").alias("id_b"), F.col("codes").alias("codes_b"), F.col("nodes").alias("nodes_b"))
     pairs = met.join(one, "id").join(other, "id_b").select("codes", "nodes", "codes_b", "nodes_b", "bits")
-    out = made.select("codes", "nodes", "bits").mapInArrow(inside, "u long, v long")
-    return out.union(pairs.mapInArrow(between, "u long, v long"))
+    out = map_batches(made.select("codes", "nodes", "bits"), inside, "u long, v long")
+    return out.union(map_batches(pairs, between, "u long, v long"))
 
 
 def components(codes: DataFrame) -> DataFrame:

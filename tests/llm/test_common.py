@@ -50,3 +50,25 @@ def test_named_rows_go_or_get_their_value_whatever_their_number(spark, make_docs
         assert sorted(((r.doc_id, r.text) for r in left.collect()), key=key) == sorted((r for r in rows if (r[0], r[1] or "") not in gone), key=key)
         got = C.with_named(docs, valued, "i", "k", "v").collect()
         assert sorted(((r.doc_id, r.text, r.v) for r in got), key=key) == sorted(((*r, [1, 2] if (r[0], r[1] or "") in gone else None) for r in rows), key=key)
+
+
+def test_batches_are_small(spark):
+    from starweave.llm.common import BATCH_ROWS, map_batches
+
+    def count(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    df = spark.range(0, 5 * BATCH_ROWS, 1, 1)
+    sizes = map_batches(df, count, "n long")
+    assert [r.n for r in sizes.collect()] == [BATCH_ROWS] * 5
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "123")  # a session's own size stays
+        map_batches(df, lambda batches: batches, "id long")
+        assert spark.conf.get(key) == "123"
+    finally:
+        spark.conf.set(key, old)
