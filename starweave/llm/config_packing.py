@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweave.llm.common import BROADCAST_ROWS, add_columns, save, texts
+from starweave.llm.common import BROADCAST_ROWS, add_columns, map_batches, save, texts
 
 CAPACITY = 2048
 END_ID = 0
@@ -186,7 +186,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = F
                 more = [pa.array(c, pa.binary() if n == 4 else pa.int64()) for n, c in enumerate(zip(*out))]
                 yield pa.RecordBatch.from_arrays(own + more, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 # ---------------------------------------------------------------- the linear program

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from starweave.llm import config_packing as C
-from starweave.llm.common import table
+from starweave.llm.common import BATCH_ROWS, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,6 +60,23 @@ def test_real_ids(spark, make_docs):
     assert got == [*tok.encode("One two, three four. Five", add_special_tokens=False).ids, 0]
 
 
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    class Sizes:
+        def encode(self, batch):
+            return [len(batch).to_bytes(4, "little")] * len(batch)
+
+    monkeypatch.setattr(C, "encoder", lambda path: Sizes())
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    docs = spark.range(0, 5 * BATCH_ROWS, 1, 1).selectExpr("id AS doc_id", "'a' AS text")
+    try:
+        spark.conf.set(key, "10000")  # Spark's default, as in a session whose first query this is
+        rows = C.cut(docs, "", with_ids=True).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert [struct.unpack("<2I", r.ids) for r in rows] == [(BATCH_ROWS, 0)] * (5 * BATCH_ROWS)
+
+
 @pytest.mark.parametrize("remembered", [C.REMEMBERED, 5])
 def test_encoder_gives_the_tokenizer_s_ids(remembered, monkeypatch):
     monkeypatch.setattr(C, "REMEMBERED", remembered)
