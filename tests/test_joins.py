@@ -88,3 +88,22 @@ def test_check_fk_shuffle_path_equals_broadcast(spark, monkeypatch):
     want = [(r.fk, r.i) for r in child.collect() if r.fk in (3, 4)]
     assert rows(constraints.check_fk(child, ["fk"], parent, ["pk"])) == sorted(want)
     assert rows(constraints.check_fk(child, ["fk"], parent, ["pk"], hot=['{"k0":3}', '{"k0":1}'])) == sorted(want)
+
+
+def test_distinct_rows_that_lie_by_key_are_not_moved_for_its_lookup(spark):
+    data = [(None if i % 4 == 0 else 7 if i % 3 else i % 50, f"x{i % 60}") for i in range(3000)] + [(7, "x")] * 500 + [(None, None)] * 500
+    fact = spark.createDataFrame([(*r, i) for i, r in enumerate(data)], "k int, x string, n int")
+    dim = spark.createDataFrame([(i, 10 * i) for i in range(0, 40)], "k int, tk int")
+    for hot in ([], ['{"k0":7}']):
+        near = joins.distinct_by_key(fact, ["k", "x"], "k", hot, "s")
+        assert sorted(map(str, near.drop("s").collect())) == sorted(map(str, fact.select("k", "x").distinct().collect()))
+        for how in ("left", "inner"):
+            out = joins.lookup_join(near, dim, [(F.col("k"), "k")], how, broadcast=False, hot=hot, salt="s")
+            want = joins.lookup_join(fact.select("k", "x").distinct(), dim, [(F.col("k"), "k")], how, broadcast=True)
+            assert sorted(map(str, out.drop("s").collect())) == sorted(map(str, want.collect()))
+            out = joins.lookup_join(near, dim.hint("merge"), [(F.col("k"), "k")], how, broadcast=False, hot=hot, salt="s")
+            moved = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x and "ENSURE" in x and "_sw_k0" in x]
+            assert not moved
+    hot_rows = fact.where("k = 7").select("k", "x").distinct().count()
+    assert near.where("k = 7").select("s").distinct().count() > min(hot_rows, joins.HOT_KEY_SALTS) // 3
+    assert near.where("k is null").select("s").distinct().count() > 3

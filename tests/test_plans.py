@@ -100,3 +100,72 @@ def test_rollup_samples_ahead_of_its_joins(spark, monkeypatch):
     assert "Sample" in plan and all("Join" not in x for x in plan[plan.index("Sample") :].split("Union")[0].splitlines()[1:])
     monkeypatch.undo()
     assert want == sorted(map(tuple, catalog.fact_rollup(spark, D).collect()), key=str)
+
+
+def test_entities_sample_ahead_of_their_shuffles(spark, monkeypatch):
+    from starweave.plans import normalize
+    from starweave.plans import warehouse as W
+
+    seen, original = [], joins.hot_keys
+
+    def recorded(df, keys, *a, **k):
+        seen.append((sorted(keys), _plan(df)))
+        return original(df, keys, *a, **k)
+
+    loaded = W.entities(spark, D)
+    monkeypatch.setattr(joins, "hot_keys", recorded)
+    monkeypatch.setattr(normalize, "hot_keys", recorded, raising=False)
+    W.declarations(W.flat80(spark, D), loaded["Disaster"], loaded["State"], keep_unmatched=True)
+    normalize.bridge(W.flat80(spark, D), loaded["Disaster"], "disaster_number", loaded["State"], "country_name")
+    assert len(seen) == 2  # one sample for both lookups, each time
+    assert all("Exchange" not in plan and len(names) == 2 for names, plan in seen)
+
+
+def test_disasters_reduce_their_lines_before_parts_are_joined(spark, monkeypatch):
+    from starweave.plans import warehouse as W
+    from starweave.plans.normalize import append_entities
+
+    table = S.table
+
+    def parts_twice(spark, d, name, columns=None):
+        got = table(spark, d, name, columns)
+        if name != "part":
+            return got
+        more = got.where("p_partkey % 3 = 0").withColumn("p_type", F.concat(F.lit("A"), "p_type")).withColumn("p_size", (50 - F.col("p_size")).cast("int"))
+        return got.where("p_partkey % 5 <> 0").unionByName(more)
+
+    for tables in (table, parts_twice):  # as given; and with numbers that have no part or two
+        monkeypatch.setattr(S, "table", tables)
+        for sizes in (None, F.col("size") <= 45):
+            flat = W.flat80(spark, D, parts=True)
+            wide = append_entities(None, (flat if sizes is None else flat.filter(sizes)).select(*W.DISASTER_COLS), ["disaster_number"])
+            assert sorted(map(tuple, W.disasters(spark, D, sizes).collect()), key=str) == sorted(map(tuple, wide.collect()), key=str)
+    monkeypatch.undo()
+    monkeypatch.setattr(W, "append_entities", lambda existing, rows, keys: rows)
+    plan = _plan(W.disasters(spark, D))
+    scans = plan[plan.index("Join") :]
+    assert "WindowGroupLimit" in scans  # below the join
+
+
+def test_entities_give_their_shuffles_back(spark, monkeypatch):
+    import time
+
+    from starweave import session
+    from starweave.plans import warehouse as W
+
+    def files_now():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before, old = files_now(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    with session.shuffles_removed(spark):
+        rows = spark.range(1000).repartition(5).groupBy((F.col("id") % 10).alias("k")).count()
+        assert len(rows.collect()) == len(rows.collect()) == 10  # executed again, it is shuffled again
+        end = time.time() + 20
+        while (left := {n for n in files_now() - before if n.startswith("shuffle_")}) and time.time() < end:
+            time.sleep(0.2)
+        assert not left
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == old
+    monkeypatch.setattr(W, "_LOADED", {})
+    monkeypatch.setattr(W, "load_entities", lambda spark, d: spark.conf.get(session.SHUFFLE_CLEANUP, None))
+    assert W.entities(spark, D) == "true"
