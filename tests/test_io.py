@@ -32,6 +32,19 @@ def test_materialize_cuts_lineage(spark):
     assert "FileScan parquet" in m._jdf.queryExecution().executedPlan().toString()
 
 
+def test_large_intermediates_are_written_densely_and_sides_are_not(spark):
+    import re
+
+    from starweave.operators import keys
+    from starweave.plans import scenario as S
+
+    d = "/root/testdata/sf0.01"
+    numbered = keys.dense_number(spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k")), ["k"], "n", partitions=4)
+    names = lambda df: {re.search(r"\.(\w+)\.parquet$", f)[1] for f in df.inputFiles()}
+    assert names(S.lines(spark, d)) == names(numbered) == {"zstd"}
+    assert names(S.customers(spark, d)) == names(files.materialize(spark.range(9), "t-plain")) == {"snappy"}
+
+
 def test_row_count_observed_during_write(spark):
     from starweave.operators.metrics import write_observed
 
